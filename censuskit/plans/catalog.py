@@ -31,7 +31,13 @@ from censuskit.schema import (
     TOTAL,
 )
 from censuskit.sources.census import census_table
-from censuskit.sources.outcome import EXAM_YEAR, PASS_PCT, outcome_long as _stack_outcome, outcome_sheet
+from censuskit.sources.outcome import (
+    EXAM_YEAR,
+    PASS_PCT,
+    outcome_by_district,
+    outcome_sheet,
+)
+from censuskit.sources.outcome import outcome_long as _stack_outcome
 
 YS = [PERIOD, STATE]
 YSD = [PERIOD, STATE, DISTRICT]
@@ -260,9 +266,16 @@ def aliases(spark, sf_dir):
     return _with_key(names, spark, sf_dir)
 
 
+def _outcome_keyed(spark, sf_dir) -> DataFrame:
+    # The long outcome table straight from its aggregation (the sheet layout
+    # of ``outcome_long`` stacks back to exactly these rows).
+    out = outcome_by_district(spark, sf_dir)
+    return out.withColumn(DISTRICT, normalize_key(DISTRICT))
+
+
 def _joined_outcome(features: DataFrame, spark, sf_dir) -> DataFrame:
     keyed = _with_key(features, spark, sf_dir)
-    return correlate.join_outcome(keyed, outcome_long(spark, sf_dir), KEY, DISTRICT, PERIOD, EXAM_YEAR)
+    return correlate.join_outcome(keyed, _outcome_keyed(spark, sf_dir), KEY, DISTRICT, PERIOD, EXAM_YEAR)
 
 
 def corr(spark, sf_dir):

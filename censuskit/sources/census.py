@@ -137,6 +137,33 @@ def _measure_expr(i: int, total) -> F.Column:
     return F.when(F.col("l_orderkey") % (11 + i) == 0, F.lit(None)).otherwise(mixed).cast("int")
 
 
+# Broadcast bounds (rows) for the lookup sides of the derivation joins.
+MAX_BROADCAST_DIMENSION = 100_000
+MAX_BROADCAST_CUSTOMERS = 2_000_000
+
+
+def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(nation key, state, district) from nation ⋈ region, broadcast when
+    both are dimension-sized (checked by row count)."""
+    d = sf_dir.rstrip("/")
+    region = spark.read.parquet(f"{d}/region.parquet").select(
+        F.col("r_regionkey"), F.col("r_name").alias(STATE)
+    )
+    nation = spark.read.parquet(f"{d}/nation.parquet").select(
+        F.col("n_nationkey"), F.col("n_regionkey"), F.col("n_name").alias(DISTRICT)
+    )
+    region = storage.broadcast_or_shuffle(
+        region, MAX_BROADCAST_DIMENSION, storage.table_rows(spark, f"{d}/region.parquet")
+    )
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", STATE, DISTRICT
+    )
+    # One row per nation: the nation table's count bounds the join output.
+    return storage.broadcast_or_shuffle(
+        geo, MAX_BROADCAST_DIMENSION, storage.table_rows(spark, f"{d}/nation.parquet")
+    )
+
+
 def derived_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Census rows from ``lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ region``.
 
@@ -146,8 +173,9 @@ def derived_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     Join order: the order-year filter is a plain range on ``o_orderdate`` so
     it reaches the Parquet scan; customers get their district/state from the
     two dimension tables (tiny, broadcast by the planner from file
-    statistics); orders join customers on ``custkey``; the result joins the
-    line items on ``orderkey``. AQE splits skewed join keys at run time.
+    statistics); orders join customers on ``custkey`` (broadcast or shuffle,
+    chosen by the planner from the customer table's size); the result joins
+    the line items on ``orderkey`` with a sort-merge join.
     """
     d = sf_dir.rstrip("/")
     orders = spark.read.parquet(f"{d}/orders.parquet")
@@ -158,15 +186,7 @@ def derived_census(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", F.year("o_orderdate").alias("_y")
     )
 
-    region = spark.read.parquet(f"{d}/region.parquet").select(
-        F.col("r_regionkey"), F.col("r_name").alias(STATE)
-    )
-    nation = spark.read.parquet(f"{d}/nation.parquet").select(
-        F.col("n_nationkey"), F.col("n_regionkey"), F.col("n_name").alias(DISTRICT)
-    )
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", STATE, DISTRICT
-    )
+    geo = geography(spark, d)
     customer = spark.read.parquet(f"{d}/customer.parquet").select(
         "c_custkey",
         "c_nationkey",
@@ -177,14 +197,23 @@ def derived_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).select(
         "c_custkey", STATE, DISTRICT, LOCATION
     )
-    ordered = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
+    # Orders stream; customers are broadcast only while the customer table is
+    # within MAX_BROADCAST_CUSTOMERS rows (counted from Parquet footers).
+    cust_side = storage.broadcast_or_shuffle(
+        cust, MAX_BROADCAST_CUSTOMERS, storage.table_rows(spark, f"{d}/customer.parquet")
+    )
+    ordered = orders.join(cust_side, orders.o_custkey == cust_side.c_custkey).select(
         "o_orderkey", "_y", STATE, DISTRICT, LOCATION
     )
 
     lines = spark.read.parquet(f"{d}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
     )
-    joined = lines.join(ordered, lines.l_orderkey == ordered.o_orderkey)
+    # Fact-to-fact join: always a shuffled sort-merge join on the order key,
+    # never a broadcast of either side (at small scale the planner would
+    # broadcast the line items and stream everything from the one-task
+    # nation scan). AQE splits a skewed order key into several tasks.
+    joined = lines.join(ordered.hint("merge"), lines.l_orderkey == ordered.o_orderkey)
 
     total = (
         F.when(F.col("l_orderkey") % ZERO_TOTAL_ORDER_MOD == 0, F.lit(0))

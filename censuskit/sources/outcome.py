@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 
 from censuskit.operators.normalize import stack_lists
 from censuskit.schema import DISTRICT
-from censuskit.sources.census import FIRST_ORDER_YEAR, N_YEARS, YEAR_OFFSET
+from censuskit.sources import storage
+from censuskit.sources.census import (
+    FIRST_ORDER_YEAR,
+    MAX_BROADCAST_CUSTOMERS,
+    MAX_BROADCAST_DIMENSION,
+    N_YEARS,
+    YEAR_OFFSET,
+)
 
 EXAM_YEAR = "Exam_Year"
 PASS_PCT = "Pass_Pct"
@@ -42,6 +49,9 @@ def outcome_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", "o_totalprice", F.year("o_orderdate").alias("_y")
     )
     customer = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", "c_nationkey")
+    customer = storage.broadcast_or_shuffle(
+        customer, MAX_BROADCAST_CUSTOMERS, storage.table_rows(spark, f"{d}/customer.parquet")
+    )
     nation = spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name")
     # Aggregate by nation key before touching the nation names: the partial
     # aggregate shrinks orders to (nation, year) groups before the shuffle.
@@ -50,6 +60,9 @@ def outcome_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("c_nationkey", "_y")
         .agg(F.avg("o_totalprice").alias("_avg_price"))
     )
+    nation = storage.broadcast_or_shuffle(
+        nation, MAX_BROADCAST_DIMENSION, storage.table_rows(spark, f"{d}/nation.parquet")
+    )
     return per_nation.join(nation, per_nation.c_nationkey == nation.n_nationkey).select(
         F.regexp_replace("n_name", "NATION_", "Nation ").alias(DISTRICT),
         (F.col("_y") + YEAR_OFFSET).cast("string").alias(EXAM_YEAR),

@@ -47,3 +47,27 @@ def content_fingerprint(spark: SparkSession, paths: list[str]) -> str:
         length = fs.getContentSummary(hpath).getLength()
         parts.append(f"{p}:{length}:{st.getModificationTime()}")
     return "|".join(parts)
+
+
+_ROW_COUNTS: dict[tuple[int, str], int] = {}
+
+
+def table_rows(spark: SparkSession, path: str) -> int:
+    """Row count of a Parquet table, memoised per session (answered from
+    file footers, so it is cheap even for large tables)."""
+    key = (id(spark.sparkContext), path)
+    n = _ROW_COUNTS.get(key)
+    if n is None:
+        n = spark.read.parquet(path).count()
+        _ROW_COUNTS[key] = n
+    return n
+
+
+def broadcast_or_shuffle(df, max_rows: int, rows: int):
+    """Broadcast ``df`` when ``rows`` (an upper bound on its row count, e.g.
+    from ``table_rows`` of its base table) is at most ``max_rows``; otherwise
+    hint a shuffled sort-merge join so that the other, larger side is never
+    broadcast in its place."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if rows <= max_rows else df.hint("merge")
