@@ -43,30 +43,38 @@ from censuskit.sources import storage
 
 
 def read_census_csv(spark: SparkSession, base_path: str, null_policy: str = "keep") -> DataFrame:
-    """Read ``<base>/<year>/<state>/*.csv`` in one scan.
-
-    All fields are read as strings (no inference pass over the data) and the
-    census columns are picked by header name and cast with ``try_cast``.
-    ``Academic_Year`` is taken from the folder name; ``State_Name`` from the
-    file itself. ``null_policy="zero"`` fills null measures with 0.
+    """Read ``<base>/<year>/<state>/*.csv``.
+
+    The CSV reader maps every file of one scan by the *first* file's header
+    position, so folders exported with another column order would shift
+    silently. Each (year, state) folder is therefore scanned on its own (no
+    inference pass: all fields are read as strings), its census columns are
+    picked by header name and cast with ``try_cast``, and the folders are
+    combined with ``unionByName``. The folder list comes from one file-system
+    glob; its length is the number of exports, not the data size.
+    ``Academic_Year`` falls back to the year folder name.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("recursiveFileLookup", False)
-        .csv(f"{base_path.rstrip('/')}/*/*/*.csv")
-    )
-    path_year = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+/[^/]+$", 1)
-    cols = []
-    for field in CENSUS_SCHEMA.fields:
-        if field.name == PERIOD:
-            src = F.col(PERIOD) if PERIOD in raw.columns else F.lit(None)
-            cols.append(F.coalesce(src, path_year).cast("string").alias(PERIOD))
-        elif field.name in raw.columns:
-            cols.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
-        else:
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
-    df = raw.select(*cols)
+    base = base_path.rstrip("/")
+    folders = storage.glob_dirs(spark, f"{base}/*/*")
+    if not folders:
+        raise FileNotFoundError(f"no <year>/<state> folders under {base}")
+    parts = []
+    for folder in folders:
+        year = folder.rstrip("/").split("/")[-2]
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(f"{folder}/*.csv")
+        cols = []
+        for field in CENSUS_SCHEMA.fields:
+            if field.name == PERIOD:
+                src = F.col(PERIOD) if PERIOD in raw.columns else F.lit(None).cast("string")
+                cols.append(F.coalesce(src, F.lit(year)).alias(PERIOD))
+            elif field.name in raw.columns:
+                cols.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
+            else:
+                cols.append(F.lit(None).cast(field.dataType).alias(field.name))
+        parts.append(raw.select(*cols))
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
     return apply_null_policy(df, null_policy)
 
 

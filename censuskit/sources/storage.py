@@ -32,6 +32,13 @@ def _fs_and_path(spark: SparkSession, path: str):
     return fs, hpath
 
 
+def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Directories matching a file-system glob, sorted."""
+    fs, hpath = _fs_and_path(spark, pattern)
+    found = fs.globStatus(hpath) or []
+    return sorted(str(st.getPath().toString()) for st in found if st.isDirectory())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = _fs_and_path(spark, path)
     return bool(fs.exists(hpath))
