@@ -94,12 +94,22 @@ def sector_of(mgmt_id, sectors: dict | None = None) -> Column:
 # --- statistics
 
 
+def _sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def pearson(x, y) -> Column:
     """Pearson correlation over pairs where both sides are non-null.
 
     ``covar_pop / (stddev_pop * stddev_pop)`` with ``try_divide``: a constant
-    column gives null instead of the ANSI division error of ``corr``.
+    column gives null instead of the ANSI division error of ``corr``. Given
+    column names, the expression is passed as one SQL fragment (one JVM call
+    instead of a dozen when many features are correlated).
     """
+    if isinstance(x, str) and isinstance(y, str):
+        xs = f"CASE WHEN {_sql_name(y)} IS NOT NULL THEN CAST({_sql_name(x)} AS DOUBLE) END"
+        ys = f"CASE WHEN {_sql_name(x)} IS NOT NULL THEN CAST({_sql_name(y)} AS DOUBLE) END"
+        return F.expr(f"try_divide(covar_pop({xs}, {ys}), stddev_pop({xs}) * stddev_pop({ys}))")
     x, y = _c(x).cast("double"), _c(y).cast("double")
     xs = F.when(y.isNotNull(), x)
     ys = F.when(x.isNotNull(), y)

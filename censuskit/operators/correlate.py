@@ -83,3 +83,26 @@ def fit_line(df: DataFrame, by, x: str, y: str) -> DataFrame:
         F.regr_r2(yy, xx).alias("R2"),
         F.regr_count(yy, xx).alias("N"),
     )
+
+
+def fit_lines(df: DataFrame, by, features, y: str) -> DataFrame:
+    """``fit_line`` for several features in one aggregation, long form
+    (by..., Feature, Slope, Intercept, R2, N)."""
+    by = list(by)
+    yy = F.col(y).cast("double")
+    aggs = []
+    for i, f in enumerate(features):
+        xx = F.col(f).cast("double")
+        aggs += [
+            F.regr_slope(yy, xx).alias(f"_s{i}"),
+            F.regr_intercept(yy, xx).alias(f"_i{i}"),
+            F.regr_r2(yy, xx).alias(f"_r{i}"),
+            F.regr_count(yy, xx).alias(f"_n{i}"),
+        ]
+    wide = df.groupBy(*by).agg(*aggs)
+    structs = [
+        F.struct(F.lit(f).alias(FEATURE), F.col(f"_s{i}").alias("Slope"), F.col(f"_i{i}").alias("Intercept"),
+                 F.col(f"_r{i}").alias("R2"), F.col(f"_n{i}").alias("N"))
+        for i, f in enumerate(features)
+    ]
+    return wide.select(*by, F.explode(F.array(*structs)).alias("_fit")).select(*by, "_fit.*")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censuskit.functions import round6
+from censuskit.functions import pct_gap_of_sums, round6
 from censuskit.operators import correlate, distribution, quality, ranking, rates, scores, segments, trends
 from censuskit.operators.normalize import ALIAS_FROM, ALIAS_TO, apply_aliases, normalize_key
 from censuskit.schema import (
@@ -296,14 +296,20 @@ def corr_hygiene(spark, sf_dir):
 
 
 def fit_line(spark, sf_dir):
-    lib = _joined_outcome(essentials_district(spark, sf_dir), spark, sf_dir)
-    hyg = _joined_outcome(_hygiene_districts(spark, sf_dir), spark, sf_dir)
-    parts = []
-    for df, feat in ((lib, LIBRARY), (hyg, HYGIENE)):
-        fit = correlate.fit_line(df, [PERIOD], feat, PASS_PCT)
-        parts.append(fit.select(PERIOD, F.lit(feat).alias(correlate.FEATURE),
-                                *[round6(c).alias(c) for c in ("Slope", "Intercept", "R2")], "N"))
-    return parts[0].unionByName(parts[1])
+    """Least-squares lines of pass % on library availability and on the
+    hygiene score, per year. Both district features come from one
+    aggregation of the census (same keys), joined once to the outcome."""
+    rows = scores.hygiene_rows(_census(spark, sf_dir))
+    per_district = rows.groupBy(*YSD).agg(
+        F.sum(TOTAL).alias("_t"),
+        F.sum(LIBRARY).alias("_lib"),
+        F.avg(scores.ROW_SCORE).alias(HYGIENE),
+    )
+    feats = per_district.select(*YSD, pct_gap_of_sums("_t", "_lib").alias(LIBRARY), HYGIENE)
+    joined = _joined_outcome(feats, spark, sf_dir)
+    fits = correlate.fit_lines(joined, [PERIOD], [LIBRARY, HYGIENE], PASS_PCT)
+    return fits.select(PERIOD, correlate.FEATURE,
+                       *[round6(c).alias(c) for c in ("Slope", "Intercept", "R2")], "N")
 
 
 # --- Data quality ------------------------------------------------------------

@@ -19,7 +19,6 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censuskit.functions import value_map
 from censuskit.schema import (
     CENSUS_COLUMNS,
     CENSUS_SCHEMA,
@@ -134,15 +133,24 @@ DERIVATION_VERSION = "1"
 _INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
 
 
-def _measure_expr(i: int, total) -> F.Column:
+def _measure_sql(i: int, name: str) -> str:
     """Measure number ``i``: null on every (11+i)-th order, otherwise a
     deterministic count between 0 and the total."""
-    mixed = (
-        F.col("l_partkey") * (3 + i)
-        + F.col("l_suppkey") * (7 + 2 * i)
-        + F.col("l_linenumber")
-    ) % (total + F.lit(1))
-    return F.when(F.col("l_orderkey") % (11 + i) == 0, F.lit(None)).otherwise(mixed).cast("int")
+    return (
+        f"CAST(CASE WHEN l_orderkey % {11 + i} = 0 THEN NULL ELSE "
+        f"(l_partkey * {3 + i} + l_suppkey * {7 + 2 * i} + l_linenumber) % ({TOTAL} + 1) END AS INT) "
+        f"AS `{name}`"
+    )
+
+
+def _lookup_sql(col: str, mapping: dict) -> str:
+    """CASE expression mapping the values of ``col`` through ``mapping``."""
+
+    def lit(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return f"CASE {col} {whens} END"
 
 
 # Broadcast bounds (rows) for the lookup sides of the derivation joins.
@@ -223,33 +231,29 @@ def derived_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation scan). AQE splits a skewed order key into several tasks.
     joined = lines.join(ordered.hint("merge"), lines.l_orderkey == ordered.o_orderkey)
 
-    total = (
-        F.when(F.col("l_orderkey") % ZERO_TOTAL_ORDER_MOD == 0, F.lit(0))
-        .otherwise(F.col("l_quantity").cast("int"))
-    )
-    mgmt_id = value_map((F.col("l_partkey") % 6).cast("int"), MGMT_BY_PARTKEY_MOD6).cast("int")
-    staged = joined.select(
-        F.col(STATE),
-        F.col(DISTRICT),
-        F.col(LOCATION),
-        mgmt_id.alias(MGMT_ID),
-        F.concat_ws("_", (F.col("_y") + YEAR_OFFSET).cast("string"),
-                    (F.col("_y") + YEAR_OFFSET + 1).cast("string")).alias(PERIOD),
-        total.alias(TOTAL),
+    # The per-row derivation is one projection given as SQL expressions
+    # (a single call into the JVM instead of hundreds of Column calls).
+    staged = joined.selectExpr(
+        STATE,
+        DISTRICT,
+        LOCATION,
+        f"CAST({_lookup_sql('CAST(l_partkey % 6 AS INT)', MGMT_BY_PARTKEY_MOD6)} AS INT) AS {MGMT_ID}",
+        f"concat_ws('_', CAST(_y + {YEAR_OFFSET} AS STRING), CAST(_y + {YEAR_OFFSET + 1} AS STRING)) AS {PERIOD}",
+        f"CASE WHEN l_orderkey % {ZERO_TOTAL_ORDER_MOD} = 0 THEN 0 ELSE CAST(l_quantity AS INT) END AS {TOTAL}",
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
         "l_linenumber",
     )
-    return staged.select(
+    return staged.selectExpr(
         STATE,
         DISTRICT,
         LOCATION,
-        value_map(F.col(MGMT_ID), MANAGEMENT_NAMES).alias(MGMT_NAME),
+        f"{_lookup_sql(MGMT_ID, MANAGEMENT_NAMES)} AS {MGMT_NAME}",
         MGMT_ID,
         PERIOD,
         TOTAL,
-        *[_measure_expr(i, F.col(TOTAL)).alias(m) for i, m in enumerate(MEASURES)],
+        *[_measure_sql(i, m) for i, m in enumerate(MEASURES)],
     )
 
 
