@@ -1,0 +1,6 @@
+"""Incremental refresh of the census jobs as new (year, state) folders land.
+
+The analyses are batch jobs; this package only runs the same operators over
+a file-stream source (no new operator)."""
+
+from censuskit.streaming.incremental import rates_stream  # noqa: F401

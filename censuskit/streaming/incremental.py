@@ -1,0 +1,52 @@
+"""Structured Streaming run of the facility-rate job over a census folder.
+
+New census files (a new academic year or a re-exported state) are picked up
+by the file source; the grouped sums are kept in the state store (one entry
+per group key, so state is bounded by the number of (year, state) pairs, not
+by the data); each trigger recomputes the percentages from the sums and
+replaces the output table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from censuskit.operators import rates
+from censuskit.schema import CENSUS_SCHEMA, PERIOD, STATE
+from censuskit.sources import storage
+
+
+def census_stream(spark: SparkSession, census_path: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    """The census (Parquet, partitioned by year and state) as a stream."""
+    return (
+        spark.readStream.schema(CENSUS_SCHEMA)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .parquet(census_path)
+    )
+
+
+def rates_stream(spark: SparkSession, census_path: str, output_path: str, measures,
+                 keys=(PERIOD, STATE), form: str = "gap_of_sums", checkpoint: str | None = None,
+                 available_now: bool = True):
+    """Start a query that keeps ``output_path`` equal to
+    ``rates.facility_rates(census, keys, measures, form)``.
+
+    ``checkpoint`` defaults to a folder under the session's checkpoint
+    directory. ``available_now`` processes what is there and stops (a batch
+    catch-up run); otherwise the query keeps running on new files.
+    """
+    stream = census_stream(spark, census_path)
+    result = rates.facility_rates(stream, list(keys), measures, form)
+    if checkpoint is None:
+        checkpoint = f"{storage.checkpoint_root(spark).rstrip('/')}/censuskit/streams/rates"
+
+    def _replace(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(output_path)
+
+    writer = (
+        result.writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(_replace)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

@@ -1,0 +1,42 @@
+"""The streaming run of the rate job equals the batch job after each arrival."""
+
+from pyspark.sql import functions as F
+
+from censuskit.operators import rates
+from censuskit.schema import ESSENTIALS, MEASURES, PERIOD, STATE
+from censuskit.sources.census import read_census, write_census
+from censuskit.sources.fixtures import quota_flags
+from censuskit.streaming import rates_stream
+from tests.conftest import rows
+
+
+def _census_year(spark, year):
+    df = quota_flags(spark, rows_per_state=500)
+    cols = {c: F.col(c).cast("int") for c in df.columns if c not in (STATE,)}
+    df = df.withColumns(cols)
+    for c in ["District_Name", "Location", "School_Management_Name"]:
+        df = df.withColumn(c, F.lit("x"))
+    df = df.withColumn("School_Management_Id", F.lit(1)).withColumn(PERIOD, F.lit(year))
+    for m in MEASURES:
+        if m not in df.columns:
+            df = df.withColumn(m, F.lit(None).cast("int"))
+    return df
+
+
+def test_rates_stream_matches_batch(spark, tmp_path):
+    census = str(tmp_path / "census")
+    out = str(tmp_path / "rates")
+    ckpt = str(tmp_path / "ckpt")
+    write_census(_census_year(spark, "2018_2019"), census, mode="append")
+    q = rates_stream(spark, census, out, ESSENTIALS, checkpoint=ckpt)
+    q.awaitTermination(120)
+    batch = rates.rate_gap_of_sums(read_census(spark, census), [PERIOD, STATE], ESSENTIALS)
+    assert rows(spark.read.parquet(out)) == rows(batch)
+    assert spark.read.parquet(out).count() == 3
+
+    write_census(_census_year(spark, "2019_2020"), census, mode="append")
+    q = rates_stream(spark, census, out, ESSENTIALS, checkpoint=ckpt)
+    q.awaitTermination(120)
+    batch = rates.rate_gap_of_sums(read_census(spark, census), [PERIOD, STATE], ESSENTIALS)
+    assert spark.read.parquet(out).count() == 6
+    assert rows(spark.read.parquet(out)) == rows(batch)
