@@ -14,7 +14,7 @@ def box_stats(df: DataFrame, by, value: str, approx: bool = False, accuracy: int
     values in one task; pass ``approx=True`` (``percentile_approx``, a
     mergeable sketch with partial aggregation) when groups are large. The
     whiskers and outlier count need the fences, so the per-group stats (one
-    row per group) are joined back to the values for a second aggregation.
+    row per group) are joined to the values for a second aggregation.
     """
     by = list(by)
     probs = [0.25, 0.5, 0.75]
@@ -41,9 +41,13 @@ def box_stats(df: DataFrame, by, value: str, approx: bool = False, accuracy: int
     ).withColumn("Upper_Fence", F.col("Q3") + F.lit(whisker) * F.col("IQR"))
     v = F.col(value)
     inside = (v >= F.col("Lower_Fence")) & (v <= F.col("Upper_Fence"))
-    tails = df.select(*by, value).join(stats.select(*by, "Lower_Fence", "Upper_Fence"), by).groupBy(*by).agg(
+    # One join of the values to their group's stats (one row per group); the
+    # stats ride along through the tail aggregation, so they are computed
+    # once and never joined back.
+    carried = [c for c in stats.columns if c not in by]
+    return df.select(*by, value).join(stats, by).groupBy(*by).agg(
+        *[F.max(c).alias(c) for c in carried],
         F.min(F.when(inside, v)).alias("Whisker_Low"),
         F.max(F.when(inside, v)).alias("Whisker_High"),
         F.count(F.when(v.isNotNull() & ~inside, v)).alias("Outliers"),
     )
-    return stats.join(tails, by, "left")
