@@ -124,6 +124,14 @@ def sustain_state(spark, sf_dir):
     return s.withColumn(SUSTAIN, round6(SUSTAIN))
 
 
+def sustain_by_mgmt(spark, sf_dir):
+    """Score per (year, state, management id): the first stage of the sector
+    comparison, reported on its own (A13)."""
+    rows = scores.sustainability_rows(_census(spark, sf_dir))
+    s = scores.district_score(rows, [*YS, MGMT_ID], name=SUSTAIN, scale=100)
+    return s.withColumn(SUSTAIN, round6(SUSTAIN))
+
+
 def sector(spark, sf_dir):
     rows = scores.sustainability_rows(_census(spark, sf_dir))
     out = segments.sector_compare(rows, scores.ROW_SCORE, YS)
@@ -183,6 +191,11 @@ def _hygiene_districts(spark, sf_dir) -> DataFrame:
     return scores.district_score(rows, YSD, name=HYGIENE)
 
 
+def hygiene_district(spark, sf_dir):
+    """Hygiene score of every district, unranked (A32)."""
+    return _hygiene_districts(spark, sf_dir).withColumn(HYGIENE, round6(HYGIENE))
+
+
 def hygiene_top10(spark, sf_dir):
     d = _hygiene_districts(spark, sf_dir).withColumn(HYGIENE, round6(HYGIENE))
     return ranking.top_n(d, [_desc(HYGIENE), F.col(STATE), F.col(DISTRICT)], TOP_N, by=[PERIOD])
@@ -344,6 +357,7 @@ QUERIES = {
     "mgmt_share": mgmt_share,
     "sustain_top10": sustain_top10,
     "sustain_state": sustain_state,
+    "sustain_by_mgmt": sustain_by_mgmt,
     "sector": sector,
     "ramp": ramp,
     "essentials": essentials,
@@ -353,6 +367,7 @@ QUERIES = {
     "medical_complete_by_location": medical_complete_by_location,
     "medical_have": medical_have,
     "library_complement": library_complement,
+    "hygiene_district": hygiene_district,
     "hygiene_top10": hygiene_top10,
     "hygiene_above_mean": hygiene_above_mean,
     "box": box,

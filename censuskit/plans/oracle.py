@@ -284,7 +284,6 @@ FROM e FULL OUTER JOIN o USING (Academic_Year, State_Name)"""
 
 def oracle_sql() -> dict[str, str]:
     ess = _rates_sql(["Academic_Year", "State_Name"], ESSENTIALS)
-    feats = list(DISTRICT_FEATURES)
     q: dict[str, str] = {}
     q["split"] = _with() + """
 SELECT Academic_Year, State_Name,
@@ -322,6 +321,10 @@ FROM (SELECT *, (100 * School_Count) / nullif(sum(School_Count) OVER (PARTITION
         "sr", "Sustainability_Score", "State_Name, District_Name",
     )
     q["sustain_state"] = _with(SUSTAIN_DISTRICTS) + _sustain_state_sql()
+    q["sustain_by_mgmt"] = _with() + f"""
+SELECT Academic_Year, State_Name, School_Management_Id,
+       round(avg({SUSTAIN_ROW}) * CAST(100 AS DOUBLE), 6) AS Sustainability_Score
+FROM census GROUP BY 1, 2, 3"""
     q["sector"] = _sector_sql()
     q["ramp"] = _with() + _ramp_rows_sql()
     q["essentials"] = _with() + ess
@@ -354,6 +357,9 @@ FROM (SELECT *, (100 * School_Count) / nullif(sum(School_Count) OVER (PARTITION
         HYGIENE_DISTRICTS + ",\nhr AS (SELECT Academic_Year, State_Name, District_Name, round(h, 6) AS HygieneScore FROM hd)",
         "hr", "HygieneScore", "State_Name, District_Name",
     )
+    q["hygiene_district"] = _with(HYGIENE_DISTRICTS) + (
+        "SELECT Academic_Year, State_Name, District_Name, round(h, 6) AS HygieneScore FROM hd"
+    )
     q["hygiene_above_mean"] = _with(
         HYGIENE_DISTRICTS, "hm AS (SELECT Academic_Year, avg(h) AS m FROM hd GROUP BY 1)"
     ) + """
@@ -413,6 +419,4 @@ FROM ({q['quality_compare']}) qc GROUP BY Academic_Year"""
 SELECT Academic_Year, State_Name, max(Rural_School_Count) - min(Rural_School_Count) AS Spread,
        (max(Rural_School_Count) - min(Rural_School_Count)) < 2 AS Passed
 FROM rc GROUP BY 1, 2"""
-    # ``feats`` keeps the feature order visible next to the SQL above.
-    assert len(feats) == len(DISTRICT_FEATURES)
     return {k: v.strip() for k, v in q.items()}

@@ -134,11 +134,18 @@ _INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
 
 
 def _measure_sql(i: int, name: str) -> str:
-    """Measure number ``i``: null on every (11+i)-th order, otherwise a
-    deterministic count between 0 and the total."""
+    """Measure number ``i``: null on every (11+i)-th order, otherwise
+    ``(l_partkey*(3+i) + l_suppkey*(7+2i) + l_linenumber) % (total + 1)``,
+    a deterministic count between 0 and the total.
+
+    The sum is written ``_m0 + i*_step`` with the per-row terms
+    ``_m0 = 3*l_partkey + 7*l_suppkey + l_linenumber`` and
+    ``_step = l_partkey + 2*l_suppkey`` computed once (the same integer, less
+    generated code per measure).
+    """
+    value = "_m0" if i == 0 else f"_m0 + {i} * _step"
     return (
-        f"CAST(CASE WHEN l_orderkey % {11 + i} = 0 THEN NULL ELSE "
-        f"(l_partkey * {3 + i} + l_suppkey * {7 + 2 * i} + l_linenumber) % ({TOTAL} + 1) END AS INT) "
+        f"CAST(CASE WHEN l_orderkey % {11 + i} = 0 THEN NULL ELSE ({value}) % _mod END AS INT) "
         f"AS `{name}`"
     )
 
@@ -231,8 +238,8 @@ def derived_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation scan). AQE splits a skewed order key into several tasks.
     joined = lines.join(ordered.hint("merge"), lines.l_orderkey == ordered.o_orderkey)
 
-    # The per-row derivation is one projection given as SQL expressions
-    # (a single call into the JVM instead of hundreds of Column calls).
+    # The per-row derivation is given as SQL expressions (one call into the
+    # JVM per projection instead of hundreds of Column calls).
     staged = joined.selectExpr(
         STATE,
         DISTRICT,
@@ -245,6 +252,18 @@ def derived_census(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_suppkey",
         "l_linenumber",
     )
+    staged = staged.selectExpr(
+        STATE,
+        DISTRICT,
+        LOCATION,
+        MGMT_ID,
+        PERIOD,
+        TOTAL,
+        "l_orderkey",
+        "3 * l_partkey + 7 * l_suppkey + l_linenumber AS _m0",
+        "l_partkey + 2 * l_suppkey AS _step",
+        f"{TOTAL} + 1 AS _mod",
+    )
     return staged.selectExpr(
         STATE,
         DISTRICT,
