@@ -31,20 +31,46 @@ def round6(col) -> Column:
 # integers, e.g. 100*(1-(100-20)/100) truncates to 19 while 100*(20/100) is 20)
 
 
+def _names(*cols) -> bool:
+    return all(isinstance(c, str) for c in cols)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _dbl(w) -> str:
+    return f"{float(w)!r}D"  # a DOUBLE literal (a bare 0.2 would be DECIMAL)
+
+
+# Given column names, each expression is built as one SQL fragment (one call
+# into the JVM); given Columns, with the Column API. Both are the same
+# expression.
+
+
 def pct_gap_of_sums(total, have) -> Column:
     """``int(100 * (1 - (total - have) / total))``."""
+    if _names(total, have):
+        t, h = _q(total), _q(have)
+        return F.expr(f"CAST(100 * (1 - try_divide({t} - {h}, {t})) AS INT)")
     t, h = _c(total), _c(have)
     return (F.lit(100) * (F.lit(1) - F.try_divide(t - h, t))).cast("int")
 
 
 def pct_lack(total, have) -> Column:
     """``int(100 * ((total - have) / total))``."""
+    if _names(total, have):
+        t, h = _q(total), _q(have)
+        return F.expr(f"CAST(100 * try_divide({t} - {h}, {t}) AS INT)")
     t, h = _c(total), _c(have)
     return (F.lit(100) * F.try_divide(t - h, t)).cast("int")
 
 
 def pct_have(total, have) -> Column:
     """``int(100 * (have / total))``."""
+    if _names(total, have):
+        t, h = _q(total), _q(have)
+        return F.expr(f"CAST(100 * try_divide({h}, {t}) AS INT)")
     t, h = _c(total), _c(have)
     return (F.lit(100) * F.try_divide(h, t)).cast("int")
 
@@ -54,6 +80,9 @@ def pct_have(total, have) -> Column:
 
 def ratio_weighted_sum(weights, total) -> Column:
     """Sum of ``(measure / total) * w`` over ``weights`` (in list order)."""
+    if _names(total, *[m for m, _ in weights]):
+        t = _q(total)
+        return F.expr(" + ".join(f"try_divide({_q(m)}, {t}) * {_dbl(w)}" for m, w in weights))
     t = _c(total)
     terms = [F.try_divide(_c(m), t) * F.lit(float(w)) for m, w in weights]
     return reduce(add, terms)
@@ -61,6 +90,9 @@ def ratio_weighted_sum(weights, total) -> Column:
 
 def scaled_weighted_sum(weights, total, scale=100) -> Column:
     """``(scale * sum(measure * w)) / total`` (sum first, divide once)."""
+    if _names(total, *[m for m, _ in weights]):
+        inner = " + ".join(f"{_q(m)} * {_dbl(w)}" for m, w in weights)
+        return F.expr(f"try_divide({int(scale)} * ({inner}), {_q(total)})")
     terms = [_c(m) * F.lit(float(w)) for m, w in weights]
     return F.try_divide(F.lit(scale) * reduce(add, terms), _c(total))
 
@@ -94,10 +126,6 @@ def sector_of(mgmt_id, sectors: dict | None = None) -> Column:
 # --- statistics
 
 
-def _sql_name(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def pearson(x, y) -> Column:
     """Pearson correlation over pairs where both sides are non-null.
 
@@ -107,8 +135,8 @@ def pearson(x, y) -> Column:
     instead of a dozen when many features are correlated).
     """
     if isinstance(x, str) and isinstance(y, str):
-        xs = f"CASE WHEN {_sql_name(y)} IS NOT NULL THEN CAST({_sql_name(x)} AS DOUBLE) END"
-        ys = f"CASE WHEN {_sql_name(x)} IS NOT NULL THEN CAST({_sql_name(y)} AS DOUBLE) END"
+        xs = f"CASE WHEN {_q(y)} IS NOT NULL THEN CAST({_q(x)} AS DOUBLE) END"
+        ys = f"CASE WHEN {_q(x)} IS NOT NULL THEN CAST({_q(y)} AS DOUBLE) END"
         return F.expr(f"try_divide(covar_pop({xs}, {ys}), stddev_pop({xs}) * stddev_pop({ys}))")
     x, y = _c(x).cast("double"), _c(y).cast("double")
     xs = F.when(y.isNotNull(), x)

@@ -30,6 +30,7 @@ from censuskit.schema import (
     STATE_ALIASES,
     TOTAL,
 )
+from censuskit.sources import storage
 from censuskit.sources.census import census_table
 from censuskit.sources.outcome import (
     EXAM_YEAR,
@@ -262,7 +263,7 @@ def outcome_long(spark, sf_dir):
 def _district_aliases(spark, sf_dir) -> DataFrame:
     """Alias table (census spelling -> results spelling) derived from the
     nation table: ``NATION_7`` is written ``Nation 7`` in the results."""
-    nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
+    nation = storage.read_table(spark, f"{sf_dir.rstrip('/')}/nation.parquet")
     return nation.select(
         normalize_key("n_name").alias(ALIAS_FROM),
         normalize_key(F.regexp_replace("n_name", "NATION_", "Nation ")).alias(ALIAS_TO),

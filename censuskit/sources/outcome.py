@@ -41,18 +41,18 @@ def outcome_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(district, exam year, pass %) derived from the driver tables: the mean
     order price of a nation's customers in a year, scaled to a percentage."""
     d = sf_dir.rstrip("/")
-    orders = spark.read.parquet(f"{d}/orders.parquet")
+    orders = storage.read_table(spark, f"{d}/orders.parquet")
     ts_type = orders.schema["o_orderdate"].dataType
     lo = F.lit(f"{FIRST_ORDER_YEAR}-01-01 00:00:00").cast(ts_type)
     hi = F.lit(f"{FIRST_ORDER_YEAR + N_YEARS}-01-01 00:00:00").cast(ts_type)
     orders = orders.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi)).select(
         "o_custkey", "o_totalprice", F.year("o_orderdate").alias("_y")
     )
-    customer = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", "c_nationkey")
+    customer = storage.read_table(spark, f"{d}/customer.parquet").select("c_custkey", "c_nationkey")
     customer = storage.broadcast_or_shuffle(
         customer, MAX_BROADCAST_CUSTOMERS, storage.table_rows(spark, f"{d}/customer.parquet")
     )
-    nation = spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", "n_name")
+    nation = storage.read_table(spark, f"{d}/nation.parquet").select("n_nationkey", "n_name")
     # Aggregate by nation key before touching the nation names: the partial
     # aggregate shrinks orders to (nation, year) groups before the shuffle.
     per_nation = (

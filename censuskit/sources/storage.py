@@ -57,6 +57,19 @@ def content_fingerprint(spark: SparkSession, paths: list[str]) -> str:
 
 
 _ROW_COUNTS: dict[tuple[int, str], int] = {}
+_TABLES: dict[tuple[int, str], object] = {}
+
+
+def read_table(spark: SparkSession, path: str):
+    """``spark.read.parquet(path)`` memoised per session, for read-only input
+    tables: the file listing and footer (schema) reads happen once, not in
+    every query that is built on the table."""
+    key = (id(spark.sparkContext), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def table_rows(spark: SparkSession, path: str) -> int:
@@ -65,7 +78,7 @@ def table_rows(spark: SparkSession, path: str) -> int:
     key = (id(spark.sparkContext), path)
     n = _ROW_COUNTS.get(key)
     if n is None:
-        n = spark.read.parquet(path).count()
+        n = read_table(spark, path).count()
         _ROW_COUNTS[key] = n
     return n
 
