@@ -53,12 +53,17 @@ def outcome_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
         customer, MAX_BROADCAST_CUSTOMERS, storage.table_rows(spark, f"{d}/customer.parquet")
     )
     nation = storage.read_table(spark, f"{d}/nation.parquet").select("n_nationkey", "n_name")
-    # Aggregate by nation key before touching the nation names: the partial
-    # aggregate shrinks orders to (nation, year) groups before the shuffle.
+    # Pre-aggregate orders to (customer, year) sums and counts before the
+    # customer join (map-side partial aggregation absorbs a hot customer), so
+    # the join moves one row per customer and year instead of every order;
+    # then combine to (nation, year) and only then attach the nation names.
+    per_customer = orders.groupBy("o_custkey", "_y").agg(
+        F.sum("o_totalprice").alias("_sum"), F.count("o_totalprice").alias("_n")
+    )
     per_nation = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        per_customer.join(customer, per_customer.o_custkey == customer.c_custkey)
         .groupBy("c_nationkey", "_y")
-        .agg(F.avg("o_totalprice").alias("_avg_price"))
+        .agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias("_avg_price"))
     )
     nation = storage.broadcast_or_shuffle(
         nation, MAX_BROADCAST_DIMENSION, storage.table_rows(spark, f"{d}/nation.parquet")
