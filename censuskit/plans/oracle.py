@@ -241,7 +241,7 @@ def _top(inner_cte: str, src: str, value: str, extra_order: str, n: int = 10,
 
 def _box_sql() -> str:
     stats = """
-b AS (SELECT Academic_Year, State_Name, round(h, 6) AS v FROM hd),
+b AS (SELECT Academic_Year, State_Name, h AS v FROM hd),
 st AS (
   SELECT Academic_Year, State_Name,
          quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS q2, quantile_cont(v, 0.75) AS q3,
