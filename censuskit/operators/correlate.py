@@ -75,14 +75,7 @@ def extremes(corr: DataFrame, features, order_col: str, order_values,
 def fit_line(df: DataFrame, by, x: str, y: str) -> DataFrame:
     """Least-squares line ``y = Slope * x + Intercept`` and R² per group
     (``regr_*`` aggregates; null when x is constant)."""
-    by = list(by)
-    xx, yy = F.col(x).cast("double"), F.col(y).cast("double")
-    return df.groupBy(*by).agg(
-        F.regr_slope(yy, xx).alias("Slope"),
-        F.regr_intercept(yy, xx).alias("Intercept"),
-        F.regr_r2(yy, xx).alias("R2"),
-        F.regr_count(yy, xx).alias("N"),
-    )
+    return fit_lines(df, by, [x], y).drop(FEATURE)
 
 
 def fit_lines(df: DataFrame, by, features, y: str) -> DataFrame:
