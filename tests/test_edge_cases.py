@@ -103,3 +103,34 @@ def test_stack_lists_and_csv_sheet(spark, tmp_path):
     got = rows(long, "District_Name", "Exam_Year", "Pass_Pct")
     assert got == [("bagalkot", "2017", 70.5), ("bagalkot", "2018", 71.0), ("bidar", "2017", 55.25),
                    ("bidar", "2018", None), ("bidar", "2019", 60.0)]
+
+
+def test_box_stats_exact_and_approx(spark):
+    from censuskit.operators import distribution
+
+    vals = [("g", float(v)) for v in (1, 2, 3, 4, 100)]
+    df = spark.createDataFrame(vals, "g string, v double")
+    exact = distribution.box_stats(df, ["g"], "v").collect()[0]
+    assert (exact["Q1"], exact["Median"], exact["Q3"]) == (2.0, 3.0, 4.0)
+    assert (exact["Lower_Fence"], exact["Upper_Fence"]) == (-1.0, 7.0)
+    assert (exact["Whisker_Low"], exact["Whisker_High"], exact["Outliers"]) == (1.0, 4.0, 1)
+    approx = distribution.box_stats(df, ["g"], "v", approx=True).collect()[0]
+    assert approx["Median"] == 3.0 and approx["Outliers"] == 1
+
+
+def test_outcome_sheet_round_trip(spark):
+    from tests.conftest import SF001
+    from censuskit.sources import outcome
+
+    sheet = outcome.outcome_sheet(spark, SF001)
+    assert sheet.columns == ["Districts1", "2017", "Districts2", "2018", "Districts3", "2019"]
+    got = sheet.collect()
+    for name_col, year in (("Districts1", "2017"), ("Districts2", "2018"), ("Districts3", "2019")):
+        names = sorted(r[name_col] for r in got if r[name_col] is not None)
+        expect = sorted(r["District_Name"] for r in outcome.outcome_by_district(spark, SF001)
+                        .where(F.col("Exam_Year") == year).collect())
+        assert names == expect
+    long = outcome.outcome_long(sheet)
+    direct = outcome.outcome_by_district(spark, SF001).select(
+        F.lower("District_Name").alias("District_Name"), "Exam_Year", "Pass_Pct")
+    assert rows(long) == rows(direct)
