@@ -23,6 +23,21 @@ def compare(expected: DataFrame, observed: DataFrame, keys, value: str, tol: flo
     )
 
 
+def compare_columns(df: DataFrame, keys, expected: str, observed: str, tol: float = 0.0) -> DataFrame:
+    """``compare`` for expected and observed values held in one frame: a
+    projection, no join."""
+    e = F.col(expected).cast("double")
+    o = F.col(observed).cast("double")
+    diff = F.abs(o - e)
+    return df.select(
+        *keys,
+        e.alias("Expected"),
+        o.alias("Observed"),
+        diff.alias("Abs_Diff"),
+        F.coalesce(diff <= F.lit(float(tol)), F.lit(False)).alias("Passed"),
+    )
+
+
 def summarize(checked: DataFrame, by=()) -> DataFrame:
     """Number of passed and failed checks (optionally per group)."""
     passed = F.col("Passed")

@@ -71,6 +71,24 @@ def rate_gap_of_rows(df: DataFrame, keys, measure: str, name: str, total: str =
     return sums.select(*keys, pct.alias(name))
 
 
+def rate_forms(df: DataFrame, keys, measure: str, total: str = TOTAL) -> DataFrame:
+    """Both accessibility forms of one measure from a single aggregation:
+    ``Gap_Of_Sums_Pct`` and ``Gap_Of_Rows_Pct`` (they differ only where null
+    measures drop rows out of the gap but not out of the total)."""
+    keys = list(keys)
+    sums = df.groupBy(*keys).agg(
+        F.sum(total).alias("_total"),
+        F.sum(measure).alias("_have"),
+        F.sum(F.col(total) - F.col(measure)).alias("_gap"),
+    )
+    rows_pct = (F.lit(100) * (F.lit(1) - F.try_divide(F.col("_gap"), F.col("_total")))).cast("int")
+    return sums.select(
+        *keys,
+        pct_gap_of_sums("_total", "_have").alias("Gap_Of_Sums_Pct"),
+        rows_pct.alias("Gap_Of_Rows_Pct"),
+    )
+
+
 def with_complement(df: DataFrame, column: str, name: str) -> DataFrame:
     """Add ``100 - column`` (the other half of a stacked bar)."""
     return df.withColumn(name, F.lit(100) - F.col(column))
