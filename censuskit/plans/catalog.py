@@ -1,10 +1,10 @@
-"""Named analyses over the census derived from the driver tables.
+"""The study bound to the driver tables: one ``(spark, sf_dir)`` callable per
+analysis, as registered in ``__spark_entry__.queries()``.
 
-Each entry takes ``(spark, sf_dir)`` and returns a DataFrame. All of them
-start from ``census_table`` (the derived census, materialised once per
-session) and are compositions of the operators; averaged doubles are rounded
-to 6 places (summation order differs between engines) and rankings use the
-rounded value followed by fixed name tie keys.
+The census is the one derived from the driver tables (``census_table``,
+materialised once per session); the outcome is the exam-result table derived
+from orders; census district names reach the outcome spelling through an
+alias table derived from the nation table.
 """
 
 from __future__ import annotations
@@ -12,257 +12,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from censuskit.functions import pct_gap_of_sums, round6
-from censuskit.operators import correlate, distribution, quality, ranking, rates, scores, segments, trends
-from censuskit.operators.normalize import ALIAS_FROM, ALIAS_TO, apply_aliases, normalize_key
-from censuskit.schema import (
-    ADVANCED,
-    DISTRICT,
-    DISTRICT_FEATURES,
-    ESSENTIALS,
-    LOCATION,
-    MGMT_ID,
-    PERIOD,
-    PERIODS,
-    PRIVATE_UNAIDED_ID,
-    RURAL,
-    STATE,
-    STATE_ALIASES,
-    TOTAL,
-)
+from censuskit.operators.normalize import ALIAS_FROM, ALIAS_TO, normalize_key
+from censuskit.plans import study
 from censuskit.sources import storage
 from censuskit.sources.census import census_table
-from censuskit.sources.outcome import (
-    EXAM_YEAR,
-    PASS_PCT,
-    outcome_by_district,
-    outcome_sheet,
-)
+from censuskit.sources.outcome import outcome_by_district, outcome_sheet
 from censuskit.sources.outcome import outcome_long as _stack_outcome
 
-YS = [PERIOD, STATE]
-YSD = [PERIOD, STATE, DISTRICT]
-TOP_N = 10
 
-SUSTAIN = "Sustainability_Score"
-HYGIENE = "HygieneScore"
-RAMP_PCT = "Ramp_Access_Pct"
-KEY = "District_Key"
-LIBRARY = "Library_or_Reading_Corner_or_Book_Bank"
+def census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return study.prepare(census_table(spark, sf_dir))
 
 
-def _census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # State spelling fixes go before any aggregation.
-    return apply_aliases(census_table(spark, sf_dir), STATE, STATE_ALIASES)
-
-
-def _desc(col: str):
-    return F.col(col).desc_nulls_last()
-
-
-# --- Q1: rural / urban / management -----------------------------------------
-
-
-def split(spark, sf_dir):
-    return segments.split_totals(_census(spark, sf_dir), YS)
-
-
-def split_ratio(spark, sf_dir):
-    out = segments.split_ratio(segments.split_totals(_census(spark, sf_dir), YS))
-    return out.withColumn(segments.RATIO, round6(segments.RATIO)).orderBy(
-        PERIOD, _desc(segments.RATIO), STATE
-    )
-
-
-def _rural_counts(c: DataFrame, name: str, private_only: bool = False) -> DataFrame:
-    cond = F.col(LOCATION) == F.lit(RURAL)
-    if private_only:
-        cond = cond & (F.col(MGMT_ID) == F.lit(PRIVATE_UNAIDED_ID))
-    return c.where(cond).groupBy(*YSD).agg(F.sum(TOTAL).alias(name))
-
-
-def top_rural(spark, sf_dir):
-    counts = _rural_counts(_census(spark, sf_dir), segments.RURAL_COUNT)
-    return ranking.top_n(counts, [_desc(segments.RURAL_COUNT), F.col(STATE), F.col(DISTRICT)],
-                         TOP_N, by=[PERIOD])
-
-
-def top_rural_per_state(spark, sf_dir):
-    counts = _rural_counts(_census(spark, sf_dir), segments.RURAL_COUNT)
-    return ranking.top_n(counts, [_desc(segments.RURAL_COUNT), F.col(DISTRICT)], TOP_N, by=YS)
-
-
-def top_private_rural(spark, sf_dir):
-    name = "Private_Rural_School_Count"
-    counts = _rural_counts(_census(spark, sf_dir), name, private_only=True)
-    return ranking.top_n(counts, [_desc(name), F.col(STATE), F.col(DISTRICT)], TOP_N, by=[PERIOD])
-
-
-def mgmt_mix(spark, sf_dir):
-    return segments.mix(_census(spark, sf_dir))
-
-
-def mgmt_share(spark, sf_dir):
-    out = segments.mix_share(segments.mix(_census(spark, sf_dir)))
-    return out.withColumn("Share_Pct", round6("Share_Pct"))
-
-
-# --- Q4: self-sustainability -------------------------------------------------
-
-
-def _sustain_districts(spark, sf_dir) -> DataFrame:
-    rows = scores.sustainability_rows(_census(spark, sf_dir))
-    return scores.district_score(rows, YSD, name=SUSTAIN, scale=100)
-
-
-def sustain_top10(spark, sf_dir):
-    d = _sustain_districts(spark, sf_dir).withColumn(SUSTAIN, round6(SUSTAIN))
-    return ranking.top_n(d, [_desc(SUSTAIN), F.col(STATE), F.col(DISTRICT)], TOP_N, by=[PERIOD])
-
-
-def sustain_state(spark, sf_dir):
-    s = scores.group_mean(_sustain_districts(spark, sf_dir), YS, SUSTAIN)
-    return s.withColumn(SUSTAIN, round6(SUSTAIN))
-
-
-def sustain_by_mgmt(spark, sf_dir):
-    """Score per (year, state, management id): the first stage of the sector
-    comparison, reported on its own (A13)."""
-    rows = scores.sustainability_rows(_census(spark, sf_dir))
-    s = scores.district_score(rows, [*YS, MGMT_ID], name=SUSTAIN, scale=100)
-    return s.withColumn(SUSTAIN, round6(SUSTAIN))
-
-
-def sector(spark, sf_dir):
-    rows = scores.sustainability_rows(_census(spark, sf_dir))
-    out = segments.sector_compare(rows, scores.ROW_SCORE, YS)
-    score_cols = [c for c in out.columns if c.endswith("_Score")]
-    return out.select(*YS, *[round6(c).alias(c) for c in score_cols])
-
-
-# --- Q2: accessibility, essential and advanced facilities --------------------
-
-
-def ramp(spark, sf_dir):
-    out = rates.rate_gap_of_rows(_census(spark, sf_dir), YS, "Ramps", RAMP_PCT)
-    return out.orderBy(PERIOD, _desc(RAMP_PCT), STATE)
-
-
-def essentials(spark, sf_dir):
-    return rates.rate_gap_of_sums(_census(spark, sf_dir), YS, ESSENTIALS)
-
-
-def essentials_district(spark, sf_dir):
-    return rates.rate_gap_of_sums(_census(spark, sf_dir), YSD, DISTRICT_FEATURES)
-
-
-def adv(spark, sf_dir):
-    return rates.rate_gap_of_sums(_census(spark, sf_dir), YS, ADVANCED)
-
-
-def library_complement(spark, sf_dir):
-    lib = rates.rate_gap_of_sums(_census(spark, sf_dir), YS, {LIBRARY: LIBRARY})
-    return rates.with_complement(lib, LIBRARY, "No_Library_Pct")
-
-
-# --- Q5: medical check-up ----------------------------------------------------
-
-
-def medical_lack(spark, sf_dir):
-    out = rates.lack_rate(_census(spark, sf_dir), YS, "Medical_Checkup", "No_Medical_Pct")
-    return rates.with_complement(out, "No_Medical_Pct", "Medical_Pct")
-
-
-def medical_complete_by_location(spark, sf_dir):
-    out = rates.have_rate(_census(spark, sf_dir), [PERIOD, LOCATION], "Complete_Medical_Checkup",
-                          "Complete_Medical_Pct")
-    return rates.with_complement(out, "Complete_Medical_Pct", "No_Complete_Medical_Pct")
-
-
-def medical_have(spark, sf_dir):
-    out = rates.have_rate(_census(spark, sf_dir), YS, "Medical_Checkup", "Medical_Available_Pct")
-    return rates.with_complement(out, "Medical_Available_Pct", "No_Medical_Available_Pct")
-
-
-# --- Q3: hygiene -------------------------------------------------------------
-
-
-def _hygiene_districts(spark, sf_dir) -> DataFrame:
-    rows = scores.hygiene_rows(_census(spark, sf_dir))
-    return scores.district_score(rows, YSD, name=HYGIENE)
-
-
-def hygiene_district(spark, sf_dir):
-    """Hygiene score of every district, unranked (A32)."""
-    return _hygiene_districts(spark, sf_dir).withColumn(HYGIENE, round6(HYGIENE))
-
-
-def hygiene_top10(spark, sf_dir):
-    d = _hygiene_districts(spark, sf_dir).withColumn(HYGIENE, round6(HYGIENE))
-    return ranking.top_n(d, [_desc(HYGIENE), F.col(STATE), F.col(DISTRICT)], TOP_N, by=[PERIOD])
-
-
-def hygiene_above_mean(spark, sf_dir):
-    d = _hygiene_districts(spark, sf_dir)
-    above = ranking.above_group_mean(d, HYGIENE, by=[PERIOD], mean_name="Mean_HygieneScore",
-                                     compare=round6)
-    return above.select(*YSD, round6(HYGIENE).alias(HYGIENE),
-                        round6("Mean_HygieneScore").alias("Mean_HygieneScore"))
-
-
-def box(spark, sf_dir):
-    # Statistics of the unrounded district scores, rounded on output only:
-    # quartiles and fences of 6-place inputs land exactly on half of the
-    # 7th place, where engines round differently.
-    out = distribution.box_stats(_hygiene_districts(spark, sf_dir), YS, HYGIENE)
-    dbl = ["Q1", "Median", "Q3", "Min", "Max", "IQR", "Lower_Fence", "Upper_Fence",
-           "Whisker_Low", "Whisker_High"]
-    return out.select(*YS, *[round6(c).alias(c) for c in dbl], "N", "Outliers")
-
-
-def _hygiene_state_raw(spark, sf_dir) -> DataFrame:
-    return scores.group_mean(_hygiene_districts(spark, sf_dir), YS, HYGIENE)
-
-
-def hygiene_state(spark, sf_dir):
-    return _hygiene_state_raw(spark, sf_dir).withColumn(HYGIENE, round6(HYGIENE)).orderBy(*YS)
-
-
-# --- Trends (one column per academic year) ----------------------------------
-
-
-def _trend(df: DataFrame, value: str) -> DataFrame:
-    return trends.wide_by_period(df, [STATE], PERIOD, value, PERIODS, complete_only=True)
-
-
-def trend_ramp(spark, sf_dir):
-    return _trend(rates.rate_gap_of_rows(_census(spark, sf_dir), YS, "Ramps", RAMP_PCT), RAMP_PCT)
-
-
-def trend_internet(spark, sf_dir):
-    return _trend(adv(spark, sf_dir), "Internet")
-
-
-def trend_hygiene(spark, sf_dir):
-    return _trend(hygiene_state(spark, sf_dir), HYGIENE)
-
-
-def trend_sustain(spark, sf_dir):
-    return _trend(sustain_state(spark, sf_dir), SUSTAIN)
-
-
-def trend_medical(spark, sf_dir):
-    return _trend(medical_have(spark, sf_dir), "Medical_Available_Pct")
-
-
-# --- Correlation with the outcome table -------------------------------------
-
-
-def outcome_long(spark, sf_dir):
-    return _stack_outcome(outcome_sheet(spark, sf_dir))
-
-
-def _district_aliases(spark, sf_dir) -> DataFrame:
+def district_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alias table (census spelling -> results spelling) derived from the
     nation table: ``NATION_7`` is written ``Nation 7`` in the results."""
     nation = storage.read_table(spark, f"{sf_dir.rstrip('/')}/nation.parquet")
@@ -272,120 +34,42 @@ def _district_aliases(spark, sf_dir) -> DataFrame:
     )
 
 
-def _with_key(df: DataFrame, spark, sf_dir) -> DataFrame:
-    keyed = df.withColumn(KEY, normalize_key(DISTRICT))
-    return apply_aliases(keyed, KEY, _district_aliases(spark, sf_dir), mode="exact")
-
-
-def aliases(spark, sf_dir):
-    names = _census(spark, sf_dir).select(STATE, DISTRICT).distinct()
-    return _with_key(names, spark, sf_dir)
-
+def outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long outcome table straight from its aggregation (the sheet layout
+    of ``outcome_long`` stacks back to exactly these rows)."""
+    return outcome_by_district(spark, sf_dir)
 
-def _outcome_keyed(spark, sf_dir) -> DataFrame:
-    # The long outcome table straight from its aggregation (the sheet layout
-    # of ``outcome_long`` stacks back to exactly these rows).
-    out = outcome_by_district(spark, sf_dir)
-    return out.withColumn(DISTRICT, normalize_key(DISTRICT))
 
-
-def _joined_outcome(features: DataFrame, spark, sf_dir) -> DataFrame:
-    keyed = _with_key(features, spark, sf_dir)
-    return correlate.join_outcome(keyed, _outcome_keyed(spark, sf_dir), KEY, DISTRICT, PERIOD, EXAM_YEAR)
-
-
-def corr(spark, sf_dir):
-    feats = essentials_district(spark, sf_dir)
-    joined = _joined_outcome(feats, spark, sf_dir)
-    out = correlate.feature_correlations(joined, [PERIOD], list(DISTRICT_FEATURES), PASS_PCT)
-    return out.withColumn(correlate.CORRELATION, round6(correlate.CORRELATION))
-
-
-def corr_extremes(spark, sf_dir):
-    return correlate.extremes(corr(spark, sf_dir), list(DISTRICT_FEATURES), PERIOD, PERIODS)
-
-
-def corr_hygiene(spark, sf_dir):
-    joined = _joined_outcome(_hygiene_districts(spark, sf_dir), spark, sf_dir)
-    out = correlate.feature_correlations(joined, [PERIOD], [HYGIENE], PASS_PCT)
-    return out.withColumn(correlate.CORRELATION, round6(correlate.CORRELATION))
-
-
-def fit_line(spark, sf_dir):
-    """Least-squares lines of pass % on library availability and on the
-    hygiene score, per year. Both district features come from one
-    aggregation of the census (same keys), joined once to the outcome."""
-    rows = scores.hygiene_rows(_census(spark, sf_dir))
-    per_district = rows.groupBy(*YSD).agg(
-        F.sum(TOTAL).alias("_t"),
-        F.sum(LIBRARY).alias("_lib"),
-        F.avg(scores.ROW_SCORE).alias(HYGIENE),
-    )
-    feats = per_district.select(*YSD, pct_gap_of_sums("_t", "_lib").alias(LIBRARY), HYGIENE)
-    joined = _joined_outcome(feats, spark, sf_dir)
-    fits = correlate.fit_lines(joined, [PERIOD], [LIBRARY, HYGIENE], PASS_PCT)
-    return fits.select(PERIOD, correlate.FEATURE,
-                       *[round6(c).alias(c) for c in ("Slope", "Intercept", "R2")], "N")
+def outcome_long(spark, sf_dir):
+    """The results-sheet layout built from the driver tables, stacked back to
+    one row per (district, exam year)."""
+    return _stack_outcome(outcome_sheet(spark, sf_dir))
 
 
-# --- Data quality ------------------------------------------------------------
+def _bind_census(fn):
+    def run(spark, sf_dir):
+        return fn(census(spark, sf_dir))
 
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
 
-def quality_compare(spark, sf_dir):
-    """Accessibility rate in the gap-of-sums form (expected) against the
-    gap-of-rows form (observed): they differ where null ramp counts drop rows
-    out of the gap but not out of the total."""
-    forms = rates.rate_forms(_census(spark, sf_dir), YS, "Ramps")
-    # Both forms come from one aggregation of the census (one scan).
-    return quality.compare_columns(forms, YS, "Gap_Of_Sums_Pct", "Gap_Of_Rows_Pct", tol=0.0)
 
+def _bind_outcome(fn):
+    def run(spark, sf_dir):
+        return fn(census(spark, sf_dir), outcome(spark, sf_dir),
+                  census_aliases=district_aliases(spark, sf_dir))
 
-def quality_summary(spark, sf_dir):
-    return quality.summarize(quality_compare(spark, sf_dir), [PERIOD])
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
 
 
-def quality_spread(spark, sf_dir):
-    counts = _rural_counts(_census(spark, sf_dir), segments.RURAL_COUNT)
-    return quality.spread_below(counts, YS, segments.RURAL_COUNT, limit=2)
+def aliases(spark, sf_dir):
+    return study.aliases(census(spark, sf_dir), census_aliases=district_aliases(spark, sf_dir))
 
 
-QUERIES = {
-    "split": split,
-    "split_ratio": split_ratio,
-    "top_rural": top_rural,
-    "top_rural_per_state": top_rural_per_state,
-    "top_private_rural": top_private_rural,
-    "mgmt_mix": mgmt_mix,
-    "mgmt_share": mgmt_share,
-    "sustain_top10": sustain_top10,
-    "sustain_state": sustain_state,
-    "sustain_by_mgmt": sustain_by_mgmt,
-    "sector": sector,
-    "ramp": ramp,
-    "essentials": essentials,
-    "essentials_district": essentials_district,
-    "adv": adv,
-    "medical_lack": medical_lack,
-    "medical_complete_by_location": medical_complete_by_location,
-    "medical_have": medical_have,
-    "library_complement": library_complement,
-    "hygiene_district": hygiene_district,
-    "hygiene_top10": hygiene_top10,
-    "hygiene_above_mean": hygiene_above_mean,
-    "box": box,
-    "hygiene_state": hygiene_state,
-    "trend_ramp": trend_ramp,
-    "trend_internet": trend_internet,
-    "trend_hygiene": trend_hygiene,
-    "trend_sustain": trend_sustain,
-    "trend_medical": trend_medical,
-    "outcome_long": outcome_long,
-    "aliases": aliases,
-    "corr": corr,
-    "corr_extremes": corr_extremes,
-    "corr_hygiene": corr_hygiene,
-    "fit_line": fit_line,
-    "quality_compare": quality_compare,
-    "quality_summary": quality_summary,
-    "quality_spread": quality_spread,
-}
+QUERIES = {name: _bind_census(fn) for name, fn in study.CENSUS_ANALYSES.items()}
+QUERIES["outcome_long"] = outcome_long
+QUERIES["aliases"] = aliases
+QUERIES.update({name: _bind_outcome(fn) for name, fn in study.OUTCOME_ANALYSES.items()})

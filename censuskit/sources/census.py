@@ -52,7 +52,9 @@ def read_census_csv(spark: SparkSession, base_path: str, null_policy: str = "kee
     picked by header name and cast with ``try_cast``, and the folders are
     combined with ``unionByName``. The folder list comes from one file-system
     glob; its length is the number of exports, not the data size.
-    ``Academic_Year`` falls back to the year folder name.
+    ``Academic_Year`` and ``State_Name`` fall back to the folder names
+    (``<year>/<state>`` or ``Academic_Year=<year>/State_Name=<state>``) when
+    the files do not carry them.
     """
     base = base_path.rstrip("/")
     folders = storage.glob_dirs(spark, f"{base}/*/*")
@@ -60,13 +62,14 @@ def read_census_csv(spark: SparkSession, base_path: str, null_policy: str = "kee
         raise FileNotFoundError(f"no <year>/<state> folders under {base}")
     parts = []
     for folder in folders:
-        year = folder.rstrip("/").split("/")[-2]
+        year_dir, state_dir = [_folder_value(x) for x in folder.rstrip("/").split("/")[-2:]]
         raw = spark.read.option("header", True).option("inferSchema", False).csv(f"{folder}/*.csv")
         cols = []
         for field in CENSUS_SCHEMA.fields:
-            if field.name == PERIOD:
-                src = F.col(PERIOD) if PERIOD in raw.columns else F.lit(None).cast("string")
-                cols.append(F.coalesce(src, F.lit(year)).alias(PERIOD))
+            if field.name in (PERIOD, STATE):
+                from_dir = year_dir if field.name == PERIOD else state_dir
+                src = F.col(field.name) if field.name in raw.columns else F.lit(None).cast("string")
+                cols.append(F.coalesce(src, F.lit(from_dir)).alias(field.name))
             elif field.name in raw.columns:
                 cols.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
             else:
@@ -78,6 +81,11 @@ def read_census_csv(spark: SparkSession, base_path: str, null_policy: str = "kee
     return apply_null_policy(df, null_policy)
 
 
+def _folder_value(name: str) -> str:
+    """Folder name as a value: ``2019_2020`` or ``Academic_Year=2019_2020``."""
+    return name.split("=", 1)[1] if "=" in name else name
+
+
 def apply_null_policy(df: DataFrame, null_policy: str = "keep") -> DataFrame:
     """``keep`` leaves null measures in place (the observed behaviour);
     ``zero`` replaces them with 0 (the documented intent)."""
