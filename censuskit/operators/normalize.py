@@ -72,12 +72,15 @@ def apply_aliases(df: DataFrame, column: str, aliases, mode: str = "exact",
     return df.withColumn(out, c if expr is None else expr.otherwise(c))
 
 
-def stack_lists(df: DataFrame, pairs, name_out: str, label_out: str, value_out: str) -> DataFrame:
+def stack_lists(df: DataFrame, pairs, name_out: str, label_out: str, value_out: str,
+                complete_only: bool = False) -> DataFrame:
     """Side-by-side (name, value) column pairs to one long table.
 
     ``pairs`` holds (name column, value column, label). Names are lower-cased,
     values cast to double with ``try_cast``; rows of shorter lists (null name)
     are dropped. One projection per pair, combined with ``unionByName``.
+    ``complete_only`` keeps only names present in every list (the study
+    joined the lists inner); a grouped count joined back, one row per name.
     """
     parts = []
     for name_col, value_col, label in pairs:
@@ -91,4 +94,8 @@ def stack_lists(df: DataFrame, pairs, name_out: str, label_out: str, value_out:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    if complete_only:
+        full = (out.groupBy(name_out).agg(F.countDistinct(label_out).alias("_n"))
+                .where(F.col("_n") == F.lit(len(pairs))).select(name_out))
+        out = out.join(full, name_out, "left_semi")
     return out

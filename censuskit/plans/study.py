@@ -268,22 +268,25 @@ def _joined_outcome(features: DataFrame, outcome: DataFrame, census_aliases=None
     return correlate.join_outcome(left, right, KEY, KEY, PERIOD, EXAM_YEAR)
 
 
-def corr(census: DataFrame, outcome: DataFrame, census_aliases=None, outcome_aliases=None) -> DataFrame:
+def corr(census: DataFrame, outcome: DataFrame, census_aliases=None, outcome_aliases=None,
+         null_policy: str = "skip") -> DataFrame:
+    """Correlation of each district feature with the pass percentage, per
+    year (``null_policy="zero"`` reproduces ``stat.corr`` on Spark 4.1)."""
     joined = _joined_outcome(essentials_district(census), outcome, census_aliases, outcome_aliases)
-    out = correlate.feature_correlations(joined, [PERIOD], list(DISTRICT_FEATURES), PASS_PCT)
+    out = correlate.feature_correlations(joined, [PERIOD], list(DISTRICT_FEATURES), PASS_PCT, null_policy)
     return out.withColumn(correlate.CORRELATION, round6(correlate.CORRELATION))
 
 
 def corr_extremes(census: DataFrame, outcome: DataFrame, census_aliases=None,
-                  outcome_aliases=None, periods=None) -> DataFrame:
-    c = corr(census, outcome, census_aliases, outcome_aliases)
+                  outcome_aliases=None, periods=None, null_policy: str = "skip") -> DataFrame:
+    c = corr(census, outcome, census_aliases, outcome_aliases, null_policy)
     return correlate.extremes(c, list(DISTRICT_FEATURES), PERIOD, periods or PERIODS)
 
 
 def corr_hygiene(census: DataFrame, outcome: DataFrame, census_aliases=None,
-                 outcome_aliases=None) -> DataFrame:
+                 outcome_aliases=None, null_policy: str = "skip") -> DataFrame:
     joined = _joined_outcome(_hygiene_districts(census), outcome, census_aliases, outcome_aliases)
-    out = correlate.feature_correlations(joined, [PERIOD], [HYGIENE], PASS_PCT)
+    out = correlate.feature_correlations(joined, [PERIOD], [HYGIENE], PASS_PCT, null_policy)
     return out.withColumn(correlate.CORRELATION, round6(correlate.CORRELATION))
 
 

@@ -93,8 +93,11 @@ def outcome_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.groupBy("_pos").agg(*aggs).drop("_pos")
 
 
-def outcome_long(sheet: DataFrame, pairs=None) -> DataFrame:
+def outcome_long(sheet: DataFrame, pairs=None, complete_only: bool = False) -> DataFrame:
     """One row per (district, exam year) from a results sheet; district names
-    are lower-cased, values cast to double (a malformed value becomes null)."""
+    are lower-cased, values cast to double (a malformed value becomes null).
+    ``complete_only`` keeps districts listed in every year, as the study's
+    inner join of the yearly lists did."""
     pairs = pairs or [(n, v, v) for n, v in SHEET_PAIRS]
-    return stack_lists(sheet, pairs, name_out=DISTRICT, label_out=EXAM_YEAR, value_out=PASS_PCT)
+    return stack_lists(sheet, pairs, name_out=DISTRICT, label_out=EXAM_YEAR, value_out=PASS_PCT,
+                       complete_only=complete_only)

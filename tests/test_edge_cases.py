@@ -65,6 +65,11 @@ def test_d12_correlation_null_pairs_and_constant(spark):
     assert df.select(pearson("x", "y")).collect()[0][0] == pytest.approx(0.979864, abs=1e-6)
     zero = df.na.fill(0.0)
     assert zero.select(pearson("x", "y")).collect()[0][0] == pytest.approx(0.277350, abs=1e-6)
+    grouped = df.withColumn("g", F.lit(1))
+    skip = correlate.feature_correlations(grouped, ["g"], ["x"], "y").collect()[0]["Correlation"]
+    zero = correlate.feature_correlations(grouped, ["g"], ["x"], "y", null_policy="zero").collect()[0]
+    assert skip == pytest.approx(0.979864, abs=1e-6)
+    assert zero["Correlation"] == pytest.approx(0.277350, abs=1e-6)
     const = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double")
     assert const.select(pearson("x", "y")).collect()[0][0] is None
     fit = correlate.fit_line(const.withColumn("g", F.lit(1)), ["g"], "x", "y").collect()[0]
@@ -103,6 +108,9 @@ def test_stack_lists_and_csv_sheet(spark, tmp_path):
     got = rows(long, "District_Name", "Exam_Year", "Pass_Pct")
     assert got == [("bagalkot", "2017", 70.5), ("bagalkot", "2018", 71.0), ("bidar", "2017", 55.25),
                    ("bidar", "2018", None), ("bidar", "2019", 60.0)]
+    # The study joined the yearly lists inner: bagalkot lacks 2019.
+    complete = rows(outcome.outcome_long(sheet, complete_only=True), "District_Name", "Exam_Year")
+    assert complete == [("bidar", "2017"), ("bidar", "2018"), ("bidar", "2019")]
 
 
 def test_box_stats_exact_and_approx(spark):
