@@ -1,6 +1,7 @@
 """Reference-style validation: fixtures with hand-computed answers (FIXTURES.md)."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from censuskit.operators import quality, ranking, rates, scores, segments
@@ -29,7 +30,7 @@ def test_f1_split_shares(spark, f1):
     )
     observed = (
         f1.groupBy(STATE, LOCATION).agg(F.sum(TOTAL).alias("n"))
-        .withColumn("share", F.col("n") / F.sum("n").over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy(STATE)))
+        .withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(STATE)))
     )
     checked = quality.compare(expected, observed, [STATE, LOCATION], "share", tol=1e-12)
     summary = quality.summarize(checked).collect()[0]
