@@ -49,17 +49,18 @@ def main() -> None:
 
     from pyspark.sql import SparkSession
 
+    from censuskit import session
+
+    input_bytes = sum(
+        os.path.getsize(os.path.join(sf_dir, f)) for f in os.listdir(sf_dir) if f.endswith(".parquet")
+    ) if os.path.isdir(sf_dir) else 0
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("censuskit-bench")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(max(8, int(cpus) * 2)))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     )
-    spark = builder.getOrCreate()
+    spark = session.apply(builder, input_bytes, int(cpus)).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-ckpt-"))
