@@ -16,7 +16,7 @@ from censuskit.operators.normalize import ALIAS_FROM, ALIAS_TO, normalize_key
 from censuskit.plans import study
 from censuskit.sources import storage
 from censuskit.sources.census import census_table
-from censuskit.sources.outcome import outcome_by_district, outcome_sheet
+from censuskit.sources.outcome import outcome_sheet, outcome_table
 from censuskit.sources.outcome import outcome_long as _stack_outcome
 
 
@@ -35,15 +35,15 @@ def district_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long outcome table straight from its aggregation (the sheet layout
-    of ``outcome_long`` stacks back to exactly these rows)."""
-    return outcome_by_district(spark, sf_dir)
+    """The long outcome table (materialised once per session; the sheet
+    layout of ``outcome_long`` stacks back to exactly these rows)."""
+    return outcome_table(spark, sf_dir)
 
 
 def outcome_long(spark, sf_dir):
     """The results-sheet layout built from the driver tables, stacked back to
     one row per (district, exam year)."""
-    return _stack_outcome(outcome_sheet(spark, sf_dir))
+    return _stack_outcome(outcome_sheet(spark, sf_dir, long=outcome_table(spark, sf_dir)))
 
 
 def _bind_census(fn):

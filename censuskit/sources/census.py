@@ -14,8 +14,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -285,39 +283,20 @@ def derived_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SESSION_TABLES: dict[tuple[int, str], tuple[str, DataFrame]] = {}
-_BUILD_LOCK = threading.Lock()
-
-
 def census_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived census, materialised once per session under the
     checkpoint folder (shared storage on a cluster) and read back.
 
     Cuts the five-table join out of every downstream query's lineage: each
-    query becomes one pruned Parquet scan plus its own aggregation, and a lost
-    executor re-reads files instead of recomputing the joins. The folder name
-    carries a digest of the inputs (length and modification time) and of the
-    derivation version, so a changed input is never served stale data; the
-    read-back DataFrame is reused for the rest of the session.
+    query becomes one pruned Parquet scan plus its own aggregation.
     """
     d = sf_dir.rstrip("/")
-    key = (id(spark.sparkContext), d)
-    hit = _SESSION_TABLES.get(key)
-    if hit is not None and storage.path_exists(spark, f"{hit[0]}/_SUCCESS"):
-        return hit[1]
-    with _BUILD_LOCK:  # concurrent queries of one driver build it once
-        hit = _SESSION_TABLES.get(key)
-        if hit is not None and storage.path_exists(spark, f"{hit[0]}/_SUCCESS"):
-            return hit[1]
-        return _materialise(spark, d, key)
-
-
-def _materialise(spark: SparkSession, d: str, key) -> DataFrame:
-    finger = storage.content_fingerprint(spark, [f"{d}/{t}.parquet" for t in _INPUTS])
-    digest = hashlib.sha1(f"{DERIVATION_VERSION}|{d}|{finger}".encode()).hexdigest()[:16]
-    path = f"{storage.checkpoint_root(spark).rstrip('/')}/censuskit/census-{digest}"
-    if not storage.path_exists(spark, f"{path}/_SUCCESS"):
-        write_census(derived_census(spark, d), path)
-    df = read_census(spark, path)
-    _SESSION_TABLES[key] = (path, df)
-    return df
+    return storage.materialize(
+        spark,
+        "census",
+        [f"{d}/{t}.parquet" for t in _INPUTS],
+        DERIVATION_VERSION,
+        build=lambda: derived_census(spark, d),
+        write=write_census,
+        read=lambda path: read_census(spark, path),
+    )

@@ -28,6 +28,7 @@ PASS_PCT = "Pass_Pct"
 # Column pairs of the results sheet (district column, value
 # column); the value column name is the exam year.
 SHEET_PAIRS = [("Districts1", "2017"), ("Districts2", "2018"), ("Districts3", "2019")]
+OUTCOME_VERSION = "1"
 # Scale of the pass percentage derived from order prices.
 PRICE_PER_PASS_POINT = 5000.0
 
@@ -75,14 +76,30 @@ def outcome_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def outcome_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outcome_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``outcome_by_district`` materialised once per session (it feeds every
+    correlation query)."""
+    d = sf_dir.rstrip("/")
+    return storage.materialize(
+        spark,
+        "outcome",
+        [f"{d}/{t}.parquet" for t in ("orders", "customer", "nation")],
+        OUTCOME_VERSION,
+        build=lambda: outcome_by_district(spark, d),
+        write=lambda df, path: df.write.mode("overwrite").parquet(path),
+        read=lambda path: spark.read.parquet(path),
+    )
+
+
+def outcome_sheet(spark: SparkSession, sf_dir: str, long: DataFrame | None = None) -> DataFrame:
     """The results-sheet layout: for each exam year a list of (district,
     pass %) sorted by district, the lists placed side by side by position.
 
     The window is partitioned by year over per-district rows, so each window
     group is bounded by the number of districts, not by the data size.
     """
-    long = outcome_by_district(spark, sf_dir)
+    if long is None:
+        long = outcome_by_district(spark, sf_dir)
     pos = F.row_number().over(Window.partitionBy(EXAM_YEAR).orderBy(DISTRICT, PASS_PCT))
     ranked = long.withColumn("_pos", pos)
     aggs = []

@@ -7,7 +7,9 @@ setting is absent (local tests) do we pick a scratch folder ourselves.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -91,3 +93,36 @@ def broadcast_or_shuffle(df, max_rows: int, rows: int):
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if rows <= max_rows else df.hint("merge")
+
+
+_MATERIALISED: dict[tuple, tuple[str, object]] = {}
+_MATERIALISE_LOCK = threading.Lock()
+
+
+def materialize(spark: SparkSession, name: str, inputs: list[str], version: str, build, write, read):
+    """A derived table written once per session under the checkpoint folder
+    and read back (lineage cut: a lost executor re-reads files instead of
+    recomputing the derivation).
+
+    The folder name carries a digest of the inputs (length and modification
+    time) and of ``version``, so changed inputs are never served stale data.
+    ``build()`` returns the DataFrame, ``write(df, path)`` stores it,
+    ``read(path)`` loads it; the loaded DataFrame is reused for the session.
+    Concurrent callers in one driver build it once.
+    """
+    key = (id(spark.sparkContext), name, tuple(inputs))
+    hit = _MATERIALISED.get(key)
+    if hit is not None and path_exists(spark, f"{hit[0]}/_SUCCESS"):
+        return hit[1]
+    with _MATERIALISE_LOCK:
+        hit = _MATERIALISED.get(key)
+        if hit is not None and path_exists(spark, f"{hit[0]}/_SUCCESS"):
+            return hit[1]
+        finger = content_fingerprint(spark, inputs)
+        digest = hashlib.sha1(f"{version}|{name}|{finger}".encode()).hexdigest()[:16]
+        path = f"{checkpoint_root(spark).rstrip('/')}/censuskit/{name}-{digest}"
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            write(build(), path)
+        df = read(path)
+        _MATERIALISED[key] = (path, df)
+        return df
