@@ -73,3 +73,12 @@ def test_census_rows_are_aggregated_before_any_shuffle(spark, name):
         assert _raw_census_shuffles(plan) == []
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def test_year_filter_prunes_census_folders(spark):
+    from censuskit.plans import catalog, study
+
+    one_year = catalog.census(spark, SF001).where("Academic_Year = '2019_2020'")
+    plan = _plan(study.essentials(one_year))
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    assert "PartitionFilters: [isnotnull(Academic_Year" in scan and "2019_2020" in scan
