@@ -55,7 +55,7 @@ def read_census_csv(spark: SparkSession, base_path: str, null_policy: str = "kee
     the files do not carry them.
     """
     base = base_path.rstrip("/")
-    folders = storage.glob_dirs(spark, f"{base}/*/*")
+    folders = storage.glob_parents(spark, f"{base}/*/*/*.csv")
     if not folders:
         raise FileNotFoundError(f"no <year>/<state> folders under {base}")
     parts = []

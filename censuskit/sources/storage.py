@@ -34,11 +34,12 @@ def _fs_and_path(spark: SparkSession, path: str):
     return fs, hpath
 
 
-def glob_dirs(spark: SparkSession, pattern: str) -> list[str]:
-    """Directories matching a file-system glob, sorted."""
+def glob_parents(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders holding at least one file that matches a file-system glob,
+    sorted (one listing; its size is the number of files, not the data)."""
     fs, hpath = _fs_and_path(spark, pattern)
     found = fs.globStatus(hpath) or []
-    return sorted(str(st.getPath().toString()) for st in found if st.isDirectory())
+    return sorted({str(st.getPath().getParent().toString()) for st in found if st.isFile()})
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

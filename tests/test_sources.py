@@ -19,6 +19,7 @@ def test_csv_layout_by_name(spark, tmp_path):
         vals = {"State_Name": state, "District_Name": "x", "Location": "Rural",
                 "Total_Number_of_Schools": "10", "Ramps": "4", "Building": "9"}
         (d / "part.csv").write_text(",".join(cols) + "\n" + ",".join(vals[c] for c in cols) + "\n")
+    os.makedirs(base / "2019_2020" / "Empty")  # a folder without files is skipped
     df = census.read_census_csv(spark, str(base))
     assert df.columns == CENSUS_COLUMNS
     assert rows(df, STATE, PERIOD, TOTAL, "Ramps") == [("Karnataka", "2019_2020", 10, 4), ("Kerala", "2018_2019", 10, 4)]
