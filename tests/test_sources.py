@@ -11,7 +11,7 @@ from tests.conftest import SF001, rows
 
 
 def test_csv_layout_by_name(spark, tmp_path):
-    base = tmp_path / "SouthDistricts"
+    base = tmp_path / "census_csv"
     for year, state, order in [("2018_2019", "Kerala", 1), ("2019_2020", "Karnataka", -1)]:
         d = base / year / state
         os.makedirs(d)

@@ -10,7 +10,7 @@ from tests.conftest import SF001, rows
 
 
 def test_csv_census_gives_same_results(spark, tmp_path):
-    base = str(tmp_path / "SouthDistricts")
+    base = str(tmp_path / "census_csv")
     census_table(spark, SF001).write.partitionBy("Academic_Year", "State_Name").option("header", True).csv(base)
     from_csv = study.prepare(read_census_csv(spark, base))
     from_parquet = catalog.census(spark, SF001)
