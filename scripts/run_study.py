@@ -20,7 +20,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def run(spark, census_path: str, out: str, outcome_path: str | None = None, fmt: str = "parquet",
-        census_format: str = "csv", only=None) -> list[str]:
+        census_format: str = "csv", only=None, corr_nulls: str = "skip",
+        complete_outcome: bool = False) -> list[str]:
     from censuskit.operators.normalize import EXAM_DISTRICT_ALIASES
     from censuskit.plans import study
     from censuskit.sources.census import read_census, read_census_csv
@@ -30,9 +31,10 @@ def run(spark, census_path: str, out: str, outcome_path: str | None = None, fmt:
     census = study.prepare(raw)
     results = {name: fn(census) for name, fn in study.CENSUS_ANALYSES.items()}
     if outcome_path:
-        outcome = outcome_long(read_outcome_csv(spark, outcome_path))
+        outcome = outcome_long(read_outcome_csv(spark, outcome_path), complete_only=complete_outcome)
         for name, fn in study.OUTCOME_ANALYSES.items():
-            results[name] = fn(census, outcome, outcome_aliases=EXAM_DISTRICT_ALIASES)
+            kw = {"null_policy": corr_nulls} if name != "fit_line" else {}
+            results[name] = fn(census, outcome, outcome_aliases=EXAM_DISTRICT_ALIASES, **kw)
     written = []
     for name, df in results.items():
         if only and name not in only:
@@ -49,6 +51,10 @@ def main() -> None:
     ap.add_argument("--outcome", help="results sheet (CSV)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
+    ap.add_argument("--corr-nulls", default="skip", choices=["skip", "zero"],
+                    help="zero: a missing value counts as 0 in correlations (the study's numbers)")
+    ap.add_argument("--complete-outcome", action="store_true",
+                    help="keep only districts listed in every exam year (the study's inner join)")
     args = ap.parse_args()
     if not (args.census or args.census_parquet):
         ap.error("one of --census or --census-parquet is required")
@@ -57,7 +63,8 @@ def main() -> None:
 
     spark = SparkSession.builder.appName("censuskit-study").getOrCreate()
     names = run(spark, args.census or args.census_parquet, args.out, args.outcome, args.format,
-                "csv" if args.census else "parquet")
+                "csv" if args.census else "parquet", corr_nulls=args.corr_nulls,
+                complete_outcome=args.complete_outcome)
     print(f"wrote {len(names)} results under {args.out}")
     spark.stop()
 
