@@ -11,52 +11,75 @@ import hashlib
 import tempfile
 import threading
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a Spark Connect client has no SparkContext
+        return None
+
+
+def session_key(spark: SparkSession):
+    """Identity of the running application, for per-session memos."""
+    sc = _context(spark)
+    return id(sc) if sc is not None else id(spark)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    sc = _context(spark)
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             # Unset: local run (tests). Never reached on a configured cluster.
             root = tempfile.mkdtemp(prefix="censuskit-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root
 
 
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, hpath
+def _listing(spark: SparkSession, *paths: str, recursive: bool = False) -> DataFrame:
+    """File metadata (path, length, modification time) through the public
+    ``binaryFile`` source; file contents are not read unless selected."""
+    reader = spark.read.format("binaryFile")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    return reader.load(list(paths)).select("path", "length", "modificationTime")
 
 
 def glob_parents(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders holding at least one file that matches a file-system glob,
-    sorted (one listing; its size is the number of files, not the data)."""
-    fs, hpath = _fs_and_path(spark, pattern)
-    found = fs.globStatus(hpath) or []
-    return sorted({str(st.getPath().getParent().toString()) for st in found if st.isFile()})
+    """Folders holding at least one file that matches a glob, sorted (the
+    listing has one row per file, not per record)."""
+    try:
+        paths = [r[0] for r in _listing(spark, pattern).select("path").collect()]
+    except AnalysisException:
+        return []
+    return sorted({p.rsplit("/", 1)[0] for p in paths})
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _fs_and_path(spark, path)
-    return bool(fs.exists(hpath))
+    """Whether ``path`` exists (resolving the source lists it; no job runs)."""
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException:
+        return False
 
 
 def content_fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """Length and modification time of each input (file or directory), so a
-    materialised table is rebuilt when its inputs change."""
-    parts = []
-    for p in paths:
-        fs, hpath = _fs_and_path(spark, p)
-        st = fs.getFileStatus(hpath)
-        length = fs.getContentSummary(hpath).getLength()
-        parts.append(f"{p}:{length}:{st.getModificationTime()}")
-    return "|".join(parts)
+    """Digest of the length and modification time of every file under the
+    inputs (one listing job), so a materialised table is rebuilt when its
+    inputs change."""
+    rows = sorted(tuple(r) for r in _listing(spark, *paths, recursive=True).collect())
+    h = hashlib.sha1("|".join(paths).encode())
+    for path, length, mtime in rows:
+        h.update(f"{path}:{length}:{mtime}".encode())
+    return h.hexdigest()
 
 
 _ROW_COUNTS: dict[tuple[int, str], int] = {}
@@ -67,7 +90,7 @@ def read_table(spark: SparkSession, path: str):
     """``spark.read.parquet(path)`` memoised per session, for read-only input
     tables: the file listing and footer (schema) reads happen once, not in
     every query that is built on the table."""
-    key = (id(spark.sparkContext), path)
+    key = (session_key(spark), path)
     df = _TABLES.get(key)
     if df is None:
         df = spark.read.parquet(path)
@@ -78,7 +101,7 @@ def read_table(spark: SparkSession, path: str):
 def table_rows(spark: SparkSession, path: str) -> int:
     """Row count of a Parquet table, memoised per session (answered from
     file footers, so it is cheap even for large tables)."""
-    key = (id(spark.sparkContext), path)
+    key = (session_key(spark), path)
     n = _ROW_COUNTS.get(key)
     if n is None:
         n = read_table(spark, path).count()
@@ -91,8 +114,6 @@ def broadcast_or_shuffle(df, max_rows: int, rows: int):
     from ``table_rows`` of its base table) is at most ``max_rows``; otherwise
     hint a shuffled sort-merge join so that the other, larger side is never
     broadcast in its place."""
-    from pyspark.sql import functions as F
-
     return F.broadcast(df) if rows <= max_rows else df.hint("merge")
 
 
@@ -111,13 +132,13 @@ def materialize(spark: SparkSession, name: str, inputs: list[str], version: str,
     ``read(path)`` loads it; the loaded DataFrame is reused for the session.
     Concurrent callers in one driver build it once.
     """
-    key = (id(spark.sparkContext), name, tuple(inputs))
+    key = (session_key(spark), name, tuple(inputs))
     hit = _MATERIALISED.get(key)
-    if hit is not None and path_exists(spark, f"{hit[0]}/_SUCCESS"):
+    if hit is not None:  # written by this application into its own folder
         return hit[1]
     with _MATERIALISE_LOCK:
         hit = _MATERIALISED.get(key)
-        if hit is not None and path_exists(spark, f"{hit[0]}/_SUCCESS"):
+        if hit is not None:
             return hit[1]
         finger = content_fingerprint(spark, inputs)
         digest = hashlib.sha1(f"{version}|{name}|{finger}".encode()).hexdigest()[:16]
