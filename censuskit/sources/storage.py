@@ -126,8 +126,10 @@ def materialize(spark: SparkSession, name: str, inputs: list[str], version: str,
     and read back (lineage cut: a lost executor re-reads files instead of
     recomputing the derivation).
 
-    The folder name carries a digest of the inputs (length and modification
-    time) and of ``version``, so changed inputs are never served stale data.
+    The folder name carries a digest of ``version`` and of the inputs (their
+    paths under an application-specific checkpoint root; their lengths and
+    modification times under a shared one), so changed inputs are never served
+    stale data.
     ``build()`` returns the DataFrame, ``write(df, path)`` stores it,
     ``read(path)`` loads it; the loaded DataFrame is reused for the session.
     Concurrent callers in one driver build it once.
@@ -140,7 +142,13 @@ def materialize(spark: SparkSession, name: str, inputs: list[str], version: str,
         hit = _MATERIALISED.get(key)
         if hit is not None:
             return hit[1]
-        finger = content_fingerprint(spark, inputs)
+        if _context(spark) is not None:
+            # The checkpoint root is application-specific (Spark adds a UUID
+            # folder), and inputs are read-only for the application's life.
+            finger = "|".join(inputs)
+        else:
+            # Shared root (no SparkContext): key on the inputs' content.
+            finger = content_fingerprint(spark, inputs)
         digest = hashlib.sha1(f"{version}|{name}|{finger}".encode()).hexdigest()[:16]
         path = f"{checkpoint_root(spark).rstrip('/')}/censuskit/{name}-{digest}"
         if not path_exists(spark, f"{path}/_SUCCESS"):
