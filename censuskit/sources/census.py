@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from censuskit.schema import (
     CENSUS_COLUMNS,
@@ -62,14 +63,19 @@ def read_census_csv(spark: SparkSession, base_path: str, null_policy: str = "kee
     for folder in folders:
         year_dir, state_dir = [_folder_value(x) for x in folder.rstrip("/").split("/")[-2:]]
         raw = spark.read.option("header", True).option("inferSchema", False).csv(f"{folder}/*.csv")
+        # Header names matched ignoring case and surrounding blanks.
+        by_name = {c.strip().lower(): c for c in raw.columns}
         cols = []
         for field in CENSUS_SCHEMA.fields:
+            found = by_name.get(field.name.lower())
+            src = F.col(f"`{found}`") if found is not None else None
             if field.name in (PERIOD, STATE):
                 from_dir = year_dir if field.name == PERIOD else state_dir
-                src = F.col(field.name) if field.name in raw.columns else F.lit(None).cast("string")
-                cols.append(F.coalesce(src, F.lit(from_dir)).alias(field.name))
-            elif field.name in raw.columns:
-                cols.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
+                src = src if src is not None else F.lit(None).cast("string")
+                cols.append(F.coalesce(F.trim(src), F.lit(from_dir)).alias(field.name))
+            elif src is not None:
+                value = F.trim(src) if isinstance(field.dataType, T.StringType) else src
+                cols.append(value.try_cast(field.dataType).alias(field.name))
             else:
                 cols.append(F.lit(None).cast(field.dataType).alias(field.name))
         parts.append(raw.select(*cols))

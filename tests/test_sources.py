@@ -15,14 +15,15 @@ def test_csv_layout_by_name(spark, tmp_path):
     for year, state, order in [("2018_2019", "Kerala", 1), ("2019_2020", "Karnataka", -1)]:
         d = base / year / state
         os.makedirs(d)
-        cols = ["State_Name", "District_Name", "Location", "Total_Number_of_Schools", "Ramps", "Building"][::order]
-        vals = {"State_Name": state, "District_Name": "x", "Location": "Rural",
+        cols = ["State_Name", "District_Name", "location ", "Total_Number_of_Schools", "Ramps", "Building"][::order]
+        vals = {"State_Name": state, "District_Name": "x", "location ": "Rural",
                 "Total_Number_of_Schools": "10", "Ramps": "4", "Building": "9"}
         (d / "part.csv").write_text(",".join(cols) + "\n" + ",".join(vals[c] for c in cols) + "\n")
     os.makedirs(base / "2019_2020" / "Empty")  # a folder without files is skipped
     df = census.read_census_csv(spark, str(base))
     assert df.columns == CENSUS_COLUMNS
     assert rows(df, STATE, PERIOD, TOTAL, "Ramps") == [("Karnataka", "2019_2020", 10, 4), ("Kerala", "2018_2019", 10, 4)]
+    assert {r[0] for r in df.select("Location").collect()} == {"Rural"}
     zero = census.read_census_csv(spark, str(base), null_policy="zero")
     assert zero.where(F.col("Playground").isNull()).count() == 0
 
