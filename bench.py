@@ -7,7 +7,7 @@ Prints one JSON line:
 census (five-table join, written as partitioned Parquet) and of the outcome
 table from the driver tables; every query then runs on those tables and is
 timed to a full ``collect`` of its result. Each
-query is run ``BENCH_REPEAT`` times (default 2) and the best time is kept
+query is run ``BENCH_REPEAT`` times (default 3) and the best time is kept
 (the first run also pays JIT warm-up).
 """
 
@@ -45,7 +45,7 @@ BASELINE_GROUPS = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from pyspark.sql import SparkSession
