@@ -51,3 +51,18 @@ def test_derived_census_shape(spark):
     assert c.where(F.col("Ramps") > F.col(TOTAL)).count() == 0
     # Materialised once per session: same files on a second call.
     assert census.census_table(spark, SF001).inputFiles() == c.inputFiles()
+
+
+def test_content_fingerprint_tracks_changes(spark, tmp_path):
+    from censuskit.sources import storage
+
+    d = tmp_path / "table"
+    d.mkdir()
+    (d / "part-0.csv").write_text("a\n1\n")
+    before = storage.content_fingerprint(spark, [str(d)])
+    assert storage.content_fingerprint(spark, [str(d)]) == before
+    (d / "part-1.csv").write_text("a\n2\n")
+    assert storage.content_fingerprint(spark, [str(d)]) != before
+    assert storage.path_exists(spark, str(d / "part-1.csv"))
+    assert not storage.path_exists(spark, str(d / "missing"))
+    assert storage.glob_parents(spark, str(tmp_path / "*" / "*.csv")) == [f"file:{d}"]
