@@ -79,10 +79,17 @@ def read_census_csv(spark: SparkSession, base_path: str, null_policy: str = "kee
             else:
                 cols.append(F.lit(None).cast(field.dataType).alias(field.name))
         parts.append(raw.select(*cols))
-    df = parts[0]
-    for p in parts[1:]:
-        df = df.unionByName(p)
-    return apply_null_policy(df, null_policy)
+    return apply_null_policy(union_all(parts), null_policy)
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """``unionByName`` of many frames as a balanced tree: plan depth grows
+    with log(n), not n, when there are hundreds of export folders."""
+    frames = list(frames)
+    while len(frames) > 1:
+        paired = [a.unionByName(b) for a, b in zip(frames[0::2], frames[1::2])]
+        frames = paired + ([frames[-1]] if len(frames) % 2 else [])
+    return frames[0]
 
 
 def _folder_value(name: str) -> str:

@@ -66,3 +66,10 @@ def test_content_fingerprint_tracks_changes(spark, tmp_path):
     assert storage.path_exists(spark, str(d / "part-1.csv"))
     assert not storage.path_exists(spark, str(d / "missing"))
     assert storage.glob_parents(spark, str(tmp_path / "*" / "*.csv")) == [f"file:{d}"]
+
+
+def test_union_all_balanced(spark):
+    from censuskit.sources.census import union_all
+
+    frames = [spark.range(i, i + 1) for i in range(9)]
+    assert sorted(r[0] for r in union_all(frames).collect()) == list(range(9))
