@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, sharding
+from . import bpe, sharding, simhash
 from .shared import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -16,11 +16,15 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     return bpe.roundtrip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op3_sharding": op3_sharding, "op9_bpe": op9_bpe}
+QUERIES = {"op3_sharding": op3_sharding, "op5_simhash": op5_simhash, "op9_bpe": op9_bpe}
 
 ORACLE: dict[str, str] = {}
