@@ -15,6 +15,7 @@ back an incomplete character, at most three bytes.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -25,9 +26,10 @@ from pyspark.sql import functions as F
 
 from .shared import slices
 
-#: States and remembered words kept per task before the tables start afresh.
+#: States kept per task before the tables start afresh, and words remembered in
+#: each of two generations, of which the older goes when the younger is full.
 MAX_STATES = 200_000
-MAX_WORDS = 200_000
+MAX_WORDS = 350_000
 #: Tokens decoded at a time.
 DECODE_TOKENS = 65_536
 
@@ -37,6 +39,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
+BYTES = [bytes((b,)) for b in range(256)]
+
+
+def shared_start(path: tuple[int, ...], others: list[tuple]) -> tuple[int, ...]:
+    """The tokens with which ``path`` and the paths of all others begin."""
+    n = len(path)
+    for _, _, other in others:
+        n = min(n, len(other))
+        while path[:n] != other[:n]:
+            n -= 1
+        if not n:
+            return ()
+    return path[:n]
+
 
 class BpeTransducer:
     """Encoder for one rank table; ``pattern`` splits text before the merges."""
@@ -50,6 +66,7 @@ class BpeTransducer:
         self.halves: dict[int, tuple[int, int]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -98,29 +115,37 @@ class BpeTransducer:
                 limit, right = right + 1, self.last_merge(right)[0]
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        alive, done = [], None
+        alive, done, one = [], None, BYTES[byte]
+        rank, prefixes, pairs = self.ranks.get, self.prefixes, self.pairs
         for partial, before, path in self.alive[state]:
-            partial += bytes((byte,))
-            token = self.ranks.get(partial)
-            if token is not None and done is None and (before < 0 or self.neighbours(before, token)):
-                done = (b"", token, (*path, token))
-            if partial in self.prefixes:
+            partial += one
+            if done is None:
+                token = rank(partial)
+                if token is not None:
+                    fits = before < 0 or pairs.get((before, token))
+                    if fits is None:
+                        fits = self.neighbours(before, token)
+                    if fits:
+                        done = (b"", token, (*path, token))
+            if partial in prefixes:
                 alive.append((partial, before, path))
         if done is None:
             raise ValueError(f"byte {byte} is not a token")
-        alive.append(done)
-        shared = 0
-        shortest = min(len(p) for _, _, p in alive)
-        while shared < shortest and len({p[shared] for _, _, p in alive}) == 1:
-            shared += 1
-        sure = alive[0][2][:shared]
-        key = tuple((partial, before, path[shared:]) for partial, before, path in alive)
-        to = self.states.get(key)
+        if not alive:  # nothing else can come of what was read: all is certain
+            sure, alive = done[2], ((b"", done[1], ()),)
+        else:
+            sure = shared_start(done[2], alive)
+            alive.append(done)
+            if sure:
+                cut = len(sure)
+                alive = [(partial, before, path[cut:]) for partial, before, path in alive]
+            alive = tuple(alive)
+        to = self.states.get(alive)
         if to is None:
-            to = self.states[key] = len(self.alive)
-            self.alive.append(key)
+            to = self.states[alive] = len(self.alive)
+            self.alive.append(alive)
             self.steps.append({})
-            self.rest.append(key[-1][2])
+            self.rest.append(alive[-1][2])
         self.steps[state][byte] = found = (to, sure)
         return found
 
@@ -145,17 +170,34 @@ class BpeTransducer:
                     self.rest.append(here[-1][2])
         yield from self.rest[state]
 
+    def encode_word(self, word: str) -> tuple[int, ...]:
+        """Token ids of one match; short ones are remembered."""
+        found = self.older.get(word)
+        if found is None:
+            piece = word.encode()
+            if len(piece) > 64 or len(self.alive) > self.max_states:
+                found = tuple(self.encode_piece(piece))
+            else:
+                state, steps, ids = 0, self.steps, []
+                for byte in piece:
+                    state, sure = steps[state].get(byte) or self._step(state, byte)
+                    if sure:
+                        ids += sure
+                found = (*ids, *self.rest[state])
+        if len(self.words) >= self.max_words:
+            self.older, self.words = self.words, {}
+        if len(word) <= 64:
+            self.words[word] = found
+        return found
+
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
-        words = self.words
+        known = self.words.get
         for word in self.split(text):
-            found = words.get(word)
+            found = known(word)
             if found is None:
-                found = tuple(self.encode_piece(word.encode()))
-                if len(words) >= self.max_words:
-                    words.clear()
-                if len(word) <= 64:
-                    words[word] = found
+                found = self.encode_word(word)
+                known = self.words.get
             ids += found
         return ids
 
@@ -201,6 +243,16 @@ def decode_stream(token: dict[int, bytes], ids: Iterable[list[int]]) -> Iterator
     yield machine.end()
 
 
+def steadily(batches: Iterator) -> Iterator:
+    """``batches`` with the cycle collector at rest: the tables hold millions of
+    small objects, none in a cycle, which it would walk again and again."""
+    gc.disable()
+    try:
+        yield from batches
+    finally:
+        gc.enable()
+
+
 def _columns(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
@@ -213,7 +265,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc
 
     def run(batches):
         machine = BpeTransducer(shared.value, pattern)
-        for batch in batches:
+        for batch in steadily(batches):
             for part in slices(batch, "text"):
                 ids = [machine.encode(x) for x in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(ids, pa.list_(pa.int32()))], ["key", "ids"])
@@ -251,7 +303,7 @@ def roundtrip_digests(df: DataFrame, ranks: dict[bytes, int], pattern: str, key:
         machine = BpeTransducer(shared.value, pattern)
         token = machine.token
         names = {r: str(r) for r in token}
-        for batch in batches:
+        for batch in steadily(batches):
             for part in slices(batch, "text"):
                 rows = ([], [], [])
                 for x in part.column("text").to_pylist():
