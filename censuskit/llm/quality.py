@@ -32,6 +32,8 @@ CHUNK = 128
 SAMPLE = 20_000
 HIDDEN = 16
 EPOCHS = 400
+#: Weight decay, as a count of rows.
+DECAY = 1.0
 THRESHOLD = 0.7
 
 
@@ -154,6 +156,7 @@ def train(x: np.ndarray, y: np.ndarray, held: np.ndarray, vectors: np.ndarray, s
     if any(len(set(y[part].tolist())) < 2 for part in (held, ~held)):
         return Model(vectors, mean, scale, None, 1.0, prior)
     rng = np.random.default_rng(seed)
+    decay = DECAY / (~held).sum()
     fit, want = (x[~held] - mean) / scale, y[~held]
     layers = [rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)), np.zeros(HIDDEN), rng.normal(0, HIDDEN**-0.5, HIDDEN), np.zeros(())]
     first, second = [np.zeros_like(w) for w in layers], [np.zeros_like(w) for w in layers]
@@ -162,7 +165,7 @@ def train(x: np.ndarray, y: np.ndarray, held: np.ndarray, vectors: np.ndarray, s
         out = 1 / (1 + np.exp(-np.clip(hidden @ layers[2] + layers[3], -500, 500)))
         error = (out - want) / len(want)
         back = np.outer(error, layers[2]) * (1 - hidden**2)
-        slopes = [fit.T @ back + 1e-4 * layers[0], back.sum(0), hidden.T @ error + 1e-4 * layers[2], error.sum()]
+        slopes = [fit.T @ back + decay * layers[0], back.sum(0), hidden.T @ error + decay * layers[2], error.sum()]
         for i, g in enumerate(slopes):
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.999 * second[i] + 0.001 * g * g
