@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, sharding, simhash
+from . import ann, bpe, quality, sharding, simhash
 from .shared import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -30,6 +35,6 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.roundtrip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op2_quality": op2_quality, "op3_sharding": op3_sharding, "op5_simhash": op5_simhash, "op9_bpe": op9_bpe}
+QUERIES = {"op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op5_simhash": op5_simhash, "op9_bpe": op9_bpe}
 
 ORACLE: dict[str, str] = {}
