@@ -18,24 +18,23 @@ from pyspark.sql import functions as F
 VNODES = 64
 RING_BITS = 16
 
-# Arcs in ring order: ``own`` is the shard of each arc's point, ``n`` its rows,
-# ``caps`` what each shard may hold. An arc's rows go to the shards clockwise
-# from its point, each taking what it still has free.
-_CLOCKWISE = "transform(sequence(1, size(own)), i -> array_distinct(concat(slice(own, i, size(own)), slice(own, 1, i - 1))))"
+# ``arcs`` in ring order, each with its rows ``n`` and its shards ``clockwise``;
+# ``caps`` is what each shard may hold. An arc's rows go to its shards in turn,
+# each taking what it still has free.
 _TAKE = """
-aggregate(clockwise[i], named_struct('left', n[i], 'takes', cast(array() as array<struct<shard:int,n:bigint>>)),
+aggregate(x.clockwise, named_struct('left', x.n, 'takes', cast(array() as array<struct<shard:int,n:bigint>>)),
   (t, s) -> if(t.left > 0 and acc.free[s] > 0,
     named_struct('left', t.left - least(t.left, acc.free[s]),
                  'takes', array_append(t.takes, named_struct('shard', s, 'n', least(t.left, acc.free[s])))),
     t)).takes
 """
 _FOLD = f"""
-aggregate(sequence(0, size(own) - 1),
+aggregate(arcs,
   named_struct('free', caps, 'out', cast(array() as array<array<struct<shard:int,n:bigint>>>)),
-  (acc, i) -> aggregate(array({_TAKE}),
+  (acc, x) -> aggregate(array({_TAKE}),
     acc,
     (before, takes) -> named_struct(
-      'free', transform(before.free, (f, s) -> aggregate(filter(takes, x -> x.shard = s), f, (left, x) -> left - x.n)),
+      'free', transform(before.free, (f, s) -> aggregate(filter(takes, y -> y.shard = s), f, (left, y) -> left - y.n)),
       'out', array_append(before.out, takes)))).out
 """
 
@@ -80,17 +79,19 @@ def assign(
     marks = cells.select("cell", "rows", F.lit(None).cast("int").alias("arc")).unionByName(
         ends.select(F.col("point").alias("cell"), F.lit(None).cast("long").alias("rows"), "arc")
     )
-    onward = Window.orderBy("cell", F.col("arc").isNull().desc()).rowsBetween(0, Window.unboundedFollowing)  # bounded: cells and points
-    placed = marks.select("cell", "rows", F.coalesce(F.first("arc", ignorenulls=True).over(onward), F.lit(0)).alias("arc")).where("rows is not null")
+    back = Window.orderBy(F.col("cell").desc(), F.col("arc").isNull()).rowsBetween(Window.unboundedPreceding, 0)  # bounded: cells and points
+    placed = marks.select("cell", "rows", F.coalesce(F.last("arc", ignorenulls=True).over(back), F.lit(0)).alias("arc")).where("rows is not null")
     by_arc = placed.groupBy("arc").agg(F.sum("rows").alias("n"))
-    one = (
-        points.join(by_arc, "arc", "left")
-        .agg(F.sort_array(F.collect_list(F.struct("arc", "own", F.coalesce("n", F.lit(0)).alias("n")))).alias("arcs"))
-        .select(F.col("arcs.own").alias("own"), F.col("arcs.n").alias("n"))
-        .withColumn("total", F.expr("aggregate(n, 0L, (a, x) -> a + x)"))
-        .withColumn("caps", _caps(F.col("total"), shards, slack))
-        .withColumn("clockwise", F.expr(_CLOCKWISE))
+    listed = points.join(by_arc, "arc", "left").select("arc", "own", F.coalesce("n", F.lit(0)).alias("n"))
+    whole = listed.agg(F.sort_array(F.collect_list(F.struct("arc", "own", "n"))).alias("ring"))
+    # Each arc's shards in the order of their first points from its own on.
+    arcs = whole.select("ring.own", F.explode("ring").alias("x")).select(
+        F.struct(
+            "x.arc", "x.n",
+            F.array_distinct(F.concat(F.expr("slice(own, x.arc + 1, size(own))"), F.expr("slice(own, 1, x.arc)"))).alias("clockwise"),
+        ).alias("x")
     )
+    one = arcs.agg(F.sort_array(F.collect_list("x")).alias("arcs"), F.sum("x.n").alias("total")).withColumn("caps", _caps(F.col("total"), shards, slack))
     takes = one.select(F.posexplode(F.expr(_FOLD)).alias("arc", "takes")).select("arc", F.posexplode("takes").alias("turn", "take"))
     in_arc, in_shard = Window.partitionBy("arc").orderBy("turn"), Window.partitionBy("shard").orderBy("arc", "turn")
     chunks = (
