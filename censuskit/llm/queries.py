@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, quality, sharding, simhash
+from . import ann, bpe, quality, sharding, simhash, warc
 from .shared import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -30,11 +30,15 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     return bpe.roundtrip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op5_simhash": op5_simhash, "op9_bpe": op9_bpe}
+QUERIES = {"op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op5_simhash": op5_simhash, "op7_warc": op7_warc, "op9_bpe": op9_bpe}
 
 ORACLE: dict[str, str] = {}
