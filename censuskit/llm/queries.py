@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, quality, sharding, simhash, warc
+from . import ann, bpe, decontam, lines, quality, sharding, simhash, warc
 from .shared import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -34,11 +34,22 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"))
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.page_report(table(spark, sf_dir, "pages"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     return bpe.roundtrip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op5_simhash": op5_simhash, "op7_warc": op7_warc, "op9_bpe": op9_bpe}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    "op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op5_simhash": op5_simhash, "op7_warc": op7_warc, "op8_lines": op8_lines, "op9_bpe": op9_bpe,
+    "op10_decontamination": op10_decontamination,
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op8_lines": lines.REPORT_SQL}
