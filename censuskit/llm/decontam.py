@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import raw_bytes, slices
+from .shared import filter_texts, raw_bytes, slices
 from .words import CLASSES, LOWER, mix, prefix_sums, runs, spans
 
 SHINGLE = 5
@@ -86,7 +86,7 @@ class Items:
 
     def __post_init__(self):
         self.bits = pack(np.array([signed_bits(h, w).sum(0) for h, w in zip(self.hashes, self.weights)]))
-        self.known, self.owner = np.unique(np.concatenate(self.hashes)), None
+        self.known = np.unique(np.concatenate(self.hashes))
         pairs = sorted({(int(h), i) for i, x in enumerate(self.hashes) for h in x})
         self.starts = np.searchsorted(np.array([h for h, _ in pairs], np.uint64), self.known)
         self.owners = np.array([i for _, i in pairs])
@@ -168,6 +168,34 @@ def matches(items: Items, index, words, lengths, radius: int, least: float):
         yield (items.ids[i], *x)
 
 
+def scan(part: pa.RecordBatch, groups: list, radius: int, least: float) -> list[tuple]:
+    """Matches of a slice of texts, each with its row first."""
+    found = []
+    words, lengths, owner = words_of(part)
+    ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
+    for items, index in groups:
+        # Only texts with a shingle of some item are looked at closer.
+        h, _ = shingles(words, lengths, items.shingle)
+        hits = np.flatnonzero(items.maybe[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+        hits = hits[np.isin(h[hits], items.known)]
+        for r in np.unique(owner[hits]).tolist():
+            own = slice(ends[r], ends[r + 1])
+            found += [(r, *x) for x in matches(items, index, words[own], lengths[own], radius, least)]
+    return found
+
+
+def item_blocks(benchmark: DataFrame, item: str, item_text: str, shingle: int, item_bytes: int):
+    """The items, in broadcast blocks of about ``item_bytes`` each, as many as
+    the benchmark's size asks for."""
+    spark = benchmark.sparkSession
+    listed = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    size = listed.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    blocks = max(1, -(-size // item_bytes))
+    for block in range(blocks):
+        got = listed.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").collect()
+        yield spark.sparkContext.broadcast(make_items([r.item for r in got], [r.text for r in got], shingle))
+
+
 def find(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, least: float = SIMILARITY, item_bytes: int = ITEM_BYTES) -> DataFrame:
     """Per row of ``df`` and item found in it: ``key``, ``item``,
     ``start_word``, ``n_words``, ``hamming``, ``similarity`` of the best window.
@@ -176,39 +204,41 @@ def find(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "
     an item is one window. Items that repeat are found as often. An empty table
     on either side finds nothing.
     """
-    spark = df.sparkSession
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    listed = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    size = listed.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-size // item_bytes))
     kind = f"key {df.schema[key].dataType.simpleString()}, item {benchmark.schema[item].dataType.simpleString()}, start_word int, n_words int, hamming int, similarity double"
     out = None
-    for block in range(blocks):  # each of about item_bytes, whatever the benchmark's size
-        got = listed.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").collect()
-        shared = spark.sparkContext.broadcast(make_items([r.item for r in got], [r.text for r in got], shingle))
+    for shared in item_blocks(benchmark, item, item_text, shingle, item_bytes):
 
         def run(batches, shared=shared):
             groups = [(items, items.index(radius)) for items in shared.value]
             for batch in batches:
                 for part in slices(batch, "text"):
-                    found = []
-                    words, lengths, owner = words_of(part)
-                    ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                    for items, index in groups:
-                        # Documents with a shingle of some item, at a glance.
-                        h, _ = shingles(words, lengths, items.shingle)
-                        hits = np.flatnonzero(items.maybe[(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-                        hits = hits[np.isin(h[hits], items.known)]
-                        for r in np.unique(owner[hits]).tolist():
-                            own = slice(ends[r], ends[r + 1])
-                            found += [(r, *x) for x in matches(items, index, words[own], lengths[own], radius, least)]
-                    if found:
-                        columns = list(zip(*found))
+                    if found := scan(part, groups, radius, least):
+                        row, *columns = zip(*found)
+                        types = (None, pa.int32(), pa.int32(), pa.int32(), pa.float64())
                         yield pa.RecordBatch.from_arrays(
-                            [part.column("key").take(pa.array(columns[0]))] + [pa.array(x, t) for x, t in zip(columns[1:], (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64()))],
+                            [part.column("key").take(pa.array(row)), *(pa.array(x, t) for x, t in zip(columns, types))],
                             ["key", "item", "start_word", "n_words", "hamming", "similarity"],
                         )
 
         some = rows.mapInArrow(run, kind)
         out = some if out is None else out.unionByName(some)
     return out.withColumnsRenamed({"key": key, "item": item})
+
+
+def keep_clean(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, least: float = SIMILARITY, item_bytes: int = ITEM_BYTES) -> DataFrame:
+    """The rows of ``df``, all columns, in which no item is found."""
+    for shared in item_blocks(benchmark, item, item_text, shingle, item_bytes):
+
+        def start(shared=shared):
+            groups = [(items, items.index(radius)) for items in shared.value]
+
+            def decide(part):
+                clean = np.ones(part.num_rows, bool)
+                clean[[x[0] for x in scan(part, groups, radius, least)]] = False
+                return clean
+
+            return decide
+
+        df = filter_texts(df, text, start)
+    return df

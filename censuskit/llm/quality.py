@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import raw_bytes, shuffle_partitions, slices
+from .shared import filter_texts, raw_bytes, shuffle_partitions, slices
 from .words import CLASSES, mix, prefix_sums, runs, spans
 
 #: Word buckets (hashed words), vector length, entries of an index vector,
@@ -245,17 +245,4 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
 def keep_good(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``df``, all columns, whose texts score at least ``threshold``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    rows = df.withColumn("_quality_text", F.coalesce(F.col(text), F.lit("")))
-
-    def run(batches):
-        for batch in batches:
-            named = batch.rename_columns(["text" if n == "_quality_text" else f"_{i}" for i, n in enumerate(batch.schema.names)])
-            at = batch.schema.names.index("_quality_text")
-            start = 0
-            for part in slices(named, "text"):
-                p = probabilities(shared.value, pool(part, shared.value.vectors))
-                own = batch.slice(start, part.num_rows)
-                start += part.num_rows
-                yield pa.RecordBatch.from_arrays([c for i, c in enumerate(own.columns) if i != at], [n for i, n in enumerate(own.schema.names) if i != at]).filter(pa.array(p >= threshold))
-
-    return rows.mapInArrow(run, df.schema)
+    return filter_texts(df, text, lambda: lambda part: probabilities(shared.value, pool(part, shared.value.vectors)) >= threshold)

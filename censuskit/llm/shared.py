@@ -52,6 +52,24 @@ def text_bytes(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def filter_texts(df: DataFrame, text: str, start) -> DataFrame:
+    """The rows of ``df``, all columns, whose texts pass. ``start()`` gives each
+    task a function from a slice of texts (column ``text``, nulls empty) to a
+    boolean for each."""
+    at = df.columns.index(text)
+
+    def run(batches):
+        decide = start()
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([pa.compute.fill_null(batch.column(at), "")], ["text"])
+            done = 0
+            for part in slices(texts, "text"):
+                yield batch.slice(done, part.num_rows).filter(pa.array(decide(part), pa.bool_()))
+                done += part.num_rows
+
+    return df.mapInArrow(run, df.schema)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Pieces of a record batch with about ``limit`` bytes of ``column`` each,
     at least one row; a text longer than that is a piece of its own."""

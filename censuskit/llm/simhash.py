@@ -56,6 +56,14 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bits(part: pa.RecordBatch, shingle: int) -> np.ndarray:
+    """The fingerprints of a slice of texts, as signed longs."""
+    runs = [shingle_hashes(x, shingle) for x in part.column("text").to_pylist()]
+    sizes = np.array([len(x) for x in runs], np.int64)
+    flat = np.fromiter((h for x in runs for h in x), np.uint64, int(sizes.sum()))
+    return majority(flat, sizes).view(np.int64)
+
+
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``key`` and ``bits`` (the fingerprint as a signed long) of every row;
     a null text or one without words has fingerprint zero."""
@@ -63,11 +71,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                runs = [shingle_hashes(x, shingle) for x in part.column("text").to_pylist()]
-                sizes = np.array([len(x) for x in runs], np.int64)
-                flat = np.fromiter((h for x in runs for h in x), np.uint64, int(sizes.sum()))
-                bits = majority(flat, sizes).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(bits)], ["key", "bits"])
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(_bits(part, shingle))], ["key", "bits"])
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
@@ -199,6 +203,14 @@ def trie_links(nodes: DataFrame, radius: int = RADIUS, trie_rows: int = TRIE_ROW
     return dealt.mapInArrow(lambda batches: _join_tries(batches, radius, width), "node long, root long")
 
 
+def groups(prints: DataFrame, key: str, radius: int, trie_rows: int) -> DataFrame:
+    """Per fingerprint of ``prints``: ``bits``, ``first`` (its smallest key) and
+    ``root``, the same for all fingerprints that links connect."""
+    nodes = cut(prints.groupBy("bits").agg(F.min(key).alias("first")), "nodes")
+    roots = components(trie_links(nodes, radius, trie_rows))
+    return nodes.join(roots, F.col("bits") == F.col("node"), "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, trie_rows: int = TRIE_ROWS) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` (smallest
     key that links of at most ``radius`` differing bits reach, its own
@@ -209,9 +221,28 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     rows stay repeated. No rows, no result.
     """
     prints = cut(fingerprints(df, key, text, shingle), "fingerprints")
-    nodes = cut(prints.groupBy("bits").agg(F.min(key).alias("first")), "nodes")
-    roots = components(trie_links(nodes, radius, trie_rows))
-    own = nodes.join(roots, F.col("bits") == F.col("node"), "left").select("bits", "first", F.coalesce("root", "bits").alias("root"))
+    own = groups(prints, key, radius, trie_rows)
     lowest = own.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = own.join(lowest, "root").select("bits", "component_id")
     return prints.join(classes, "bits").select(key, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, trie_rows: int = TRIE_ROWS) -> DataFrame:
+    """One row of ``df``, all columns, for each group of ``near_duplicates``:
+    one with the group's smallest key; of repeated rows any one, and a null key
+    only where a group has no other."""
+    at, kind = df.columns.index(text), df.schema.simpleString()[7:-1]
+
+    def run(batches):
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([pa.compute.fill_null(batch.column(at), "").cast(pa.binary())], ["text"])
+            bits = np.concatenate([_bits(part, shingle) for part in slices(texts, "text")]) if batch.num_rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits)], [*batch.schema.names, "_simhash_bits"])
+
+    marked = cut(df.mapInArrow(run, f"{kind},_simhash_bits:bigint"), "marked")
+    own = groups(marked.select(key, F.col("_simhash_bits").alias("bits")), key, radius, trie_rows)
+    keep = own.groupBy("root").agg(F.min(F.struct(F.col("first").isNull().alias("none"), "first", "bits")).alias("x")).select(
+        F.col("x.first").alias("_simhash_first"), F.col("x.bits").alias("_simhash_own")
+    )
+    chosen = marked.join(keep, marked[key].eqNullSafe(F.col("_simhash_first")) & (F.col("_simhash_bits") == F.col("_simhash_own")), "left_semi")
+    return chosen.dropDuplicates([key, "_simhash_bits"]).select(*df.columns)

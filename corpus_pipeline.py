@@ -9,18 +9,54 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from censuskit.llm import bpe
+from censuskit.llm import bpe, decontam, lines, quality, simhash
 from censuskit.llm.queries import RANK_FILE
 from censuskit.llm.shared import cut, table
 
+#: A line of a source's documents is boilerplate on more than this share of
+#: them, and on this many at least.
+LINE_RATIO = 0.1
+LINE_DOCUMENTS = 10
 
-def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE: token counts and digests of what is left."""
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns here, from
+    ``labels``, and sees the text alone."""
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that are boilerplate in their source; every
+    document stays, ``n_chars`` follows the text."""
+    kept = lines.drop_text_lines(docs, site="source", text="text", ratio=LINE_RATIO, least_pages=LINE_DOCUMENTS)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group: the one with the smallest doc_id.
+    Repeated rows of that doc_id, and rows without one, are one document too."""
+    return simhash.representatives(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item is found."""
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE of what is left: token counts and digests."""
     return bpe.roundtrip_digests(docs, bpe.read_ranks(public_tokenizers.path(RANK_FILE)), public_tokenizers.PATTERN)
 
 
-STAGES = [("tokenise", tokenise)]
+STAGES = [
+    ("quality", good_quality),
+    ("lines", without_boilerplate),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("tokens", tokens),
+]
 
 #: A trained classifier decides what is kept, which SQL cannot express.
 ORACLE_SQL = None

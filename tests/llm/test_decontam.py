@@ -23,12 +23,15 @@ def similar(a, b, n):
 def brute(docs, items, least=0.8):
     """Best window over all of them, without fingerprints."""
     out = {}
+    listed = [(i, words(t)) for i, t in items]
+    runs = lambda x, n: {tuple(x[s : s + n]) for s in range(len(x) - n + 1)}
+    known = [(i, v, min(5, len(v)), runs(v, min(5, len(v)))) for i, v in listed if v]
     for d, text in docs:
         w = words(text)
-        for i, t in items:
-            v = words(t)
-            n, size = min(5, len(v)), min(len(v), len(w))
-            if not v or size < n:
+        own = {n: runs(w, n) for n in {n for _, _, n, _ in known}}
+        for i, v, n, has in known:
+            size = min(len(v), len(w))
+            if size < n or not own[n] & has:  # nothing shared: similarity zero
                 continue
             score, start = max(((similar(w[s : s + size], v, n), -s) for s in range(len(w) - size + 1)), default=(0, 0))
             if score >= least:
@@ -66,6 +69,17 @@ def test_equals_every_window(spark):
         assert all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want)
 
 
+def test_keep_clean(spark):
+    docs, items = corpus()
+    df = spark.createDataFrame([(d, t, "x") for d, t in docs] + [(None, None, None)], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    dirty = {d for d, _ in brute(docs, items)}
+    for size in (decontam.ITEM_BYTES, 600):
+        got = decontam.keep_clean(df, bench, item_bytes=size)
+        assert got.schema == df.schema
+        assert sorted(str(r.doc_id) for r in got.collect()) == sorted([str(d) for d, _ in docs if d not in dirty] + ["None"])
+
+
 def test_all_within_the_radius_are_found(spark):
     """The multi-index loses nothing: like comparing all fingerprints."""
     docs, items = corpus()

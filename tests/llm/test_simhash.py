@@ -86,3 +86,20 @@ def test_contract_and_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (7, 7), (None, 1)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "node long, root long")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, 200: 100}
+
+
+def test_representatives(spark):
+    texts = corpus(random.Random(4))
+    rows = [(i, t, "z", 1) for i, t in enumerate(texts)] + [(3, texts[3], "z", 1), (3, "quite another text here", "y", 2)] + [(None, "nobody's own words", "n", 0)] * 3 + [(None, texts[0], "n", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, bits string, root int")
+    prints = {n: brute_print(r[1]) for n, r in enumerate(rows)}
+    want = brute_groups(prints, 3)
+    members = {}
+    for n, g in want.items():
+        members.setdefault(g, []).append(rows[n])
+    got = simhash.representatives(df)
+    assert got.schema == df.schema
+    smallest = sorted(str(min((r[0] for r in m if r[0] is not None), default=None)) for m in members.values())
+    assert sorted(str(r.doc_id) for r in got.collect()) == smallest
+    assert all(tuple(r) in rows for r in got.collect())
+    assert simhash.representatives(df.limit(0)).count() == 0
