@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, decontam, lines, paragraphs, quality, sharding, simhash, warc
+from . import ann, bpe, decontam, lines, paragraphs, quality, sharding, simhash, suffixes, warc
 from .shared import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -26,6 +26,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op5_simhash": op5_simhash, "op6_paragraphs": op6_paragraphs, "op7_warc": op7_warc, "op8_lines": op8_lines, "op9_bpe": op9_bpe,
+    "op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op4_suffixes": op4_suffixes, "op5_simhash": op5_simhash, "op6_paragraphs": op6_paragraphs, "op7_warc": op7_warc, "op8_lines": op8_lines, "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
 }
 

@@ -63,3 +63,10 @@ def spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the bytes [start, end): equal bytes, equal hashes."""
     _, down = _powers(len(sums))
     return mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def every(sums: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all stretches of ``width`` bytes, like ``spans``."""
+    _, down = _powers(len(sums))
+    n = max(0, len(sums) - width)
+    return mix((sums[width:] - sums[:n]) * down[:n])
