@@ -32,8 +32,8 @@ def join_outcome(features: DataFrame, outcome: DataFrame, feature_key: str, outc
 
 def feature_correlations(df: DataFrame, by, features, target: str, null_policy: str = "skip") -> DataFrame:
     """Pearson correlation of each feature with ``target`` per group, long
-    form (by..., Feature, Correlation): one aggregation for all features,
-    then ``unpivot``.
+    form (by..., Feature, Correlation): the rows are unpivoted to (by, feature,
+    value) first, so that one small aggregate per group and feature suffices.
 
     ``null_policy="skip"`` uses the pairs where both values are present;
     ``"zero"`` counts a missing value as 0 (what ``DataFrame.stat.corr``
@@ -44,32 +44,25 @@ def feature_correlations(df: DataFrame, by, features, target: str, null_policy:
         df = df.na.fill(0, subset=[*features, target])
     elif null_policy != "skip":
         raise ValueError(f"unknown null_policy {null_policy!r}")
-    wide = df.groupBy(*by).agg(*[pearson(f, target).alias(f) for f in features])
-    return wide.unpivot(by, list(features), FEATURE, CORRELATION)
+    doubles = df.select(*by, F.col(target).alias("_target"), *[F.col(f).cast("double").alias(f) for f in features])
+    long = doubles.unpivot([*by, "_target"], list(features), FEATURE, "_value")
+    return long.groupBy(*by, FEATURE).agg(pearson("_value", "_target").alias(CORRELATION))
 
 
-def extremes(corr: DataFrame, features, order_col: str, order_values,
-             value: str = CORRELATION) -> DataFrame:
+def extremes(corr: DataFrame, features, order_col: str, value: str = CORRELATION) -> DataFrame:
     """Feature with the largest and with the smallest (rounded) correlation
     over all groups.
 
-    Ties go to the first in (``order_col`` in ``order_values`` order, then
-    ``features`` order), for both ends; null correlations are skipped. One
-    ``max_by``/``min_by`` aggregate over a struct carrying a tie ordinal: a
+    Ties go to the first in (``order_col``, then ``features`` order), for both
+    ends; null correlations are skipped. The ``min`` of a struct per end: a
     partial + final aggregate, no sort and no window.
     """
     f_pos = F.array_position(F.array(*[F.lit(f) for f in features]), F.col(FEATURE))
-    p_pos = F.array_position(F.array(*[F.lit(str(v)) for v in order_values]), F.col(order_col))
-    ordinal = p_pos * F.lit(len(features) + 1) + f_pos
-    c = corr.where(F.col(value).isNotNull()).select(
-        F.struct(F.col(FEATURE).alias("f"), F.col(order_col).alias("p"),
-                 round6(value).alias("v")).alias("_item"),
-        round6(value).alias("_v"),
-        ordinal.alias("_o"),
-    )
-    out = c.agg(
-        F.max_by("_item", F.struct(F.col("_v"), F.lit(0) - F.col("_o"))).alias("_mx"),
-        F.min_by("_item", F.struct(F.col("_v"), F.col("_o"))).alias("_mn"),
+    v = round6(value)
+    tie = [F.col(order_col).alias("p"), f_pos.alias("o"), F.col(FEATURE).alias("f")]
+    out = corr.where(F.col(value).isNotNull()).agg(
+        F.min(F.struct((-v).alias("n"), *tie, v.alias("v"))).alias("_mx"),
+        F.min(F.struct(v.alias("v"), *tie)).alias("_mn"),
     )
     return out.select(
         F.col("_mx.f").alias("Max_Feature"),

@@ -73,27 +73,28 @@ def apply_aliases(df: DataFrame, column: str, aliases, mode: str = "exact",
 
 
 def stack_lists(df: DataFrame, pairs, name_out: str, label_out: str, value_out: str,
-                complete_only: bool = False) -> DataFrame:
+                complete_only: bool = False, aliases=None) -> DataFrame:
     """Side-by-side (name, value) column pairs to one long table.
 
     ``pairs`` holds (name column, value column, label). Names are lower-cased,
     values cast to double with ``try_cast``; rows of shorter lists (null name)
-    are dropped. One projection per pair, combined with ``unionByName``.
-    ``complete_only`` keeps only names present in every list (the study
-    joined the lists inner); a grouped count joined back, one row per name.
+    are dropped. The lists come out of one projection (an exploded array).
+    ``aliases`` (exact matches, see ``apply_aliases``) are applied to the names
+    of every list before the lists are compared. ``complete_only`` keeps only
+    names present in every list (the study joined the lists inner); a grouped
+    count joined back, one row per name.
     """
-    parts = []
-    for name_col, value_col, label in pairs:
-        parts.append(
-            df.select(
-                normalize_key(F.col(f"`{name_col}`")).alias(name_out),
-                F.lit(str(label)).alias(label_out),
-                F.col(f"`{value_col}`").try_cast("double").alias(value_out),
-            ).where(F.col(name_out).isNotNull())
+    items = [
+        F.struct(
+            normalize_key(F.col(f"`{name_col}`")).alias(name_out),
+            F.lit(str(label)).alias(label_out),
+            F.col(f"`{value_col}`").try_cast("double").alias(value_out),
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        for name_col, value_col, label in pairs
+    ]
+    out = df.select(F.explode(F.array(*items)).alias("_item")).select("_item.*").where(F.col(name_out).isNotNull())
+    if aliases is not None:
+        out = apply_aliases(out, name_out, aliases)
     if complete_only:
         full = (out.groupBy(name_out).agg(F.countDistinct(label_out).alias("_n"))
                 .where(F.col("_n") == F.lit(len(pairs))).select(name_out))

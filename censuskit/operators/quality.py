@@ -47,6 +47,16 @@ def summarize(checked: DataFrame, by=()) -> DataFrame:
     )
 
 
+def count_unexpected(df: DataFrame, keys, expected: int = 1, by=()) -> DataFrame:
+    """Per ``by`` group: how many keys there are and how many do not occur
+    exactly ``expected`` times."""
+    by = list(by)
+    counts = df.groupBy(*by, *[k for k in keys if k not in by]).agg(F.count("*").alias("_n"))
+    return counts.groupBy(*by).agg(
+        F.count("*").alias("Keys"), F.count(F.when(F.col("_n") != F.lit(expected), 1)).alias("Unexpected")
+    )
+
+
 def spread_below(df: DataFrame, by, value: str, limit: float) -> DataFrame:
     """``max - min`` of ``value`` per group and whether it is below ``limit``
     (the study checked only one signed difference)."""

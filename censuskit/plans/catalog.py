@@ -12,13 +12,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from censuskit.operators import quality
 from censuskit.operators.normalize import ALIAS_FROM, ALIAS_TO, normalize_key
 from censuskit.plans import study
+from censuskit.schema import DISTRICT
 from censuskit.sources import storage
-from censuskit.sources.census import census_table
-from censuskit.sources.outcome import outcome_sheet, outcome_table
+from censuskit.sources.census import YEAR_OFFSET, census_table
+from censuskit.sources.outcome import EXAM_YEAR, outcome_sheet, outcome_table
 from censuskit.sources.outcome import outcome_long as _stack_outcome
 
+# Order years of the driver tables, and the academic and exam years they become.
+# They name the columns of the trend tables; another year is an error there.
+ORDER_YEARS = range(1995, 2002)
+PERIODS = [f"{y + YEAR_OFFSET}_{y + YEAR_OFFSET + 1}" for y in ORDER_YEARS]
+EXAM_YEARS = [str(y + YEAR_OFFSET) for y in ORDER_YEARS]
+# States of the correlation study that is limited to some.
+CORR_STATES = ["AFRICA", "ASIA"]
+# Rows of a top list per state: fewer than a state has districts.
+TOP_PER_STATE = 3
+# Spread of rural school counts that passes.
+SPREAD_LIMIT = 3000
+
 
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:
     return study.prepare(census_table(spark, sf_dir))
@@ -43,12 +57,44 @@ def outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 def outcome_long(spark, sf_dir):
     """The results-sheet layout built from the driver tables, stacked back to
     one row per (district, exam year)."""
-    return _stack_outcome(outcome_sheet(spark, sf_dir, long=outcome_table(spark, sf_dir)))
+    return _stack_outcome(outcome_sheet(spark, sf_dir, long=outcome_table(spark, sf_dir), years=EXAM_YEARS))
+
+
+def outcome_complete(spark, sf_dir):
+    """Districts listed in every exam year, from a sheet whose lists for odd
+    years spell them another way and whose last list lacks every seventh: the
+    spellings are mended before the lists are compared."""
+    number = F.regexp_extract(DISTRICT, "([0-9]+)", 1).cast("int")
+    other = F.regexp_replace(DISTRICT, "Nation ", "NATION-")
+    long = outcome_table(spark, sf_dir).where(~((F.col(EXAM_YEAR) == EXAM_YEARS[-1]) & (number % 7 == 0)))
+    long = long.withColumn(DISTRICT, F.when(F.col(EXAM_YEAR).cast("int") % 2 == 1, other).otherwise(F.col(DISTRICT)))
+    nation = storage.read_table(spark, f"{sf_dir.rstrip('/')}/nation.parquet")
+    aliases = nation.select(
+        normalize_key(F.regexp_replace("n_name", "NATION_", "NATION-")).alias(ALIAS_FROM),
+        normalize_key(F.regexp_replace("n_name", "NATION_", "Nation ")).alias(ALIAS_TO),
+    )
+    sheet = outcome_sheet(spark, sf_dir, long=long, years=EXAM_YEARS)
+    return _stack_outcome(sheet, complete_only=True, aliases=aliases)
+
+
+def quality_unique(spark, sf_dir):
+    """Keys of the line items that should occur once: the line of an order
+    does, its order need not."""
+    lines = storage.read_table(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    checks = {"order_line": ["l_orderkey", "l_linenumber"], "order": ["l_orderkey"]}
+    parts = [quality.count_unexpected(lines, keys).select(F.lit(name).alias("Check_Name"), "Keys", "Unexpected") for name, keys in checks.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def corr_states(spark, sf_dir):
+    """``corr`` limited to some states, as the study's was to one."""
+    return study.corr(census(spark, sf_dir), outcome(spark, sf_dir),
+                      census_aliases=district_aliases(spark, sf_dir), states=CORR_STATES)
 
 
-def _bind_census(fn):
+def _bind_census(fn, **options):
     def run(spark, sf_dir):
-        return fn(census(spark, sf_dir))
+        return fn(census(spark, sf_dir), **options)
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
@@ -69,7 +115,12 @@ def aliases(spark, sf_dir):
     return study.aliases(census(spark, sf_dir), census_aliases=district_aliases(spark, sf_dir))
 
 
-QUERIES = {name: _bind_census(fn) for name, fn in study.CENSUS_ANALYSES.items()}
+_OPTIONS = {name: {"periods": PERIODS} for name in study.CENSUS_ANALYSES if name.startswith("trend_")}
+_OPTIONS |= {"top_rural_per_state": {"n": TOP_PER_STATE}, "quality_spread": {"limit": SPREAD_LIMIT}}
+QUERIES = {name: _bind_census(fn, **_OPTIONS.get(name, {})) for name, fn in study.CENSUS_ANALYSES.items()}
 QUERIES["outcome_long"] = outcome_long
+QUERIES["outcome_complete"] = outcome_complete
+QUERIES["quality_unique"] = quality_unique
+QUERIES["corr_states"] = corr_states
 QUERIES["aliases"] = aliases
 QUERIES.update({name: _bind_outcome(fn) for name, fn in study.OUTCOME_ANALYSES.items()})

@@ -30,7 +30,6 @@ from censuskit.schema import (
     LOCATION,
     MGMT_ID,
     PERIOD,
-    PERIODS,
     PRIVATE_UNAIDED_ID,
     RURAL,
     STATE,
@@ -107,6 +106,13 @@ def mgmt_share(census: DataFrame) -> DataFrame:
     return out.withColumn("Share_Pct", round6("Share_Pct"))
 
 
+def state_mgmt_share(census: DataFrame) -> DataFrame:
+    """Shares of (state, location, management) in a year: fine enough for
+    slices at or below the label bound."""
+    mixed = segments.mix(census, [PERIOD, STATE, LOCATION, MGMT_ID])
+    return segments.mix_share(mixed, within=[PERIOD]).withColumn("Share_Pct", round6("Share_Pct"))
+
+
 # --- Q4: self-sustainability -------------------------------------------------
 
 
@@ -225,7 +231,7 @@ def hygiene_state(census: DataFrame) -> DataFrame:
 
 
 def _trend(df: DataFrame, value: str, periods=None, complete_only: bool = True) -> DataFrame:
-    return trends.wide_by_period(df, [STATE], PERIOD, value, periods or PERIODS, complete_only)
+    return trends.wide_by_period(df, [STATE], PERIOD, value, periods, complete_only)
 
 
 def trend_ramp(census: DataFrame, periods=None) -> DataFrame:
@@ -268,33 +274,42 @@ def _joined_outcome(features: DataFrame, outcome: DataFrame, census_aliases=None
     return correlate.join_outcome(left, right, KEY, KEY, PERIOD, EXAM_YEAR)
 
 
+def in_states(census: DataFrame, states=None) -> DataFrame:
+    """The census of the named states; of all without names."""
+    return census if states is None else census.where(F.col(STATE).isin(*states))
+
+
 def corr(census: DataFrame, outcome: DataFrame, census_aliases=None, outcome_aliases=None,
-         null_policy: str = "skip") -> DataFrame:
+         null_policy: str = "skip", states=None) -> DataFrame:
     """Correlation of each district feature with the pass percentage, per
-    year (``null_policy="zero"`` reproduces ``stat.corr`` on Spark 4.1)."""
+    year (``null_policy="zero"`` reproduces ``stat.corr`` on Spark 4.1);
+    ``states`` limits the study to some states."""
+    census = in_states(census, states)
     joined = _joined_outcome(essentials_district(census), outcome, census_aliases, outcome_aliases)
     out = correlate.feature_correlations(joined, [PERIOD], list(DISTRICT_FEATURES), PASS_PCT, null_policy)
     return out.withColumn(correlate.CORRELATION, round6(correlate.CORRELATION))
 
 
 def corr_extremes(census: DataFrame, outcome: DataFrame, census_aliases=None,
-                  outcome_aliases=None, periods=None, null_policy: str = "skip") -> DataFrame:
-    c = corr(census, outcome, census_aliases, outcome_aliases, null_policy)
-    return correlate.extremes(c, list(DISTRICT_FEATURES), PERIOD, periods or PERIODS)
+                  outcome_aliases=None, null_policy: str = "skip", states=None) -> DataFrame:
+    c = corr(census, outcome, census_aliases, outcome_aliases, null_policy, states)
+    return correlate.extremes(c, list(DISTRICT_FEATURES), PERIOD)
 
 
 def corr_hygiene(census: DataFrame, outcome: DataFrame, census_aliases=None,
-                 outcome_aliases=None, null_policy: str = "skip") -> DataFrame:
+                 outcome_aliases=None, null_policy: str = "skip", states=None) -> DataFrame:
+    census = in_states(census, states)
     joined = _joined_outcome(_hygiene_districts(census), outcome, census_aliases, outcome_aliases)
     out = correlate.feature_correlations(joined, [PERIOD], [HYGIENE], PASS_PCT, null_policy)
     return out.withColumn(correlate.CORRELATION, round6(correlate.CORRELATION))
 
 
-def fit_line(census: DataFrame, outcome: DataFrame, census_aliases=None, outcome_aliases=None) -> DataFrame:
+def fit_line(census: DataFrame, outcome: DataFrame, census_aliases=None, outcome_aliases=None,
+             states=None) -> DataFrame:
     """Least-squares lines of pass % on library availability and on the
     hygiene score, per year. Both district features come from one
     aggregation of the census (same keys), joined once to the outcome."""
-    per_district = scores.hygiene_rows(census).groupBy(*YSD).agg(
+    per_district = scores.hygiene_rows(in_states(census, states)).groupBy(*YSD).agg(
         F.sum(TOTAL).alias("_t"),
         F.sum(LIBRARY).alias("_lib"),
         F.avg(scores.ROW_SCORE).alias(HYGIENE),
@@ -318,6 +333,19 @@ def quality_compare(census: DataFrame) -> DataFrame:
     return quality.compare_columns(forms, YS, "Gap_Of_Sums_Pct", "Gap_Of_Rows_Pct", tol=0.0)
 
 
+def quality_expected(census: DataFrame) -> DataFrame:
+    """Per district, the ramp rate of all schools (expected) against that of
+    its rural schools (observed): equal to a point, or not."""
+    rural = census.where(F.col(LOCATION) == F.lit(RURAL))
+    expected, observed = (rates.have_rate(c, YSD, "Ramps", "Ramp_Pct") for c in (census, rural))
+    return quality.compare(expected, observed, YSD, "Ramp_Pct", tol=1.0)
+
+
+def quality_expected_counts(census: DataFrame) -> DataFrame:
+    """How many districts differ from the expected rate, per year."""
+    return quality.summarize(quality_expected(census), [PERIOD])
+
+
 def quality_summary(census: DataFrame) -> DataFrame:
     return quality.summarize(quality_compare(census), [PERIOD])
 
@@ -335,6 +363,7 @@ CENSUS_ANALYSES = {
     "top_private_rural": top_private_rural,
     "mgmt_mix": mgmt_mix,
     "mgmt_share": mgmt_share,
+    "state_mgmt_share": state_mgmt_share,
     "sustain_top10": sustain_top10,
     "sustain_state": sustain_state,
     "sustain_by_mgmt": sustain_by_mgmt,
@@ -359,6 +388,8 @@ CENSUS_ANALYSES = {
     "trend_medical": trend_medical,
     "aliases": aliases,
     "quality_compare": quality_compare,
+    "quality_expected": quality_expected,
+    "quality_expected_counts": quality_expected_counts,
     "quality_summary": quality_summary,
     "quality_spread": quality_spread,
 }

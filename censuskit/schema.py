@@ -17,8 +17,6 @@ MGMT_ID = "School_Management_Id"
 PERIOD = "Academic_Year"
 TOTAL = "Total_Number_of_Schools"
 
-KEY_COLUMNS = [STATE, DISTRICT, LOCATION, MGMT_NAME, MGMT_ID, PERIOD]
-
 RURAL = "Rural"
 URBAN = "Urban"
 
@@ -55,25 +53,6 @@ MEASURES = [
     "Functional_Urinal",
 ]
 
-# Raw-file columns the study never uses; readers simply do not select them.
-UNUSED_COLUMNS = [
-    "Building",
-    "Boundary_Wall",
-    "Single_Class_Room",
-    "Separate_Room_for_Headmaster",
-    "Land_Available",
-    "Electricity",
-    "Furniture",
-    "Librarian",
-    "Boy_Toilet",
-    "Girl_Toilet",
-    "Drinking_Water",
-]
-
-# Academic years and state folders of the study.
-PERIODS = ["2017_2018", "2018_2019", "2019_2020"]
-STUDY_STATES = ["AndhraPradesh", "Karnataka", "Kerala", "TamilNadu", "Telangana"]
-
 # Essential facilities (output name -> census column); Newspaper is reported
 # as Functional_Newspaper.
 ESSENTIALS = {

@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def recommended_conf(input_bytes: int, cores: int,
@@ -19,12 +18,12 @@ def recommended_conf(input_bytes: int, cores: int,
 
     ``spark.sql.shuffle.partitions`` is the input volume over the target
     partition size (the census derivation shuffles about its whole input),
-    at least two waves of tasks and at most ``MAX_SHUFFLE_PARTITIONS``
-    (beyond that the map-output block count, maps x reducers, dominates);
-    AQE coalesces it down for the small post-aggregation shuffles.
+    at least two waves of tasks and without an upper bound, so that a partition
+    keeps its target size at any volume; AQE coalesces it down for the small
+    post-aggregation shuffles.
     """
     parts = math.ceil(max(input_bytes, 1) / target_partition_bytes)
-    parts = min(max(parts, 2 * cores), MAX_SHUFFLE_PARTITIONS)
+    parts = max(parts, 2 * cores)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -1,6 +1,6 @@
 """Outcome table (district exam pass percentages).
 
-The study's results sheet holds three independently sorted (district, pass %)
+The study's results sheet holds independently sorted (district, pass %)
 lists side by side, one pair of columns per exam year. ``read_outcome_csv``
 reads such a sheet; ``outcome_sheet`` builds the same layout from the driver
 tables; ``outcome_long`` turns either into one row per (district, year).
@@ -14,21 +14,13 @@ from pyspark.sql import functions as F
 from censuskit.operators.normalize import stack_lists
 from censuskit.schema import DISTRICT
 from censuskit.sources import storage
-from censuskit.sources.census import (
-    FIRST_ORDER_YEAR,
-    MAX_BROADCAST_CUSTOMERS,
-    MAX_BROADCAST_DIMENSION,
-    N_YEARS,
-    YEAR_OFFSET,
-)
+from censuskit.operators.trends import listed, periods_of
+from censuskit.sources.census import YEAR_OFFSET
 
 EXAM_YEAR = "Exam_Year"
 PASS_PCT = "Pass_Pct"
 
-# Column pairs of the results sheet (district column, value
-# column); the value column name is the exam year.
-SHEET_PAIRS = [("Districts1", "2017"), ("Districts2", "2018"), ("Districts3", "2019")]
-OUTCOME_VERSION = "1"
+OUTCOME_VERSION = "2"
 # Scale of the pass percentage derived from order prices.
 PRICE_PER_PASS_POINT = 5000.0
 
@@ -42,17 +34,10 @@ def outcome_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(district, exam year, pass %) derived from the driver tables: the mean
     order price of a nation's customers in a year, scaled to a percentage."""
     d = sf_dir.rstrip("/")
-    orders = storage.read_table(spark, f"{d}/orders.parquet")
-    ts_type = orders.schema["o_orderdate"].dataType
-    lo = F.lit(f"{FIRST_ORDER_YEAR}-01-01 00:00:00").cast(ts_type)
-    hi = F.lit(f"{FIRST_ORDER_YEAR + N_YEARS}-01-01 00:00:00").cast(ts_type)
-    orders = orders.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi)).select(
+    orders = storage.read_table(spark, f"{d}/orders.parquet").select(
         "o_custkey", "o_totalprice", F.year("o_orderdate").alias("_y")
     )
     customer = storage.read_table(spark, f"{d}/customer.parquet").select("c_custkey", "c_nationkey")
-    customer = storage.broadcast_or_shuffle(
-        customer, MAX_BROADCAST_CUSTOMERS, storage.table_rows(spark, f"{d}/customer.parquet")
-    )
     nation = storage.read_table(spark, f"{d}/nation.parquet").select("n_nationkey", "n_name")
     # Pre-aggregate orders to (customer, year) sums and counts before the
     # customer join (map-side partial aggregation absorbs a hot customer), so
@@ -66,10 +51,7 @@ def outcome_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("c_nationkey", "_y")
         .agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias("_avg_price"))
     )
-    nation = storage.broadcast_or_shuffle(
-        nation, MAX_BROADCAST_DIMENSION, storage.table_rows(spark, f"{d}/nation.parquet")
-    )
-    return per_nation.join(nation, per_nation.c_nationkey == nation.n_nationkey).select(
+    return per_nation.join(F.broadcast(nation), per_nation.c_nationkey == nation.n_nationkey).select(
         F.regexp_replace("n_name", "NATION_", "Nation ").alias(DISTRICT),
         (F.col("_y") + YEAR_OFFSET).cast("string").alias(EXAM_YEAR),
         F.round(F.col("_avg_price") / F.lit(PRICE_PER_PASS_POINT), 6).alias(PASS_PCT),
@@ -91,30 +73,37 @@ def outcome_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def outcome_sheet(spark: SparkSession, sf_dir: str, long: DataFrame | None = None) -> DataFrame:
-    """The results-sheet layout: for each exam year a list of (district,
-    pass %) sorted by district, the lists placed side by side by position.
+def outcome_sheet(spark: SparkSession, sf_dir: str, long: DataFrame | None = None, years=None) -> DataFrame:
+    """The results-sheet layout: for each exam year a pair of columns
+    (``Districts1``, the year's name, ...) with the list of (district, pass %)
+    sorted by district, the lists placed side by side by position.
 
-    The window is partitioned by year over per-district rows, so each window
-    group is bounded by the number of districts, not by the data size.
+    ``years`` defaults to those that occur; a year outside a given list is an
+    error. The window is partitioned by year over per-district rows, so each
+    window group is bounded by the number of districts, not by the data size.
     """
     if long is None:
         long = outcome_by_district(spark, sf_dir)
+    years = list(years or periods_of(long, EXAM_YEAR))
+    long = long.withColumn(EXAM_YEAR, listed(EXAM_YEAR, years))
     pos = F.row_number().over(Window.partitionBy(EXAM_YEAR).orderBy(DISTRICT, PASS_PCT))
     ranked = long.withColumn("_pos", pos)
     aggs = []
-    for name_col, year in SHEET_PAIRS:
+    for i, year in enumerate(years):
         hit = F.col(EXAM_YEAR) == F.lit(year)
-        aggs.append(F.max(F.when(hit, F.col(DISTRICT))).alias(name_col))
+        aggs.append(F.max(F.when(hit, F.col(DISTRICT))).alias(f"Districts{i + 1}"))
         aggs.append(F.max(F.when(hit, F.col(PASS_PCT))).alias(year))
     return ranked.groupBy("_pos").agg(*aggs).drop("_pos")
 
 
-def outcome_long(sheet: DataFrame, pairs=None, complete_only: bool = False) -> DataFrame:
+def outcome_long(sheet: DataFrame, pairs=None, complete_only: bool = False, aliases=None) -> DataFrame:
     """One row per (district, exam year) from a results sheet; district names
     are lower-cased, values cast to double (a malformed value becomes null).
-    ``complete_only`` keeps districts listed in every year, as the study's
-    inner join of the yearly lists did."""
-    pairs = pairs or [(n, v, v) for n, v in SHEET_PAIRS]
+    ``pairs`` (name column, value column, label) default to the sheet's columns
+    two by two, the value column naming the year. ``aliases`` mend spellings in
+    every list first; ``complete_only`` then keeps districts listed in every
+    year, as the study's inner join of the mended yearly lists did."""
+    names = sheet.columns
+    pairs = pairs or [(n, v, v) for n, v in zip(names[0::2], names[1::2])]
     return stack_lists(sheet, pairs, name_out=DISTRICT, label_out=EXAM_YEAR, value_out=PASS_PCT,
-                       complete_only=complete_only)
+                       complete_only=complete_only, aliases=aliases)

@@ -26,16 +26,21 @@ def _context(spark: SparkSession):
 def session_key(spark: SparkSession):
     """Identity of the running application, for per-session memos."""
     sc = _context(spark)
-    return id(sc) if sc is not None else id(spark)
+    return sc.applicationId if sc is not None else id(spark)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
+    Only a local session may do without one; on a cluster each executor would
+    write to a disk of its own, so that is an error."""
     sc = _context(spark)
     root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            # Unset: local run (tests). Never reached on a configured cluster.
+            master = sc.master if sc is not None else ""
+            if master != "local" and not master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="censuskit-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -52,16 +57,6 @@ def _listing(spark: SparkSession, *paths: str, recursive: bool = False) -> DataF
     return reader.load(list(paths)).select("path", "length", "modificationTime")
 
 
-def glob_parents(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders holding at least one file that matches a glob, sorted (the
-    listing has one row per file, not per record)."""
-    try:
-        paths = [r[0] for r in _listing(spark, pattern).select("path").collect()]
-    except AnalysisException:
-        return []
-    return sorted({p.rsplit("/", 1)[0] for p in paths})
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists (resolving the source lists it; no job runs)."""
     try:
@@ -73,16 +68,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def content_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     """Digest of the length and modification time of every file under the
-    inputs (one listing job), so a materialised table is rebuilt when its
-    inputs change."""
-    rows = sorted(tuple(r) for r in _listing(spark, *paths, recursive=True).collect())
-    h = hashlib.sha1("|".join(paths).encode())
-    for path, length, mtime in rows:
-        h.update(f"{path}:{length}:{mtime}".encode())
-    return h.hexdigest()
+    inputs (one listing job that returns one row)."""
+    files = _listing(spark, *paths, recursive=True)
+    row = files.agg(F.count("*"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return hashlib.sha1(f"{'|'.join(paths)}:{row[0]}:{row[1]}".encode()).hexdigest()
 
 
-_ROW_COUNTS: dict[tuple[int, str], int] = {}
 _TABLES: dict[tuple[int, str], object] = {}
 
 
@@ -98,25 +89,6 @@ def read_table(spark: SparkSession, path: str):
     return df
 
 
-def table_rows(spark: SparkSession, path: str) -> int:
-    """Row count of a Parquet table, memoised per session (answered from
-    file footers, so it is cheap even for large tables)."""
-    key = (session_key(spark), path)
-    n = _ROW_COUNTS.get(key)
-    if n is None:
-        n = read_table(spark, path).count()
-        _ROW_COUNTS[key] = n
-    return n
-
-
-def broadcast_or_shuffle(df, max_rows: int, rows: int):
-    """Broadcast ``df`` when ``rows`` (an upper bound on its row count, e.g.
-    from ``table_rows`` of its base table) is at most ``max_rows``; otherwise
-    hint a shuffled sort-merge join so that the other, larger side is never
-    broadcast in its place."""
-    return F.broadcast(df) if rows <= max_rows else df.hint("merge")
-
-
 _MATERIALISED: dict[tuple, tuple[str, object]] = {}
 _MATERIALISE_LOCK = threading.Lock()
 
@@ -126,10 +98,10 @@ def materialize(spark: SparkSession, name: str, inputs: list[str], version: str,
     and read back (lineage cut: a lost executor re-reads files instead of
     recomputing the derivation).
 
-    The folder name carries a digest of ``version`` and of the inputs (their
-    paths under an application-specific checkpoint root; their lengths and
-    modification times under a shared one), so changed inputs are never served
-    stale data.
+    Inputs are taken as read-only while the application runs: within it a
+    table is built once per input path, and its folder belongs to the
+    application alone. Without a SparkContext the folder may be shared, and its
+    name carries the inputs' lengths and modification times.
     ``build()`` returns the DataFrame, ``write(df, path)`` stores it,
     ``read(path)`` loads it; the loaded DataFrame is reused for the session.
     Concurrent callers in one driver build it once.

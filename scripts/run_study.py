@@ -6,8 +6,8 @@
 State_Name=<state>/``); ``--census-parquet`` reads a census written by
 ``write_census`` instead. The optional results sheet has the side-by-side
 layout (``Districts1,2017,Districts2,2018,...``); its district names are
-mapped to census spelling with the study's alias list. Every analysis is
-written to ``<out>/<name>/``.
+mapped to census spelling with the study's alias list. CSV input is parsed once,
+into ``<out>/_census/``; every analysis is written to ``<out>/<name>/``.
 """
 
 from __future__ import annotations
@@ -21,20 +21,24 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def run(spark, census_path: str, out: str, outcome_path: str | None = None, fmt: str = "parquet",
         census_format: str = "csv", only=None, corr_nulls: str = "skip",
-        complete_outcome: bool = False) -> list[str]:
+        complete_outcome: bool = False, states=None) -> list[str]:
     from censuskit.operators.normalize import EXAM_DISTRICT_ALIASES
     from censuskit.plans import study
-    from censuskit.sources.census import read_census, read_census_csv
+    from censuskit.sources.census import read_census, read_census_csv, write_census
     from censuskit.sources.outcome import outcome_long, read_outcome_csv
 
-    raw = read_census_csv(spark, census_path) if census_format == "csv" else read_census(spark, census_path)
-    census = study.prepare(raw)
+    if census_format == "csv":  # parsed once; every analysis reads the Parquet copy
+        copy = f"{out.rstrip('/')}/_census"
+        write_census(read_census_csv(spark, census_path), copy)
+        census_path = copy
+    census = study.prepare(read_census(spark, census_path))
     results = {name: fn(census) for name, fn in study.CENSUS_ANALYSES.items()}
     if outcome_path:
-        outcome = outcome_long(read_outcome_csv(spark, outcome_path), complete_only=complete_outcome)
+        outcome = outcome_long(read_outcome_csv(spark, outcome_path), complete_only=complete_outcome,
+                               aliases=EXAM_DISTRICT_ALIASES)
         for name, fn in study.OUTCOME_ANALYSES.items():
             kw = {"null_policy": corr_nulls} if name != "fit_line" else {}
-            results[name] = fn(census, outcome, outcome_aliases=EXAM_DISTRICT_ALIASES, **kw)
+            results[name] = fn(census, outcome, states=states, **kw)
     written = []
     for name, df in results.items():
         if only and name not in only:
@@ -55,6 +59,7 @@ def main() -> None:
                     help="zero: a missing value counts as 0 in correlations (the study's numbers)")
     ap.add_argument("--complete-outcome", action="store_true",
                     help="keep only districts listed in every exam year (the study's inner join)")
+    ap.add_argument("--corr-state", action="append", help="limit the correlation study to this state (repeatable)")
     args = ap.parse_args()
     if not (args.census or args.census_parquet):
         ap.error("one of --census or --census-parquet is required")
@@ -64,7 +69,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("censuskit-study").getOrCreate()
     names = run(spark, args.census or args.census_parquet, args.out, args.outcome, args.format,
                 "csv" if args.census else "parquet", corr_nulls=args.corr_nulls,
-                complete_outcome=args.complete_outcome)
+                complete_outcome=args.complete_outcome, states=args.corr_state)
     print(f"wrote {len(names)} results under {args.out}")
     spark.stop()
 

@@ -81,7 +81,7 @@ def test_d13_extremes_tie_rule(spark):
         [("y1", "a", 0.5), ("y1", "b", 0.9), ("y2", "a", 0.9), ("y2", "b", -0.2), ("y1", "c", -0.2), ("y2", "c", None)],
         "Academic_Year string, Feature string, Correlation double",
     )
-    r = correlate.extremes(corr, ["a", "b", "c"], "Academic_Year", ["y1", "y2"]).collect()[0]
+    r = correlate.extremes(corr, ["a", "b", "c"], "Academic_Year").collect()[0]
     assert (r["Max_Feature"], r["Max_Academic_Year"]) == ("b", "y1")
     assert (r["Min_Feature"], r["Min_Academic_Year"]) == ("c", "y1")
 
@@ -94,6 +94,35 @@ def test_d16_incomplete_period(spark):
     assert rows(wide) == [("A", 1, 2)]
     keep = trends.wide_by_period(df, [STATE], "Academic_Year", "v", ["p1", "p2"], complete_only=False)
     assert rows(keep) == [("A", 1, 2), ("B", 3, None)]
+    assert trends.wide_by_period(df, [STATE], "Academic_Year", "v").columns == [STATE, "p1", "p2"]
+    with pytest.raises(Exception, match="period not listed: p2"):
+        trends.wide_by_period(df, [STATE], "Academic_Year", "v", ["p1"]).collect()
+
+
+def test_state_spelling_is_mended_before_aggregation(spark):
+    from censuskit.plans import study
+
+    df = spark.createDataFrame([("Kerla", "Rural", 5), ("Kerala", "Urban", 7), ("Kerala", "Rural", 1)], "State_Name string, Location string, Total_Number_of_Schools int")
+    out = study.split(study.prepare(df.withColumn("Academic_Year", F.lit("y")))).collect()
+    assert [(r["State_Name"], r["Rural_School_Count"], r["Urban_School_Count"]) for r in out] == [("Kerala", 6, 7)]
+
+
+def test_aliases_come_before_completeness(spark):
+    from censuskit.operators.normalize import EXAM_DISTRICT_ALIASES
+    from censuskit.sources import outcome
+
+    sheet = spark.createDataFrame([("Bagalkote", "70", "Bagalkot", "71", "Bagalkote", "72"), ("Bidar", "1", "Bidar", "2", None, None)], "a string, `2017` string, b string, `2018` string, c string, `2019` string")
+    long = outcome.outcome_long(sheet, complete_only=True, aliases=EXAM_DISTRICT_ALIASES)
+    assert rows(long) == [("bagalkot", "2017", 70.0), ("bagalkot", "2018", 71.0), ("bagalkot", "2019", 72.0)]
+    assert long._jdf.queryExecution().optimizedPlan().toString().count("Union") == 0
+
+
+def test_counts_that_are_not_as_expected(spark):
+    from censuskit.operators import quality
+
+    df = spark.createDataFrame([("g", "a"), ("g", "b"), ("g", "b"), ("h", "c")], "g string, k string")
+    assert rows(quality.count_unexpected(df, ["k"], by=["g"])) == [("g", 2, 1), ("h", 1, 0)]
+    assert rows(quality.count_unexpected(df, ["k"])) == [(3, 1)]
 
 
 def test_stack_lists_and_csv_sheet(spark, tmp_path):
@@ -131,9 +160,10 @@ def test_outcome_sheet_round_trip(spark):
     from censuskit.sources import outcome
 
     sheet = outcome.outcome_sheet(spark, SF001)
-    assert sheet.columns == ["Districts1", "2017", "Districts2", "2018", "Districts3", "2019"]
+    years = [str(y) for y in range(2017, 2024)]
+    assert sheet.columns == [c for i, y in enumerate(years) for c in (f"Districts{i + 1}", y)]
     got = sheet.collect()
-    for name_col, year in (("Districts1", "2017"), ("Districts2", "2018"), ("Districts3", "2019")):
+    for name_col, year in zip(sheet.columns[0::2], sheet.columns[1::2]):
         names = sorted(r[name_col] for r in got if r[name_col] is not None)
         expect = sorted(r["District_Name"] for r in outcome.outcome_by_district(spark, SF001)
                         .where(F.col("Exam_Year") == year).collect())

@@ -1,11 +1,10 @@
-from censuskit.session import MAX_SHUFFLE_PARTITIONS, recommended_conf
+from censuskit.session import recommended_conf
 
 
 def test_partitions_scale_with_input():
     small = recommended_conf(10 * 2**20, cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"          # two waves
-    big = recommended_conf(1 * 2**40, cores=1000)                   # 1 TiB, 1000 cores
-    assert big["spark.sql.shuffle.partitions"] == str(2**40 // (128 * 2**20))
-    huge = recommended_conf(100 * 2**40, cores=8000)                # 100 TiB
-    assert huge["spark.sql.shuffle.partitions"] == str(MAX_SHUFFLE_PARTITIONS)
-    assert huge["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    for size in (2**40, 100 * 2**40):                               # 1 and 100 TiB: 128 MiB each
+        conf = recommended_conf(size, cores=1000)
+        assert conf["spark.sql.shuffle.partitions"] == str(size // (128 * 2**20))
+        assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
