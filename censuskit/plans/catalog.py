@@ -78,11 +78,12 @@ def outcome_complete(spark, sf_dir):
 
 
 def quality_unique(spark, sf_dir):
-    """Keys of the line items that should occur once: the line of an order
-    does, its order need not."""
-    lines = storage.read_table(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    checks = {"order_line": ["l_orderkey", "l_linenumber"], "order": ["l_orderkey"]}
-    parts = [quality.count_unexpected(lines, keys).select(F.lit(name).alias("Check_Name"), "Keys", "Unexpected") for name, keys in checks.items()]
+    """Keys that should occur once, and how many do not: orders by their key,
+    line items by order and line number."""
+    parts = []
+    for name, keys in {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"]}.items():
+        table = storage.read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        parts.append(quality.count_unexpected(table, keys).select(F.lit(name).alias("Check_Name"), "Keys", "Unexpected"))
     return parts[0].unionByName(parts[1])
 
 

@@ -401,11 +401,11 @@ listed AS (
 SELECT District_Name, Exam_Year, Pass_Pct FROM listed
 WHERE District_Name IN (SELECT District_Name FROM listed GROUP BY 1 HAVING count(DISTINCT Exam_Year) = 7)"""
     q["quality_unique"] = """
-SELECT 'order_line' AS Check_Name, count(*) AS Keys, count(CASE WHEN n <> 1 THEN 1 END) AS Unexpected
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) a
+SELECT 'orders' AS Check_Name, count(*) AS Keys, count(CASE WHEN n <> 1 THEN 1 END) AS Unexpected
+FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderkey) a
 UNION ALL
-SELECT 'order', count(*), count(CASE WHEN n <> 1 THEN 1 END)
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey) b"""
+SELECT 'lineitem', count(*), count(CASE WHEN n <> 1 THEN 1 END)
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) b"""
     q["corr_states"] = _with(OUTCOME, FEATURES_JOINED, SOME_STATES, _corr_long("fs")) + "SELECT * FROM corr_long"
     q["aliases"] = _with() + f"SELECT DISTINCT State_Name, District_Name, {_KEY} AS District_Key FROM census"
     q["corr"] = _with(OUTCOME, FEATURES_JOINED, CORR_LONG) + "SELECT * FROM corr_long"

@@ -53,7 +53,7 @@ def test_checks_see_both_outcomes(spark):
     assert {r.Passed for r in run("quality_expected")} == {True, False}
     assert all(r.Passed_Count and r.Failed_Count for r in run("quality_expected_counts"))
     assert {r.Passed for r in run("quality_spread")} == {True, False}
-    assert {r.Check_Name: r.Unexpected > 0 for r in run("quality_unique")} == {"order_line": False, "order": True}
+    assert {r.Check_Name: r.Unexpected > 0 for r in run("quality_unique")} == {"orders": False, "lineitem": True}
     whole, complete = run("outcome_long"), run("outcome_complete")
     assert 0 < len(complete) < len(whole) and {(r.District_Name, r.Exam_Year) for r in complete} <= {(r.District_Name, r.Exam_Year) for r in whole}
 
