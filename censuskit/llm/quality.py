@@ -26,6 +26,9 @@ BUCKETS = 1 << 15
 DIMENSIONS = 32
 ENTRIES = 2
 REACH = 2
+#: Vectors are whole multiples of 1 / FIXED; words pooled at a time.
+FIXED = 1 << 15
+WORDS = 1 << 16
 #: Buckets that travel as one row.
 CHUNK = 128
 #: Labelled rows that the network learns from at most.
@@ -97,7 +100,7 @@ def _add(batches):
 
 
 def word_vectors(texts: DataFrame) -> np.ndarray:
-    """The vectors of all buckets, weighted for pooling. What comes to the
+    """The vectors of all buckets, weighted for pooling, in units of 1 / FIXED. What comes to the
     driver is the model itself, ``BUCKETS`` rows whatever the corpus."""
     kind = "chunk int, sums binary"
     parts = texts.mapInArrow(_gather, kind).withColumn("salt", F.spark_partition_id() % 16)
@@ -109,31 +112,37 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
         sums[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(data, "<i8").reshape(CHUNK, -1)
     counts, vectors = sums[:, -1], sums[:, :-1]
     if not counts.any():
-        return np.zeros((BUCKETS, DIMENSIONS), np.float32)
+        return np.zeros((BUCKETS, DIMENSIONS), np.int32)
     vectors = vectors / np.maximum(counts, 1)[:, None]
     vectors -= (vectors * counts[:, None]).sum(0) / counts.sum()
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
     share = counts / counts.sum()
     weight = np.where(counts > 0, 1e-3 / (1e-3 + share), 0)  # frequent words count less
-    return (vectors * weight[:, None]).astype(np.float32)
+    return np.rint(vectors * weight[:, None] * FIXED).astype(np.int32)
 
 
 def pool(batch: pa.RecordBatch, vectors: np.ndarray) -> np.ndarray:
     """Each row's words pooled: their mean vector, the mean product of
     neighbours' vectors (words that repeat agree with themselves), and the log
-    of one more than their number. All zero without words."""
+    of one more than their number. All zero without words. Sums are integers,
+    so a row's values don't depend on its slice; words go a block at a time."""
     ids, rows = bucket_ids(batch)
-    out = np.zeros((batch.num_rows, 2 * vectors.shape[1] + 1))
-    if len(ids):
-        starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        sizes = np.diff(np.append(starts, len(ids)))
-        each = vectors[ids]
-        with_next = np.zeros_like(each)
-        near = rows[1:] == rows[:-1]
-        with_next[:-1][near] = each[:-1][near] * each[1:][near]
-        means = [np.add.reduceat(x, starts, axis=0, dtype=np.float64) / sizes[:, None] for x in (each, with_next)]
-        out[rows[starts]] = np.hstack([*means, np.log1p(sizes)[:, None]])
-    return out
+    n = vectors.shape[1]
+    sums = np.zeros((batch.num_rows, 2 * n), np.int64)
+    for low in range(0, len(ids), WORDS):
+        own = rows[low : low + WORDS]
+        each = vectors[ids[low : low + len(own) + 1]]
+        here = each[: len(own)]
+        with_next = np.zeros_like(here)
+        m = len(each) - 1
+        with_next[:m] = here[:m] * each[1:]
+        with_next[:m][rows[low : low + m] != rows[low + 1 : low + m + 1]] = 0
+        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        sums[own[starts], :n] += np.add.reduceat(here, starts, axis=0, dtype=np.int64)
+        sums[own[starts], n:] += np.add.reduceat(with_next, starts, axis=0, dtype=np.int64)
+    count = np.bincount(rows, minlength=batch.num_rows)
+    means = sums / np.repeat([FIXED, FIXED**2], n) / np.maximum(count, 1)[:, None]
+    return np.hstack([means, np.log1p(count)[:, None]])
 
 
 def logits(model: Model, x: np.ndarray) -> np.ndarray:

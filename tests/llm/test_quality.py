@@ -43,7 +43,22 @@ def test_word_vectors_equal_a_loop(spark):
     mean -= sums.sum(0) / counts.sum()
     mean /= np.maximum(np.linalg.norm(mean, axis=1), 1e-9)[:, None]
     weight = np.where(counts > 0, 1e-3 / (1e-3 + counts / counts.sum()), 0)
-    assert np.allclose(quality.word_vectors(df), mean * weight[:, None], atol=1e-5)
+    assert np.allclose(quality.word_vectors(df) / quality.FIXED, mean * weight[:, None], atol=1 / quality.FIXED)
+
+
+def test_pooling_equals_a_loop(monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-quality.FIXED, quality.FIXED, (quality.BUCKETS, 4)).astype(np.int32)
+    batch = pa.record_batch({"text": ["a b a a c", "", "z", "a b c d e f g " * 9, "x x"]})
+    ids, rows = quality.bucket_ids(batch)
+    whole = quality.pool(batch, vectors)
+    monkeypatch.setattr(quality, "WORDS", 3)
+    assert (quality.pool(batch, vectors) == whole).all()
+    for r in range(5):
+        v = vectors[ids[rows == r]] / quality.FIXED
+        pairs = v[:-1] * v[1:]
+        want = [*(v.sum(0) / max(1, len(v))), *(pairs.sum(0) / max(1, len(v))), np.log1p(len(v))]
+        assert np.allclose(whole[r], want)
 
 
 def test_held_out_accuracy(spark):
