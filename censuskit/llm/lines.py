@@ -4,7 +4,9 @@ For each line of a site, the pages of the site that hold it are divided by all
 its pages; lines above a ratio are boilerplate and go. Counting is a grouped
 aggregate with map-side sums, so a big site is no hot key; what a page is
 joined with is its site's list of boilerplate lines, whose length the ratio
-bounds by the number of lines that a page of the site has on average.
+bounds by the number of lines that a page of the site has on average. The lists
+are written and counted: up to a bound they are broadcast and no page moves,
+beyond it they are joined by site, where AQE splits a big site.
 """
 
 from __future__ import annotations
@@ -12,10 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import cut
+
 #: A line on more than this share of a site's pages is boilerplate, if it is on
 #: this many pages at least.
 RATIO = 0.1
 LEAST_PAGES = 3
+#: Boilerplate lines of all sites (8 bytes each) up to which they are broadcast.
+BROADCAST_MARKS = 1_000_000
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
 HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
@@ -49,7 +55,7 @@ def boilerplate(pages: DataFrame, site: str, lines: str, ratio: float = RATIO, l
     return often.groupBy("site").agg(F.collect_set("mark").alias("marks"))
 
 
-def drop_lines(df: DataFrame, site: str, lines: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_lines(df: DataFrame, site: str, lines: str, ratio: float = RATIO, least_pages: int = LEAST_PAGES, broadcast_marks: int = BROADCAST_MARKS) -> DataFrame:
     """``df`` with its array ``lines`` replaced by the lines that stay.
 
     Blank lines stay, and so does everything on rows whose site is null; a null
@@ -57,6 +63,9 @@ def drop_lines(df: DataFrame, site: str, lines: str, ratio: float = RATIO, least
     back.
     """
     found = boilerplate(df, site, lines, ratio, least_pages).select(F.col("site").alias("_line_site"), F.col("marks").alias("_line_marks"))
+    found = cut(found, "boilerplate")
+    marks = found.agg(F.sum(F.size("_line_marks") + 8)).first()[0] or 0
+    found = F.broadcast(found) if marks <= broadcast_marks else found.hint("merge")
     joined = df.join(found, df[site] == F.col("_line_site"), "left")
     stays = F.filter(df[lines], lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("_line_marks"), F.xxhash64(F.trim(x))))
     return joined.select(*[F.when(F.col("_line_marks").isNull(), df[c]).otherwise(stays).alias(c) if c == lines else df[c] for c in df.columns])

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from censuskit.llm import lines
 from tests.conftest import SF001, SF01
@@ -33,6 +34,9 @@ def test_text_lines(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r.text for r in lines.drop_text_lines(df).collect()}
     assert got == {**{i: f"\nbody {i}" for i in range(20)}, 30: "top", 31: None, 32: "top", 33: ""}
+    wide = df.withColumn("lines", F.split("text", "\n")).drop("text")
+    one, two = (sorted(map(str, lines.drop_lines(wide, "source", "lines", broadcast_marks=n).collect())) for n in (0, 100))
+    assert one == two  # joined by site, and broadcast
     few = df.where("doc_id < 4")
     assert {r.text for r in lines.drop_text_lines(few, least_pages=5).collect()} == {t for _, t, _ in rows[:4]}
     assert lines.drop_text_lines(df).schema == df.schema
