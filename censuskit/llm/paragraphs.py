@@ -34,6 +34,9 @@ RECALL = 0.9999
 HASHES = 40
 #: Classes that meet in one task as one chunk.
 CHUNK = 2_000
+#: Colliding classes (8 bytes each) up to which they are broadcast to pick out
+#: their shingles; beyond it both sides are shuffled.
+BROADCAST_CLASSES = 1_000_000
 
 
 def tune(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -184,18 +187,22 @@ def _contracted(node, root):
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["node", "root"])
 
 
-def similar(classes: DataFrame, least: float = SIMILARITY, chunk: int = CHUNK) -> DataFrame:
+def similar(classes: DataFrame, least: float = SIMILARITY, chunk: int = CHUNK, broadcast_classes: int = BROADCAST_CLASSES) -> DataFrame:
     """Links ``(node, root)`` that connect all classes (``cls``, ``bands``,
     ``shingles``; rows that repeat a class do no harm) that share a band value
     and are similar."""
     n = shuffle_partitions(classes.sparkSession)
-    keyed = classes.select("cls", F.explode("bands").alias("value")).repartition(n, "value")  # read twice, shuffled once
+    # Read twice below, by plans that are alike down to the exchange, so shuffled once.
+    keyed = classes.select("cls", F.explode("bands").alias("value")).where("value is not null and cls is not null").repartition(n, "value")
     shared = keyed.groupBy("value").agg(F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("n")).where("a != b")
     shared = shared.select("value", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
     met = keyed.join(shared, "value").distinct().withColumn("own", F.pmod(F.xxhash64("cls"), F.col("chunks").cast("long")).cast("int"))
     met = met.select("cls", "value", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     met = met.select("cls", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    sets = classes.select("cls", "shingles").join(met.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+    met = cut(met, "collisions")
+    wanted = met.select("cls").distinct()
+    wanted = F.broadcast(wanted) if wanted.count() <= broadcast_classes else wanted.hint("merge")
+    sets = classes.select("cls", "shingles").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
     block = ["value", "low", "high"]
     full = met.join(sets, "cls").repartition(n, *block).sortWithinPartitions(*block)
     return full.mapInArrow(lambda batches: _verify(batches, least), "node long, root long")

@@ -57,7 +57,7 @@ def check(spark, rows, **options):
     return want
 
 
-def test_equals_all_pairs(spark):
+def test_equals_all_pairs(spark, monkeypatch):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("aeiounrst") for _ in range(rng.randint(1, 6)))
     base = [[word() for _ in range(rng.randint(15, 90))] for _ in range(25)]
@@ -72,7 +72,8 @@ def test_equals_all_pairs(spark):
         rows.append((d, "\n".join(paras)))
     same = " ".join(base[0]).upper()
     rows += [(300, same + "\n" + same), (301, "\n\n" + same + "\n"), (302, None), (303, ""), (None, same), (None, same), (0, rows[0][1]), (0, "other\n" + same), (304, "a " * 30_000)]
-    for options in ({}, {"chunk": 2}):
+    for options, bound in (({}, paragraphs.BROADCAST_CLASSES), ({"chunk": 2}, 0)):
+        monkeypatch.setattr(paragraphs.similar, "__defaults__", (*paragraphs.similar.__defaults__[:-1], bound))
         assert len(check(spark, rows, **options)) > 40
 
 
