@@ -15,6 +15,8 @@ from censuskit.llm import bpe, decontam, lines, quality, simhash
 from censuskit.llm.queries import RANK_FILE
 from censuskit.llm.shared import cut, table
 
+#: Documents stay whose calibrated chance of good quality is at least this.
+LEAST_QUALITY = 0.5
 #: A line of a source's documents is boilerplate on more than this share of
 #: them, and on this many at least.
 LINE_RATIO = 0.1
@@ -24,7 +26,7 @@ LINE_DOCUMENTS = 10
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns here, from
     ``labels``, and sees the text alone."""
-    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=LEAST_QUALITY)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
