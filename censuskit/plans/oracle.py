@@ -9,17 +9,89 @@ rounded to 6 places, ranks cast to INTEGER.
 
 from __future__ import annotations
 
-from censuskit.schema import (
-    ADVANCED,
-    DISTRICT_FEATURES,
-    ESSENTIALS,
-    HYGIENE_WEIGHTS,
-    MANAGEMENT_NAMES,
-    MEASURES,
-    SECTORS,
-    SUSTAINABILITY_WEIGHTS,
-)
-
+# Fixed values of the study, stated here apart from the library's so that a
+# wrong constant there shows.
+MEASURES = [
+    "Functional_Electricity",
+    "Solar_Panel",
+    "Playground",
+    "Library_or_Reading_Corner_or_Book_Bank",
+    "Newspaper",
+    "Kitchen_Garden",
+    "Functional_Boy_Toilet",
+    "Functional_Girl_Toilet",
+    "Functional_Toilet_Facility",
+    "Functional_Toilet_and_Urinal",
+    "Functional_Drinking_Water",
+    "Water_Purifier",
+    "Rain_Water_Harvesting",
+    "Handwash",
+    "Incinerator",
+    "Water_Tested",
+    "WASH_Facility_Drinking_Water_Toilet_and_Handwash",
+    "Ramps",
+    "Medical_Checkup",
+    "Complete_Medical_Checkup",
+    "Internet",
+    "Computer_Available",
+    "Functional_Urinal_Boy",
+    "Functional_Urinal_Girl",
+    "Functional_Urinal",
+]
+SUSTAINABILITY_WEIGHTS = [
+    ("Solar_Panel", 0.2),
+    ("Kitchen_Garden", 0.3),
+    ("Rain_Water_Harvesting", 0.4),
+    ("Incinerator", 0.1),
+]
+HYGIENE_WEIGHTS = [
+    ("Functional_Drinking_Water", 0.25),
+    ("Water_Purifier", 0.25),
+    ("Functional_Toilet_Facility", 0.25),
+    ("Handwash", 0.15),
+    ("Functional_Urinal", 0.05),
+    ("Water_Tested", 0.05),
+]
+SECTORS = {
+    "Private": [5],
+    "Aided": [4],
+    "Others": [3, 97, 98],
+    "Government": [1, 2, 6, 8, 90, 91, 92, 93, 94, 95, 96, 101],
+}
+MANAGEMENT_NAMES = {
+    1: "Department of Education",
+    2: "Tribal Welfare Department",
+    3: "Unrecognised",
+    4: "Government Aided",
+    5: "Private Unaided (Recognized)",
+    6: "Other Govt. managed schools",
+    8: "Local body",
+    90: "Social welfare Department",
+    91: "Ministry of Labour",
+    92: "Kendriya Vidyalaya",
+    93: "Jawahar Navodaya Vidyalaya",
+    94: "Sainik School",
+    95: "Railway School",
+    96: "Central Tibetan School",
+    97: "Madarsa recognized (by Wakf board/Madarsa Board)",
+    98: "Madarsa unrecognized",
+    101: "Other Central Govt. Schools",
+}
+ESSENTIALS = {
+    "Functional_Drinking_Water": "Functional_Drinking_Water",
+    "Functional_Boy_Toilet": "Functional_Boy_Toilet",
+    "Functional_Girl_Toilet": "Functional_Girl_Toilet",
+    "Handwash": "Handwash",
+    "Functional_Electricity": "Functional_Electricity",
+    "Functional_Newspaper": "Newspaper",
+    "Library_or_Reading_Corner_or_Book_Bank": "Library_or_Reading_Corner_or_Book_Bank",
+    "Playground": "Playground",
+}
+ADVANCED = {
+    "Internet": "Internet",
+    "Computer_Available": "Computer_Available",
+}
+DISTRICT_FEATURES = {**ESSENTIALS, **ADVANCED, "Ramps": "Ramps"}
 
 # Academic years of the driver tables: columns of the trend tables.
 PERIODS = ["2017_2018", "2018_2019", "2019_2020", "2020_2021", "2021_2022", "2022_2023", "2023_2024"]
