@@ -6,15 +6,19 @@ anchors at equal distances, and neighbouring windows mostly share theirs. A
 stretch of windows with one anchor is a suffix of the sampled suffix array: its
 key is the anchor's gram, its content the fingerprint of all its bytes.
 
-Each task reduces what it reads: of equal suffixes it passes on the first, and
-of a gram one row. Keys are dealt out by hash; a task takes its rows in document
-order, batch by batch. A batch is sorted into a suffix array, merge-scanned
-against the levels of the index for earlier equal entries, and becomes a level
-itself; levels of equal size merge. A suffix found whole is a repeat in all its
-windows. Where one gram has different suffixes, their windows are looked up
-one by one in the same way, in a second family keyed by whole windows. At most
-one row per task and key ever travels, so no text, however often it is copied,
-makes a hot key.
+Keys are dealt out by hash; a part takes its rows in document order, batch by
+batch. A batch is sorted into a suffix array, merge-scanned against the levels
+of the index for earlier equal entries, and becomes a level itself; levels of
+equal size merge. A suffix found whole is a repeat in all its windows. Where one
+gram has different suffixes, they are told apart on longer stretches, as suffix
+sorting doubles its prefixes: every window holds the longer stretch to the left
+or the one to the right of its anchor, so the windows of each side are
+looked up by that stretch first, and one by one only where it, too, has
+different surroundings.
+
+Each task reduces what it reads: of a key it passes on one row, and what it can
+decide by itself never travels. So no text, however often it is copied, makes a
+hot key. Rows travel packed in columns, a block for each task and part.
 """
 
 from __future__ import annotations
@@ -106,14 +110,60 @@ def stretches(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray, length: i
     return row[new], first, count, grams[at], content
 
 
-_FIELDS = [("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("mark", pa.int32()), ("start", pa.int32()), ("count", pa.int32()), ("state", pa.int8()), ("sent", pa.bool_())]
-_ROW = "key long, content long, doc long, mark int, start int, count int, state byte, sent boolean"
+#: A row on its way: a key, its content, where its windows begin, how many they
+#: are, what is known of them, and whether it is to be looked up.
+_ROW = [("key", "<i8"), ("content", "<i8"), ("doc", "<i8"), ("mark", "<i4"), ("start", "<i4"), ("count", "<i2"), ("state", "<i1"), ("sent", "<i1")]
+_WIDTH = sum(np.dtype(t).itemsize for _, t in _ROW)
+_BLOCK = "part int, rows binary"
 _FOUND = "doc long, mark int, start int, count int, state byte"
+_FOUND_TYPES = [("doc", pa.int64()), ("mark", pa.int32()), ("start", pa.int32()), ("count", pa.int32()), ("state", pa.int8())]
 
 
-def _emit(fields, *columns):
+def _emit(columns):
+    """Found rows, some at a time."""
     for low in range(0, len(columns[0]), ROWS):
-        yield pa.RecordBatch.from_arrays([pa.array(c[low : low + ROWS], t) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
+        yield pa.RecordBatch.from_arrays([pa.array(c[low : low + ROWS], t) for c, (_, t) in zip(columns, _FOUND_TYPES)], [n for n, _ in _FOUND_TYPES])
+
+
+def _pack(parts: int, *columns: np.ndarray):
+    """The rows that have something to tell, dealt to parts: those to be looked
+    up by key, the others anywhere. In a block they stand in document order."""
+    key, _, doc, mark, start, _, state, sent = columns
+    part = np.where(sent, key.view(np.uint64), mix(doc.view(np.uint64) ^ start.astype(np.uint64))) % np.uint64(parts)
+    order = np.lexsort((start, mark, doc, part))
+    order = order[sent[order] | (state[order] != SINGLE)]
+    part = part[order].astype(np.int32)
+    columns = [c[order] for c in columns]
+    edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
+    for low, high in zip(edges[:-1], edges[1:]):
+        for at in range(low, high, ROWS):
+            block = slice(at, min(at + ROWS, high))
+            raw = b"".join(c[block].astype(t).tobytes() for c, (_, t) in zip(columns, _ROW))
+            yield pa.RecordBatch.from_arrays([pa.array(part[at : at + 1]), pa.array([raw], pa.binary())], ["part", "rows"])
+
+
+def _unpack(batches):
+    """The rows of each part, in document order; blocks come sorted by part."""
+    here, held = None, []
+
+    def whole():
+        columns = [np.concatenate(x) for x in zip(*held)]
+        order = np.lexsort((columns[4], columns[3], columns[2]))
+        return [c[order] for c in columns]
+
+    for batch in batches:
+        for part, raw in zip(batch.column("part").to_pylist(), batch.column("rows")):
+            if part != here and held:
+                yield whole()
+                held = []
+            here, raw, at, columns = part, raw.as_buffer(), 0, []
+            n = len(raw) // _WIDTH
+            for _, t in _ROW:
+                columns.append(np.frombuffer(raw, t, n, at))
+                at += n * np.dtype(t).itemsize
+            held.append(columns)
+    if held:
+        yield whole()
 
 
 def _columns(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
@@ -132,143 +182,178 @@ def _one_of_each(held: list[tuple], keys: int) -> list[np.ndarray]:
     return [c[keep] for c in columns]
 
 
-def _suffixes(batches, length: int, gram: int):
-    """A task's suffixes: repeats of others here, those whose gram has others
-    here (open), and of each gram the first, sent to be looked up elsewhere."""
-    held: list[tuple] = []
-    for batch in batches:
-        for part in slices(batch, "text", SLICE):
-            data, offsets = raw_bytes(part.column("text"))
-            row, first, count, key, content = stretches(data, offsets, prefix_sums(data), length, gram)
-            if len(row):
-                doc, mark = (x[row] for x in _columns(part, "doc", "mark"))
-                held.append((key.view(np.int64), content.view(np.int64), doc, mark, (first - offsets[row]).astype(np.int32), count.astype(np.int32)))
+def _reduced(held: list[tuple], parts: int):
+    """A task's rows (key, content, doc, mark, start, count): repeats of others
+    here, those whose key has other contents here (open), and of each key the
+    first in document order, sent to be looked up elsewhere."""
     if not held:
         return
-    key, content, *rest = _one_of_each(held, 2)
+    key, content, doc, mark, start, count = _one_of_each(held, 2)
     first = np.concatenate([[True], key[1:] != key[:-1]])
     new = first | np.concatenate([[True], content[1:] != content[:-1]])
     group = np.cumsum(first) - 1
     several = np.bincount(group, weights=new)[group] > 1
     state = np.where(~new, REPEAT, np.where(several, OPEN, SINGLE)).astype(np.int8)
-    # The first of a gram here need not be its earliest: send the one that is.
-    doc, mark, start = rest[:3]
     by_place = np.lexsort((start, mark, doc, group))
     sent = np.zeros(len(key), bool)
     sent[by_place[np.concatenate([[True], group[by_place][1:] != group[by_place][:-1]])]] = True
-    yield from _emit(_FIELDS, key, content, *rest, state, sent)
+    yield from _pack(parts, key, content, doc, mark, start, count, state, sent)
+
+
+def _suffixes(batches, length: int, gram: int, parts: int):
+    """A task's sampled suffixes."""
+    held: list[tuple] = []
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            data, offsets = raw_bytes(part.column("text"))
+            row, first, count, key, content = stretches(data, offsets, prefix_sums(data), length, gram)
+            if len(row):
+                doc, mark = (x[row] for x in _columns(part, "doc", "mark"))
+                held.append((key.view(np.int64), content.view(np.int64), doc, mark, (first - offsets[row]).astype(np.int32), count.astype(np.int16)))
+    yield from _reduced(held, parts)
 
 
-def _look_up_suffixes(batches):
-    """Rows in document order, one a task and gram: a suffix met before is a
-    repeat; a gram with different suffixes opens them all, the first included."""
+def _look_up(columns):
+    """Found rows of a part. Its rows, in document order, are one a task and
+    key: a content met before is a repeat; of a key with different contents the
+    first of each is open."""
     index = LogIndex()
-    names = [n for n, _ in _FIELDS]
-    found = [f for f in _FIELDS if f[0] in ("doc", "mark", "start", "count", "state")]
 
-    def batch_of(columns):
-        key, content, doc, mark, start, count, state = columns
-        order = np.argsort(key, kind="stable")
+    def batch_of(key, content, doc, mark, start, count, state):
+        order = np.lexsort((np.arange(len(key)), content, key))
         key, content, doc, mark, start, count, state = (x[order] for x in (key, content, doc, mark, start, count, state))
         first = np.concatenate([[True], key[1:] != key[:-1]])
-        group = np.cumsum(first) - 1
-        lead = np.flatnonzero(first)  # of each gram, the first here
+        new = first | np.concatenate([[True], content[1:] != content[:-1]])
+        group, lead = np.cumsum(first) - 1, np.flatnonzero(first)  # by key
+        own, head = np.cumsum(new) - 1, np.flatnonzero(new)  # by key and content; the first of each
+        # Any entry of the key: a lone one is single, of several all are open.
         level, place = index.scan(key[lead])
-        leading = [x[lead].copy() for x in (content, doc, mark, start, state)]
+        known_open = np.zeros(len(lead), bool)
         for n, columns_ in enumerate(index.levels):
             here = level == n
-            for own, c in zip(leading, (1, 2, 3, 4, 6)):
-                own[here] = columns_[c][place[here]]
-        lead_content, open_ = leading[0], (leading[4] == OPEN) & (level >= 0)
-        was_open = open_ | ((level < 0) & (state[lead] == OPEN))
-        clash = (state == OPEN) | (content != lead_content[group])
-        open_ = was_open | (np.bincount(group, weights=clash) > 0)
+            known_open[here] = columns_[6][place[here]] == OPEN
+        same_level, same_place = index.scan(key[head], content[head])
+        fresh = same_level < 0
+        contents = np.bincount(group[head], weights=fresh) + (level >= 0)
+        open_ = known_open | (contents > 1) | (np.bincount(group, weights=state == OPEN) > 0)
         out = []
-        # The leading suffix in the index opens now.
-        for n, columns_ in enumerate(index.levels):
-            at = place[(level == n) & open_ & ~was_open]
+        for n, columns_ in enumerate(index.levels):  # a lone entry that is not alone now
+            at = place[(level == n) & open_ & ~known_open]
             columns_[6][at] = OPEN
             out.append([*(columns_[c][at] for c in (2, 3, 4, 5)), np.full(len(at), OPEN, np.int8)])
-        # The leading suffix itself, or the same place of a row that is there again.
-        later = np.logical_or.reduce([x != own[group] for x, own in zip((doc, mark, start), leading[1:4])])
-        tell = (state == SINGLE) & (later | open_[group])
-        out.append([doc[tell], mark[tell], start[tell], count[tell], np.where(open_[group][tell], OPEN, REPEAT).astype(np.int8)])
-        fresh = lead[level < 0]
-        now = np.where(open_[level < 0], OPEN, SINGLE).astype(np.int8)
-        index.add(key[fresh], content[fresh], doc[fresh], mark[fresh], start[fresh], count[fresh], now)
+        # The places of the first of each content, here or in the index: others repeat it.
+        leading = [x[head].copy() for x in (doc, mark, start)]
+        for n, columns_ in enumerate(index.levels):
+            here = same_level == n
+            for x, c in zip(leading, (2, 3, 4)):
+                x[here] = columns_[c][same_place[here]]
+        repeat = np.logical_or.reduce([x != y[own] for x, y in zip((doc, mark, start), leading)])
+        out.append([doc[repeat], mark[repeat], start[repeat], count[repeat], np.full(int(repeat.sum()), REPEAT, np.int8)])
+        head = head[fresh]
+        now = np.where(open_[group[head]], OPEN, SINGLE).astype(np.int8)
+        index.add(*(x[head] for x in (key, content, doc, mark, start, count)), now)
+        out.append([*(x[head][now == OPEN] for x in (doc, mark, start, count)), now[now == OPEN]])
         return [np.concatenate(x) for x in zip(*out)]
 
-    held, size = [], 0
+    sent = columns[7] != 0
+    told = (columns[6] != SINGLE) & ~sent
+    yield from _emit([c[told] for c in columns[2:7]])
+    columns = [c[sent] for c in columns[:7]]
+    for low in range(0, len(columns[0]), BATCH):
+        yield from _emit(batch_of(*(c[low : low + BATCH] for c in columns)))
+
+
+def _open(part: pa.RecordBatch):
+    """Per open stretch of a slice: row, first window, windows."""
+    lists = part.column("open")
+    start, count = (lists.flatten().field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("start", "count"))
+    return np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy())), start, count
+
+
+def _halves(batches, length: int, gram: int, parts: int):
+    """The windows of open suffixes in two runs, left and right: all windows of
+    a run hold the longer stretch on that side of their anchor, its key; all its
+    bytes are its content."""
+    held: list[tuple] = []
+    side = (length - gram) // 2
     for batch in batches:
-        columns = _columns(batch, *names)
-        sent = columns[7]
-        own = columns[6] != SINGLE  # told where they were read
-        yield from _emit(found, *(c[own] for c in columns[2:7]))
-        held.append([c[sent] for c in columns[:7]])
-        size += int(sent.sum())
-        if size >= BATCH:
-            yield from _emit(found, *batch_of([np.concatenate(x) for x in zip(*held)]))
-            held, size = [], 0
-    if size:
-        yield from _emit(found, *batch_of([np.concatenate(x) for x in zip(*held)]))
-
-
-_WINDOW_FIELDS = [("key", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("mark", pa.int32()), ("start", pa.int32()), ("sent", pa.bool_())]
-_WINDOW = "key long, content long, doc long, mark int, start int, sent boolean"
-
-
-def _windows(batches, length: int, gram: int):
-    """The windows of open suffixes: of equal ones in a task the first is sent,
-    the others are repeats."""
+        for part in slices(batch, "text", SLICE):
+            data, offsets = raw_bytes(part.column("text"))
+            sums = prefix_sums(data)
+            row, start, count = _open(part)
+            begin = start + offsets[row]
+            grams = every(sums, gram)
+            # The anchor: the smallest gram of the first window.
+            spread = begin[:, None] + np.arange(length - gram + 1)[None]
+            anchor = begin + np.argmin(grams[spread] >> _PLACE, axis=1) if len(begin) else begin
+            doc, mark = (x[row] for x in _columns(part, "doc", "mark"))
+            # Windows that begin at least ``side`` before the anchor, and the rest.
+            cut_ = np.clip(anchor - side - begin + 1, 0, count)
+            for low, n, a, b in ((start, cut_, anchor - side, anchor + gram), (start + cut_, count - cut_, anchor, anchor + gram + length - gram - side)):
+                use = n > 0
+                key = spans(sums, a[use], b[use]).view(np.int64)
+                key = mix(key.view(np.uint64) + (a[use] == anchor[use]).astype(np.uint64)).view(np.int64)
+                from_, to = (low + offsets[row])[use], (low + offsets[row] + n + length - 1)[use]
+                content = spans(sums, from_, to)
+                content = mix(content + mix(((anchor[use] - from_ + length) << 32).astype(np.uint64) + n[use].astype(np.uint64))).view(np.int64)
+                held.append((key, content, doc[use], mark[use], low[use].astype(np.int32), n[use].astype(np.int16)))
+    yield from _reduced(held, parts)
+
+
+def _windows(batches, length: int, gram: int, parts: int):
+    """The windows of what is still open: of equal ones in a task the first is
+    sent, the others are repeats. Windows are equal if their bytes' hash and
+    that of their first gram are: the key holds both."""
     held: list[tuple] = []
     for batch in batches:
         for part in slices(batch, "text", SLICE):
             data, offsets = raw_bytes(part.column("text"))
             sums = prefix_sums(data)
-            lists = part.column("open")
-            start, count = (lists.flatten().field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("start", "count"))
-            row = np.repeat(np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy())), count)
+            row, start, count = _open(part)
+            row = np.repeat(row, count)
             at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
             begin = at + offsets[row]
-            # Windows are equal if their bytes' hash and their first gram's are.
             key, content = spans(sums, begin, begin + length), spans(sums, begin, begin + gram)
             doc, mark = (x[row] for x in _columns(part, "doc", "mark"))
-            held.append((key.view(np.int64), content.view(np.int64), doc, mark, at.astype(np.int32)))
+            held.append((key.view(np.int64), content.view(np.int64), doc, mark, at.astype(np.int32), np.ones(len(at), np.int16)))
     if not held:
         return
-    key, content, *place = _one_of_each(held, 2)
-    sent = np.concatenate([[True], (key[1:] != key[:-1]) | (content[1:] != content[:-1])]) if len(key) else np.zeros(0, bool)
-    yield from _emit(_WINDOW_FIELDS, key, content, *place, sent)
+    key, content, *rest = _one_of_each(held, 2)
+    sent = np.concatenate([[True], (key[1:] != key[:-1]) | (content[1:] != content[:-1])])[: len(key)]
+    yield from _pack(parts, key, content, *rest, np.where(sent, SINGLE, REPEAT).astype(np.int8), sent)
 
 
-def _look_up_windows(batches):
-    """Windows met before, from rows in document order, one a task and window."""
-    index, held, size = LogIndex(), [], 0
-    found = [f for f in _WINDOW_FIELDS if f[0] in ("doc", "mark", "start")]
+def _look_up_windows(columns):
+    """Repeats among the windows of a part, one a task and window, in document
+    order."""
+    index = LogIndex()
 
-    def batch_of(columns):
-        key, content, doc, mark, start = columns
+    def batch_of(key, content, doc, mark, start, count):
         order = np.lexsort((np.arange(len(key)), content, key))
-        key, content, doc, mark, start = (x[order] for x in (key, content, doc, mark, start))
+        key, content, doc, mark, start, count = (x[order] for x in (key, content, doc, mark, start, count))
         lead = np.concatenate([[True], (key[1:] != key[:-1]) | (content[1:] != content[:-1])])
         level, _ = index.scan(key[lead], content[lead])
         fresh = np.flatnonzero(lead)[level < 0]
         repeat = np.ones(len(key), bool)
         repeat[fresh] = False
         index.add(key[fresh], content[fresh])
-        return doc[repeat], mark[repeat], start[repeat]
+        return [*(x[repeat] for x in (doc, mark, start, count)), np.full(int(repeat.sum()), REPEAT, np.int8)]
 
-    for batch in batches:
-        columns = _columns(batch, *(n for n, _ in _WINDOW_FIELDS))
-        sent = columns[5]
-        yield from _emit(found, *(c[~sent] for c in columns[2:5]))
-        held.append([c[sent] for c in columns[:5]])
-        size += int(sent.sum())
-        if size >= BATCH:
-            yield from _emit(found, *batch_of([np.concatenate(x) for x in zip(*held)]))
-            held, size = [], 0
-    if size:
-        yield from _emit(found, *batch_of([np.concatenate(x) for x in zip(*held)]))
+    sent = columns[7] != 0
+    yield from _emit([c[~sent] for c in columns[2:7]])
+    columns = [c[sent] for c in columns[:6]]
+    for low in range(0, len(columns[0]), BATCH):
+        yield from _emit(batch_of(*(c[low : low + BATCH] for c in columns)))
+
+
+def _looked_up(blocks: DataFrame, parts: int, look_up) -> DataFrame:
+    """Blocks brought together by part, and what a look-up finds there."""
+
+    def run(batches):
+        for columns in _unpack(batches):
+            yield from look_up(columns)
+
+    return blocks.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, _FOUND)
 
 
 def _keep(batches, length: int):
@@ -314,17 +399,18 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", length:
     last = F.lit((1 << 63) - 1)
     content = F.coalesce(F.col(text), F.lit(""))
     texts = df.select(F.col(key).alias("id"), F.coalesce(F.col(key).cast("long"), last).alias("doc"), F.hash(content).alias("mark"), content.cast("binary").alias("text"))
-    order = ["doc", "mark", "start"]
-    suffixes = texts.select("doc", "mark", "text").mapInArrow(lambda b: _suffixes(b, length, gram), _ROW).where(f"sent or state != {SINGLE}")
-    # Rows sent are dealt out by gram; the others only pass through.
-    dealt = suffixes.withColumn("deal", F.when(F.col("sent"), F.col("key")).otherwise(F.xxhash64("doc", "start"))).repartition(n, "deal").drop("deal")
-    found = cut(dealt.sortWithinPartitions(*order).mapInArrow(_look_up_suffixes, _FOUND), "suffixes")
-    by_doc = texts.repartition(n, "doc", "mark")  # read twice below, shuffled once
-    opened = found.where(F.col("state") == OPEN).groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "count")).alias("open"))
-    windows = by_doc.drop("id").dropDuplicates(["doc", "mark"]).join(opened, ["doc", "mark"]).select("doc", "mark", "text", "open").mapInArrow(lambda b: _windows(b, length, gram), _WINDOW)
-    dealt = windows.withColumn("deal", F.when(F.col("sent"), F.col("key")).otherwise(F.xxhash64("doc", "start"))).repartition(n, "deal").drop("deal")
-    again = dealt.sortWithinPartitions(*order).mapInArrow(_look_up_windows, "doc long, mark int, start int")
-    spans_ = found.where(F.col("state") == REPEAT).select("doc", "mark", "start", "count").unionByName(again.withColumn("count", F.lit(1)))
+    blocks = texts.select("doc", "mark", "text").mapInArrow(lambda b: _suffixes(b, length, gram, n), _BLOCK)
+    found = cut(_looked_up(blocks, n, _look_up), "suffixes")
+    by_doc = texts.repartition(n, "doc", "mark")  # read three times below, shuffled once
+    one = by_doc.dropDuplicates(["doc", "mark"])
+
+    def of_open(rows: DataFrame) -> DataFrame:
+        lists = rows.where(F.col("state") == OPEN).groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "count")).alias("open"))
+        return one.join(lists, ["doc", "mark"]).select("id", "doc", "mark", "text", "open")
+
+    halves = _looked_up(of_open(found).mapInArrow(lambda b: _halves(b, length, gram, n), _BLOCK), n, _look_up)
+    again = _looked_up(of_open(halves).mapInArrow(lambda b: _windows(b, length, gram, n), _BLOCK), n, _look_up_windows)
+    spans_ = found.unionByName(halves).where(F.col("state") == REPEAT).unionByName(again).select("doc", "mark", "start", "count")
     covered = spans_.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
     whole = by_doc.join(covered, ["doc", "mark"], "left").select("id", "text", "spans")
     kind = df.schema[key].dataType.simpleString()
