@@ -28,8 +28,8 @@ from .shared import slices
 
 #: States kept per task before the tables start afresh, and words remembered in
 #: each of two generations, of which the older goes when the younger is full.
-MAX_STATES = 200_000
-MAX_WORDS = 350_000
+MAX_STATES = 150_000
+MAX_WORDS = 250_000
 #: Tokens decoded at a time.
 DECODE_TOKENS = 65_536
 
@@ -70,6 +70,7 @@ class BpeTransducer:
         self.reset()
 
     def reset(self) -> None:
+        self.pairs.clear()
         start = ((b"", -1, ()),)
         self.states: dict[tuple, int] = {start: 0}
         self.alive: list[tuple] = [start]
@@ -202,6 +203,22 @@ class BpeTransducer:
         return ids
 
 
+class Tokenizer:
+    """A rank table and its pattern, to be broadcast. The transducer compiled
+    from it stays with it, so the tasks of a worker share what it has learnt."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES, max_words: int = MAX_WORDS):
+        self.parts, self.compiled = (ranks, pattern, max_states, max_words), None
+
+    def __getstate__(self):
+        return {"parts": self.parts, "compiled": None}
+
+    def machine(self) -> BpeTransducer:
+        if self.compiled is None:
+            self.compiled = BpeTransducer(*self.parts)
+        return self.compiled
+
+
 class Utf8Machine:
     """Incremental UTF-8 decoding: complete characters come out at once, an
     incomplete last one waits. Malformed bytes become U+FFFD."""
@@ -261,10 +278,10 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc
     """``key`` and ``ids`` (token ids) of every row; a null text is empty and
     has no ids. Rows are independent: repeated rows, null keys and extra
     columns need no care, an empty table gives an empty table."""
-    shared = df.sparkSession.sparkContext.broadcast(ranks)
+    shared = df.sparkSession.sparkContext.broadcast(Tokenizer(ranks, pattern))
 
     def run(batches):
-        machine = BpeTransducer(shared.value, pattern)
+        machine = shared.value.machine()
         for batch in steadily(batches):
             for part in slices(batch, "text"):
                 ids = [machine.encode(x) for x in part.column("text").to_pylist()]
@@ -292,15 +309,18 @@ def decode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", ids: str
     return df.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, f"key {kind}, text string").withColumnRenamed("key", key)
 
 
-def roundtrip_digests(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def roundtrip_digests(
+    df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text", max_states: int = MAX_STATES, max_words: int = MAX_WORDS
+) -> DataFrame:
     """Encodes every text, decodes its ids, and returns ``key``, ``n_tokens``,
     ``ids_sha256`` (of decimal ids joined by one space) and ``decoded_sha256``
     (of the decoded bytes). One narrow pass without a shuffle; null texts count
-    as empty, with no tokens and the digests of nothing."""
-    shared = df.sparkSession.sparkContext.broadcast(ranks)
+    as empty, with no tokens and the digests of nothing. The bounds on states
+    and words trade a worker's memory for time."""
+    shared = df.sparkSession.sparkContext.broadcast(Tokenizer(ranks, pattern, max_states, max_words))
 
     def run(batches):
-        machine = BpeTransducer(shared.value, pattern)
+        machine = shared.value.machine()
         token = machine.token
         names = {r: str(r) for r in token}
         for batch in steadily(batches):

@@ -10,6 +10,9 @@ from .shared import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
 RANK_FILE = "byte_bpe_50k.tiktoken"
+#: What op9 lets a worker remember: it runs alone, so more than by default.
+BPE_STATES = 200_000
+BPE_WORDS = 400_000
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +51,8 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
-    return bpe.roundtrip_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents")
+    return bpe.roundtrip_digests(docs, ranks, public_tokenizers.PATTERN, max_states=BPE_STATES, max_words=BPE_WORDS)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
