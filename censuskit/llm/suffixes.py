@@ -51,21 +51,22 @@ class LogIndex:
         self.levels: list[list[np.ndarray]] = []
 
     def scan(self, *wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merge-scans the sorted keys ``wanted[0]`` (and equal further columns)
-        against each level: the level and place of each, -1 if none has it."""
+        """Merge-scans the keys ``wanted[0]``, with further columns that must be
+        equal, too, against each level: the level and place of each, -1 if none
+        has it. Few entries may share a key and differ in the other columns."""
         level, place = np.full(len(wanted[0]), -1), np.zeros(len(wanted[0]), np.int64)
         for n, columns in enumerate(self.levels):
             at = np.searchsorted(columns[0], wanted[0])
-            for _ in range(len(columns[0])):  # on through entries of one key
+            for _ in range(len(columns[0])):
                 ok = at < len(columns[0])
                 ok[ok] = columns[0][at[ok]] == wanted[0][ok]
                 same = ok.copy()
                 for own, other in zip(columns[1:], wanted[1:]):
                     same[same] = own[at[same]] == other[same]
                 level[same], place[same] = n, at[same]
-                at = at + 1
-                if len(wanted) == 1 or not (ok & ~same).any():
+                if not (ok & ~same).any():
                     break
+                at = at + (ok & ~same)
         return level, place
 
     def add(self, *columns: np.ndarray) -> None:
@@ -79,6 +80,11 @@ class LogIndex:
             self.levels.append([x[order] for x in both])
 
 
+def joint(key: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """One key for both; entries are compared in both, still."""
+    return mix(key.view(np.uint64) + mix(content.view(np.uint64))).view(np.int64)
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each run of ``width`` values, by doubling."""
     out, have = x, 1
@@ -217,7 +223,7 @@ def _look_up(columns):
     """Found rows of a part. Its rows, in document order, are one a task and
     key: a content met before is a repeat; of a key with different contents the
     first of each is open."""
-    index = LogIndex()
+    keys, contents = LogIndex(), LogIndex()  # an entry for each key; for each key and content
 
     def batch_of(key, content, doc, mark, start, count, state):
         order = np.lexsort((np.arange(len(key)), content, key))
@@ -226,33 +232,35 @@ def _look_up(columns):
         new = first | np.concatenate([[True], content[1:] != content[:-1]])
         group, lead = np.cumsum(first) - 1, np.flatnonzero(first)  # by key
         own, head = np.cumsum(new) - 1, np.flatnonzero(new)  # by key and content; the first of each
-        # Any entry of the key: a lone one is single, of several all are open.
-        level, place = index.scan(key[lead])
+        level, place = keys.scan(key[lead])
         known_open = np.zeros(len(lead), bool)
-        for n, columns_ in enumerate(index.levels):
+        for n, columns_ in enumerate(keys.levels):
             here = level == n
-            known_open[here] = columns_[6][place[here]] == OPEN
-        same_level, same_place = index.scan(key[head], content[head])
+            known_open[here] = columns_[5][place[here]] == OPEN
+        both = joint(key[head], content[head])
+        same_level, same_place = contents.scan(both, key[head], content[head])
         fresh = same_level < 0
-        contents = np.bincount(group[head], weights=fresh) + (level >= 0)
-        open_ = known_open | (contents > 1) | (np.bincount(group, weights=state == OPEN) > 0)
+        different = np.bincount(group[head], weights=fresh) + (level >= 0)
+        open_ = known_open | (different > 1) | (np.bincount(group, weights=state == OPEN) > 0)
         out = []
-        for n, columns_ in enumerate(index.levels):  # a lone entry that is not alone now
+        for n, columns_ in enumerate(keys.levels):  # an entry that was alone and no longer is
             at = place[(level == n) & open_ & ~known_open]
-            columns_[6][at] = OPEN
-            out.append([*(columns_[c][at] for c in (2, 3, 4, 5)), np.full(len(at), OPEN, np.int8)])
+            columns_[5][at] = OPEN
+            out.append([*(columns_[c][at] for c in (1, 2, 3, 4)), np.full(len(at), OPEN, np.int8)])
         # The places of the first of each content, here or in the index: others repeat it.
         leading = [x[head].copy() for x in (doc, mark, start)]
-        for n, columns_ in enumerate(index.levels):
+        for n, columns_ in enumerate(contents.levels):
             here = same_level == n
-            for x, c in zip(leading, (2, 3, 4)):
+            for x, c in zip(leading, (3, 4, 5)):
                 x[here] = columns_[c][same_place[here]]
         repeat = np.logical_or.reduce([x != y[own] for x, y in zip((doc, mark, start), leading)])
         out.append([doc[repeat], mark[repeat], start[repeat], count[repeat], np.full(int(repeat.sum()), REPEAT, np.int8)])
-        head = head[fresh]
-        now = np.where(open_[group[head]], OPEN, SINGLE).astype(np.int8)
-        index.add(*(x[head] for x in (key, content, doc, mark, start, count)), now)
-        out.append([*(x[head][now == OPEN] for x in (doc, mark, start, count)), now[now == OPEN]])
+        opened = head[fresh & open_[group[head]]]
+        out.append([*(x[opened] for x in (doc, mark, start, count)), np.full(len(opened), OPEN, np.int8)])
+        fresh = np.flatnonzero(fresh)[np.argsort(both[fresh], kind="stable")]
+        contents.add(both[fresh], *(x[head[fresh]] for x in (key, content, doc, mark, start)))
+        lead, now = lead[level < 0], np.where(open_, OPEN, SINGLE).astype(np.int8)[level < 0]
+        keys.add(*(x[lead] for x in (key, doc, mark, start, count)), now)
         return [np.concatenate(x) for x in zip(*out)]
 
     sent = columns[7] != 0
@@ -329,14 +337,15 @@ def _look_up_windows(columns):
     index = LogIndex()
 
     def batch_of(key, content, doc, mark, start, count):
-        order = np.lexsort((np.arange(len(key)), content, key))
-        key, content, doc, mark, start, count = (x[order] for x in (key, content, doc, mark, start, count))
+        both = joint(key, content)
+        order = np.lexsort((np.arange(len(key)), content, key, both))
+        both, key, content, doc, mark, start, count = (x[order] for x in (both, key, content, doc, mark, start, count))
         lead = np.concatenate([[True], (key[1:] != key[:-1]) | (content[1:] != content[:-1])])
-        level, _ = index.scan(key[lead], content[lead])
+        level, _ = index.scan(both[lead], key[lead], content[lead])
         fresh = np.flatnonzero(lead)[level < 0]
         repeat = np.ones(len(key), bool)
         repeat[fresh] = False
-        index.add(key[fresh], content[fresh])
+        index.add(both[fresh], key[fresh], content[fresh])
         return [*(x[repeat] for x in (doc, mark, start, count)), np.full(int(repeat.sum()), REPEAT, np.int8)]
 
     sent = columns[7] != 0
