@@ -25,8 +25,8 @@ from .words import LOWER, SOLID, mix, prefix_sums, runs, spans
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Shorter paragraphs are left alone (repeated short lines are boilerplate, not
-#: passages).
+#: Shorter paragraphs are left alone unless a call says otherwise; the registered
+#: query compares all of ``SHINGLE`` words and more.
 LEAST_WORDS = 20
 #: Wanted chance that a pair at the least similarity shares a band, and min-hashes
 #: that may be spent on it.
@@ -240,7 +240,9 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", **option
     ``least_words``, ``recall``, ``chunk``.
 
     Of paragraphs that links of similarity ``least`` connect, the one of the
-    smallest key (then the smallest number) stays. Null and empty texts have no
+    smallest key (then the smallest number) stays. Paragraphs of fewer words than
+    ``least_words`` or ``shingle`` (they have no shingle) are not counted and
+    stay, repeated or not. Null and empty texts have no
     paragraphs and stay as they are; a null key comes after all others.
     Repeated rows are the same document and fare alike. No rows, none back.
     """

@@ -5,6 +5,7 @@ import random
 import re
 
 from censuskit.llm import paragraphs
+from censuskit.llm.queries import QUERIES
 from tests.conftest import SF001
 
 
@@ -86,6 +87,32 @@ def test_documents_and_empty_table(spark):
     assert paragraphs.report(df.limit(0)).count() == 0
 
 
+def test_query_compares_short_paragraphs(spark, tmp_path):
+    """All of five words and more: also passages wrapped into short lines."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("aeiounrst") for _ in range(rng.randint(2, 6)))
+    base = [[word() for _ in range(n)] for n in range(1, 30) for _ in range(2)]
+    passage = [word() for _ in range(60)]
+    wrapped = "\n".join(" ".join(passage[i : i + 10]) for i in range(0, 60, 10))
+    rows = [(900 + i, f"{word()}\n{wrapped}") for i in range(3)]
+    for d in range(100):
+        paras = []
+        for _ in range(rng.randint(0, 6)):
+            p = list(rng.choice(base))
+            if rng.random() < 0.4:
+                p[rng.choice([0, -1, rng.randrange(len(p))])] = word()
+            paras.append(" ".join(p))
+        rows.append((d, "\n".join(paras)))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {k: v for (k, _), v in brute(rows, least_words=paragraphs.SHINGLE).items()}
+    got = {r.doc_id: r for r in QUERIES["op6_paragraphs"](spark, str(tmp_path)).collect()}
+    assert {k: r.removed for k, r in got.items() if r.n_removed} == want and got.keys() == {k for k, _ in rows}
+    assert want[901] == want[902] == [1, 2, 3, 4, 5, 6]
+    lengths = {k: [len(words(p)) for p in t.split("\n")] for k, t in rows}
+    assert all(r.n_paragraphs == sum(n >= 5 for n in lengths[k]) for k, r in got.items())
+    assert min(lengths[k][i] for k, v in want.items() for i in v) == 5
+
+
 def test_bands_reach_the_recall():
     for least, recall in ((0.8, 0.999), (0.9, 0.99), (0.5, 0.95)):
         bands, rows = paragraphs.tune(least, recall)
