@@ -18,9 +18,10 @@ from censuskit.llm.shared import cut, table
 #: Documents stay whose calibrated chance of good quality is at least this.
 LEAST_QUALITY = 0.5
 #: A line of a source's documents is boilerplate on more than this share of
-#: them, and on this many at least.
+#: them, and on this many at least: the operator's floor, the least at which a
+#: share means repetition, so that small sources are held to the share, too.
 LINE_RATIO = 0.1
-LINE_DOCUMENTS = 10
+LINE_DOCUMENTS = lines.LEAST_PAGES
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
