@@ -118,11 +118,11 @@ def stretches(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray, length: i
 
 #: A row on its way: a key, its content, where its windows begin, how many they
 #: are, what is known of them, and whether it is to be looked up.
-_ROW = [("key", "<i8"), ("content", "<i8"), ("doc", "<i8"), ("mark", "<i4"), ("start", "<i4"), ("count", "<i2"), ("state", "<i1"), ("sent", "<i1")]
+_ROW = [("key", "<i8"), ("content", "<i8"), ("doc", "<i8"), ("mark", "<i8"), ("start", "<i4"), ("count", "<i2"), ("state", "<i1"), ("sent", "<i1")]
 _WIDTH = sum(np.dtype(t).itemsize for _, t in _ROW)
 _BLOCK = "part int, rows binary"
-_FOUND = "doc long, mark int, start int, count int, state byte"
-_FOUND_TYPES = [("doc", pa.int64()), ("mark", pa.int32()), ("start", pa.int32()), ("count", pa.int32()), ("state", pa.int8())]
+_FOUND = "doc long, mark long, start int, count int, state byte"
+_FOUND_TYPES = [("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("count", pa.int32()), ("state", pa.int8())]
 
 
 def _emit(columns):
@@ -401,13 +401,13 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", length:
     in a document of smaller key (an integer), or further to the front of the
     same one. A null text is empty; a null key comes after all others. Rows of
     one key and text are one document and fare alike; texts that differ under
-    one key are ordered by a hash. Texts under ``length`` bytes lose nothing.
+    one key are told apart and ordered by a 64-bit hash. Texts under ``length`` bytes lose nothing.
     """
     spark = df.sparkSession
     n = shuffle_partitions(spark)
     last = F.lit((1 << 63) - 1)
     content = F.coalesce(F.col(text), F.lit(""))
-    texts = df.select(F.col(key).alias("id"), F.coalesce(F.col(key).cast("long"), last).alias("doc"), F.hash(content).alias("mark"), content.cast("binary").alias("text"))
+    texts = df.select(F.col(key).alias("id"), F.coalesce(F.col(key).cast("long"), last).alias("doc"), F.xxhash64(content).alias("mark"), content.cast("binary").alias("text"))
     blocks = texts.select("doc", "mark", "text").mapInArrow(lambda b: _suffixes(b, length, gram, n), _BLOCK)
     found = cut(_looked_up(blocks, n, _look_up), "suffixes")
     by_doc = texts.repartition(n, "doc", "mark")  # read three times below, shuffled once

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from censuskit.llm import suffixes
 from tests.conftest import SF001, SF01
@@ -70,6 +71,23 @@ def test_same_key_different_content():
     assert (level >= 0).tolist() == [True, True, False, True, False, False]
 
 
+def test_texts_of_one_key_that_share_a_short_hash(spark):
+    """Texts whose 32-bit hashes clash are two documents under one key, and
+    under none: only the one that is repeated loses bytes."""
+    many = spark.range(250_000).selectExpr("concat(sha2(string(id), 512), if(id % 2 = 0, sha2(string(-id - 1), 512), '')) AS text")
+    short = many.groupBy(F.hash("text")).agg(F.collect_list("text").alias("texts")).where("size(texts) > 1")
+    pairs = sorted(sorted(r.texts, key=lambda t: (-len(t), t))[:2] for r in short.collect())
+    assert len(pairs) > 1
+    rows = []
+    for n, (a, b) in enumerate(pairs):
+        rows += [(n, a), (1000 + n, a), (1000 + n, b)] if n % 2 else [(n, a), (None, a), (None, b)]
+    want = check(spark, rows, 100, 24)
+    assert sum(x[1] for x in want.values()) == sum(len(a) for a, _ in pairs)
+    # One text under another's shared stretch: the windows are looked up singly.
+    rows = [(0, "x" * 30 + pairs[0][0]), (1, pairs[0][0][:110] + "y" * 60), (5, pairs[0][0]), (5, pairs[0][1])]
+    assert check(spark, rows, 100, 24)[5, pairs[0][1]][1] == 0
+
+
 def test_documents(spark):
     for folder in (SF001, SF01):
         rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
