@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, decontam, lines, paragraphs, quality, sharding, simhash, suffixes, warc
+from . import ann, bpe, decontam, interactions, lines, paragraphs, quality, sharding, simhash, suffixes, warc
 from .shared import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -60,9 +60,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.document_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op4_suffixes": op4_suffixes, "op5_simhash": op5_simhash, "op6_paragraphs": op6_paragraphs, "op7_warc": op7_warc, "op8_lines": op8_lines, "op9_bpe": op9_bpe,
-    "op10_decontamination": op10_decontamination,
+    "op10_decontamination": op10_decontamination, "op13_interactions": op13_interactions,
 }
 
-ORACLE: dict[str, str] = {"op8_lines": lines.REPORT_SQL}
+ORACLE: dict[str, str] = {"op8_lines": lines.REPORT_SQL, "op13_interactions": interactions.AUDIT_SQL}
