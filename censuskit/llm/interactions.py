@@ -236,7 +236,8 @@ masks AS (
   SELECT part, fail.A AS a, fail.B AS b, fail.C AS c, fail.D AS d, fail.E AS e, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
   FROM flags GROUP BY ALL),
 failing AS (
-  SELECT part, n, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], (x, i) -> [a, b, c, d, e][i]) AS f FROM masks),
+  SELECT part, n, good, toxic, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+    || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS f FROM masks),
 letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
 orders AS (
   SELECT v.x || w.x || y.x || z.x || u.x AS filter_order
@@ -245,15 +246,15 @@ orders AS (
 steps AS (
   SELECT p.part, filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before
   FROM (SELECT DISTINCT part FROM masks) p, orders, range(1, 6) r(step)),
+met AS (
+  SELECT s.part, filter_order, step, x, n, good, toxic, f, contains(f, x) AS fails, translate(f, before, '') <> f AS gone
+  FROM steps s JOIN failing m ON s.part = m.part),
 counted AS (
-  SELECT s.part, filter_order, step, x,
-         sum(CASE WHEN NOT list_has_any(f, string_split(before || x, '')) THEN n ELSE 0 END) AS kept,
-         sum(CASE WHEN list_contains(f, x) AND NOT list_has_any(f, string_split(before, '')) THEN n ELSE 0 END) AS removed,
-         sum(CASE WHEN list_contains(f, x) AND list_has_any(f, string_split(before, '')) THEN n ELSE 0 END) AS redundant,
-         sum(CASE WHEN f = [x] THEN n ELSE 0 END) AS unique_fails,
-         sum(CASE WHEN list_contains(f, x) AND NOT list_has_any(f, string_split(before, '')) THEN good ELSE 0 END) AS good_lost,
-         sum(CASE WHEN list_contains(f, x) AND NOT list_has_any(f, string_split(before, '')) THEN toxic ELSE 0 END) AS toxic_lost
-  FROM steps s JOIN failing m ON s.part = m.part GROUP BY ALL)
+  SELECT part, filter_order, step, x,
+         sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN f = x THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM met GROUP BY ALL)
 SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
        CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
        CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
