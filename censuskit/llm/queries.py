@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, decontam, interactions, lines, mixing, paragraphs, quality, sharding, simhash, suffixes, warc
+from . import ann, bpe, conversations, decontam, interactions, lines, mixing, paragraphs, quality, sharding, simhash, suffixes, warc
 from .shared import table
 
 #: Rank file of the tokenizer that op9 and the pipeline use.
@@ -65,13 +65,19 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_mix(docs, mixing.rotating_schedule(docs))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damaged(rows), rows)
+
+
 def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.document_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
     "op1_ann": op1_ann, "op2_quality": op2_quality, "op3_sharding": op3_sharding, "op4_suffixes": op4_suffixes, "op5_simhash": op5_simhash, "op6_paragraphs": op6_paragraphs, "op7_warc": op7_warc, "op8_lines": op8_lines, "op9_bpe": op9_bpe,
-    "op10_decontamination": op10_decontamination, "op11_mixing": op11_mixing, "op13_interactions": op13_interactions,
+    "op10_decontamination": op10_decontamination, "op11_mixing": op11_mixing, "op12_conversations": op12_conversations,
+    "op13_interactions": op13_interactions,
 }
 
 ORACLE: dict[str, str] = {"op8_lines": lines.REPORT_SQL, "op11_mixing": mixing.MIX_SQL, "op13_interactions": interactions.AUDIT_SQL}

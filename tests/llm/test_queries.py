@@ -19,13 +19,14 @@ COLUMNS = {
     "op9_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     "op10_decontamination": "doc_id bigint, item_id bigint, start_word int, n_words int, hamming int, similarity double",
     "op11_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint, first_position double",
+    "op12_conversations": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string",
     "op13_interactions": "part string, filter_order string, step int, kept bigint, removed bigint, redundant bigint, unique_fails bigint, good_lost bigint, toxic_lost bigint, shapley bigint",
 }
 TABLE = {"op7_warc": ("pages", "page_id"), "op8_lines": ("pages", "page_id"), **{n: ("documents", "doc_id") for n in COLUMNS if n.split("_")[0][2:] in ("2", "3", "4", "5", "6", "9", "11")}}
 
 
 def test_one_query_an_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 12), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
