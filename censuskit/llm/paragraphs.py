@@ -1,12 +1,19 @@
 """Substring deduplication by paragraphs.
 
-Paragraphs (texts between line feeds) of enough words are shingled and
-min-hashed. Equal paragraphs are one class from the start, so copies, however
-many, never meet as pairs. The signatures of the classes are cut into bands,
-tuned for recall; classes that share a band's value meet in one task, where
-exact Jaccard similarity verifies them, and come out as links contracted there,
-not as pairs. A band value that very many classes share is dealt out as pairs of
-chunks of bounded size. Each component keeps its first paragraph.
+Paragraphs (texts between line feeds) are shingled and min-hashed. Equal
+paragraphs are one class from the start, so copies, however many, never meet as
+pairs. The signatures of the classes are cut into bands, tuned for recall;
+classes that share a band's value meet in one task, where exact Jaccard
+similarity verifies them, and come out as links contracted there, not as pairs.
+A band value that very many classes share is dealt out as pairs of chunks of
+bounded size. Each component keeps its first paragraph.
+
+A passage may lie within longer paragraphs, or be wrapped into lines at other
+places. So a document's words, line feeds or not, are also cut into pieces where
+a word's hash is the least around it, the same places wherever a passage stands;
+pieces are compared by equality and are of one kind with paragraphs. What
+repeats is removed in stretches: words that repeated paragraphs or pieces cover
+without a gap, ``STRETCH`` and more. A lone stock line stays.
 """
 
 from __future__ import annotations
@@ -21,13 +28,15 @@ from pyspark.sql import functions as F
 from .components import components, contract
 from .decontam import shingles
 from .shared import cut, raw_bytes, shuffle_partitions, slices
-from .words import LOWER, SOLID, mix, prefix_sums, runs, spans
+from .words import LOWER, SOLID, mix, prefix_sums, runs, spans, sums
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Shorter paragraphs are left alone unless a call says otherwise; the registered
-#: query compares all of ``SHINGLE`` words and more.
-LEAST_WORDS = 20
+#: Repeated words in a row that make a passage. Fewer are left alone.
+STRETCH = 30
+#: A piece ends where a word's hash is the least of this many words before and
+#: after it, and after this many words if there is no such place.
+AROUND, LONGEST = 5, 24
 #: Wanted chance that a pair at the least similarity shares a band, and min-hashes
 #: that may be spent on it.
 RECALL = 0.9999
@@ -49,32 +58,52 @@ def tune(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = H
     return best
 
 
-def paragraphs_of(part: pa.RecordBatch, shingle: int, least_words: int):
-    """Of a slice of texts: row, number and class of each paragraph of enough
-    words, and its shingles with their bounds."""
+def piece_ends(words: np.ndarray, rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where pieces end: numbers of the words behind them, for words in rows
+    (row ``r`` has words ``bounds[r]`` to ``bounds[r + 1]``). Pieces have more
+    than ``AROUND`` words, a row's last one at least ``AROUND``."""
+    at = np.arange(len(words))
+    padded = np.full(len(words) + AROUND * (len(bounds) + 1), np.iinfo(np.uint64).max, np.uint64)
+    place = at + AROUND * (rows + 1)
+    padded[place] = own = mix(words)
+    ends = (at - bounds[rows] >= AROUND) & (bounds[rows + 1] - 1 - at >= AROUND)
+    for k in range(1, AROUND + 1):
+        ends &= (own < padded[place - k]) & (own <= padded[place + k])
+    return np.flatnonzero(ends) + 1
+
+
+def units_of(part: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, ...]:
+    """Of a slice of texts: row, first word (from the text's start), words and
+    class of each paragraph of ``shingle`` words and more, then of each piece
+    that is not one; the shingles of the paragraphs with their bounds."""
     data, offsets = raw_bytes(part.column("text"))
     data = LOWER[data]
     feeds = np.flatnonzero(data == 10)
     starts, ends, rows = runs(data, offsets, SOLID)
     words = spans(prefix_sums(data), starts, ends)
-    # Line feeds before a word, counted from its text's start.
-    line = np.searchsorted(feeds, starts)
-    number = line - np.searchsorted(feeds, offsets[:-1])[rows]
+    bounds = np.searchsorted(rows, np.arange(part.num_rows + 1))
+    line = np.searchsorted(feeds, starts)  # line feeds before a word
     edge = np.flatnonzero(np.concatenate([[True], (line[1:] != line[:-1]) | (rows[1:] != rows[:-1])])) if len(starts) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(edge, len(starts)))
-    full = sizes >= max(least_words, shingle)
-    edge, sizes = edge[full], sizes[full]
+    first, size = edge[sizes >= shingle], sizes[sizes >= shingle]
+    # Pieces: from a row's start or a piece's end to the next end or the row's.
+    stops = np.unique(np.concatenate([piece_ends(words, rows, bounds), bounds]))
+    begin, length = stops[:-1], np.diff(stops)
+    whole = np.maximum(0, (length - shingle) // LONGEST)  # full-length parts of long pieces
+    number = np.arange((whole + 1).sum()) - np.repeat(np.cumsum(whole + 1) - whole - 1, whole + 1)
+    begin, length, whole = (np.repeat(x, whole + 1) for x in (begin, length, whole))
+    begin, length = begin + number * LONGEST, np.where(number < whole, LONGEST, length - whole * LONGEST)
+    found = np.minimum(np.searchsorted(first, begin), max(0, len(first) - 1))
+    same = (first[found] == begin) & (size[found] == length) if len(first) else np.zeros(len(begin), bool)
+    fresh = (length >= shingle) & ~same
     h, _ = shingles(words, np.zeros(len(words), np.int64), shingle)
-    first, count = edge, sizes - shingle + 1
+    count = size - shingle + 1
     at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
     own = h[at] if len(at) else np.zeros(0, np.uint64)
-    bounds = np.concatenate([[0], np.cumsum(count)])
-    if len(count):  # the class: its shingles in order, by position
-        place = np.arange(len(own)) - np.repeat(bounds[:-1], count)
-        cls = np.add.reduceat(mix(own + mix(place.astype(np.uint64))), bounds[:-1])
-    else:
-        cls = np.zeros(0, np.uint64)
-    return rows[edge], number[edge], mix(cls).view(np.int64), own, bounds
+    first, size = np.concatenate([first, begin[fresh]]).astype(np.int64), np.concatenate([size, length[fresh]]).astype(np.int64)
+    cls = mix(spans(sums(words), first, first + size) + size.astype(np.uint64)).view(np.int64)
+    row = rows[first] if len(first) else np.zeros(0, np.int64)
+    return row, (first - bounds[row]), size, cls, own, np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
 
 
 def signatures(own: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -88,32 +117,34 @@ def signatures(own: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np
     return out.view(np.int64)
 
 
-def listed(df: DataFrame, shingle: int, least_words: int, bands: int, rows: int) -> DataFrame:
-    """``doc``, ``mark`` (of its text), ``number`` and ``cls`` of every paragraph
-    of enough words; ``bands`` and ``shingles`` once for each class and task."""
+def listed(df: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """``doc``, ``mark`` (of its text), ``start``, ``words`` and ``cls`` of every
+    paragraph and piece; ``bands`` and ``shingles`` once for each class of
+    paragraphs and task."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                row, number, cls, own, bounds = paragraphs_of(part, shingle, least_words)
+                row, start, size, cls, own, bounds = units_of(part, shingle)
                 if not len(row):
                     continue
-                new = np.array([c not in seen and not seen.add(c) for c in cls.tolist()])
-                keys = np.repeat(new, np.diff(bounds))
-                sizes = np.diff(bounds)[new]
-                some = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-                sig = signatures(own[keys], some, bands, rows) if new.any() else np.zeros((0, bands), np.int64)
+                count = np.diff(bounds)
+                new = np.array([c not in seen and not seen.add(c) for c in cls[: len(count)].tolist()], bool)
+                some = np.concatenate([[0], np.cumsum(count[new])]).astype(np.int64)
+                kept = own[np.repeat(new, count)]
+                sig = signatures(kept, some, bands, rows) if new.any() else np.zeros((0, bands), np.int64)
+                new, count = (np.concatenate([x, np.zeros(len(row) - len(x), x.dtype)]) for x in (new, count))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc").take(pa.array(row)), part.column("mark").take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(cls),
-                        _lists(sig.ravel(), np.where(new, bands, 0), new), _lists(own[keys].view(np.int64), np.where(new, np.diff(bounds), 0), new),
+                        part.column("doc").take(pa.array(row)), part.column("mark").take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(cls),
+                        _lists(sig.ravel(), np.where(new, bands, 0), new), _lists(kept.view(np.int64), np.where(new, count, 0), new),
                     ],
-                    ["doc", "mark", "number", "cls", "bands", "shingles"],
+                    ["doc", "mark", "start", "words", "cls", "bands", "shingles"],
                 )
 
     kind = df.schema["doc"].dataType.simpleString()
-    return df.mapInArrow(run, f"doc {kind}, mark long, number int, cls long, bands array<long>, shingles array<long>")
+    return df.mapInArrow(run, f"doc {kind}, mark long, start int, words int, cls long, bands array<long>, shingles array<long>")
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray, valid: np.ndarray) -> pa.Array:
@@ -208,51 +239,90 @@ def similar(classes: DataFrame, least: float = SIMILARITY, chunk: int = CHUNK, b
     return full.mapInArrow(lambda batches: _verify(batches, least), "node long, root long")
 
 
-def marked_paragraphs(texts: DataFrame, shingle: int, least: float, least_words: int, recall: float, chunk: int) -> DataFrame:
-    """Per ``doc`` and ``mark`` with paragraphs: ``n_paragraphs``, ``removed``."""
+def _stretches(batches, least: int):
+    """Rows ``(doc, mark, found)`` of sorted repeats: the stretches they cover."""
+    for batch in batches:
+        out = []
+        for found in batch.column("found"):
+            start, size = (found.values.field(i).to_numpy() for i in (0, 1))
+            end = np.maximum.accumulate(start + size)
+            first = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+            begin, words = start[first], np.append(end[first[1:] - 1], end[-1]) - start[first]
+            out.append([{"start": b, "words": n} for b, n in zip(begin.tolist(), words.tolist()) if n >= least])
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())])))], ["doc", "mark", "removed"])
+
+
+def marked_texts(texts: DataFrame, shingle: int, least: float, stretch: int, recall: float, chunk: int) -> DataFrame:
+    """Per ``doc`` and ``mark`` with something repeated: ``removed``, stretches
+    of words (an array of ``start`` and ``words``)."""
     bands, rows = tune(least, recall)
-    paras = cut(listed(texts.withColumn("text", F.coalesce("text", F.lit(""))), shingle, least_words, bands, rows), "paragraphs")
-    roots = components(similar(paras.where("bands is not null").select("cls", "bands", "shingles"), least, chunk))
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "number", "mark")
-    firsts = paras.groupBy("cls").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    units = cut(listed(texts.withColumn("text", F.coalesce("text", F.lit(""))), shingle, bands, rows), "paragraphs")
+    roots = components(similar(units.where("bands is not null").select("cls", "bands", "shingles"), least, chunk))
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "start", "mark")
+    firsts = units.groupBy("cls").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     own = firsts.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "first", "n", F.coalesce("root", "cls").alias("root"))
     kept = own.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)
-    marked = paras.select("doc", "mark", "number", "cls").join(own.join(kept, "root").select("cls", "keep"), "cls", "left")
-    goes = F.col("keep").isNotNull() & (place != F.col("keep"))
-    return marked.groupBy("doc", "mark").agg(
-        F.countDistinct("number").cast("int").alias("n_paragraphs"), F.array_sort(F.collect_set(F.when(goes, F.col("number")))).alias("removed")
-    )
+    repeats = units.select("doc", "mark", "start", "words", "cls").join(own.join(kept, "root").select("cls", "keep"), "cls").where(place != F.col("keep"))
+    found = repeats.groupBy("doc", "mark").agg(F.sort_array(F.collect_set(F.struct("start", "words"))).alias("found"))  # of one text
+    kind = texts.schema["doc"].dataType.simpleString()
+    return found.mapInArrow(lambda batches: _stretches(batches, stretch), f"doc {kind}, mark long, removed array<struct<start:int,words:int>>")
 
 
 def _with_marks(df: DataFrame, key: str, text: str, options: dict, text_too: bool) -> DataFrame:
-    options = {"shingle": SHINGLE, "least": SIMILARITY, "least_words": LEAST_WORDS, "recall": RECALL, "chunk": CHUNK} | options
+    options = {"shingle": SHINGLE, "least": SIMILARITY, "stretch": STRETCH, "recall": RECALL, "chunk": CHUNK} | options
     texts = df.select(F.col(key).alias("doc"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"))
-    by_doc = marked_paragraphs(texts, **options).withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
+    by_doc = marked_texts(texts, **options).withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
     rows = texts if text_too else texts.drop("text")
     found = rows.join(by_doc, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark")), "left")
-    return found.withColumn("n_paragraphs", F.coalesce("n_paragraphs", F.lit(0))).withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    none = F.array().cast("array<struct<start:int,words:int>>")
+    return found.select("doc", *["text"] * text_too, F.coalesce("removed", none).alias("removed"))
+
+
+def _without(batches):
+    """Rows ``(doc, text, removed)`` with the text that is left: a stretch goes
+    up to the next word that stays. Null texts stay null."""
+    for batch in batches:
+        done = 0
+        for texts in slices(pa.RecordBatch.from_arrays([pa.compute.fill_null(batch.column("text"), "")], ["text"]), "text"):
+            part, done = batch.slice(done, texts.num_rows), done + texts.num_rows
+            data, offsets = raw_bytes(texts.column("text"))
+            starts, _, rows = runs(data, offsets, SOLID)
+            bounds = np.searchsorted(rows, np.arange(part.num_rows + 1))
+            kept = []
+            for i, (known, removed) in enumerate(zip(part.column("text").is_valid().to_pylist(), part.column("removed").to_pylist())):
+                words, place, pieces = np.append(starts[bounds[i] : bounds[i + 1]], offsets[i + 1]), offsets[i], []
+                for r in removed:
+                    pieces.append(data[place : words[r["start"]]].tobytes())
+                    place = words[r["start"] + r["words"]]
+                kept.append(b"".join([*pieces, data[place : offsets[i + 1]].tobytes()]).decode() if known else None)
+            yield pa.RecordBatch.from_arrays([part.column("doc"), part.column("removed"), pa.array(kept, pa.string())], ["doc", "removed", "kept_text"])
 
 
 def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Per row of ``df``: key, ``n_paragraphs`` (of ``least_words`` words and
-    more), ``removed`` (numbers of the paragraphs that go, counted from 0 over
-    all lines), ``kept_text``. Options: ``shingle``, ``least`` similarity,
-    ``least_words``, ``recall``, ``chunk``.
-
-    Of paragraphs that links of similarity ``least`` connect, the one of the
-    smallest key (then the smallest number) stays. Paragraphs of fewer words than
-    ``least_words`` or ``shingle`` (they have no shingle) are not counted and
-    stay, repeated or not. Null and empty texts have no
-    paragraphs and stay as they are; a null key comes after all others.
-    Repeated rows are the same document and fare alike. No rows, none back.
+    """Per row of ``df``: key, ``removed`` (the stretches of words that go, an
+    array of ``start``, counted from 0, and ``words``) and ``kept_text``. Options:
+    ``shingle``, ``least`` similarity, ``stretch`` (its least words), ``recall``,
+    ``chunk``.
+
+    Of paragraphs that links of similarity ``least`` connect, and of equal
+    pieces, the one of the smallest key (then the smallest word number) stays;
+    the others are repeats, and go where they cover ``stretch`` words in a row.
+    Paragraphs of fewer than ``shingle`` words have no shingle and count only as
+    parts of pieces. Null and empty texts have no words and stay as they are; a
+    null key comes after all others. Repeated rows are the same document and
+    fare alike; rows of one key with different texts are documents of their own,
+    told apart by 64 bits. Very long texts are handled whole, one at a time. Other
+    columns of ``df`` are not read, so none can clash. No rows, none back.
     """
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
-    return _with_marks(df, key, text, options, True).select(
-        F.col("doc").alias(key), "n_paragraphs", "removed", F.when(F.size("removed") > 0, left).otherwise(F.col("text")).alias("kept_text")
-    )
+    marked = _with_marks(df, key, text, options, True)
+    kind = marked.schema["doc"].dataType.simpleString()
+    kept = marked.mapInArrow(_without, f"doc {kind}, removed array<struct<start:int,words:int>>, kept_text string")
+    return kept.withColumnRenamed("doc", key)
 
 
 def report(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``deduplicate`` without the texts, which then needn't be shuffled: key,
-    ``n_paragraphs``, ``n_removed``, ``removed``."""
-    return _with_marks(df, key, text, options, False).select(F.col("doc").alias(key), "n_paragraphs", F.size("removed").alias("n_removed"), "removed")
+    ``n_removed`` (words), ``n_spans`` and ``removed``."""
+    marked = _with_marks(df, key, text, options, False)
+    words = F.aggregate("removed", F.lit(0), lambda n, x: n + x["words"])
+    return marked.select(F.col("doc").alias(key), words.alias("n_removed"), F.size("removed").alias("n_spans"), "removed")

@@ -59,6 +59,14 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def sums(values: np.ndarray) -> np.ndarray:
+    """Sums from which ``spans`` takes the hash of any stretch of 64-bit values."""
+    up, _ = _powers(len(values) + 1)
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=out[1:])
+    return out
+
+
 def spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the bytes [start, end): equal bytes, equal hashes."""
     _, down = _powers(len(sums))

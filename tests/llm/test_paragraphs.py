@@ -1,26 +1,58 @@
-"""Paragraph deduplication against all pairs."""
+"""Paragraph deduplication against all pairs of paragraphs and pieces."""
 
 import itertools
 import random
 import re
 
-from censuskit.llm import paragraphs
+import numpy as np
+
+from censuskit.llm import paragraphs, words
 from censuskit.llm.queries import QUERIES
 from tests.conftest import SF001
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def word_hash(word):
+    data = np.frombuffer(word.encode(), np.uint8)
+    return int(words.mix(words.spans(words.prefix_sums(data), np.array([0]), np.array([len(data)])))[0])
+
 
-def words(p):
-    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), p))
+def pieces(tokens):
+    """Word by word: a piece ends behind a least hash, or after the most words."""
+    r, h = paragraphs.AROUND, [word_hash(w) for w in tokens]
+    stops = [0]
+    for i in range(r, len(h) - r):
+        if all(h[i] < x for x in h[i - r : i]) and all(h[i] <= x for x in h[i + 1 : i + r + 1]):
+            stops.append(i + 1)
+    out = []
+    for a, b in zip(stops, [*stops[1:], len(h)]):
+        while b - a >= paragraphs.LONGEST + 5:
+            out.append((a, a + paragraphs.LONGEST))
+            a += paragraphs.LONGEST
+        out.append((a, b))
+    return out
 
 
-def brute(rows, least=0.8, least_words=20, n=5):
-    """Removed paragraph numbers by (key, text), from all pairs."""
+def brute(rows, least=0.8, stretch=paragraphs.STRETCH, n=5):
+    """Removed stretches by (key, text), from all pairs."""
     units = []
     for k, t in set(rows):
-        for i, p in enumerate((t or "").split("\n")):
-            w = words(p)
-            if len(w) >= least_words:
-                units.append(((k is None, k or 0, i), (k, t), i, frozenset(tuple(w[j : j + n]) for j in range(len(w) - n + 1)), tuple(w)))
+        tokens, place = re.findall(WORD, lower(t or "")), 0
+        spans = {(*x, False) for x in pieces(tokens)}
+        for line in (t or "").split("\n"):
+            size = len(re.findall(WORD, line))
+            spans = {x for x in spans if x[:2] != (place, place + size)} | {(place, place + size, True)}
+            place += size
+        for a, b, para in spans:
+            w = tuple(tokens[a:b])
+            if len(w) >= n:
+                shingles = frozenset(w[j : j + n] for j in range(len(w) - n + 1)) if para else None
+                units.append(((k is None, k or 0, a), (k, t), (a, b), shingles, w))
     units.sort(key=lambda u: u[0])
     parent = list(range(len(units)))
 
@@ -29,39 +61,57 @@ def brute(rows, least=0.8, least_words=20, n=5):
             x = parent[x]
         return x
 
-    for a, b in itertools.combinations(range(len(units)), 2):
+    same = {}
+    for a, u in enumerate(units):
+        parent[a] = find(same.setdefault(u[4], a))
+    distinct = {u[4]: a for a, u in reversed(list(enumerate(units))) if u[3]}  # one paragraph a class
+    for a, b in itertools.combinations(sorted(distinct.values()), 2):
         x, y = units[a][3], units[b][3]
         if len(x & y) >= least * len(x | y):
             ra, rb = find(a), find(b)
             parent[max(ra, rb)] = min(ra, rb)
-    out = {}
+    keep = {}
+    for a, u in enumerate(units):
+        keep.setdefault(find(a), u[0])
+    gone = {}
     for a, u in enumerate(units):
-        if find(a) != a:
-            out.setdefault(u[1], []).append(u[2])
-    return {k: sorted(v) for k, v in out.items()}
+        if u[0] != keep[find(a)]:
+            gone.setdefault(u[1], set()).add(u[2])
+    out = {}
+    for k, t in set(rows):
+        merged = []
+        for a, b in sorted(gone.get((k, t), ())):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        if found := [(a, b - a) for a, b in merged if b - a >= stretch]:
+            out[k, t] = found
+    return out
+
+
+def without(text, removed):
+    at = [m.start() for m in re.finditer(WORD, text)] + [len(text)]
+    for a, n in reversed(removed):
+        text = text[: at[a]] + text[at[a + n] :]
+    return text
 
 
 def check(spark, rows, **options):
-    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, removed string")
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, removed string, mark string")
     want = brute(rows)
     got = paragraphs.deduplicate(df, **options).collect()
     assert len(got) == len(rows)
-    texts = {}
-    for k, t in rows:
-        gone = set(want.get((k, t), []))
-        kept = None if t is None else "\n".join(p for i, p in enumerate(t.split("\n")) if i not in gone)
-        texts.setdefault((k, kept, tuple(sorted(gone))), 0)
-        texts[k, kept, tuple(sorted(gone))] += 1
-    for r in got:
-        texts[r.doc_id, r.kept_text, tuple(r.removed)] -= 1
-    assert not any(texts.values())
+    left = sorted((str(k), str(None if t is None else without(t, want.get((k, t), []))), want.get((k, t), [])) for k, t in rows)
+    assert sorted((str(r.doc_id), str(r.kept_text), [(x.start, x.words) for x in r.removed]) for r in got) == left
     return want
 
 
-def test_equals_all_pairs(spark, monkeypatch):
-    rng = random.Random(2)
+def made(seed=2):
+    """Documents of invented words with paragraphs that recur, some changed."""
+    rng = random.Random(seed)
     word = lambda: "".join(rng.choice("aeiounrst") for _ in range(rng.randint(1, 6)))
-    base = [[word() for _ in range(rng.randint(15, 90))] for _ in range(25)]
+    base = [[word() for _ in range(rng.randint(4, 90))] for _ in range(25)]
     rows = []
     for d in range(120):
         paras = []
@@ -71,46 +121,42 @@ def test_equals_all_pairs(spark, monkeypatch):
                 p[rng.randrange(len(p))] = word()
             paras.append(" ".join(p))
         rows.append((d, "\n".join(paras)))
-    same = " ".join(base[0]).upper()
-    rows += [(300, same + "\n" + same), (301, "\n\n" + same + "\n"), (302, None), (303, ""), (None, same), (None, same), (0, rows[0][1]), (0, "other\n" + same), (304, "a " * 30_000)]
+    return rows, base, word
+
+
+def test_equals_all_pairs(spark, monkeypatch):
+    rows, base, _ = made()
+    same = " ".join(max(base, key=len)).upper()
+    rows += [(300, same + "\n" + same), (301, "\n\n" + same + "\n"), (302, None), (303, ""), (None, same), (None, same), (0, rows[0][1]), (0, "other\n" + same), (304, "a " * 30_000), (305, "a " * 200)]
     for options, bound in (({}, paragraphs.BROADCAST_CLASSES), ({"chunk": 2}, 0)):
         monkeypatch.setattr(paragraphs.similar, "__defaults__", (*paragraphs.similar.__defaults__[:-1], bound))
         assert len(check(spark, rows, **options)) > 40
 
 
+def test_passages_within_and_across_lines(spark):
+    _, _, word = made()
+    passage = [word() + word() for _ in range(60)]
+    own = lambda n: " ".join(word() + word() + word() for _ in range(n))
+    rows = [
+        (0, own(40) + " " + " ".join(passage) + " " + own(80)),  # within a paragraph
+        (1, own(90) + " " + " ".join(passage) + " " + own(10)),
+        (2, own(9) + "\n" + "\n".join(" ".join(passage[i : i + 7]) for i in range(0, 60, 7)) + "\n" + own(30)),  # wrapped into short lines
+        (3, own(9) + "\n" + "\n".join(" ".join(passage[i : i + 4]) for i in range(0, 60, 4))),  # lines without a shingle
+    ]
+    stock = "This nine-word line stands in many of the documents"
+    rows += [(10 + i, f"{own(30)}\n{stock}\n{own(25)}") for i in range(30)]
+    want = check(spark, rows)
+    assert {k for k, _ in want} == {1, 2, 3}  # the first stays, and so do lone stock lines
+    assert all(sum(n for _, n in v) >= 40 for v in want.values())
+
+
 def test_documents_and_empty_table(spark):
     df = spark.read.parquet(f"{SF001}/documents.parquet")
     want = brute([(r.doc_id, r.text) for r in df.collect()])
-    got = paragraphs.report(df).collect()
-    assert {r.doc_id: r.removed for r in got if r.n_removed} == {k: v for (k, _), v in want.items()}
-    assert all(r.n_removed == len(r.removed) <= r.n_paragraphs for r in got) and len(got) == df.count()
-    assert paragraphs.report(df.limit(0)).count() == 0
-
-
-def test_query_compares_short_paragraphs(spark, tmp_path):
-    """All of five words and more: also passages wrapped into short lines."""
-    rng = random.Random(5)
-    word = lambda: "".join(rng.choice("aeiounrst") for _ in range(rng.randint(2, 6)))
-    base = [[word() for _ in range(n)] for n in range(1, 30) for _ in range(2)]
-    passage = [word() for _ in range(60)]
-    wrapped = "\n".join(" ".join(passage[i : i + 10]) for i in range(0, 60, 10))
-    rows = [(900 + i, f"{word()}\n{wrapped}") for i in range(3)]
-    for d in range(100):
-        paras = []
-        for _ in range(rng.randint(0, 6)):
-            p = list(rng.choice(base))
-            if rng.random() < 0.4:
-                p[rng.choice([0, -1, rng.randrange(len(p))])] = word()
-            paras.append(" ".join(p))
-        rows.append((d, "\n".join(paras)))
-    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    want = {k: v for (k, _), v in brute(rows, least_words=paragraphs.SHINGLE).items()}
-    got = {r.doc_id: r for r in QUERIES["op6_paragraphs"](spark, str(tmp_path)).collect()}
-    assert {k: r.removed for k, r in got.items() if r.n_removed} == want and got.keys() == {k for k, _ in rows}
-    assert want[901] == want[902] == [1, 2, 3, 4, 5, 6]
-    lengths = {k: [len(words(p)) for p in t.split("\n")] for k, t in rows}
-    assert all(r.n_paragraphs == sum(n >= 5 for n in lengths[k]) for k, r in got.items())
-    assert min(lengths[k][i] for k, v in want.items() for i in v) == 5
+    got = QUERIES["op6_paragraphs"](spark, SF001).collect()
+    assert {r.doc_id: [(x.start, x.words) for x in r.removed] for r in got if r.n_removed} == {k: v for (k, _), v in want.items()}
+    assert all(r.n_removed == sum(x.words for x in r.removed) and r.n_spans == len(r.removed) for r in got) and len(got) == df.count()
+    assert paragraphs.report(df.limit(0)).count() == 0 and paragraphs.deduplicate(df.limit(0)).count() == 0
 
 
 def test_bands_reach_the_recall():

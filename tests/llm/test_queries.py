@@ -13,7 +13,7 @@ COLUMNS = {
     "op3_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
     "op4_suffixes": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     "op5_simhash": "doc_id bigint, fingerprint string, component_id bigint",
-    "op6_paragraphs": "doc_id bigint, n_paragraphs int, n_removed int, removed array<int>",
+    "op6_paragraphs": "doc_id bigint, n_removed int, n_spans int, removed array<struct<start:int,words:int>>",
     "op7_warc": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
     "op8_lines": "page_id bigint, host string, n_lines int, n_dropped int, kept_sha256 string",
     "op9_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
