@@ -36,15 +36,16 @@ SIMILARITY = 0.8
 STRETCH = 30
 #: A piece ends where a word's hash is the least of this many words before and
 #: after it, and after this many words if there is no such place.
-AROUND, LONGEST = 5, 24
+AROUND, LONGEST = 8, 24
 #: Wanted chance that a pair at the least similarity shares a band, and min-hashes
 #: that may be spent on it.
 RECALL = 0.9999
 HASHES = 40
 #: Classes that meet in one task as one chunk.
 CHUNK = 2_000
-#: Colliding classes (8 bytes each) up to which they are broadcast to pick out
-#: their shingles; beyond it both sides are shuffled.
+#: Classes up to which those that collide (8 bytes each) are broadcast to pick out
+#: their shingles, and those that repeat (some 50 bytes) to pick out their places;
+#: beyond it both sides are shuffled.
 BROADCAST_CLASSES = 1_000_000
 
 
@@ -119,8 +120,9 @@ def signatures(own: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np
 
 def listed(df: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     """``doc``, ``mark`` (of its text), ``start``, ``words`` and ``cls`` of every
-    paragraph and piece; ``bands`` and ``shingles`` once for each class of
-    paragraphs and task."""
+    paragraph and piece, and whether its class stood ``again`` in its text;
+    ``bands`` and ``shingles`` (32 bits each) once for each class of paragraphs
+    and task."""
 
     def run(batches):
         seen: set[int] = set()
@@ -135,16 +137,19 @@ def listed(df: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                 kept = own[np.repeat(new, count)]
                 sig = signatures(kept, some, bands, rows) if new.any() else np.zeros((0, bands), np.int64)
                 new, count = (np.concatenate([x, np.zeros(len(row) - len(x), x.dtype)]) for x in (new, count))
+                order = np.lexsort((start, cls, row))
+                again = np.zeros(len(row), bool)
+                again[order[1:]] = (row[order[1:]] == row[order[:-1]]) & (cls[order[1:]] == cls[order[:-1]])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc").take(pa.array(row)), part.column("mark").take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(cls),
-                        _lists(sig.ravel(), np.where(new, bands, 0), new), _lists(kept.view(np.int64), np.where(new, count, 0), new),
+                        part.column("doc").take(pa.array(row)), part.column("mark").take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(cls), pa.array(again),
+                        _lists(sig.ravel(), np.where(new, bands, 0), new), _lists(kept.astype(np.uint32).view(np.int32), np.where(new, count, 0), new),
                     ],
-                    ["doc", "mark", "start", "words", "cls", "bands", "shingles"],
+                    ["doc", "mark", "start", "words", "cls", "again", "bands", "shingles"],
                 )
 
     kind = df.schema["doc"].dataType.simpleString()
-    return df.mapInArrow(run, f"doc {kind}, mark long, start int, words int, cls long, bands array<long>, shingles array<long>")
+    return df.mapInArrow(run, f"doc {kind}, mark long, start int, words int, cls long, again boolean, bands array<long>, shingles array<int>")
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray, valid: np.ndarray) -> pa.Array:
@@ -258,11 +263,15 @@ def marked_texts(texts: DataFrame, shingle: int, least: float, stretch: int, rec
     bands, rows = tune(least, recall)
     units = cut(listed(texts.withColumn("text", F.coalesce("text", F.lit(""))), shingle, bands, rows), "paragraphs")
     roots = components(similar(units.where("bands is not null").select("cls", "bands", "shingles"), least, chunk))
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "start", "mark")
-    firsts = units.groupBy("cls").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    own = firsts.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "first", "n", F.coalesce("root", "cls").alias("root"))
-    kept = own.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)
-    repeats = units.select("doc", "mark", "start", "words", "cls").join(own.join(kept, "root").select("cls", "keep"), "cls").where(place != F.col("keep"))
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "mark", "start")
+    firsts = units.where("not again").groupBy("cls").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
+    own = firsts.join(linked, F.col("cls") == F.col("node"), "left").where("root is not null or n > 1").select("cls", F.coalesce("root", "cls").alias("root"), "first")
+    own = cut(own, "repeated")
+    kept = own.join(own.groupBy("root").agg(F.min("first").alias("keep")), "root").select("cls", "keep")
+    kept = F.broadcast(kept) if own.count() <= BROADCAST_CLASSES else kept.hint("merge")
+    span = ["doc", "mark", "start", "words"]
+    repeats = units.where("not again").select(*span, "cls").join(kept, "cls").where(place != F.col("keep")).select(*span).unionByName(units.where("again").select(*span))
     found = repeats.groupBy("doc", "mark").agg(F.sort_array(F.collect_set(F.struct("start", "words"))).alias("found"))  # of one text
     kind = texts.schema["doc"].dataType.simpleString()
     return found.mapInArrow(lambda batches: _stretches(batches, stretch), f"doc {kind}, mark long, removed array<struct<start:int,words:int>>")
@@ -305,7 +314,7 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", **option
     ``chunk``.
 
     Of paragraphs that links of similarity ``least`` connect, and of equal
-    pieces, the one of the smallest key (then the smallest word number) stays;
+    pieces, the one of the smallest key stays (then of the smallest hash of the text, then the first);
     the others are repeats, and go where they cover ``stretch`` words in a row.
     Paragraphs of fewer than ``shingle`` words have no shingle and count only as
     parts of pieces. Null and empty texts have no words and stay as they are; a

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import xxhash
 
 from censuskit.llm import paragraphs, words
 from censuskit.llm.queries import QUERIES
@@ -22,6 +23,12 @@ def word_hash(word):
     return int(words.mix(words.spans(words.prefix_sums(data), np.array([0]), np.array([len(data)])))[0])
 
 
+def mark(text):
+    """Texts of one key go by their 64-bit hash."""
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def pieces(tokens):
     """Word by word: a piece ends behind a least hash, or after the most words."""
     r, h = paragraphs.AROUND, [word_hash(w) for w in tokens]
@@ -52,7 +59,7 @@ def brute(rows, least=0.8, stretch=paragraphs.STRETCH, n=5):
             w = tuple(tokens[a:b])
             if len(w) >= n:
                 shingles = frozenset(w[j : j + n] for j in range(len(w) - n + 1)) if para else None
-                units.append(((k is None, k or 0, a), (k, t), (a, b), shingles, w))
+                units.append(((k is None, k or 0, mark(t), a), (k, t), (a, b), shingles, w))
     units.sort(key=lambda u: u[0])
     parent = list(range(len(units)))
 
@@ -130,6 +137,7 @@ def test_equals_all_pairs(spark, monkeypatch):
     rows += [(300, same + "\n" + same), (301, "\n\n" + same + "\n"), (302, None), (303, ""), (None, same), (None, same), (0, rows[0][1]), (0, "other\n" + same), (304, "a " * 30_000), (305, "a " * 200)]
     for options, bound in (({}, paragraphs.BROADCAST_CLASSES), ({"chunk": 2}, 0)):
         monkeypatch.setattr(paragraphs.similar, "__defaults__", (*paragraphs.similar.__defaults__[:-1], bound))
+        monkeypatch.setattr(paragraphs, "BROADCAST_CLASSES", bound)
         assert len(check(spark, rows, **options)) > 40
 
 
