@@ -3,10 +3,12 @@
 Encoding follows the rule that a token sequence is the BPE encoding of its
 bytes exactly when every two neighbours are: so the merges compile into a
 finite-state transducer. After each byte its state holds the hypotheses still
-alive (a token boundary, the token before it, the bytes read since); exactly
-one boundary token is valid after each byte, and a token leaves the transducer
-as soon as all hypotheses share it, which is after a bounded lookahead. States
-and transitions are determinised when first needed and kept.
+alive, each the token before a boundary and the bytes read since (a node of the
+trie of tokens), and nothing of what came before: exactly one token can end at
+each byte, the transducer names it, and the tokens of any prefix follow from it
+backwards. So states merge whatever led to them. A token leaves the transducer
+as soon as all hypotheses go back to it, which is after a bounded lookahead.
+States and transitions are determinised when first needed and kept.
 
 Decoding feeds token bytes to an incremental UTF-8 state machine that holds
 back an incomplete character, at most three bytes.
@@ -17,8 +19,11 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -26,10 +31,15 @@ from pyspark.sql import functions as F
 
 from .shared import slices
 
-#: States kept per task before the tables start afresh, and words remembered in
-#: each of two generations, of which the older goes when the younger is full.
+#: States kept per worker before the tables start afresh; words, and runs between
+#: spaces, remembered in each of two generations, of which the older goes when the
+#: younger is full.
 MAX_STATES = 150_000
-MAX_WORDS = 250_000
+MAX_WORDS = 150_000
+#: Longer words are not remembered.
+LONGEST_WORD = 64
+#: Bytes of one match between looks at which tokens are certain.
+LOOK = 1_024
 #: Tokens decoded at a time.
 DECODE_TOKENS = 65_536
 
@@ -39,43 +49,73 @@ def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
-BYTES = [bytes((b,)) for b in range(256)]
 
+#: A token before a boundary is kept in the lowest bits of a hypothesis; all of them: none.
+_BITS = 20
+_NONE = (1 << _BITS) - 1
+_ODD_SPACE = re.compile(r" \s|\s ")
 
-def shared_start(path: tuple[int, ...], others: list[tuple]) -> tuple[int, ...]:
-    """The tokens with which ``path`` and the paths of all others begin."""
-    n = len(path)
-    for _, _, other in others:
-        n = min(n, len(other))
-        while path[:n] != other[:n]:
-            n -= 1
-        if not n:
-            return ()
-    return path[:n]
+
+class _Memo(dict):
+    """Ids of remembered strings, as bytes of 32-bit numbers; others are worked
+    out on the way, so that a lookup over many is one call."""
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most, self.older = encode, most, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.encode(word)
+        if len(word) <= LONGEST_WORD:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
 
 
 class BpeTransducer:
-    """Encoder for one rank table; ``pattern`` splits text before the merges."""
+    """Encoder for one rank table; ``pattern`` splits text before the merges.
+
+    ``spaces`` says that no match runs over a space that stands between two
+    characters other than white space: then texts are cut before such spaces
+    first, and each distinct run is split and encoded once."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES, max_words: int = MAX_WORDS):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES, max_words: int = MAX_WORDS, spaces: bool = False):
+        if max(ranks.values()) >= _NONE:
+            raise ValueError(f"ranks must be below {_NONE}")
         self.ranks = ranks
         self.token = {r: t for t, r in ranks.items()}
-        self.prefixes = {t[:i] for t in ranks for i in range(1, len(t))}
+        self.length = {r: len(t) for t, r in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.max_states, self.max_words = max_states, max_words
+        self.max_states, self.spaces = max_states, spaces
+        # The trie of tokens: children by (node, byte); a node's token, and whether longer ones go on.
+        self.child: dict[int, int] = {}
+        self.at, self.depth, self.longer = [-1], [0], [True]
+        for token, rank in ranks.items():
+            node = 0
+            for n, byte in enumerate(token, 1):
+                self.longer[node] = True
+                key, node = node << 8 | byte, self.child.get(node << 8 | byte, -1)
+                if node < 0:
+                    node = self.child[key] = len(self.at)
+                    self.at.append(-1)
+                    self.depth.append(n)
+                    self.longer.append(False)
+            self.at[node] = rank
         self.halves: dict[int, tuple[int, int]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.words = _Memo(self._encode_word, max_words)
+        self.runs = _Memo(self._encode_run, max_words)
         self.reset()
 
     def reset(self) -> None:
         self.pairs.clear()
-        start = ((b"", -1, ()),)
-        self.states: dict[tuple, int] = {start: 0}
-        self.alive: list[tuple] = [start]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.rest: list[tuple[int, ...]] = [()]
+        start = (_NONE,)
+        self.states: dict[tuple[int, ...], int] = {start: 0}
+        self.alive: list[tuple[int, ...]] = [start]
+        self.steps: dict[int, int] = {}
 
     def last_merge(self, token: int) -> tuple[int, int]:
         """The two tokens that the last merge of a token's bytes joins."""
@@ -93,13 +133,6 @@ class BpeTransducer:
 
     def neighbours(self, left: int, right: int) -> bool:
         """Whether the merges of both tokens' bytes end in just these two."""
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            found = self.pairs[key] = self._neighbours(left, right)
-        return found
-
-    def _neighbours(self, left: int, right: int) -> bool:
         # Undo the merges of both, latest first; no merge over the boundary
         # may come before the one undone. Of equal ranks the leftmost is first.
         limit = 1 << 60
@@ -107,7 +140,7 @@ class BpeTransducer:
             over = self.ranks.get(self.token[left] + self.token[right])
             if over is not None and over < limit:
                 return False
-            a, b = len(self.token[left]) > 1, len(self.token[right]) > 1
+            a, b = self.length[left] > 1, self.length[right] > 1
             if not a and not b:
                 return True
             if a and (left > right or not b):
@@ -115,100 +148,121 @@ class BpeTransducer:
             else:
                 limit, right = right + 1, self.last_merge(right)[0]
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        alive, done, one = [], None, BYTES[byte]
-        rank, prefixes, pairs = self.ranks.get, self.prefixes, self.pairs
-        for partial, before, path in self.alive[state]:
-            partial += one
-            if done is None:
-                token = rank(partial)
-                if token is not None:
-                    fits = before < 0 or pairs.get((before, token))
-                    if fits is None:
-                        fits = self.neighbours(before, token)
-                    if fits:
-                        done = (b"", token, (*path, token))
-            if partial in prefixes:
-                alive.append((partial, before, path))
-        if done is None:
+    def _step(self, state: int, byte: int) -> int:
+        """A new transition: the next state and the token that ends here, in one
+        number. Hypotheses come with the longest token first."""
+        alive, done = [], -1
+        for hypothesis in self.alive[state]:
+            node = self.child.get((hypothesis >> _BITS) << 8 | byte)
+            if node is None:
+                continue
+            before = hypothesis & _NONE
+            if done < 0 and (token := self.at[node]) >= 0:
+                fits = before == _NONE or self.pairs.get(before << _BITS | token)
+                if fits is None:
+                    fits = self.pairs[before << _BITS | token] = self.neighbours(before, token)
+                if fits:
+                    done = token
+            if self.longer[node]:
+                alive.append(node << _BITS | before)
+        if done < 0:
             raise ValueError(f"byte {byte} is not a token")
-        if not alive:  # nothing else can come of what was read: all is certain
-            sure, alive = done[2], ((b"", done[1], ()),)
-        else:
-            sure = shared_start(done[2], alive)
-            alive.append(done)
-            if sure:
-                cut = len(sure)
-                alive = [(partial, before, path[cut:]) for partial, before, path in alive]
-            alive = tuple(alive)
-        to = self.states.get(alive)
-        if to is None:
-            to = self.states[alive] = len(self.alive)
-            self.alive.append(alive)
-            self.steps.append({})
-            self.rest.append(alive[-1][2])
-        self.steps[state][byte] = found = (to, sure)
+        alive.append(done)
+        found = self.steps[state << 8 | byte] = self._state(tuple(alive)) << _BITS | done
         return found
 
+    def _state(self, alive: tuple[int, ...]) -> int:
+        state = self.states.get(alive)
+        if state is None:
+            state = self.states[alive] = len(self.alive)
+            self.alive.append(alive)
+        return state
+
+    def _back(self, last: list[int], end: int) -> list[int]:
+        """The tokens of a prefix, from the tokens that end at its bytes."""
+        out = []
+        while end:
+            out.append(last[end - 1])
+            end -= self.length[last[end - 1]]
+        return out[::-1]
+
     def encode_piece(self, piece: bytes) -> Iterator[int]:
         """Token ids of one match of the pattern, as they become certain."""
         if len(self.alive) > self.max_states:
             self.reset()
-        state, steps = 0, self.steps
-        for n, byte in enumerate(piece):
-            to = steps[state].get(byte) or self._step(state, byte)
-            if to[1]:
-                yield from to[1]
-            state = to[0]
-            if len(self.alive) > 2 * self.max_states:  # one piece alone may fill the tables
-                here = self.alive[state]
-                self.reset()
-                steps = self.steps
-                state = self.states.setdefault(here, len(self.alive))
-                if state == len(self.alive):
-                    self.alive.append(here)
-                    self.steps.append({})
-                    self.rest.append(here[-1][2])
-        yield from self.rest[state]
-
-    def encode_word(self, word: str) -> tuple[int, ...]:
-        """Token ids of one match; short ones are remembered."""
-        found = self.older.get(word)
-        if found is None:
-            piece = word.encode()
-            if len(piece) > 64 or len(self.alive) > self.max_states:
-                found = tuple(self.encode_piece(piece))
-            else:
-                state, steps, ids = 0, self.steps, []
-                for byte in piece:
-                    state, sure = steps[state].get(byte) or self._step(state, byte)
-                    if sure:
-                        ids += sure
-                found = (*ids, *self.rest[state])
-        if len(self.words) >= self.max_words:
-            self.older, self.words = self.words, {}
-        if len(word) <= 64:
-            self.words[word] = found
-        return found
+        state, last = 0, []
+        for n, byte in enumerate(piece, 1):
+            found = self.steps.get(state << 8 | byte)
+            if found is None:
+                if len(self.alive) > 2 * self.max_states:  # one piece alone may fill the tables
+                    here = self.alive[state]
+                    self.reset()
+                    state = self._state(here)
+                found = self._step(state, byte)
+            state = found >> _BITS
+            last.append(found & _NONE)
+            if n % LOOK == 0:
+                # Go back from all boundaries to the last that they share.
+                ends = {len(last) - self.depth[x >> _BITS] for x in self.alive[state]}
+                while len(ends) > 1:
+                    end = max(ends)
+                    ends.remove(end)
+                    ends.add(end - self.length[last[end - 1]])
+                sure = ends.pop()
+                yield from self._back(last, sure)
+                del last[:sure]
+        yield from self._back(last, len(last))
+
+    def _encode_word(self, word: str) -> bytes:
+        """Ids of one match of the pattern."""
+        piece = word.encode()
+        if len(piece) > LOOK or len(self.alive) > self.max_states:
+            return array("i", self.encode_piece(piece)).tobytes()
+        state, last, steps = 0, [], self.steps.get
+        for byte in piece:
+            found = steps(state << 8 | byte)
+            if found is None:
+                found = self._step(state, byte)
+            state = found >> _BITS
+            last.append(found & _NONE)
+        return array("i", self._back(last, len(last))).tobytes()
+
+    def _encode_run(self, run: str) -> bytes:
+        """Ids of a run that begins with a space left out. A run that is one match
+        is remembered as a run alone."""
+        words = self.split(" " + run)
+        if len(words) == 1:
+            return self.words.get(words[0]) or self._encode_word(words[0])
+        return b"".join(map(self.words.__getitem__, words))
+
+    def _ids(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.split(text)))
+
+    def ids(self, text: str) -> bytes:
+        """Token ids of a text as bytes of 32-bit numbers."""
+        if not self.spaces:
+            return self._ids(text)
+        runs = text.split(" ")
+        if _ODD_SPACE.search(text) or not runs[0] or not runs[-1]:  # cut only between other characters
+            joined = [runs[0]]
+            for run in runs[1:]:
+                if run and not run[0].isspace() and joined[-1] and not joined[-1][-1].isspace():
+                    joined.append(run)
+                else:
+                    joined[-1] += " " + run
+            runs = joined
+        return self._ids(runs[0]) + b"".join(map(self.runs.__getitem__, runs[1:]))
 
     def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        known = self.words.get
-        for word in self.split(text):
-            found = known(word)
-            if found is None:
-                found = self.encode_word(word)
-                known = self.words.get
-            ids += found
-        return ids
+        return np.frombuffer(self.ids(text), np.int32).tolist()
 
 
 class Tokenizer:
     """A rank table and its pattern, to be broadcast. The transducer compiled
     from it stays with it, so the tasks of a worker share what it has learnt."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES, max_words: int = MAX_WORDS):
-        self.parts, self.compiled = (ranks, pattern, max_states, max_words), None
+    def __init__(self, *parts):
+        self.parts, self.compiled = parts, None
 
     def __getstate__(self):
         return {"parts": self.parts, "compiled": None}
@@ -241,8 +295,8 @@ class Utf8Machine:
             return back if back == 1 or low <= data[1 - back] <= high else 0
         return 0
 
-    def feed(self, data: bytes) -> str:
-        data = self.waiting + data
+    def feed(self, data: bytes | memoryview) -> str:
+        data = self.waiting + bytes(data)
         cut = len(data) - self._incomplete(data)
         self.waiting = data[cut:]
         return data[:cut].decode("utf-8", "replace")
@@ -253,10 +307,10 @@ class Utf8Machine:
 
 
 def decode_stream(token: dict[int, bytes], ids: Iterable[list[int]]) -> Iterator[str]:
-    """Text of token id chunks, chunk by chunk."""
-    machine = Utf8Machine()
+    """Text of token id chunks, chunk by chunk; what is no token is U+FFFD."""
+    machine, unknown = Utf8Machine(), "\ufffd".encode()
     for chunk in ids:
-        yield machine.feed(b"".join(map(token.__getitem__, chunk)))
+        yield machine.feed(b"".join(token.get(i, unknown) for i in chunk))
     yield machine.end()
 
 
@@ -274,11 +328,12 @@ def _columns(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text", spaces: bool = False) -> DataFrame:
     """``key`` and ``ids`` (token ids) of every row; a null text is empty and
     has no ids. Rows are independent: repeated rows, null keys and extra
-    columns need no care, an empty table gives an empty table."""
-    shared = df.sparkSession.sparkContext.broadcast(Tokenizer(ranks, pattern))
+    columns need no care, an empty table gives an empty table; very long texts
+    are encoded whole. ``spaces`` is the pattern's (see ``BpeTransducer``)."""
+    shared = df.sparkSession.sparkContext.broadcast(Tokenizer(ranks, pattern, MAX_STATES, MAX_WORDS, spaces))
 
     def run(batches):
         machine = shared.value.machine()
@@ -292,8 +347,10 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """``key`` and ``text`` of token id lists; null ids count as none. Bytes
-    that are not UTF-8 become U+FFFD."""
+    """``key`` and ``text`` of token id lists. Null lists count as empty, and an
+    id that is null or no token's decodes to U+FFFD, as do bytes that are not
+    UTF-8. Rows are independent; other columns are not read; lists of any length
+    are decoded ``DECODE_TOKENS`` at a time. No rows, none back."""
     shared = df.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches):
@@ -309,31 +366,48 @@ def decode(df: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", ids: str
     return df.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, f"key {kind}, text string").withColumnRenamed("key", key)
 
 
+class _Pieces:
+    """The bytes that stand for ids, end to end."""
+
+    def __init__(self, by_id: dict[int, bytes]):
+        size = max(by_id) + 1
+        self.pieces = pa.array([by_id.get(i) for i in range(size)], pa.binary())
+
+    def of(self, ids: np.ndarray) -> memoryview:
+        taken = self.pieces.take(pa.array(ids))
+        start, end = np.frombuffer(taken.buffers()[1], np.int32)[[taken.offset, taken.offset + len(taken)]]
+        return memoryview(taken.buffers()[2])[start:end]
+
+
 def roundtrip_digests(
-    df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text", max_states: int = MAX_STATES, max_words: int = MAX_WORDS
+    df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text", max_states: int = MAX_STATES, max_words: int = MAX_WORDS, spaces: bool = False
 ) -> DataFrame:
     """Encodes every text, decodes its ids, and returns ``key``, ``n_tokens``,
     ``ids_sha256`` (of decimal ids joined by one space) and ``decoded_sha256``
     (of the decoded bytes). One narrow pass without a shuffle; null texts count
-    as empty, with no tokens and the digests of nothing. The bounds on states
-    and words trade a worker's memory for time."""
-    shared = df.sparkSession.sparkContext.broadcast(Tokenizer(ranks, pattern, max_states, max_words))
+    as empty, with no tokens and the digests of nothing. Rows are independent:
+    repeated rows, null keys and extra columns need no care, an empty table gives
+    an empty table. A very long text is encoded whole, and decoded
+    ``DECODE_TOKENS`` at a time. The bounds on states and words trade a worker's
+    memory for time; ``spaces`` is the pattern's (see ``BpeTransducer``)."""
+    shared = df.sparkSession.sparkContext.broadcast(Tokenizer(ranks, pattern, max_states, max_words, spaces))
 
     def run(batches):
         machine = shared.value.machine()
-        token = machine.token
-        names = {r: str(r) for r in token}
+        names, tokens = _Pieces({r: b"%d " % r for r in machine.token}), _Pieces(machine.token)
         for batch in steadily(batches):
             for part in slices(batch, "text"):
                 rows = ([], [], [])
                 for x in part.column("text").to_pylist():
-                    ids = machine.encode(x)
-                    rows[0].append(len(ids))
-                    rows[1].append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                    decoded = hashlib.sha256()
-                    for piece in decode_stream(token, (ids[i : i + DECODE_TOKENS] for i in range(0, len(ids), DECODE_TOKENS))):
-                        decoded.update(piece.encode())
-                    rows[2].append(decoded.hexdigest())
+                    ids = np.frombuffer(machine.ids(x), np.int32)
+                    listed, decoded, utf8 = hashlib.sha256(), hashlib.sha256(), Utf8Machine()
+                    for i in range(0, len(ids), DECODE_TOKENS):
+                        some = ids[i : i + DECODE_TOKENS]
+                        listed.update(names.of(some)[: -1 if i + DECODE_TOKENS >= len(ids) else None])
+                        decoded.update(utf8.feed(tokens.of(some)).encode())
+                    decoded.update(utf8.end().encode())
+                    for values, value in zip(rows, (len(ids), listed.hexdigest(), decoded.hexdigest())):
+                        values.append(value)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())],
                     ["key", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -11,8 +11,8 @@ from .shared import table
 #: Rank file of the tokenizer that op9 and the pipeline use.
 RANK_FILE = "byte_bpe_50k.tiktoken"
 #: What op9 lets a worker remember: it runs alone, so more than by default.
-BPE_STATES = 200_000
-BPE_WORDS = 400_000
+BPE_STATES = 300_000
+BPE_WORDS = 300_000
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     docs = table(spark, sf_dir, "documents")
-    return bpe.roundtrip_digests(docs, ranks, public_tokenizers.PATTERN, max_states=BPE_STATES, max_words=BPE_WORDS)
+    return bpe.roundtrip_digests(docs, ranks, public_tokenizers.PATTERN, max_states=BPE_STATES, max_words=BPE_WORDS, spaces=True)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
