@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -43,6 +45,9 @@ CHUNKS = (
     "payload_digest string, refers_to string, running_bytes long, running_sha1 string"
 )
 PREFIX = "urn:row:"
+#: A header field of our own: the target is percent-encoded, ``%`` included.
+ESCAPED = "X-Target-Escaped"
+_CONTROL = re.compile("[\x00-\x1f\x7f-\x9f\u2028\u2029]")
 
 
 def base32_sha1(digest: bytes) -> str:
@@ -51,8 +56,17 @@ def base32_sha1(digest: bytes) -> str:
 
 def record_id(key) -> str:
     """A record's name, a function of the row's key alone, so that a revisit
-    can name a record which another task writes."""
-    return PREFIX if key is None else f"{PREFIX}{key}"
+    can name a record which another task writes. Keys are percent-encoded."""
+    return PREFIX if key is None else PREFIX + quote(str(key), safe="")
+
+
+def target_fields(target: str) -> list[tuple[str, object]]:
+    """The header fields of a target. Control characters would end its line, so
+    a target that has any is percent-encoded, and a field of its own says so;
+    all others stand as they are, with the escapes that they have."""
+    if not _CONTROL.search(target) and target == target.strip():
+        return [("WARC-Target-URI", target)]
+    return [("WARC-Target-URI", quote(target, safe="/:?#[]@!$&'()*+,;=-._~")), (ESCAPED, "yes")]
 
 
 def header(fields: list[tuple[str, object]]) -> bytes:
@@ -62,7 +76,7 @@ def header(fields: list[tuple[str, object]]) -> bytes:
 def record(key, target: str, refers_to, digest: bytes, payload: memoryview, segment: int) -> Iterator[bytes]:
     """The gzip members of one row."""
     own, name = record_id(key), base32_sha1(digest)
-    base = [("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", target), ("WARC-Payload-Digest", f"sha1:{name}")]
+    base = [("WARC-Date", "2024-01-01T00:00:00Z"), *target_fields(target), ("WARC-Payload-Digest", f"sha1:{name}")]
     if refers_to is not None:
         yield member(header([
             ("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{own}>"), *base, ("WARC-Refers-To", f"<{record_id(refers_to)}>"),
@@ -97,7 +111,8 @@ def _open(path: str):
 def write(df: DataFrame, folder: str, key: str, target: str, payload: str, refers_to: str, segment: int = SEGMENT, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes a record per row (``refers_to``: the key of the row with the same
     payload, or null) and returns the manifest, itself a table in ``folder``.
-    Null payloads are empty, null targets are written as nothing."""
+    Null payloads are empty, null targets are written as nothing; control
+    characters in targets and keys are percent-encoded."""
 
     def run(batches):
         task = TaskContext.get()
@@ -181,7 +196,7 @@ def read_stream(stream, chunk: int, data: bool = True) -> Iterator[tuple]:
     plain = Inflated(stream, chunk)
     sha, number, total = hashlib.sha1(), 0, 0
     while (head := plain.until(b"\r\n\r\n")) is not None:
-        fields = dict(line.split(": ", 1) for line in head.decode().strip().split("\r\n")[1:])
+        fields = dict(line.split(": ", 1) for line in head.decode().removesuffix("\r\n\r\n").split("\r\n")[1:])
         kind, left = fields["WARC-Type"], int(fields["Content-Length"])
         origin = fields.get("WARC-Segment-Origin-ID")
         own = (origin or fields["WARC-Record-ID"]).strip("<>")
@@ -189,7 +204,10 @@ def read_stream(stream, chunk: int, data: bool = True) -> Iterator[tuple]:
             sha, number, total = hashlib.sha1(), 0, 0
         segment = int(fields.get("WARC-Segment-Number", 1))
         last_segment = "WARC-Segment-Number" not in fields or "WARC-Segment-Total-Length" in fields
-        common = (kind, fields.get("WARC-Target-URI"), fields.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None, (fields.get("WARC-Refers-To") or "").strip("<>") or None)
+        target = fields.get("WARC-Target-URI")
+        if ESCAPED in fields:
+            target = unquote(target)
+        common = (kind, target, fields.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None, (fields.get("WARC-Refers-To") or "").strip("<>") or None)
         while True:
             piece = plain.take(min(left, chunk))
             left -= len(piece)
@@ -213,14 +231,17 @@ def read(manifest: DataFrame, chunk: int = CHUNK, data: bool = True) -> DataFram
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 fs, place = _open(path)
-                rows, held = [], 0
+                rows, held, row = [], 0, None
                 with fs.open_input_stream(place, compression=None) as stream:
-                    for row in read_stream(stream, chunk, data):
-                        rows.append(row)
-                        held += len(row[3] or b"") + 300
-                        if held >= 4 * chunk:
-                            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names)
-                            rows, held = [], 0
+                    try:
+                        for row in read_stream(stream, chunk, data):
+                            rows.append(row)
+                            held += len(row[3] or b"") + 300
+                            if held >= 4 * chunk:
+                                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names)
+                                rows, held = [], 0
+                    except (ValueError, KeyError, zlib.error) as e:
+                        raise ValueError(f"{path}, after {row[0] if row else 'its start'}: {e!r}") from e
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names)
 
@@ -235,7 +256,7 @@ def records(chunks: DataFrame) -> DataFrame:
     done = chunks.where("last").select("record_id", "record_type", "refers_to", "running_bytes", "running_sha1", "payload_digest")
     full = done.where("record_type != 'revisit'").groupBy(F.col("record_id").alias("refers_to"), F.col("running_sha1").alias("payload_digest")).agg(F.max("running_bytes").alias("full_bytes"))
     revisit = F.col("record_type") == "revisit"
-    return done.join(full, ["refers_to", "payload_digest"], "left").select(
+    return done.join(full.hint("merge"), ["refers_to", "payload_digest"], "left").select(
         "record_id", F.when(revisit, F.col("full_bytes")).otherwise(F.col("running_bytes")).alias("payload_bytes"),
         F.when(revisit, F.col("payload_digest")).otherwise(F.col("running_sha1")).alias("payload_digest"),
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"), "refers_to",
@@ -251,15 +272,17 @@ def archive(df: DataFrame, key: str = "page_id", target: str = "url", payload: s
     is the response, the others revisit it; repeated rows of that key are all
     responses. A null payload is empty. Rows with a null key are written and
     come back, but nothing refers to them: they are responses unless an equal
-    payload has a key. No rows, no records.
+    payload has a key. Targets and keys may hold any characters. Payloads of any
+    length are written, and read back, in segments and chunks. Other columns are
+    not read, so none can clash. No rows, no records.
     """
     rows = df.select(F.col(key).alias("key"), F.col(target).alias("target"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
     rows = rows.withColumn("sha", F.sha2(F.col("payload").cast("binary"), 256))
     same = rows.where(F.octet_length("payload") >= least).groupBy("sha").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("sha", "first")
-    marked = rows.join(same, "sha", "left").withColumn("refers", F.when(~F.col("key").eqNullSafe(F.col("first")), F.col("first")))
+    marked = rows.join(same.hint("merge"), "sha", "left").withColumn("refers", F.when(~F.col("key").eqNullSafe(F.col("first")), F.col("first")))
     manifest = write(marked, scratch_path(df.sparkSession, "warc"), "key", "target", "payload", "refers", segment, file_bytes)
     kind = df.schema[key].dataType.simpleString()
-    back = lambda c: F.expr(f"try_cast(nullif(substr({c}, {len(PREFIX) + 1}), '') as {kind})")
+    back = lambda c: F.expr(f"try_cast(nullif(url_decode(substr({c}, {len(PREFIX) + 1})), '') as {kind})")
     return records(read(manifest, chunk, data=False)).select(
         back("record_id").alias(key), "payload_bytes", "payload_digest", "record_type", back("refers_to").alias("refers_to")
     )

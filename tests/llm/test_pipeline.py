@@ -29,7 +29,8 @@ def test_stages_equal_brute_force(spark):
     by = {}
     for r in quality_.values():
         by.setdefault(r.source, []).append({x.strip(" ") for x in r.text.split("\n")} - {""})
-    drop = {s: {x for d in v for x in d if (n := sum(x in e for e in v)) >= 10 and n > 0.1 * len(v)} for s, v in by.items()}
+    drop = {s: {x for d in v for x in d if (n := sum(x in e for e in v)) >= corpus_pipeline.LINE_DOCUMENTS and n > corpus_pipeline.LINE_RATIO * len(v)} for s, v in by.items()}
+    assert any(drop.values())
     for k, r in quality_.items():
         text = "\n".join(x for x in r.text.split("\n") if x.strip(" ") not in drop[r.source])
         assert lines_[k].text == text and lines_[k].n_chars == len(text)
@@ -49,34 +50,6 @@ def test_stages_equal_brute_force(spark):
     assert sorted(map(tuple, whole)) == sorted(map(tuple, last))
 
 
-def test_stages_equal_brute_force_where_lines_go(spark):
-    """As above with the floor of three documents, at which lines go here; the
-    stages after it take what it left."""
-    read = lambda n: spark.read.parquet(f"{SF001}/{n}.parquet")
-    docs = corpus_pipeline.good_quality(spark, read("documents"), SF001).cache()
-    rows = docs.collect()
-    by = {}
-    for r in rows:
-        by.setdefault(r.source, []).append({x.strip(" ") for x in r.text.split("\n")} - {""})
-    drop = {s: {x for d in v for x in d if (n := sum(x in e for e in v)) >= 3 and n > 0.1 * len(v)} for s, v in by.items()}
-    want = {r.doc_id: "\n".join(x for x in r.text.split("\n") if x.strip(" ") not in drop[r.source]) for r in rows}
-    assert sum(want[r.doc_id] != r.text for r in rows) >= 3
-    steps = []
-    for _, stage in corpus_pipeline.STAGES[1:-1]:
-        docs = stage(spark, docs, SF001).cache()
-        steps.append({r.doc_id: r.text for r in docs.collect()})
-    lines_, near, clean = steps
-    assert lines_ == want
-    groups = test_simhash.brute_groups({k: test_simhash.brute_print(t) for k, t in want.items()}, 3)
-    assert near == {k: want[k] for k in set(groups.values())}
-    items = [(r.item_id, r.text) for r in read("benchmark").collect()]
-    dirty = {d for d, _ in test_decontam.brute(list(near.items()), items)}
-    assert clean == {k: t for k, t in near.items() if k not in dirty}
-    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(P.path("byte_bpe_50k.tiktoken")), special_tokens={})
-    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF001).collect()
-    assert {r.doc_id: r.n_tokens for r in last} == {k: len(library.encode_ordinary(t)) for k, t in clean.items()}
-
-
 def test_lines_go_from_small_sources(spark):
     """The share decides from three documents on, in sources of any size."""
     rows, n = [], 0

@@ -8,6 +8,7 @@ import random
 
 import pyarrow.fs as pafs
 import pytest
+from pyspark.sql import functions as F
 
 from censuskit.llm import warc
 from censuskit.llm.shared import scratch_path
@@ -89,3 +90,24 @@ def test_broken_archives_are_errors():
     with pytest.raises(ValueError):
         list(warc.read_stream(io.BytesIO(raw[:30_000]), 10_000))
     assert isinstance(warc._open("file:/tmp/x")[0], pafs.LocalFileSystem)
+
+
+HOSTILE = ["http://a/\r\nX: y", "a\r\n\r\nWARC/1.1\r\n\r\n", "\x00nul", "line\nfeed", " padded ", "é%0A\t", "%0D%0A plain escapes", "http://ü/漢?q=%20\u2028", "", "\x85"]
+
+
+def test_control_characters_in_targets_and_keys(spark):
+    rows = [(f"k{t}", t, f"own {i}" if i % 2 else "same") for i, t in enumerate(HOSTILE)]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    assert {r.page_id: r.refers_to for r in warc.archive(df).collect()} == {k: min(x for x, _, q in rows if q == p) if p == "same" and k != min(x for x, _, q in rows if q == p) else None for k, _, p in rows}
+    manifest = warc.write(df.withColumn("r", F.lit(None).cast("string")), scratch_path(spark, "warc-test"), "page_id", "url", "html", "r")
+    assert {(r.record_id, r.target) for r in warc.read(manifest).collect()} == {(warc.record_id(k), t) for k, t, _ in rows}
+
+
+def test_a_broken_archive_is_named(spark):
+    df = spark.createDataFrame([("a", "u", "text", None)], "k string, t string, p string, r string")
+    path = warc.write(df, scratch_path(spark, "warc-test"), "k", "t", "p", "r").first().path
+    fs, place = warc._open(path)
+    with fs.open_output_stream(place, compression=None) as out:
+        out.write(warc.member(b"WARC/1.1\r\nWARC-Type: response\r\n\r\n", memoryview(b"")))
+    with pytest.raises(Exception, match="after its start.*Content-Length|after its start.*WARC-Record-ID"):
+        warc.read(spark.createDataFrame([(path,)], "path string")).collect()
