@@ -50,7 +50,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE of what is left: token counts and digests."""
-    return bpe.roundtrip_digests(docs, bpe.read_ranks(public_tokenizers.path(RANK_FILE)), public_tokenizers.PATTERN)
+    return bpe.roundtrip_digests(docs, bpe.read_ranks(public_tokenizers.path(RANK_FILE)), public_tokenizers.PATTERN, spaces=True)
 
 
 STAGES = [
