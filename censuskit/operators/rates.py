@@ -60,18 +60,20 @@ def have_rate(df, keys, measure, name, total=TOTAL):
     return facility_rates(df, keys, {name: measure}, "have", total)
 
 
-def rate_gap_of_rows(df: DataFrame, keys, measure: str, name: str, total: str = TOTAL) -> DataFrame:
-    """``int(100 * (1 - sum(total - measure) / sum(total)))`` per group."""
+def rate_gap_of_rows(df: DataFrame, keys, measure: str, name: str, total: str = TOTAL,
+                     gap: str | None = None) -> DataFrame:
+    """``int(100 * (1 - sum(total - measure) / sum(total)))`` per group. ``gap``
+    names a column that holds the gaps already (of a rollup)."""
     keys = list(keys)
     sums = df.groupBy(*keys).agg(
         F.sum(total).alias("_total"),
-        F.sum(F.col(total) - F.col(measure)).alias("_gap"),
+        F.sum(F.col(gap) if gap else F.col(total) - F.col(measure)).alias("_gap"),
     )
     pct = (F.lit(100) * (F.lit(1) - F.try_divide(F.col("_gap"), F.col("_total")))).cast("int")
     return sums.select(*keys, pct.alias(name))
 
 
-def rate_forms(df: DataFrame, keys, measure: str, total: str = TOTAL) -> DataFrame:
+def rate_forms(df: DataFrame, keys, measure: str, total: str = TOTAL, gap: str | None = None) -> DataFrame:
     """Both accessibility forms of one measure from a single aggregation:
     ``Gap_Of_Sums_Pct`` and ``Gap_Of_Rows_Pct`` (they differ only where null
     measures drop rows out of the gap but not out of the total)."""
@@ -79,7 +81,7 @@ def rate_forms(df: DataFrame, keys, measure: str, total: str = TOTAL) -> DataFra
     sums = df.groupBy(*keys).agg(
         F.sum(total).alias("_total"),
         F.sum(measure).alias("_have"),
-        F.sum(F.col(total) - F.col(measure)).alias("_gap"),
+        F.sum(F.col(gap) if gap else F.col(total) - F.col(measure)).alias("_gap"),
     )
     rows_pct = (F.lit(100) * (F.lit(1) - F.try_divide(F.col("_gap"), F.col("_total")))).cast("int")
     return sums.select(

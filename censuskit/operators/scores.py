@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from censuskit.functions import ratio_weighted_sum, scaled_weighted_sum
+from censuskit.operators.rollup import mean
 from censuskit.schema import HYGIENE_WEIGHTS, SUSTAINABILITY_WEIGHTS, TOTAL
 
 ROW_SCORE = "_row_score"
@@ -46,6 +47,15 @@ def district_score(df: DataFrame, keys, score: str = ROW_SCORE, name: str = "Sco
     return df.groupBy(*keys).agg(agg.alias(name))
 
 
+def score_of_sums(df: DataFrame, keys, statistic: tuple[str, str], name: str = "Score",
+                  scale: float | None = None) -> DataFrame:
+    """``district_score`` from the sum and count of a row score (see ``rollup``)."""
+    out = mean(statistic)
+    if scale is not None:
+        out = out * F.lit(float(scale))
+    return df.groupBy(*keys).agg(out.alias(name))
+
+
 def group_mean(df: DataFrame, keys, value: str, name: str | None = None) -> DataFrame:
     """Unweighted mean of ``value`` per group (mean of means)."""
     return df.groupBy(*keys).agg(F.avg(value).alias(name or value))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from censuskit.functions import sector_of
+from censuskit.operators.rollup import mean
 from censuskit.schema import (
     LOCATION,
     MGMT_ID,
@@ -62,11 +63,12 @@ def mix_share(mixed: DataFrame, within=(PERIOD, LOCATION), count: str = ALL_COUN
     )
 
 
-def sector_compare(scored: DataFrame, score: str, keys=(PERIOD, STATE), sectors=None,
+def sector_compare(scored: DataFrame, score, keys=(PERIOD, STATE), sectors=None,
                    scale: float = 100.0, require_all: bool = False,
                    suffix: str = "_Score") -> DataFrame:
     """Mean score per management id, then the unweighted mean over the ids of
-    each sector, one column per sector (times ``scale``).
+    each sector, one column per sector (times ``scale``). ``score`` is the row
+    score's column, or the columns of its sum and count (see ``rollup``).
 
     Sector membership is a CASE expression over the id (no join). With
     ``require_all`` a group lacking any sector is dropped (the study's
@@ -74,7 +76,8 @@ def sector_compare(scored: DataFrame, score: str, keys=(PERIOD, STATE), sectors=
     """
     sectors = sectors or SECTORS
     keys = list(keys)
-    per_id = scored.groupBy(*keys, MGMT_ID).agg(F.avg(score).alias("_id_mean"))
+    id_mean = F.avg(score) if isinstance(score, str) else mean(score)
+    per_id = scored.groupBy(*keys, MGMT_ID).agg(id_mean.alias("_id_mean"))
     per_id = per_id.withColumn("_sector", sector_of(F.col(MGMT_ID), sectors))
     cols = [f"{s}{suffix}" for s in sectors]
     out = per_id.groupBy(*keys).agg(

@@ -1,8 +1,8 @@
 """The study bound to the driver tables: one ``(spark, sf_dir)`` callable per
 analysis, as registered in ``__spark_entry__.queries()``.
 
-The census is the one derived from the driver tables (``census_table``,
-materialised once per session); the outcome is the exam-result table derived
+The census is the one derived from the driver tables; its analyses read the
+rollup of it (``statistics``, materialised once per session); the outcome is the exam-result table derived
 from orders; census district names reach the outcome spelling through an
 alias table derived from the nation table.
 """
@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from censuskit.operators import quality
 from censuskit.operators.normalize import ALIAS_FROM, ALIAS_TO, normalize_key
+from censuskit.operators.rollup import rollup
 from censuskit.plans import study
 from censuskit.schema import DISTRICT
 from censuskit.sources import storage
-from censuskit.sources.census import YEAR_OFFSET, census_table
+from censuskit.sources.census import DERIVATION_VERSION, YEAR_OFFSET, apply_null_policy, census_inputs, census_table, derived_census
 from censuskit.sources.outcome import EXAM_YEAR, outcome_sheet, outcome_table
 from censuskit.sources.outcome import outcome_long as _stack_outcome
 
@@ -35,9 +36,25 @@ SPREAD_LIMIT = 3000
 
 
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The census row by row."""
     return study.prepare(census_table(spark, sf_dir))
 
 
+def statistics(spark: SparkSession, sf_dir: str, null_policy: str = "keep") -> DataFrame:
+    """The rollup of the census, written once per session: the one scan behind
+    every analysis of sums. The derivation's join feeds the aggregate directly."""
+    d = sf_dir.rstrip("/")
+    return storage.materialize(
+        spark,
+        "rollup" if null_policy == "keep" else f"rollup-{null_policy}",
+        census_inputs(d),
+        DERIVATION_VERSION,
+        build=lambda: rollup(apply_null_policy(study.prepare(derived_census(spark, d)), null_policy)),
+        write=lambda df, path: df.write.mode("overwrite").parquet(path),
+        read=lambda path: spark.read.parquet(path),
+    )
+
+
 def district_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alias table (census spelling -> results spelling) derived from the
     nation table: ``NATION_7`` is written ``Nation 7`` in the results."""
@@ -89,13 +106,13 @@ def quality_unique(spark, sf_dir):
 
 def corr_states(spark, sf_dir):
     """``corr`` limited to some states, as the study's was to one."""
-    return study.corr(census(spark, sf_dir), outcome(spark, sf_dir),
+    return study.corr(statistics(spark, sf_dir), outcome(spark, sf_dir),
                       census_aliases=district_aliases(spark, sf_dir), states=CORR_STATES)
 
 
 def _bind_census(fn, **options):
     def run(spark, sf_dir):
-        return fn(census(spark, sf_dir), **options)
+        return fn(statistics(spark, sf_dir), **options)
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
@@ -104,7 +121,7 @@ def _bind_census(fn, **options):
 
 def _bind_outcome(fn):
     def run(spark, sf_dir):
-        return fn(census(spark, sf_dir), outcome(spark, sf_dir),
+        return fn(statistics(spark, sf_dir), outcome(spark, sf_dir),
                   census_aliases=district_aliases(spark, sf_dir))
 
     run.__name__ = fn.__name__
@@ -113,7 +130,7 @@ def _bind_outcome(fn):
 
 
 def aliases(spark, sf_dir):
-    return study.aliases(census(spark, sf_dir), census_aliases=district_aliases(spark, sf_dir))
+    return study.aliases(statistics(spark, sf_dir), census_aliases=district_aliases(spark, sf_dir))
 
 
 _OPTIONS = {name: {"periods": PERIODS} for name in study.CENSUS_ANALYSES if name.startswith("trend_")}

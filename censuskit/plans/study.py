@@ -1,7 +1,8 @@
 """The study's analyses as functions of a census DataFrame.
 
 Every function takes the census (any DataFrame with the census columns it
-uses: from ``read_census_csv``, ``read_census`` or ``derived_census``) and,
+uses: from ``read_census_csv``, ``read_census`` or ``derived_census``) or its
+``rollup``, one scan that serves them all, and,
 for the correlation part, the long outcome table (``District_Name``,
 ``Exam_Year``, ``Pass_Pct``) and returns a DataFrame. All years are handled
 in one run (``Academic_Year`` is a grouping key); top-n lists are per year.
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from censuskit.functions import pct_gap_of_sums, round6
-from censuskit.operators import correlate, distribution, quality, ranking, rates, scores, segments, trends
+from censuskit.operators import correlate, distribution, quality, ranking, rates, rollup, scores, segments, trends
 from censuskit.operators.normalize import apply_aliases, normalize_key
 from censuskit.schema import (
     ADVANCED,
@@ -117,7 +118,7 @@ def state_mgmt_share(census: DataFrame) -> DataFrame:
 
 
 def _sustain_districts(census: DataFrame) -> DataFrame:
-    return scores.district_score(scores.sustainability_rows(census), YSD, name=SUSTAIN, scale=100)
+    return scores.score_of_sums(rollup.facts(census), YSD, rollup.SUSTAIN, name=SUSTAIN, scale=100)
 
 
 def sustain_top10(census: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -133,14 +134,12 @@ def sustain_state(census: DataFrame) -> DataFrame:
 def sustain_by_mgmt(census: DataFrame) -> DataFrame:
     """Score per (year, state, management id): the first stage of the sector
     comparison, reported on its own."""
-    rows = scores.sustainability_rows(census)
-    s = scores.district_score(rows, [*YS, MGMT_ID], name=SUSTAIN, scale=100)
+    s = scores.score_of_sums(rollup.facts(census), [*YS, MGMT_ID], rollup.SUSTAIN, name=SUSTAIN, scale=100)
     return s.withColumn(SUSTAIN, round6(SUSTAIN))
 
 
 def sector(census: DataFrame, require_all: bool = False) -> DataFrame:
-    out = segments.sector_compare(scores.sustainability_rows(census), scores.ROW_SCORE, YS,
-                                  require_all=require_all)
+    out = segments.sector_compare(rollup.facts(census), rollup.SUSTAIN, YS, require_all=require_all)
     score_cols = [c for c in out.columns if c.endswith("_Score")]
     return out.select(*YS, *[round6(c).alias(c) for c in score_cols])
 
@@ -149,7 +148,7 @@ def sector(census: DataFrame, require_all: bool = False) -> DataFrame:
 
 
 def ramp(census: DataFrame) -> DataFrame:
-    out = rates.rate_gap_of_rows(census, YS, "Ramps", RAMP_PCT)
+    out = rates.rate_gap_of_rows(rollup.facts(census), YS, "Ramps", RAMP_PCT, gap=rollup.gap("Ramps"))
     return out.orderBy(PERIOD, _desc(RAMP_PCT), STATE)
 
 
@@ -192,7 +191,7 @@ def medical_have(census: DataFrame) -> DataFrame:
 
 
 def _hygiene_districts(census: DataFrame) -> DataFrame:
-    return scores.district_score(scores.hygiene_rows(census), YSD, name=HYGIENE)
+    return scores.score_of_sums(rollup.facts(census), YSD, rollup.HYGIENE, name=HYGIENE)
 
 
 def hygiene_district(census: DataFrame) -> DataFrame:
@@ -235,7 +234,7 @@ def _trend(df: DataFrame, value: str, periods=None, complete_only: bool = True)
 
 
 def trend_ramp(census: DataFrame, periods=None) -> DataFrame:
-    return _trend(rates.rate_gap_of_rows(census, YS, "Ramps", RAMP_PCT), RAMP_PCT, periods)
+    return _trend(ramp(census), RAMP_PCT, periods)
 
 
 def trend_internet(census: DataFrame, periods=None) -> DataFrame:
@@ -309,10 +308,10 @@ def fit_line(census: DataFrame, outcome: DataFrame, census_aliases=None, outcome
     """Least-squares lines of pass % on library availability and on the
     hygiene score, per year. Both district features come from one
     aggregation of the census (same keys), joined once to the outcome."""
-    per_district = scores.hygiene_rows(in_states(census, states)).groupBy(*YSD).agg(
+    per_district = rollup.facts(in_states(census, states)).groupBy(*YSD).agg(
         F.sum(TOTAL).alias("_t"),
         F.sum(LIBRARY).alias("_lib"),
-        F.avg(scores.ROW_SCORE).alias(HYGIENE),
+        rollup.mean(rollup.HYGIENE).alias(HYGIENE),
     )
     feats = per_district.select(*YSD, pct_gap_of_sums("_t", "_lib").alias(LIBRARY), HYGIENE)
     joined = _joined_outcome(feats, outcome, census_aliases, outcome_aliases)
@@ -329,7 +328,7 @@ def quality_compare(census: DataFrame) -> DataFrame:
     gap-of-rows form (observed): they differ where null ramp counts drop rows
     out of the gap but not out of the total. Both forms come from one
     aggregation of the census."""
-    forms = rates.rate_forms(census, YS, "Ramps")
+    forms = rates.rate_forms(rollup.facts(census), YS, "Ramps", gap=rollup.gap("Ramps"))
     return quality.compare_columns(forms, YS, "Gap_Of_Sums_Pct", "Gap_Of_Rows_Pct", tol=0.0)
 
 

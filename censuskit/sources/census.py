@@ -170,6 +170,11 @@ DERIVATION_VERSION = "2"
 _INPUTS = ["lineitem", "orders", "customer", "nation", "region"]
 
 
+def census_inputs(sf_dir: str) -> list[str]:
+    """The driver tables that the census is derived from."""
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in _INPUTS]
+
+
 def _measure(i: int) -> str:
     """Measure number i of a census row: null on every (11+i)-th order,
     otherwise a deterministic count between 0 and the total."""
@@ -279,7 +284,7 @@ def census_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return storage.materialize(
         spark,
         "census",
-        [f"{d}/{t}.parquet" for t in _INPUTS],
+        census_inputs(d),
         DERIVATION_VERSION,
         build=lambda: derived_rows(spark, d),
         write=_write_partitioned,

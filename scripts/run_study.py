@@ -23,6 +23,7 @@ def run(spark, census_path: str, out: str, outcome_path: str | None = None, fmt:
         census_format: str = "csv", only=None, corr_nulls: str = "skip",
         complete_outcome: bool = False, states=None) -> list[str]:
     from censuskit.operators.normalize import EXAM_DISTRICT_ALIASES
+    from censuskit.operators.rollup import rollup
     from censuskit.plans import study
     from censuskit.sources.census import read_census, read_census_csv, write_census
     from censuskit.sources.outcome import outcome_long, read_outcome_csv
@@ -31,7 +32,10 @@ def run(spark, census_path: str, out: str, outcome_path: str | None = None, fmt:
         copy = f"{out.rstrip('/')}/_census"
         write_census(read_census_csv(spark, census_path), copy)
         census_path = copy
-    census = study.prepare(read_census(spark, census_path))
+    # One scan of the census; every analysis reads what it comes to.
+    rolled = f"{out.rstrip('/')}/_rollup"
+    rollup(study.prepare(read_census(spark, census_path))).write.mode("overwrite").parquet(rolled)
+    census = spark.read.parquet(rolled)
     results = {name: fn(census) for name, fn in study.CENSUS_ANALYSES.items()}
     if outcome_path:
         outcome = outcome_long(read_outcome_csv(spark, outcome_path), complete_only=complete_outcome,

@@ -2,7 +2,8 @@
 
 import pytest
 
-from censuskit.plans import QUERIES
+from censuskit.operators.rollup import rollup
+from censuskit.plans import QUERIES, catalog, study
 from censuskit.sources.census import derived_census
 from tests.conftest import SF001
 
@@ -19,7 +20,7 @@ def test_no_python_udf_and_no_cartesian(spark, name):
 
 
 def test_census_scan_is_pruned(spark):
-    df = QUERIES["ramp"](spark, SF001)
+    df = study.ramp(catalog.census(spark, SF001))
     plan = _plan(df)
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
     schema = scan[scan.index("ReadSchema"):]
@@ -28,8 +29,9 @@ def test_census_scan_is_pruned(spark):
 
 
 def test_rural_filter_is_pushed(spark):
-    plan = _plan(QUERIES["top_rural"](spark, SF001))
-    assert "IsNotNull(Location), EqualTo(Location,Rural)" in plan
+    for census in (catalog.census(spark, SF001), catalog.statistics(spark, SF001)):
+        plan = _plan(study.top_rural(census))
+        assert "IsNotNull(Location), EqualTo(Location,Rural)" in plan
 
 
 def test_derivation_join_shape(spark):
@@ -78,9 +80,42 @@ def test_census_rows_are_aggregated_before_any_shuffle(spark, name):
 
 
 def test_year_filter_prunes_census_folders(spark):
-    from censuskit.plans import catalog, study
-
     one_year = catalog.census(spark, SF001).where("Academic_Year = '2019_2020'")
     plan = _plan(study.essentials(one_year))
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
     assert "PartitionFilters: [isnotnull(Academic_Year" in scan and "2019_2020" in scan
+
+
+def _scanned(df) -> set[str]:
+    """The folders that a plan reads."""
+    found, todo = set(), [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "LogicalRelation":
+            found.add(node.relation().location().rootPaths().mkString(","))
+        todo += _children(node)
+    return found
+
+
+def test_one_census_scan_serves_every_analysis(spark):
+    rolled = _scanned(catalog.statistics(spark, SF001))
+    assert len(rolled) == 1 and "censuskit/rollup-" in next(iter(rolled))
+    small = ("nation.parquet", "censuskit/outcome-")  # spellings and results
+    for name in [*study.CENSUS_ANALYSES, *study.OUTCOME_ANALYSES]:
+        assert {x for x in _scanned(QUERIES[name](spark, SF001)) if not any(y in x for y in small)} == rolled, name
+    inputs = _scanned(rollup(study.prepare(derived_census(spark, SF001))))
+    assert sum("lineitem" in x for x in inputs) == 1
+
+
+def test_rollup_is_map_side_combined_and_rolls_up_again(spark):
+    rows = derived_census(spark, SF001)
+    once = rollup(rows)
+    plan = _plan(once.select("*"))
+    assert plan.count("HashAggregate") >= 2 and "SortAggregate" not in plan
+    keys = ["Academic_Year", "State_Name"]
+    a, b = ({tuple(r[k] for k in keys): r for r in rollup(x, keys).collect()} for x in (rows, once))
+    assert a.keys() == b.keys()
+    for k, r in a.items():
+        for c, v in r.asDict().items():
+            assert b[k][c] == v or b[k][c] == pytest.approx(v, rel=1e-12), c
+    assert sum(r["_rows"] for r in a.values()) == rows.count() > once.count()
