@@ -44,9 +44,8 @@ HASHES = 40
 #: Classes that meet in one task as one chunk.
 CHUNK = 2_000
 #: Colliding classes (8 bytes each) up to which they are broadcast to pick out
-#: their shingles, and repeated classes (some 100 bytes) up to which they are to
-#: pick out their places; beyond it both sides are shuffled.
-BROADCAST_CLASSES, BROADCAST_REPEATS = 1_000_000, 200_000
+#: their shingles; beyond it both sides are shuffled.
+BROADCAST_CLASSES = 1_000_000
 
 
 def tune(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -268,8 +267,7 @@ def marked_texts(texts: DataFrame, shingle: int, least: float, stretch: int, rec
     linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct()
     own = firsts.join(linked, F.col("cls") == F.col("node"), "left").where("root is not null or n > 1").select("cls", F.coalesce("root", "cls").alias("root"), "first")
     own = cut(own, "repeated")
-    kept = own.join(own.groupBy("root").agg(F.min("first").alias("keep")), "root").select("cls", "keep")
-    kept = F.broadcast(kept) if own.count() <= BROADCAST_REPEATS else kept.hint("merge")
+    kept = own.join(own.groupBy("root").agg(F.min("first").alias("keep")), "root").select("cls", "keep").hint("merge")
     span = ["doc", "mark", "start", "words"]
     repeats = units.where("not again").select(*span, "cls").join(kept, "cls").where(place != F.col("keep")).select(*span).unionByName(units.where("again").select(*span))
     found = repeats.groupBy("doc", "mark").agg(F.sort_array(F.collect_set(F.struct("start", "words"))).alias("found"))  # of one text

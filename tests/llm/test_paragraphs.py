@@ -137,7 +137,6 @@ def test_equals_all_pairs(spark, monkeypatch):
     rows += [(300, same + "\n" + same), (301, "\n\n" + same + "\n"), (302, None), (303, ""), (None, same), (None, same), (0, rows[0][1]), (0, "other\n" + same), (304, "a " * 30_000), (305, "a " * 200)]
     for options, bound in (({}, paragraphs.BROADCAST_CLASSES), ({"chunk": 2}, 0)):
         monkeypatch.setattr(paragraphs.similar, "__defaults__", (*paragraphs.similar.__defaults__[:-1], bound))
-        monkeypatch.setattr(paragraphs, "BROADCAST_REPEATS", bound)
         assert len(check(spark, rows, **options)) > 40
 
 
