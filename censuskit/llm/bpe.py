@@ -19,12 +19,12 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from .shared import slices
 
 #: States kept per worker before the tables start afresh; words, and runs between
-#: spaces, remembered in each of two generations, of which the older goes when the
-#: younger is full.
+#: spaces, remembered of those met once and of those met again.
 MAX_STATES = 150_000
 MAX_WORDS = 150_000
 #: Longer words are not remembered.
@@ -53,25 +52,31 @@ def read_ranks(path: str) -> dict[bytes, int]:
 #: A token before a boundary is kept in the lowest bits of a hypothesis; all of them: none.
 _BITS = 20
 _NONE = (1 << _BITS) - 1
-_ODD_SPACE = re.compile(r" \s|\s ")
+#: White space, and a space that touches another or a text's end: no place to cut.
+_SPACE = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_ODD_SPACE = f" [{_SPACE}]|[{_SPACE}] |\\A | \\z"
+#: Bytes of text that are cut into runs together.
+RUN_BYTES = 8 << 20
 
 
 class _Memo(dict):
-    """Ids of remembered strings, as bytes of 32-bit numbers; others are worked
-    out on the way, so that a lookup over many is one call."""
+    """Ids of strings that came up twice, as bytes of 32-bit numbers, and in
+    ``once`` of those that came up once; each starts afresh when it is full.
+    What is not remembered is worked out in a lookup."""
 
     def __init__(self, encode, most: int):
-        self.encode, self.most, self.older = encode, most, {}
+        self.encode, self.most, self.once = encode, most, {}
 
     def __missing__(self, word: str) -> bytes:
-        found = self.older.get(word)
+        found = self.once.pop(word, None)
         if found is None:
-            found = self.encode(word)
+            found, here = self.encode(word), self.once
+        else:
+            here = self
         if len(word) <= LONGEST_WORD:
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[word] = found
+            if len(here) >= self.most:
+                here.clear()
+            here[word] = found
         return found
 
 
@@ -228,12 +233,12 @@ class BpeTransducer:
         return array("i", self._back(last, len(last))).tobytes()
 
     def _encode_run(self, run: str) -> bytes:
-        """Ids of a run that begins with a space left out. A run that is one match
-        is remembered as a run alone."""
+        """Ids of a run that begins with a space left out: one match, or several,
+        of which those that begin with a space are runs, too."""
         words = self.split(" " + run)
         if len(words) == 1:
-            return self.words.get(words[0]) or self._encode_word(words[0])
-        return b"".join(map(self.words.__getitem__, words))
+            return self._encode_word(words[0])
+        return b"".join([self.runs[x[1:]] if x[0] == " " else self.words[x] for x in words])
 
     def _ids(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, self.split(text)))
@@ -243,19 +248,38 @@ class BpeTransducer:
         if not self.spaces:
             return self._ids(text)
         runs = text.split(" ")
-        if _ODD_SPACE.search(text) or not runs[0] or not runs[-1]:  # cut only between other characters
-            joined = [runs[0]]
-            for run in runs[1:]:
-                if run and not run[0].isspace() and joined[-1] and not joined[-1][-1].isspace():
-                    joined.append(run)
-                else:
-                    joined[-1] += " " + run
-            runs = joined
-        return self._ids(runs[0]) + b"".join(map(self.runs.__getitem__, runs[1:]))
+        joined = [runs[0]]
+        for run in runs[1:]:  # cut only between other characters than white space
+            if run and not run[0].isspace() and joined[-1] and not joined[-1][-1].isspace():
+                joined.append(run)
+            else:
+                joined[-1] += " " + run
+        return self._ids(joined[0]) + b"".join(map(self.runs.__getitem__, joined[1:]))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.ids(text), np.int32).tolist()
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of a column of texts without nulls, end to end, and where
+        each text's begin (one more than texts). Runs between spaces are told
+        apart in the column, and each distinct one is looked up once."""
+        odd = pc.match_substring_regex(texts, _ODD_SPACE) if self.spaces else pa.array([True] * len(texts))
+        cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        bounds = cut.offsets.to_numpy().astype(np.int64)
+        bounds -= bounds[0]
+        runs = cut.flatten().dictionary_encode()
+        codes = runs.indices.to_numpy().astype(np.int64)
+        # A text's first run has no space before it; a text that cannot be cut is one run.
+        first = [self.ids(x) if alone else self._ids(x[: x.find(" ")] if " " in x else x) for x, alone in zip(texts.to_pylist(), odd.to_pylist())]
+        codes[bounds[:-1]] = len(runs.dictionary) + np.arange(len(texts))
+        used = np.zeros(len(runs.dictionary), bool)
+        used[codes[codes < len(used)]] = True
+        ids = [self.runs[x] if u else b"" for x, u in zip(runs.dictionary.to_pylist(), used.tolist())]
+        taken = pa.array(ids + first, pa.large_binary()).take(pa.array(codes))
+        offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1]
+        data = np.frombuffer(taken.buffers()[2], np.uint8) if taken.buffers()[2] is not None else np.zeros(0, np.uint8)
+        return data[offsets[0] : offsets[-1]].view(np.int32), (offsets[bounds] - offsets[0]) // 4
+
 
 class Tokenizer:
     """A rank table and its pattern, to be broadcast. The transducer compiled
@@ -338,9 +362,9 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc
     def run(batches):
         machine = shared.value.machine()
         for batch in steadily(batches):
-            for part in slices(batch, "text"):
-                ids = [machine.encode(x) for x in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(ids, pa.list_(pa.int32()))], ["key", "ids"])
+            for part in slices(batch, "text", RUN_BYTES):
+                ids, bounds = machine.encode_column(part.column("text"))
+                yield pa.RecordBatch.from_arrays([part.column("key"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))], ["key", "ids"])
 
     kind = df.schema[key].dataType.simpleString()
     return _columns(df, key, text).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
@@ -396,10 +420,11 @@ def roundtrip_digests(
         machine = shared.value.machine()
         names, tokens = _Pieces({r: b"%d " % r for r in machine.token}), _Pieces(machine.token)
         for batch in steadily(batches):
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", RUN_BYTES):
                 rows = ([], [], [])
-                for x in part.column("text").to_pylist():
-                    ids = np.frombuffer(machine.ids(x), np.int32)
+                every, bounds = machine.encode_column(part.column("text"))
+                for begin, end in zip(bounds.tolist(), bounds[1:].tolist()):
+                    ids = every[begin:end]
                     listed, decoded, utf8 = hashlib.sha256(), hashlib.sha256(), Utf8Machine()
                     for i in range(0, len(ids), DECODE_TOKENS):
                         some = ids[i : i + DECODE_TOKENS]
