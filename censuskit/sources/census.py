@@ -1,8 +1,8 @@
 """Census sources.
 
 * ``read_census_csv``: the original layout, one folder per (year, state) of
-  CSV files with a header row; one scan per distinct header, columns matched
-  by *name* in every file and cast explicitly (no schema inference pass, no
+  CSV files with a header row; one pass over the bytes, columns matched by
+  *name* in every file and cast explicitly (no schema inference pass, no
   positional union).
 * ``derived_census``: a census built from the driver's TPC-H-style tables, so
   that every job can run on data whose size grows with the scale factor.
@@ -44,55 +44,84 @@ from censuskit.sources import storage
 # ---------------------------------------------------------------------------
 
 
-def _csv_headers(spark: SparkSession, pattern: str) -> DataFrame:
-    """``_file`` and ``_header`` of every CSV file with content: the header is
-    the line that names the total column."""
-    lines = spark.read.text(pattern).select(F.col("_metadata.file_path").alias("_file"), "value")
+LINES_VERSION = "1"
+_FILE, _HEADER, _LINE, _CORRUPT = "_file", "_header", "_line", "_corrupt"
+
+
+def _csv_text(spark: SparkSession, pattern: str) -> DataFrame:
+    """The lines of all CSV files: ``_file``, ``_header`` (a line that names the
+    total column) or ``_line`` (any other that is not blank)."""
+    lines = spark.read.text(pattern).select(F.col("_metadata.file_path").alias(_FILE), "value")
     is_header = F.contains(F.lower("value"), F.lit(TOTAL.lower()))
-    return lines.groupBy("_file").agg(F.max(F.when(is_header, F.col("value"))).alias("_header"))
+    return lines.where(F.trim("value") != "").select(_FILE, F.when(is_header, F.col("value")).alias(_HEADER), F.when(~is_header, F.col("value")).alias(_LINE))
 
 
-def _census_strings(spark: SparkSession, base_path: str) -> DataFrame:
-    """The census columns of ``<base>/<year>/<state>/*.csv`` as strings."""
-    pattern = f"{base_path.rstrip('/')}/*/*/*.csv"
+def _csv_lines(spark: SparkSession, base_path: str) -> DataFrame:
+    """``_csv_text`` of ``<base>/<year>/<state>/*.csv``, read once: the bytes
+    are scanned for the write, headers and rows then come from Parquet. Files
+    that change make a new table."""
+    base = base_path.rstrip("/")
     try:
-        headers = _csv_headers(spark, pattern)
-        found = [r[0] for r in headers.select("_header").distinct().collect()]  # one row per header
+        finger = storage.content_fingerprint(spark, [base])
+        lines = _csv_text(spark, f"{base}/*/*/*.csv")
     except AnalysisException as e:
         raise FileNotFoundError(f"no <year>/<state> folders of CSV files under {base_path}") from e
+    return storage.materialize(
+        spark, f"csv-{finger[:16]}", [base], LINES_VERSION,
+        build=lambda: lines,
+        write=lambda df, path: df.write.mode("overwrite").parquet(path),
+        read=lambda path: spark.read.schema(lines.schema).parquet(path),
+    )
+
+
+def _census_strings(spark: SparkSession, base_path: str) -> DataFrame:
+    """The census columns of the rows as strings, ``_file``, and ``_corrupt``:
+    the line of a row that has more or fewer fields than its header."""
+    lines = _csv_lines(spark, base_path)
+    headers = lines.groupBy(_FILE).agg(F.max(_HEADER).alias(_HEADER))  # one row per file
+    found = [r[0] for r in headers.select(_HEADER).distinct().collect()]  # one row per header
     if None in found:
         raise ValueError(f"CSV files without a header that names {TOTAL} under {base_path}")
-    parts = []
-    for header in sorted(found):
+    path = F.url_decode(F.replace(_FILE, F.lit("+"), F.lit("%2B")))
+    folder = {PERIOD: r"/([^/]+)/[^/]+/[^/]+$", STATE: r"/([^/]+)/[^/]+$"}
+    rows = lines.where(F.col(_LINE).isNotNull()).select(_FILE, _LINE).join(headers, _FILE)
+    parsed = F.lit(None)
+    for header in sorted(found):  # one branch per header; a row is parsed by its own
         names = [c.strip().lstrip("\ufeff").lower() for c in next(csv.reader([header]))]
-        schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
-        raw = spark.read.schema(schema).option("header", True).csv(pattern).withColumn("_file", F.col("_metadata.file_path"))
-        if len(found) > 1:  # the rows of files with this header
-            own = headers.where(F.col("_header") == F.lit(header)).select("_file")
-            raw = raw.join(own, "_file", "left_semi")
-        path = F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B")))
-        folder = {PERIOD: r"/([^/]+)/[^/]+/[^/]+$", STATE: r"/([^/]+)/[^/]+$"}
-        cols = []
-        for field in CENSUS_SCHEMA.fields:
-            value = F.trim(f"_{names.index(field.name.lower())}") if field.name.lower() in names else F.lit(None).cast("string")
-            if field.name in folder:  # a folder is named "<value>" or "<column>=<value>"
-                value = F.coalesce(value, F.regexp_replace(F.regexp_extract(path, folder[field.name], 1), "^[^=]*=", ""))
-            cols.append(value.alias(field.name))
-        parts.append(raw.select(*cols))
-    return union_all(parts)
+        fields = F.from_csv(_LINE, ", ".join([*(f"_{i} STRING" for i in range(len(names))), f"{_CORRUPT} STRING"]), {"columnNameOfCorruptRecord": _CORRUPT})
+        branch = F.get(F.transform(F.array(fields), _census_fields(names)), F.lit(0))
+        parsed = F.when(F.col(_HEADER) == F.lit(header), branch).otherwise(parsed)
+    if not found:
+        parsed = F.lit(None).cast(f"struct<{', '.join(f'{c}:string' for c in [*CENSUS_COLUMNS, _CORRUPT])}>")
+    strings = rows.select(_FILE, parsed.alias("row")).select(_FILE, "row.*")
+    for name, pattern in folder.items():  # a folder is named "<value>" or "<column>=<value>"
+        strings = strings.withColumn(name, F.coalesce(name, F.regexp_replace(F.regexp_extract(path, pattern, 1), "^[^=]*=", "")))
+    return strings
+
+
+def _census_fields(names: list[str]):
+    """Census columns, by name, of fields parsed by position."""
+
+    def pick(x):
+        columns = [F.trim(x[f"_{names.index(c.lower())}"]) if c.lower() in names else F.lit(None).cast("string") for c in CENSUS_COLUMNS]
+        return F.struct(*[c.alias(n) for n, c in zip(CENSUS_COLUMNS, columns)], x[_CORRUPT].alias(_CORRUPT))
+
+    return pick
 
 
 def read_census_csv(spark: SparkSession, base_path: str, null_policy: str = "keep") -> DataFrame:
     """Read ``<base>/<year>/<state>/*.csv``.
 
-    The CSV reader maps every file of one scan by position, so files exported
-    with another column order would shift silently. Files are therefore grouped
-    by their header line: one scan per distinct header (all fields as strings,
-    no inference pass), its census columns picked by header name, ignoring case
-    and blanks, and cast with ``try_cast`` (``bad_census_values`` counts what
-    does not cast). ``Academic_Year`` and ``State_Name`` fall back to the folder
-    names (``<year>/<state>`` or ``Academic_Year=<year>/State_Name=<state>``)
-    when the files do not carry them.
+    A CSV scan maps all its files by position, so files exported with another
+    column order would shift silently. Here the lines are read once, as text,
+    however many layouts there are; a table of one header per file is joined to
+    them, and every row is parsed by its own header (all fields as strings, no
+    inference pass). Census columns are picked by header name, ignoring case and
+    blanks, and cast with ``try_cast`` (``bad_census_values`` counts what does
+    not cast, ``bad_census_rows`` the rows that do not fit their header).
+    ``Academic_Year`` and ``State_Name`` fall back to the folder names
+    (``<year>/<state>`` or ``Academic_Year=<year>/State_Name=<state>``) when the
+    files do not carry them. A quoted field may not hold a line feed.
     """
     strings = _census_strings(spark, base_path)
     typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CENSUS_SCHEMA.fields]
@@ -107,6 +136,13 @@ def bad_census_values(spark: SparkSession, base_path: str) -> DataFrame:
     return strings.agg(*bad).unpivot([], CENSUS_COLUMNS, "Column_Name", "Bad_Values")
 
 
+def bad_census_rows(spark: SparkSession, base_path: str) -> DataFrame:
+    """Per year and state, ``Rows`` and ``Bad_Rows``: rows with more or fewer
+    fields than their header names (what they have is read by position)."""
+    strings = _census_strings(spark, base_path)
+    return strings.groupBy(PERIOD, STATE).agg(F.count("*").alias("Rows"), F.count(_CORRUPT).alias("Bad_Rows"))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """``unionByName`` of many frames as a balanced tree: plan depth grows
     with log(n), not n, when there are hundreds of export folders."""

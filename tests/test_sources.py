@@ -38,12 +38,35 @@ def test_csv_column_order_may_differ_inside_a_folder(spark, tmp_path):
     df = census.read_census_csv(spark, str(tmp_path / "base"))
     assert sorted(map(tuple, df.select(STATE, PERIOD, TOTAL, "Ramps").collect()), key=str) == [
         ("Tamil Nadu+x", "2018_2019", 10, 4), ("Tamil Nadu+x", "2018_2019", 10, 4), ("Tamil Nadu+x", "2018_2019", 7, None)]
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan csv") == 2  # one per header
     bad = {r[0]: r[1] for r in census.bad_census_values(spark, str(tmp_path / "base")).collect() if r[1]}
     assert bad == {"Ramps": 1}
 
 
+@pytest.mark.parametrize("layouts", [1, 3])
+def test_csv_bytes_are_read_once_whatever_the_headers(spark, tmp_path, layouts):
+    names = ["Total_Number_of_Schools", "Ramps", "Newspaper", "District_Name"]
+    for i in range(layouts):
+        d = tmp_path / "base" / "2018_2019" / f"S{i}"
+        os.makedirs(d)
+        cols = names[i:] + names[:i]
+        value = {"Total_Number_of_Schools": "10", "Ramps": str(i), "Newspaper": "2", "District_Name": '"a, b"'}
+        good = ",".join(value[c] for c in cols)
+        (d / "a.csv").write_text("\n".join([",".join(cols), good, good + ",extra", "", ",".join(value[c] for c in cols[:2]), good]) + "\n")
+    base = str(tmp_path / "base")
+    once = census._csv_text(spark, f"{base}/*/*/*.csv")._jdf.queryExecution().executedPlan().toString()
+    assert once.count("FileScan text") == 1
+    df = census.read_census_csv(spark, base)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "FileScan csv" not in plan and plan.count("FileScan parquet") == 2  # rows and headers
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    whole = [r for r in df.select(STATE, TOTAL, "Ramps", "Newspaper", "District_Name").collect() if r.District_Name and r.Newspaper and r[1]]
+    assert sorted(map(tuple, whole)) == sorted((f"S{i}", 10, i, 2, "a, b") for i in range(layouts) for _ in range(3))
+    assert {tuple(r) for r in census.bad_census_rows(spark, base).collect()} == {("2018_2019", f"S{i}", 4, 2) for i in range(layouts)}
+    # Files that change are read again.
+    (tmp_path / "base" / "2018_2019" / "S0" / "b.csv").write_text("Ramps,Total_Number_of_Schools\n1,1\n")
+    assert census.read_census_csv(spark, base).count() == 4 * layouts + 1
+
+
 def test_csv_problems_are_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         census.read_census_csv(spark, str(tmp_path / "none"))
