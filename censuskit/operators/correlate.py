@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from censuskit.functions import pearson, round6
@@ -12,21 +12,35 @@ CORRELATION = "Correlation"
 
 
 def join_outcome(features: DataFrame, outcome: DataFrame, feature_key: str, outcome_key: str,
-                 feature_period: str, outcome_period: str, period_map=None) -> DataFrame:
+                 feature_period: str, outcome_period: str, period_map=None, state: str | None = None) -> DataFrame:
     """Inner equi-join of per-district features with the outcome on
     (district key, period). ``period_map`` turns the feature period into the
     outcome's period label (default: the part before the first ``_``, so
-    ``2017_2018`` meets exam year ``2017``)."""
+    ``2017_2018`` meets exam year ``2017``).
+
+    ``state`` names the features' column that tells equal district names apart.
+    If the outcome has that column, too, it is a third key. If not, a name that
+    stands in several states of a period is an error when the join runs: it
+    would meet the outcome of another state's district.
+    """
     pm = period_map or (lambda c: F.substring_index(c, "_", 1))
-    left = features.withColumn("_join_period", pm(F.col(feature_period)))
-    extra = [c for c in outcome.columns if c not in (outcome_key, outcome_period)]
+    left = features.withColumn("_join_period", pm(F.col(feature_period))).withColumn("_join_key_l", F.col(feature_key))
+    qualified = state is not None and state in outcome.columns
+    if state is not None and not qualified:
+        # One row per district and period: a window group is a name's states.
+        same = Window.partitionBy(feature_key, "_join_period")
+        several = F.min(state).over(same) != F.max(state).over(same)
+        error = F.raise_error(F.concat(F.lit("district name in several states: "), F.col(feature_key))).cast("string")
+        left = left.withColumn("_join_key_l", F.when(several, error).otherwise(F.col(feature_key)))
+    extra = [c for c in outcome.columns if c not in (outcome_key, outcome_period, state)]
     right = outcome.select(
-        F.col(outcome_key).alias("_join_key"), F.col(outcome_period).alias("_join_period_r"), *extra
-    )
-    joined = left.join(
-        right,
-        (left[feature_key] == right["_join_key"]) & (left["_join_period"] == right["_join_period_r"]),
+        F.col(outcome_key).alias("_join_key"), F.col(outcome_period).alias("_join_period_r"), *extra,
+        *([F.col(state).alias("_join_state")] if qualified else []),
     )
+    on = (left["_join_key_l"] == right["_join_key"]) & (left["_join_period"] == right["_join_period_r"])
+    if qualified:
+        on = on & (left[state] == right["_join_state"])
+    joined = left.join(right, on)
     return joined.select(*[left[c] for c in features.columns], *[right[c] for c in extra])
 
 

@@ -24,6 +24,9 @@ EXAM_DISTRICT_ALIASES = [
 
 ALIAS_FROM = "alias_from"
 ALIAS_TO = "alias_to"
+ALIAS_ORDER = "alias_order"
+#: Rows that an ordered alias table may have: they travel as one array.
+MOST_ALIASES = 10_000
 
 
 def normalize_key(col) -> F.Column:
@@ -44,12 +47,22 @@ def apply_aliases(df: DataFrame, column: str, aliases, mode: str = "exact",
       multiplies rows. The planner broadcasts it when its statistics are small.
     * ``substring``: unanchored literal replacements applied one after the
       other in list order (the study's behaviour; ``bagalkote`` with the pair
-      ``bagalkot -> bagalkote`` becomes ``bagalkotee``).
+      ``bagalkot -> bagalkote`` becomes ``bagalkotee``). A DataFrame has a
+      column ``alias_order``, too, and at most ``MOST_ALIASES`` rows (more are an
+      error): they become one sorted array, folded over each value. Rows with a
+      null spelling are left out; ties in order go by spelling.
     """
     out = out or column
     if mode == "substring":
         if isinstance(aliases, DataFrame):
-            raise ValueError("substring mode needs an ordered list of pairs")
+            if ALIAS_ORDER not in aliases.columns:
+                raise ValueError(f"substring mode needs an ordered list of pairs, or a table with {ALIAS_ORDER}")
+            pairs = aliases.select(ALIAS_ORDER, ALIAS_FROM, ALIAS_TO).dropna(subset=[ALIAS_FROM, ALIAS_TO])
+            if pairs.limit(MOST_ALIASES + 1).count() > MOST_ALIASES:
+                raise ValueError(f"more than {MOST_ALIASES} ordered aliases")
+            listed = pairs.agg(F.sort_array(F.collect_list(F.struct(ALIAS_ORDER, ALIAS_FROM, ALIAS_TO)))).scalar()
+            folded = F.aggregate("_aliases", F.col(column), lambda name, a: F.replace(name, a[ALIAS_FROM], a[ALIAS_TO]))
+            return df.withColumn("_aliases", listed).withColumn(out, folded).drop("_aliases")
         expr = F.col(column)
         for src, dst in aliases:
             expr = F.replace(expr, F.lit(src), F.lit(dst))

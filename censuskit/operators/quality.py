@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MEASURE = "Measure_Name"
+
 
 def compare(expected: DataFrame, observed: DataFrame, keys, value: str, tol: float = 0.0,
             expected_value: str | None = None) -> DataFrame:
@@ -23,6 +25,25 @@ def compare(expected: DataFrame, observed: DataFrame, keys, value: str, tol: flo
     )
 
 
+def by_measure(df: DataFrame, keys, measures, name: str) -> DataFrame:
+    """Measure columns as rows: ``keys``, ``Measure_Name`` and ``name``."""
+    doubles = [F.col(m).cast("double").alias(m) for m in measures]
+    return df.select(*keys, *doubles).unpivot(list(keys), list(measures), MEASURE, name)
+
+
+def compare_measures(observed: DataFrame, expected: DataFrame, keys, measures) -> DataFrame:
+    """Several measures of ``observed`` (a column each) against a table of
+    expectations: ``keys``, ``Measure_Name``, ``Expected`` and ``Tolerance``.
+
+    The measures are unpivoted once and full-outer-joined, so that one check
+    serves all; what is missing on either side, or has no tolerance, fails.
+    """
+    keys = [*keys, MEASURE]
+    found = by_measure(observed, keys[:-1], measures, "Observed").join(expected.select(*keys, "Expected", "Tolerance"), keys, "full_outer")
+    diff = F.abs(F.col("Observed") - F.col("Expected"))
+    return found.select(*keys, "Expected", "Observed", "Tolerance", diff.alias("Abs_Diff"), F.coalesce(diff <= F.col("Tolerance"), F.lit(False)).alias("Passed"))
+
+
 def compare_columns(df: DataFrame, keys, expected: str, observed: str, tol: float = 0.0) -> DataFrame:
     """``compare`` for expected and observed values held in one frame: a
     projection, no join."""

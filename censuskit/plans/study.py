@@ -12,7 +12,9 @@ followed by fixed name tie keys.
 District names of the census and of the outcome meet on a key:
 ``lower(trim(name))`` of both sides, with ``census_aliases`` applied to the
 census key and ``outcome_aliases`` to the outcome key (lists of pairs or
-DataFrames ``alias_from``/``alias_to``; exact whole-value matches).
+DataFrames ``alias_from``/``alias_to``; exact whole-value matches). An outcome
+with ``State_Name`` is met by state, too; without it, a district name that
+stands in several states is an error.
 """
 
 from __future__ import annotations
@@ -215,7 +217,17 @@ def box(census: DataFrame, approx: bool = False) -> DataFrame:
     # Statistics of the unrounded district scores, rounded on output only:
     # quartiles and fences of 6-place inputs land exactly on half of the
     # 7th place, where engines round differently.
-    out = distribution.box_stats(_hygiene_districts(census), YS, HYGIENE, approx=approx)
+    return _rounded_box(distribution.box_stats(_hygiene_districts(census), YS, HYGIENE, approx=approx))
+
+
+def box_rows(census: DataFrame) -> DataFrame:
+    """``box`` over the scores of single rows, of which a state may have very
+    many (of a census row by row, not of its rollup)."""
+    rows = scores.hygiene_rows(census)
+    return _rounded_box(distribution.box_stats(rows, YS, scores.ROW_SCORE, by_rank=True))
+
+
+def _rounded_box(out: DataFrame) -> DataFrame:
     dbl = ["Q1", "Median", "Q3", "Min", "Max", "IQR", "Lower_Fence", "Upper_Fence",
            "Whisker_Low", "Whisker_High"]
     return out.select(*YS, *[round6(c).alias(c) for c in dbl], "N", "Outliers")
@@ -266,11 +278,26 @@ def aliases(census: DataFrame, census_aliases=None) -> DataFrame:
     return _keyed(census.select(STATE, DISTRICT).distinct(), DISTRICT, census_aliases)
 
 
+def aliases_in_order(census: DataFrame, census_aliases) -> DataFrame:
+    """``aliases`` with the study's own, unanchored replacements, one after the
+    other (``apply_aliases(mode="substring")``)."""
+    keyed = census.select(STATE, DISTRICT).distinct().withColumn(KEY, normalize_key(DISTRICT))
+    return apply_aliases(keyed, KEY, census_aliases, mode="substring")
+
+
+def state_spelling(census: DataFrame, state_aliases) -> DataFrame:
+    """What a fix of state spellings changes: per year and state as spelled, the
+    schools under that spelling before it and after it."""
+    totals = [c.groupBy(*YS).agg(F.sum(TOTAL).alias(n)) for n, c in (("Schools_Before", census), ("Schools_After", prepare(census, state_aliases)))]
+    return totals[0].join(totals[1], YS, "full_outer")
+
+
 def _joined_outcome(features: DataFrame, outcome: DataFrame, census_aliases=None,
                     outcome_aliases=None) -> DataFrame:
     left = _keyed(features, DISTRICT, census_aliases)
-    right = _keyed(outcome, DISTRICT, outcome_aliases).select(KEY, EXAM_YEAR, PASS_PCT)
-    return correlate.join_outcome(left, right, KEY, KEY, PERIOD, EXAM_YEAR)
+    state = [STATE] if STATE in outcome.columns else []
+    right = _keyed(outcome, DISTRICT, outcome_aliases).select(KEY, EXAM_YEAR, PASS_PCT, *state)
+    return correlate.join_outcome(left, right, KEY, KEY, PERIOD, EXAM_YEAR, state=STATE)
 
 
 def in_states(census: DataFrame, states=None) -> DataFrame:
@@ -349,6 +376,28 @@ def quality_summary(census: DataFrame) -> DataFrame:
     return quality.summarize(quality_compare(census), [PERIOD])
 
 
+#: Points by which a state's rate in a year may differ from its rate over all years.
+TOLERANCES = {"Functional_Boy_Toilet": 0, "Functional_Girl_Toilet": 1, "Handwash": 1, "Functional_Electricity": 2, "Playground": 3}
+
+
+def quality_tolerances(census: DataFrame, tolerances: dict[str, float] | None = None) -> DataFrame:
+    """Rates of each year and state against the state's over all years, each
+    measure within its own tolerance."""
+    tolerances = tolerances or TOLERANCES
+    measures = {m: m for m in tolerances}
+    facts = rollup.rollup(census, YS)
+    observed = rates.rate_gap_of_sums(facts, YS, measures)
+    overall = rates.rate_gap_of_sums(facts, [STATE], measures)
+    allowed = F.coalesce(*[F.when(F.col(quality.MEASURE) == m, F.lit(float(t))) for m, t in tolerances.items()])
+    expected = quality.by_measure(facts.select(*YS).join(overall, STATE), YS, list(measures), "Expected").withColumn("Tolerance", allowed)
+    return quality.compare_measures(observed, expected, YS, list(measures))
+
+
+def quality_tolerance_counts(census: DataFrame) -> DataFrame:
+    """Passes and failures of ``quality_tolerances`` by year and measure."""
+    return quality.summarize(quality_tolerances(census), [PERIOD, quality.MEASURE])
+
+
 def quality_spread(census: DataFrame, limit: float = 2) -> DataFrame:
     counts = _rural_counts(census, segments.RURAL_COUNT)
     return quality.spread_below(counts, YS, segments.RURAL_COUNT, limit=limit)
@@ -391,6 +440,8 @@ CENSUS_ANALYSES = {
     "quality_expected_counts": quality_expected_counts,
     "quality_summary": quality_summary,
     "quality_spread": quality_spread,
+    "quality_tolerances": quality_tolerances,
+    "quality_tolerance_counts": quality_tolerance_counts,
 }
 OUTCOME_ANALYSES = {
     "corr": corr,

@@ -25,19 +25,24 @@ OUTCOME_VERSION = "2"
 PRICE_PER_PASS_POINT = 5000.0
 
 
-def read_outcome_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read a results sheet as strings; values are cast in ``stack_lists``."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+def read_outcome_csv(spark: SparkSession, path: str, line: str | None = None) -> DataFrame:
+    """Read a results sheet as strings; values are cast in ``stack_lists``.
+    ``line`` names a column that numbers the rows up from 0 (without gaps in a
+    sheet of one split)."""
+    sheet = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return sheet.withColumn(line, F.monotonically_increasing_id()) if line else sheet
 
 
-def outcome_by_district(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outcome_by_district(spark: SparkSession, sf_dir: str, orders_of: str = "true", customers_of: str = "true") -> DataFrame:
     """(district, exam year, pass %) derived from the driver tables: the mean
-    order price of a nation's customers in a year, scaled to a percentage."""
+    order price of a nation's customers in a year, scaled to a percentage.
+    Conditions on orders and customers make lists of what they leave: a district
+    without such orders in a year is not listed."""
     d = sf_dir.rstrip("/")
-    orders = storage.read_table(spark, f"{d}/orders.parquet").select(
+    orders = storage.read_table(spark, f"{d}/orders.parquet").where(orders_of).select(
         "o_custkey", "o_totalprice", F.year("o_orderdate").alias("_y")
     )
-    customer = storage.read_table(spark, f"{d}/customer.parquet").select("c_custkey", "c_nationkey")
+    customer = storage.read_table(spark, f"{d}/customer.parquet").where(customers_of).select("c_custkey", "c_nationkey")
     nation = storage.read_table(spark, f"{d}/nation.parquet").select("n_nationkey", "n_name")
     # Pre-aggregate orders to (customer, year) sums and counts before the
     # customer join (map-side partial aggregation absorbs a hot customer), so
@@ -73,13 +78,13 @@ def outcome_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def outcome_sheet(spark: SparkSession, sf_dir: str, long: DataFrame | None = None, years=None) -> DataFrame:
+def outcome_sheet(spark: SparkSession, sf_dir: str, long: DataFrame | None = None, years=None, line: str | None = None) -> DataFrame:
     """The results-sheet layout: for each exam year a pair of columns
     (``Districts1``, the year's name, ...) with the list of (district, pass %)
     sorted by district, the lists placed side by side by position.
 
     ``years`` defaults to those that occur; a year outside a given list is an
-    error. The window is partitioned by year over per-district rows, so each
+    error. ``line`` names a column that keeps the position. The window is partitioned by year over per-district rows, so each
     window group is bounded by the number of districts, not by the data size.
     """
     if long is None:
@@ -93,7 +98,20 @@ def outcome_sheet(spark: SparkSession, sf_dir: str, long: DataFrame | None = Non
         hit = F.col(EXAM_YEAR) == F.lit(year)
         aggs.append(F.max(F.when(hit, F.col(DISTRICT))).alias(f"Districts{i + 1}"))
         aggs.append(F.max(F.when(hit, F.col(PASS_PCT))).alias(year))
-    return ranked.groupBy("_pos").agg(*aggs).drop("_pos")
+    sheet = ranked.groupBy("_pos").agg(*aggs)
+    return sheet.withColumnRenamed("_pos", line) if line else sheet.drop("_pos")
+
+
+def bad_outcome_values(sheet: DataFrame, line: str, pairs=None) -> DataFrame:
+    """The cells of a results sheet that hold a value which is no number, and so
+    are null in ``outcome_long``: ``Exam_Year`` (the list), ``line``,
+    ``District_Name`` as written and ``Raw_Value``. Empty cells are not bad."""
+    names = [c for c in sheet.columns if c != line]
+    pairs = pairs or [(n, v, v) for n, v in zip(names[0::2], names[1::2])]
+    cells = [F.struct(F.lit(str(label)).alias(EXAM_YEAR), F.col(f"`{n}`").alias(DISTRICT), F.col(f"`{v}`").cast("string").alias("Raw_Value")) for n, v, label in pairs]
+    long = sheet.select(F.col(line), F.explode(F.array(*cells)).alias("_cell")).select(f"_cell.{EXAM_YEAR}", line, f"_cell.{DISTRICT}", "_cell.Raw_Value")
+    raw = F.trim("Raw_Value")
+    return long.where((raw != "") & raw.try_cast("double").isNull())
 
 
 def outcome_long(sheet: DataFrame, pairs=None, complete_only: bool = False, aliases=None) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import threading
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +75,15 @@ def content_fingerprint(spark: SparkSession, paths: list[str]) -> str:
     return hashlib.sha1(f"{'|'.join(paths)}:{row[0]}:{row[1]}".encode()).hexdigest()
 
 
+def cut(spark_df: DataFrame, name: str) -> DataFrame:
+    """A DataFrame written to the checkpoint folder and read back: what follows
+    rereads files, in this run and after the loss of an executor."""
+    spark = spark_df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/censuskit/{name}-{uuid.uuid4().hex}"
+    spark_df.write.parquet(path)
+    return spark.read.schema(spark_df.schema).parquet(path)
+
+
 _TABLES: dict[tuple[int, str], object] = {}
 
 
