@@ -95,9 +95,10 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     largest inner product: ``query_id``, ``rank`` (from 1), ``vec_id``,
     ``score``; ties go to the smaller id.
 
-    Both tables have ``key`` and ``vector``, of one length. Vectors that are
-    null, zero or hold null or non-finite components take no part, nor do null
-    keys. A query does not find rows with its own key. Repeated candidate rows
+    Both tables have ``key`` and ``vector``. Vectors that are null, zero or hold
+    null or non-finite components take no part, nor do null keys, nor vectors of
+    another length than most of ``df`` (the shorter, if several are as common).
+    Other columns are not read, so none can clash; an empty table finds nothing. A query does not find rows with its own key. Repeated candidate rows
     count once each; repeated query rows are answered once. All rows of ``df``
     are indexed; only the codebooks are fitted on at most ``sample`` rows (the
     smallest key hashes). With ``k`` entries or fewer beside it, a query finds
@@ -105,13 +106,13 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
     """
     spark = df.sparkSession
     rows = usable(df, key, vector)
-    some = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
     schema = "query_id long, rank int, vec_id long, score double"
-    if not some:
+    common = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
+    if common is None:
         return spark.createDataFrame([], schema)
-    size = len(some[0].v)
+    size = common.size
     rows, asked = (x.where(F.size("v") == size) for x in (rows, usable(queries, key, vector)))
-    x = np.array([r.v for r in some if len(r.v) == size])
+    x = np.array([r.v for r in rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()])
     half = size // 2
     books = spark.sparkContext.broadcast([kmeans(h, centroids) for h in (x[:, :half], x[:, half:])])
 
@@ -122,7 +123,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
             cell = nearest(v[:, :half], first) * len(second) + nearest(v[:, half:], second)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int32))], ["id", "v", "cell"])
 
-    placed = cut(rows.mapInArrow(place, "id long, v array<double>, cell int"), "placed")
+    # Rows are numbered as they are written, so that those of one key can be dealt to different parts.
+    placed = cut(rows.mapInArrow(place, "id long, v array<double>, cell int").withColumn("row", F.monotonically_increasing_id()), "placed")
     asked = cut(asked.groupBy("id").agg(F.min("v").alias("v")), "queries")
     counts = {r.cell: r["count"] for r in placed.groupBy("cell").count().collect()}  # at most centroids**2 rows
     total, n_asked = sum(counts.values()), asked.count()
@@ -189,7 +191,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
         kinds = (np.int64, np.int64, np.float64)
         return pa.table(dict(zip(("query_id", "vec_id", "score"), (np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, kinds)))))
 
-    piece = F.pmod(F.xxhash64("id"), F.col("pieces").cast("long"))
+    piece = F.pmod(F.xxhash64("row"), F.col("pieces").cast("long"))
     index = placed.join(spark_pieces, "cell").select(
         "id", "v", "cell", _part(F.col("cell"), piece, parts).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))).alias("block")
     )

@@ -64,3 +64,18 @@ def test_recall(spark, least, floor):
     assert all(len(x) == 20 for x in got.values()) and set(got) == set(want)
     recall = np.mean([len({j for j, _ in want[q]} & {j for j, _ in got[q]}) / 20 for q in want])
     assert recall >= floor
+
+
+def test_one_key_on_a_third_of_the_rows_and_stray_lengths(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)] + [(7, rng.normal(size=6).tolist()) for _ in range(150)]
+    rows += [(-5, [1.0, 2.0]), (10**6, [9.0] * 7), (10**6 + 1, [])]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, row int").repartition(5)
+    got = ann.search(df, df.where("vec_id % 20 = 0"), k=5).collect()
+    whole = [(k, np.array(v, np.float32).astype(float)) for k, v in rows if len(v) == 6]
+    for q in {k for k, _ in whole if k % 20 == 0}:
+        v = next(v for k, v in whole if k == q)
+        want = sorted((-sum(a * b for a, b in zip(v.tolist(), w.tolist())), k) for k, w in whole if k != q)[:5]
+        mine = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [r.vec_id for r in mine] == [k for _, k in want] and [r.score for r in mine] == pytest.approx([-s for s, _ in want])
+    assert {r.query_id for r in got} == {k for k, _ in whole if k % 20 == 0}
