@@ -15,8 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import cut
+
 VNODES = 64
 RING_BITS = 16
+#: Rows of a ring cell that are ranked in one sort; a cell with more is cut.
+CELL_ROWS = 100_000
 
 # ``arcs`` in ring order, each with its rows ``n`` and its shards ``clockwise``;
 # ``caps`` is what each shard may hold. An arc's rows go to its shards in turn,
@@ -69,8 +73,13 @@ def assign(
     is the tightest bound, counts at most one apart. A row's place on the ring
     comes from ``key`` alone; rows with one key (repeated rows, null keys) share
     a cell and fill shards clockwise like any others. An empty table stays
-    empty. ``df`` must not have columns called ``shard`` or ``slot``.
+    empty. A cell of more than ``CELL_ROWS`` rows (one key on very many rows) is
+    ranked in parts, for which the rows are numbered and written once. Columns
+    ``shard`` and ``slot`` of ``df``, or ones that begin with ``_ring``, are an
+    error.
     """
+    if clash := [c for c in df.columns if c in ("shard", "slot") or c.startswith("_ring")]:
+        raise ValueError(f"columns {clash} clash with those of the ring")
     spark = df.sparkSession
     cells = df.select(_cell(ring_bits, F.col(key)).alias("cell")).groupBy("cell").agg(F.count("*").alias("rows"))
     points = ring(spark, shards, vnodes, ring_bits)
@@ -112,17 +121,36 @@ def assign(
             (F.col("slot0") + F.col("base") - F.col("lo")).alias("_slot"),
         )
     )
-    rank = Window.partitionBy("_cell").orderBy(F.xxhash64(F.col(key)), F.col(key))
-    ranked = df.withColumn("_cell", _cell(ring_bits, F.col(key))).withColumn("_rank", F.row_number().over(rank) - 1)
-    found = ranked.join(F.broadcast(pieces), "_cell").where((F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi")))
-    return found.select(*df.columns, "shard", (F.col("_slot") + F.col("_rank")).alias("slot"))
+    ranked = _ranked(df.withColumn("_ring_cell", _cell(ring_bits, F.col(key))), key, cells)
+    found = ranked.join(F.broadcast(pieces), F.col("_ring_cell") == F.col("_cell")).where((F.col("_ring_rank") >= F.col("_lo")) & (F.col("_ring_rank") < F.col("_hi")))
+    return found.select(*df.columns, "shard", (F.col("_slot") + F.col("_ring_rank")).alias("slot"))
+
+
+def _ranked(rows: DataFrame, key: str, cells: DataFrame) -> DataFrame:
+    """``rows`` with ``_ring_rank``, their place (from 0) in their cell."""
+    order = [F.xxhash64(F.col(key)), F.col(key)]
+    hot = cells.where(F.col("rows") > CELL_ROWS).select(F.col("cell").alias("_ring_hot"), F.ceil(F.col("rows") / CELL_ROWS).alias("_ring_parts"))
+    if not hot.limit(1).count():
+        return rows.withColumn("_ring_rank", F.row_number().over(Window.partitionBy("_ring_cell").orderBy(*order)) - 1)
+    # One row per hot cell, and per part of it: at most rows / CELL_ROWS + cells.
+    rows = cut(rows.withColumn("_ring_row", F.monotonically_increasing_id()), "ring-rows")
+    rows = rows.join(F.broadcast(hot), F.col("_ring_cell") == F.col("_ring_hot"), "left")
+    rows = rows.withColumn("_ring_part", F.when(F.col("_ring_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64("_ring_row"), F.col("_ring_parts"))).cast("long"))
+    counts = rows.where("_ring_hot is not null").groupBy("_ring_cell", "_ring_part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("_ring_cell").orderBy("_ring_part")) - F.col("n")
+    starts = counts.select(F.col("_ring_cell").alias("_ring_c"), F.col("_ring_part").alias("_ring_p"), before.alias("_ring_before"))
+    rank = F.row_number().over(Window.partitionBy("_ring_cell", "_ring_part").orderBy(*order, "_ring_row")) - 1
+    rows = rows.withColumn("_ring_rank", rank).join(F.broadcast(starts), (F.col("_ring_cell") == F.col("_ring_c")) & (F.col("_ring_part") == F.col("_ring_p")), "left")
+    return rows.withColumn("_ring_rank", F.col("_ring_rank") + F.coalesce("_ring_before", F.lit(0)))
 
 
 def shard_table(df: DataFrame, shards: int = 40, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The shard listing of a table of texts: key, ``size`` (UTF-8 bytes plus
     16; a null text has none), ``text_crc32`` (of a null text: of no bytes),
     ``law`` ("rows": counts at most one apart), ``shard``, ``slot`` and
-    ``grown_shard`` (null under this law)."""
+    ``grown_shard`` (null under this law). Repeated rows and null keys take slots
+    like any others; texts of any length are measured by a map; an empty table
+    stays empty; other columns are not read, so none can clash."""
     content = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(F.col(key).alias("doc_id"), (F.octet_length(content) + 16).cast("long").alias("size"), F.crc32(content.cast("binary")).alias("text_crc32"))
     return assign(rows, shards).select(

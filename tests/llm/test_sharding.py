@@ -5,8 +5,10 @@ from collections import Counter
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from censuskit.llm import sharding
+from tests.conftest import SF001
 
 
 def brute(keys, shards, vnodes, bits, slack=None):
@@ -85,3 +87,29 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = sharding.shard_table(df, 4)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_one_key_on_a_third_of_the_rows_is_ranked_in_parts(spark, monkeypatch):
+    keys = [7] * 300 + [None] * 100 + list(range(500))
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "doc_id long, n int").repartition(7)
+    whole = Counter((r.doc_id, r["shard"]) for r in sharding.assign(df, 9, vnodes=5, ring_bits=8).collect())
+    monkeypatch.setattr(sharding, "CELL_ROWS", 20)
+    got = sharding.assign(df, 9, vnodes=5, ring_bits=8)
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "_ring_part" in plan
+    rows = got.collect()
+    assert sorted(r.n for r in rows) == list(range(len(keys)))
+    counts = Counter(r["shard"] for r in rows)
+    assert max(counts.values()) - min(counts.values()) <= 1
+    for s in counts:
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(counts[s]))
+    # As many rows of the hot key in each shard; a cell's other keys may change places with it.
+    assert sum((whole - Counter((r.doc_id, r["shard"]) for r in rows)).values()) <= 20
+    with pytest.raises(ValueError):
+        sharding.assign(df.withColumn("slot", df.n), 3)
+
+
+def test_the_registered_listing_equals_the_sequential_ring(spark):
+    df = spark.read.parquet(f"{SF001}/documents.parquet").withColumn("text", F.when(F.col("doc_id") == 3, F.repeat("text", F.lit(2000))).otherwise(F.col("text")))
+    got = {r.doc_id: r["shard"] for r in sharding.shard_table(df, 40).collect()}
+    assert got == brute([r.doc_id for r in df.select("doc_id").collect()], 40, sharding.VNODES, sharding.RING_BITS)
