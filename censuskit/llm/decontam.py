@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import filter_texts, raw_bytes, slices
+from .shared import cut, filter_texts, raw_bytes, slices
 from .words import CLASSES, LOWER, mix, prefix_sums, runs, spans
 
 SHINGLE = 5
@@ -81,15 +81,17 @@ class Items:
     shingle: int
     ids: np.ndarray
     sizes: np.ndarray  # in words
+    bits: np.ndarray  # fingerprints
     hashes: list[np.ndarray]
     weights: list[np.ndarray]
 
     def __post_init__(self):
-        self.bits = pack(np.array([signed_bits(h, w).sum(0) for h, w in zip(self.hashes, self.weights)]))
-        self.known = np.unique(np.concatenate(self.hashes))
-        pairs = sorted({(int(h), i) for i, x in enumerate(self.hashes) for h in x})
-        self.starts = np.searchsorted(np.array([h for h, _ in pairs], np.uint64), self.known)
-        self.owners = np.array([i for _, i in pairs])
+        every, owners = np.concatenate(self.hashes), np.repeat(np.arange(len(self.hashes)), [len(x) for x in self.hashes])
+        order = np.lexsort((owners, every))
+        every, owners = every[order], owners[order]
+        new = np.concatenate([[True], (every[1:] != every[:-1]) | (owners[1:] != owners[:-1])])
+        every, self.owners = every[new], owners[new]
+        self.known, self.starts = np.unique(every, return_index=True)
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
         self.maybe[(self.known >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
@@ -110,18 +112,28 @@ class Items:
         return np.unique(np.concatenate([self.owners[self.starts[i] : ends[i]] for i in at])) if len(at) else at
 
 
-def make_items(ids: list, texts: list[str], shingle: int = SHINGLE) -> list[Items]:
-    """Items with words, by shingle length: shorter items are one shingle."""
-    if not ids:
-        return []
-    words, lengths, rows = words_of(pa.record_batch({"text": pa.array(texts, pa.string())}))
-    groups: dict[int, list] = {}
-    for r, i in enumerate(ids):
-        own = rows == r
-        if own.any():
-            n = min(shingle, int(own.sum()))
-            groups.setdefault(n, []).append((i, int(own.sum()), *shingles(words[own], lengths[own], n)))
-    return [Items(n, np.array([x[0] for x in g]), np.array([x[1] for x in g]), [x[2] for x in g], [x[3] for x in g]) for n, g in groups.items()]
+def item_rows(part: pa.RecordBatch, shingle: int):
+    """Of a slice of items: for each with words its row, shingle length (shorter
+    items are one shingle), words, fingerprint, shingles and their weights."""
+    words, lengths, rows = words_of(part)
+    ends = np.searchsorted(rows, np.arange(part.num_rows + 1))
+    for r in np.flatnonzero(np.diff(ends)).tolist():
+        own = slice(ends[r], ends[r + 1])
+        size = int(ends[r + 1] - ends[r])
+        n = min(shingle, size)
+        h, w = shingles(words[own], lengths[own], n)
+        yield r, n, size, int(pack(signed_bits(h, w).sum(0)[None])[0]), h, w
+
+
+def make_items(table: pa.Table) -> list[Items]:
+    """Blocks by shingle length from rows of ``prepared`` items."""
+    out = []
+    ids, n, size, bits = (table.column(c).to_numpy(zero_copy_only=False) for c in ("item", "n", "size", "bits"))
+    hashes, weights = ([x.values.to_numpy() for x in table.column(c)] for c in ("hashes", "weights"))
+    for length in np.unique(n).tolist():
+        at = np.flatnonzero(n == length)
+        out.append(Items(length, ids[at], size[at], bits[at].view(np.uint64), [hashes[i].view(np.uint64) for i in at], [weights[i] for i in at]))
+    return out
 
 
 def matches(items: Items, index, words, lengths, radius: int, least: float):
@@ -184,30 +196,59 @@ def scan(part: pa.RecordBatch, groups: list, radius: int, least: float) -> list[
     return found
 
 
+def prepared(benchmark: DataFrame, item: str, item_text: str, shingle: int) -> DataFrame:
+    """The items that have words, with all that is looked for: ``item``, ``n``
+    (shingle length), ``size``, ``bits``, ``hashes``, ``weights`` and ``bytes``."""
+    kind = benchmark.schema[item].dataType.simpleString()
+    names = ["item", "n", "size", "bits", "hashes", "weights"]
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                if rows := list(item_rows(part, shingle)):
+                    at, n, size, bits, hashes, weights = zip(*rows)
+                    columns = (n, size, np.array(bits, np.uint64).view(np.int64), [h.view(np.int64) for h in hashes], weights)
+                    yield pa.RecordBatch.from_arrays([part.column("item").take(pa.array(at)), *(pa.array(c, t) for c, t in zip(columns, kinds))], names)
+
+    listed = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
+    rows = listed.mapInArrow(run, f"item {kind}, n int, size int, bits long, hashes array<long>, weights array<long>")
+    return rows.withColumn("bytes", 16 * F.size("hashes") + 64)
+
+
 def item_blocks(benchmark: DataFrame, item: str, item_text: str, shingle: int, item_bytes: int):
-    """The items, in broadcast blocks of about ``item_bytes`` each, as many as
-    the benchmark's size asks for."""
+    """The items, prepared by tasks, in broadcast blocks of about ``item_bytes``
+    each, as many as the benchmark's size asks for, one after the other: their
+    number, then each block."""
     spark = benchmark.sparkSession
-    listed = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    size = listed.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    items = cut(prepared(benchmark, item, item_text, shingle), "items")
+    size = items.agg(F.sum("bytes")).first()[0] or 0
     blocks = max(1, -(-size // item_bytes))
+    yield blocks
     for block in range(blocks):
-        got = listed.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text").collect()
-        yield spark.sparkContext.broadcast(make_items([r.item for r in got], [r.text for r in got], shingle))
+        # A block is of bounded size: its table is what is broadcast.
+        mine = items.where(F.pmod(F.xxhash64("item", "hashes"), F.lit(blocks)) == block).orderBy("item", "hashes")
+        yield spark.sparkContext.broadcast(make_items(mine.toArrow()))
 
 
 def find(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, least: float = SIMILARITY, item_bytes: int = ITEM_BYTES) -> DataFrame:
     """Per row of ``df`` and item found in it: ``key``, ``item``,
     ``start_word``, ``n_words``, ``hamming``, ``similarity`` of the best window.
 
-    Items without words and null texts match nothing; a document shorter than
-    an item is one window. Items that repeat are found as often. An empty table
-    on either side finds nothing.
+    Of an item's windows the most similar one counts, of equals the first. Items
+    without words and null texts match nothing; a document shorter than an item
+    is one window. Items that repeat are found as often, and so are repeated
+    documents; null keys and null items are like any others. A very long text is
+    scanned whole, 4,096 windows at a time. Other columns are not read, so none
+    can clash. An empty table on either side finds nothing. A benchmark of
+    several blocks is looked for block by block, each pass written before the
+    next, so that an executor holds one block at a time.
     """
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = f"key {df.schema[key].dataType.simpleString()}, item {benchmark.schema[item].dataType.simpleString()}, start_word int, n_words int, hamming int, similarity double"
-    out = None
-    for shared in item_blocks(benchmark, item, item_text, shingle, item_bytes):
+    out, sources = None, item_blocks(benchmark, item, item_text, shingle, item_bytes)
+    blocks = next(sources)
+    for shared in sources:
 
         def run(batches, shared=shared):
             groups = [(items, items.index(radius)) for items in shared.value]
@@ -222,13 +263,20 @@ def find(df: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "
                         )
 
         some = rows.mapInArrow(run, kind)
+        if blocks > 1:
+            some = cut(some, "found")
+            shared.unpersist()
         out = some if out is None else out.unionByName(some)
     return out.withColumnsRenamed({"key": key, "item": item})
 
 
 def keep_clean(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, least: float = SIMILARITY, item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """The rows of ``df``, all columns, in which no item is found."""
-    for shared in item_blocks(benchmark, item, item_text, shingle, item_bytes):
+    """The rows of ``df``, all columns, in which no item is found. Null texts
+    hold none and stay; repeated rows and odd values fare as in ``find``. A
+    benchmark of several blocks takes as many passes, each written."""
+    sources = item_blocks(benchmark, item, item_text, shingle, item_bytes)
+    blocks = next(sources)
+    for shared in sources:
 
         def start(shared=shared):
             groups = [(items, items.index(radius)) for items in shared.value]
@@ -241,4 +289,7 @@ def keep_clean(df: DataFrame, benchmark: DataFrame, text: str = "text", item: st
             return decide
 
         df = filter_texts(df, text, start)
+        if blocks > 1:
+            df = cut(df, "clean")
+            shared.unpersist()
     return df

@@ -80,10 +80,23 @@ def test_keep_clean(spark):
         assert sorted(str(r.doc_id) for r in got.collect()) == sorted([str(d) for d, _ in docs if d not in dirty] + ["None"])
 
 
+def test_items_are_prepared_by_tasks_and_bounded_by_blocks(spark):
+    """Ten thousand items, a third of them alike, in many blocks."""
+    items = [(i, " ".join(f"w{(i if i % 3 else 0) * 7 + j}" for j in range(i % 9))) for i in range(10_000)]
+    df = spark.createDataFrame(items, "item_id long, text string").repartition(6)
+    sources = decontam.item_blocks(df, "item_id", "text", 5, 1 << 16)
+    blocks = next(sources)
+    groups = [g for shared in sources for g in shared.value]
+    assert blocks > 5 and sorted(int(i) for g in groups for i in g.ids) == [i for i, t in items if t]
+    sizes = {int(i): int(n) for g in groups for i, n in zip(g.ids, g.sizes)}
+    assert all(sizes[i] == i % 9 for i in sizes)
+
+
 def test_all_within_the_radius_are_found(spark):
     """The multi-index loses nothing: like comparing all fingerprints."""
     docs, items = corpus()
-    for group in decontam.make_items([i for i, _ in items], [t or "" for _, t in items]):
+    table = decontam.prepared(spark.createDataFrame(items, "i long, t string"), "i", "t", decontam.SHINGLE).toArrow()
+    for group in decontam.make_items(table):
         for radius in (3, 18):
             index = group.index(radius)
             assert sum(width for _, width, _ in index) == 64 and len(index) == radius + 1
