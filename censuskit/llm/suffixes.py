@@ -1,20 +1,25 @@
-"""Exact substring deduplication by a logarithmic family of suffix arrays.
+"""Exact substring deduplication by a logarithmic family of sorted indexes.
 
 A window is ``length`` bytes of a text. Every window has one anchor, the place
 of its smallest hashed ``gram`` (the first of equals); equal windows have equal
 anchors at equal distances, and neighbouring windows mostly share theirs. A
-stretch of windows with one anchor is a suffix of the sampled suffix array: its
-key is the anchor's gram, its content the fingerprint of all its bytes.
+stretch of windows with one anchor is one entry: its key is the anchor's gram,
+its content the fingerprint of all its bytes.
+
+The levels are not suffix arrays: entries are sorted by 64-bit fingerprints of
+sampled stretches, not by the bytes that follow, so there is no suffix order
+and no common prefix. Only whether 100-byte windows are equal is asked, and the
+bytes of the sampled suffixes alone would be 6.3 times the input on their way
+(see the README).
 
 Keys are dealt out by hash; a part takes its rows in document order, batch by
-batch. A batch is sorted into a suffix array, merge-scanned against the levels
-of the index for earlier equal entries, and becomes a level itself; levels of
-equal size merge. A suffix found whole is a repeat in all its windows. Where one
-gram has different suffixes, they are told apart on longer stretches, as suffix
-sorting doubles its prefixes: every window holds the longer stretch to the left
-or the one to the right of its anchor, so the windows of each side are
-looked up by that stretch first, and one by one only where it, too, has
-different surroundings.
+batch. A batch is sorted, merge-scanned against the levels of the index for
+earlier equal entries, and becomes a level itself; levels of equal size merge. A
+stretch found whole is a repeat in all its windows. Where one gram has different
+stretches, they are told apart on longer ones, as suffix sorting doubles its
+prefixes: every window holds the longer stretch to the left or the one to the
+right of its anchor, so the windows of each side are looked up by that stretch
+first, and one by one only where it, too, has different surroundings.
 
 Each task reduces what it reads: of a key it passes on one row, and what it can
 decide by itself never travels. So no text, however often it is copied, makes a
@@ -33,18 +38,22 @@ from .words import every, mix, prefix_sums, spans
 
 LENGTH = 100
 GRAM = 24
-#: Entries of a batch that becomes one suffix array, bytes of text at a time,
-#: rows that leave a task at a time.
+#: The longest ``length``: a stretch counts its windows in 16 bits.
+LONGEST = 1 << 15
+#: Entries of a batch that becomes one level, bytes of text at a time, rows that
+#: leave a task at a time; bytes of text whose entries are one part, which a worker
+#: holds whole (about as many bytes of entries).
 BATCH = 1 << 16
 SLICE = 1 << 20
 ROWS = 1 << 17
+PART_BYTES = 64 << 20
 
 REPEAT, OPEN, SINGLE = 1, 2, 0
 _PLACE = np.uint64(32)  # low bits of a ranked gram that hold its place
 
 
 class LogIndex:
-    """Suffix arrays as levels: columns sorted by the first, the key. Sizes at
+    """Sorted indexes as levels: columns sorted by the first, the key. Sizes at
     least halve from level to level; the columns may be changed in place."""
 
     def __init__(self):
@@ -96,7 +105,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray, length: int, gram: int):
-    """The sampled suffixes of texts end to end: row, first window, number of
+    """The sampled stretches of texts end to end: row, first window, number of
     windows, anchor gram, fingerprint (of all bytes and the anchor's place)."""
     n = len(data) - length + 1
     if n <= 0:
@@ -207,7 +216,7 @@ def _reduced(held: list[tuple], parts: int):
 
 
 def _suffixes(batches, length: int, gram: int, parts: int):
-    """A task's sampled suffixes."""
+    """A task's sampled stretches."""
     held: list[tuple] = []
     for batch in batches:
         for part in slices(batch, "text", SLICE):
@@ -388,44 +397,61 @@ def _keep(batches, length: int):
             kept, at = data[~gone].tobytes(), np.concatenate([[0], np.cumsum(~gone, dtype=np.int64)])[offsets]
             texts = [kept[a:b] for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(np.diff(offsets)), pa.array(np.diff(total)), pa.array(np.diff(runs)), pa.array(texts, pa.binary())],
-                ["id", "n_bytes", "n_removed", "n_spans", "kept"],
+                [part.column("doc"), part.column("mark"), pa.array(np.diff(offsets)), pa.array(np.diff(total)), pa.array(np.diff(runs)), pa.array(texts, pa.binary())],
+                ["doc", "mark", "n_bytes", "n_removed", "n_spans", "kept"],
             )
 
 
-def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Per row of ``df``: key, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal
-    removed runs) and ``kept``, the bytes left of the UTF-8 text.
-
-    A byte goes if a run of ``length`` bytes that covers it also starts earlier:
-    in a document of smaller key (an integer), or further to the front of the
-    same one. A null text is empty; a null key comes after all others. Rows of
-    one key and text are one document and fare alike; texts that differ under
-    one key are told apart and ordered by a 64-bit hash. Texts under ``length`` bytes lose nothing.
-    """
-    spark = df.sparkSession
-    n = shuffle_partitions(spark)
-    last = F.lit((1 << 63) - 1)
-    content = F.coalesce(F.col(text), F.lit(""))
-    texts = df.select(F.col(key).alias("id"), F.coalesce(F.col(key).cast("long"), last).alias("doc"), F.xxhash64(content).alias("mark"), content.cast("binary").alias("text"))
+def _kept(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Per ``doc`` and ``mark`` of ``texts``: ``n_bytes``, ``n_removed``,
+    ``n_spans`` and ``kept``."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(shuffle_partitions(texts.sparkSession), -(-size // PART_BYTES))
+    # Rows alike are combined before they travel. Read three times below, shuffled once.
+    one = texts.groupBy("doc", "mark").agg(F.first("text").alias("text"))
     blocks = texts.select("doc", "mark", "text").mapInArrow(lambda b: _suffixes(b, length, gram, n), _BLOCK)
-    found = cut(_looked_up(blocks, n, _look_up), "suffixes")
-    by_doc = texts.repartition(n, "doc", "mark")  # read three times below, shuffled once
-    one = by_doc.dropDuplicates(["doc", "mark"])
+    found = cut(_looked_up(blocks, n, _look_up), "stretches")
 
     def of_open(rows: DataFrame) -> DataFrame:
-        lists = rows.where(F.col("state") == OPEN).groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "count")).alias("open"))
-        return one.join(lists, ["doc", "mark"]).select("id", "doc", "mark", "text", "open")
+        lists = rows.where(F.col("state") == OPEN).groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "count")).alias("open"))  # of one text
+        return one.join(lists, ["doc", "mark"]).select("doc", "mark", "text", "open")
 
     halves = _looked_up(of_open(found).mapInArrow(lambda b: _halves(b, length, gram, n), _BLOCK), n, _look_up)
     again = _looked_up(of_open(halves).mapInArrow(lambda b: _windows(b, length, gram, n), _BLOCK), n, _look_up_windows)
     spans_ = found.unionByName(halves).where(F.col("state") == REPEAT).unionByName(again).select("doc", "mark", "start", "count")
-    covered = spans_.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
-    whole = by_doc.join(covered, ["doc", "mark"], "left").select("id", "text", "spans")
-    kind = df.schema[key].dataType.simpleString()
-    return whole.mapInArrow(lambda b: _keep(b, length), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", key)
+    covered = spans_.groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "count")).alias("spans"))  # of one text
+    whole = one.join(covered, ["doc", "mark"], "left").select("doc", "mark", "text", "spans")
+    return whole.mapInArrow(lambda b: _keep(b, length), "doc long, mark long, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def _by_row(df: DataFrame, key: str, text: str, length: int, gram: int, digest: bool) -> DataFrame:
+    if not gram <= length <= LONGEST:
+        raise ValueError(f"length must be from gram ({gram}) to {LONGEST}")
+    content = F.coalesce(F.col(text), F.lit(""))
+    texts = df.select(F.col(key).alias("id"), F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(content).alias("mark"), content.cast("binary").alias("text"))
+    out = _kept(texts.select("doc", "mark", "text"), length, gram)
+    if digest:
+        out = out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    rows = texts.select("id", "doc", "mark").join(out, ["doc", "mark"])
+    return rows.select(F.col("id").alias(key), *[c for c in out.columns if c not in ("doc", "mark")])
+
+
+def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """Per row of ``df``: key, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal
+    removed runs) and ``kept``, the bytes left of the UTF-8 text.
+
+    A byte goes if a run of ``length`` bytes (``gram`` to 32,768) that covers it
+    also starts earlier: in a document of smaller key (an integer), or further to
+    the front of the same one. A null text is empty; a null key comes after all
+    others. Rows of one key and text are one document and fare alike, worked out
+    once; texts that differ under one key are told apart and ordered by a 64-bit
+    hash. Equality rests on two 64-bit fingerprints. Texts under ``length`` bytes
+    lose nothing; very long ones are handled whole, one at a time. Other columns
+    are not read, so none can clash. No rows, none back.
+    """
+    return _by_row(df, key, text, length, gram, False)
 
 
 def report(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``deduplicate`` with ``kept_sha256`` (lowercase hex) for the bytes."""
-    return deduplicate(df, key, text, length, gram).select(key, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return _by_row(df, key, text, length, gram, True)

@@ -98,3 +98,18 @@ def test_documents(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert suffixes.report(df.limit(0)).count() == 0
     assert suffixes.report(df).columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def test_rows_alike_are_worked_out_once_and_long_texts_whole(spark, monkeypatch):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    own = text(400)
+    rows = [(None, None)] * 120 + [(5, own)] * 90 + [(i, own[:200] + text(50)) for i in range(10, 40)] + [(99, text(300_000) + own)]
+    monkeypatch.setattr(suffixes, "PART_BYTES", 20_000)  # many parts
+    want = check(spark, rows, 100, 24)
+    assert want[99, rows[-1][1]][1] == 400
+    plan = suffixes.report(spark.createDataFrame(rows, "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [doc" not in plan
+    for length in (1 << 16, 10):
+        with pytest.raises(ValueError):
+            suffixes.report(spark.createDataFrame(rows, "doc_id long, text string"), length=length)
