@@ -73,7 +73,8 @@ def drop_lines(df: DataFrame, site: str, lines: str, ratio: float = RATIO, least
 
 def drop_text_lines(df: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``df`` with the boilerplate lines of its sites taken out of ``text``
-    (lines end with a line feed); all columns and rows stay, a null text null."""
+    (lines end with a line feed); all columns and rows stay, a null text null, an
+    empty one empty. Columns that begin with ``_line`` would clash."""
     kept = drop_lines(df.withColumn(text, F.split(text, "\n")), site, text, ratio, least_pages)
     return kept.withColumn(text, F.when(F.col(text).isNotNull(), F.concat_ws("\n", text)))
 
@@ -81,7 +82,9 @@ def drop_text_lines(df: DataFrame, site: str = "source", text: str = "text", rat
 def page_report(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """Per page: key, ``host``, ``n_lines``, ``n_dropped`` and ``kept_sha256``
     of the lines that stay, joined by line feeds. A null page has no lines; a
-    page without a host keeps all."""
+    page without a host keeps all. Repeated pages count, and are reported, each;
+    a very long page is read whole, in the JVM; other columns are not read, so
+    none can clash. No pages, none back."""
     rows = pages.select(F.col(key).alias("key"), host(url).alias("host"), html_lines(html).alias("lines"))
     rows = rows.withColumn("n_lines", F.size("lines"))
     kept = drop_lines(rows, "host", "lines", ratio, least_pages)

@@ -208,7 +208,10 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
 
     Labels of held-out rows are not read; a key whose labels disagree, and null
     keys and labels, teach nothing. At most ``sample`` labelled keys are used,
-    those with the smallest hashes.
+    those with the smallest hashes; of rows that repeat a key one teaches (the
+    smallest pooled vector). Null texts are empty; very long ones are read whole,
+    ``WORDS`` words at a time. Without texts, or without both labels, every score
+    is the same (see ``train``). Other columns are not read, so none can clash.
     """
     vectors = word_vectors(_texts(df, key, text).select("text"))
     known = (
@@ -237,7 +240,10 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``key``, ``held_out``, ``score`` (probability of label 1) and
     ``predicted`` (1 from ``threshold`` up) of every row. A null text is an
-    empty one, which pools to zero; a null key is not held out."""
+    empty one, which pools to zero; a null key is not held out. A score depends
+    on its text and the model alone: repeated rows score alike, equal texts tie,
+    very long texts are pooled whole. Other columns are not read, so none can
+    clash. No rows, none back."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -252,6 +258,8 @@ def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
 
 
 def keep_good(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``df``, all columns, whose texts score at least ``threshold``."""
+    """The rows of ``df``, all columns, whose texts score at least ``threshold``.
+    Null and empty texts score as in ``score`` and stay or go by that; repeated
+    rows fare alike; no column is added. No rows, none back."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     return filter_texts(df, text, lambda: lambda part: probabilities(shared.value, pool(part, shared.value.vectors)) >= threshold)

@@ -218,7 +218,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
 
     Null and empty texts have fingerprint zero and link like any other; a null
     key is never the smallest unless its whole component has none. Repeated
-    rows stay repeated. No rows, no result.
+    rows stay repeated. Very long texts are hashed whole, one at a time. Other
+    columns are not read, so none can clash. No rows, no result.
     """
     prints = cut(fingerprints(df, key, text, shingle), "fingerprints")
     own = groups(prints, key, radius, trie_rows)
@@ -230,7 +231,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
 def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, trie_rows: int = TRIE_ROWS) -> DataFrame:
     """One row of ``df``, all columns, for each group of ``near_duplicates``:
     one with the group's smallest key; of repeated rows any one, and a null key
-    only where a group has no other."""
+    only where a group has no other. Null and empty texts are one group. Columns
+    that begin with ``_simhash`` would clash. No rows, none back."""
     at, kind = df.columns.index(text), df.schema.simpleString()[7:-1]
 
     def run(batches):

@@ -1,9 +1,11 @@
 """Quality classifier: parts against brute force, held-out accuracy, odd rows."""
 
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from censuskit.llm import quality
 from censuskit.llm.words import CLASSES, SOLID, prefix_sums, runs, spans
@@ -75,6 +77,40 @@ def test_held_out_accuracy(spark):
     assert np.mean([g > b for g in good for b in bad]) > 0.93  # 19 bad rows here; 0.999 at sf0.1
 
 
+def test_network_temperature_and_scores_equal_loops():
+    """Probabilities value by value; the slopes by differences; the temperature
+    the best of a fine grid."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(120, 5))
+    y = (x[:, 0] + 0.5 * x[:, 1] ** 2 + 0.8 * rng.normal(size=120) > 0.3).astype(float)
+    held = np.arange(120) % 5 == 0
+    model = quality.train(x, y, held, np.zeros((1, 1)))
+    w1, b1, w2, b2 = model.layers
+    for row, p in zip(x, quality.probabilities(model, x)):
+        hidden = [math.tanh(sum((row[i] - model.mean[i]) / model.scale[i] * w1[i, j] for i in range(5)) + b1[j]) for j in range(quality.HIDDEN)]
+        z = sum(h * w for h, w in zip(hidden, w2)) + float(b2)
+        assert p == pytest.approx(1 / (1 + math.exp(-z / model.temperature)), rel=1e-9)
+    z = quality.logits(model, x[held])
+    loss = lambda t: sum(math.log1p(math.exp(-v / t if w else v / t)) for v, w in zip(z, y[held])) / held.sum()
+    grid = [math.exp(math.log(0.05) + i * math.log(400) / 2000) for i in range(2001)]
+    assert loss(model.temperature) <= min(map(loss, grid)) + 1e-9
+    # Training lowers its objective to a point where no single weight helps by much.
+    def objective(layers):
+        own = quality.Model(model.vectors, model.mean, model.scale, layers, 1.0, 0.5)
+        v, w = quality.logits(own, x[~held]), y[~held]
+        return np.logaddexp(0, np.where(w > 0, -v, v)).mean() + quality.DECAY / (~held).sum() * ((layers[0] ** 2).sum() + (layers[2] ** 2).sum()) / 2
+    best = objective(model.layers)
+    assert best < 0.6 * math.log(2) + 0.2
+    for k in (0, 2):
+        for at in [(0, 0), (1, 3), (4, 15)] if k == 0 else [(0,), (9,)]:
+            for step in (-0.05, 0.05):
+                layers = [w.copy() for w in model.layers]
+                layers[k][at] += step
+                assert objective(layers) > best - 1e-3
+    # Too few kinds of label: the share of good ones.
+    assert set(quality.probabilities(quality.train(x, np.ones(120), held, np.zeros((1, 1))), x)) == {1.0}
+
+
 def test_odd_rows(spark):
     rows = [(i, "good words here and there", 1) for i in range(30)] + [(100 + i, "### %%% $$$ !!", 0) for i in range(30)]
     docs = spark.createDataFrame(rows + [(None, None, 1), (7, "", 0), (7, "", 0), (8, "x" * 300_000, 0)], "doc_id long, text string, score int")
