@@ -26,13 +26,16 @@ LINE_DOCUMENTS = lines.LEAST_PAGES
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns here, from
-    ``labels``, and sees the text alone."""
+    ``labels``, and sees the text alone. Null and empty texts score as empty ones,
+    repeated rows alike; very long texts are read whole. Without labels, or
+    without documents, none is rejected for its text: all score the same."""
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=LEAST_QUALITY)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that are boilerplate in their source; every
-    document stays, ``n_chars`` follows the text."""
+    document stays, ``n_chars`` follows the text. Documents without a source keep
+    all lines, null texts stay null; repeated rows count each."""
     kept = lines.drop_text_lines(docs, site="source", text="text", ratio=LINE_RATIO, least_pages=LINE_DOCUMENTS)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
@@ -44,12 +47,15 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found. Null and empty texts hold
+    none and stay, as do all without a benchmark; repeated rows fare alike; very
+    long texts are scanned whole."""
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE of what is left: token counts and digests."""
+    """Byte-level BPE of what is left: token counts and digests, a row for every
+    row. A null text has no tokens; very long ones are encoded whole."""
     return bpe.roundtrip_digests(docs, bpe.read_ranks(public_tokenizers.path(RANK_FILE)), public_tokenizers.PATTERN, spaces=True)
 
 
