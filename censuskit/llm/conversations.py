@@ -516,3 +516,76 @@ def report(df: DataFrame, ids: DataFrame | None = None, conv: str = "conv_id", t
     empty = Report().done()
     fill: list[Column] = [F.coalesce(F.col(f"report.{n}"), F.lit(v)).cast("string" if isinstance(v, str) else "long").alias(n) for n, v in empty.items()]
     return joined.select(F.col("_conv").alias(conv), *fill)
+
+
+# --- the same in SQL, row by row ---------------------------------------------
+
+
+def _report_sql() -> str:
+    """DuckDB SQL of ``report(damaged(conversations))``: four best (cost, audit,
+    text) a conversation, carried from row to row; turns must be distinct."""
+
+    def best(*ways: str) -> str:
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def way(state: str, cost: str, letter: str, line: str | None = None) -> str:
+        text = f"{state}.t" if line is None else f"{state}.t || chr(10) || {line}"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}}"
+
+    def insert(state: str, role: str) -> str:
+        return way(state, str(INSERT), "I", f"'{role}:'")
+
+    def closed(states: str) -> str:  # with inserts, which cost most once and twice
+        once = f"SELECT *, {best('s2', insert('s0', 'user'), insert('s1', 'user'), insert('s3', 'user'))} AS p2 FROM ({states}) x"
+        return f"SELECT *, s0 AS p0, s1 AS p1, {best('s3', insert('p2', 'assistant'))} AS p3 FROM ({once}) y"
+
+    never = 1 << 40
+    stays = f"CASE WHEN fault IN ('blank', 'duplicate') THEN {never} WHEN fault = 'truncated' THEN {TRUNCATED} ELSE 0 END"
+    keep = lambda s, initial: way(s, f"(CASE WHEN left(role, 1) = '{initial}' THEN {stays} ELSE {never} END)", "K", "role || ':' || text")
+    rerole = lambda s, role: way(s, f"{REROLE} + {stays}", "R", f"'{role}:' || text")
+    delete = lambda s: way(s, str(DELETE), "D")
+    step = f"""SELECT conv_id, i + 1 AS i, {delete('p0')} AS s0, {best(delete('p1'), keep('p0', 's'))} AS s1,
+      {best(delete('p2'), *(f(s, x) for s in ('p0', 'p1', 'p3') for f, x in ((rerole, 'user'), (keep, 'u'))))} AS s2,
+      {best(delete('p3'), rerole('p2', 'assistant'), keep('p2', 'a'))} AS s3"""
+    far = f"{{'c': CAST({never} AS BIGINT), 'a': '', 't': ''}}"
+    solid = r"[^\x20\x09-\x0D]"
+    return f"""
+WITH RECURSIVE bits AS (
+  SELECT range AS n, range AS v, 0 AS k FROM range(256)
+  UNION ALL SELECT n, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+byte AS (SELECT n, v FROM bits WHERE k = 8),
+source AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+crc AS (
+  SELECT DISTINCT key, 1 AS i, CAST(4294967295 AS BIGINT) AS v FROM source
+  UNION ALL SELECT key, i + 1, xor(crc.v >> 8, byte.v) FROM crc JOIN byte ON byte.n = xor(crc.v & 255, ord(substr(key, i, 1))) WHERE i <= length(key)),
+kinds AS (SELECT key, xor(v, 4294967295) % 20 AS kind FROM crc WHERE i = length(key) + 1),
+rows AS (
+  SELECT conv_id, turn, again, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM source JOIN kinds USING (key), range(2) r(again) WHERE kind <> 0 AND (again = 0 OR kind = 3)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, again) AS i FROM rows),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '{solid}') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE 'sound' END AS fault,
+         coalesce(left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM placed),
+walk AS (
+  SELECT DISTINCT conv_id, CAST(1 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': '', 't': ''}} AS s0, {far} AS s1, {far} AS s2, {far} AS s3 FROM faults
+  UNION ALL {step} FROM ({closed("SELECT walk.*, role, text, fault FROM walk JOIN faults ON walk.conv_id IS NOT DISTINCT FROM faults.conv_id AND walk.i = faults.i")}) z),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM faults GROUP BY conv_id),
+ends AS (
+  SELECT conv_id, {best('p0', 'p3')} AS e FROM ({closed("SELECT walk.* FROM walk JOIN counted ON walk.conv_id IS NOT DISTINCT FROM counted.conv_id AND walk.i = counted.n + 1")}) z)
+SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(e.c, 0) AS cost, coalesce(e.a, '') AS audit, sha256(coalesce(substr(e.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN counted ON q.conv_id IS NOT DISTINCT FROM counted.conv_id
+LEFT JOIN ends ON q.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
+REPORT_SQL = _report_sql()

@@ -199,3 +199,16 @@ def test_empty_table(spark):
     assert C.report(df).count() == 0 and C.repair(df).count() == 0 and C.damaged(df).count() == 0
     ids = spark.createDataFrame([(3,)], "conv_id long")
     assert C.report(df, ids).collect()[0].audit == ""
+
+
+def test_equals_sql(spark):
+    """Also where keys, turns, roles and texts are null."""
+    import duckdb
+
+    rows = [(c, t, r, x) for c, t, r, x in table(6, n=60) if c != 60]  # 60 repeats a turn: its rows' order is not the query's
+    rows = list({(r[0], r[1]): r for r in rows}.values())
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", df.toArrow())
+    want = con.sql(C.REPORT_SQL).fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in C.report(C.damaged(df), df).collect())
