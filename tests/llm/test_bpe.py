@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -14,6 +15,7 @@ from censuskit.llm import bpe
 RANKS = bpe.read_ranks(P.path("byte_bpe_50k.tiktoken"))
 REFERENCE = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 MACHINE = bpe.BpeTransducer(RANKS, P.PATTERN)
+SPACED = bpe.BpeTransducer(RANKS, P.PATTERN, max_states=3_000, max_words=40, spaces=True)
 
 SAMPLES = [
     "", " ", "\n\n  \t", "a", "Hello world's  weird   spacing\r\n", "naïve café 東京 😀🏳️‍🌈", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa",
@@ -23,7 +25,31 @@ SAMPLES = [
 
 @pytest.mark.parametrize("text", SAMPLES)
 def test_same_ids_as_the_library(text):
-    assert MACHINE.encode(text) == REFERENCE.encode_ordinary(text)
+    assert MACHINE.encode(text) == SPACED.encode(text) == REFERENCE.encode_ordinary(text)
+
+
+def same_column(machine, texts):
+    ids, bounds = machine.encode_column(pa.array(texts, pa.string()))
+    assert len(bounds) == len(texts) + 1 and bounds[0] == 0 and bounds[-1] == len(ids)
+    for text, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == REFERENCE.encode_ordinary(text), text
+
+
+def test_a_column_is_cut_at_single_spaces_only():
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    texts = SAMPLES + [f"a{x} b {x}c{x}{y}d e" for x in spaces for y in ("", " ", "\n")] + [" lead", "trail ", " both ", "one  two", "a b c", "don't we 'll go", "x " * 3000]
+    for machine in (SPACED, MACHINE):
+        same_column(machine, texts)
+        same_column(machine, [])
+        same_column(machine, [""])
+        ids, bounds = machine.encode_column(pa.array(["zero", *texts, "last"])[1:-1])  # a slice of a column
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [REFERENCE.encode_ordinary(t) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab ',.\n\t\u00a0\u2003é漢1", max_size=40) | st.text(max_size=20), max_size=6))
+def test_same_ids_on_any_column(texts):
+    same_column(SPACED, [t.encode("utf-8", "replace").decode() for t in texts])
 
 
 @settings(max_examples=400, deadline=None)
@@ -64,7 +90,8 @@ def test_dataframe_round_trip(spark):
     back = bpe.decode(ids, RANKS)
     want = sorted((str(k), t or "") for k, t, _ in rows)
     assert sorted((str(r.doc_id), r.text) for r in back.collect()) == want
-    got = bpe.roundtrip_digests(df, RANKS, P.PATTERN).collect()
+    got = bpe.roundtrip_digests(df, RANKS, P.PATTERN, spaces=True).collect()
+    assert sorted(map(str, got)) == sorted(map(str, bpe.roundtrip_digests(df, RANKS, P.PATTERN, max_states=100, max_words=5).collect()))
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     expect = []
     for k, t, _ in rows:
@@ -72,3 +99,8 @@ def test_dataframe_round_trip(spark):
         expect.append((str(k), len(e), sha(" ".join(map(str, e))), sha(t or "")))
     assert sorted((str(r.doc_id), *r[1:]) for r in got) == sorted(expect)
     assert bpe.roundtrip_digests(df.limit(0), RANKS, P.PATTERN).count() == 0
+
+
+def test_odd_ids_decode_to_the_replacement_character(spark):
+    df = spark.createDataFrame([(1, [10**6, None, RANKS[b"a"]]), (2, None), (3, [])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in bpe.decode(df, RANKS).collect()} == {1: "\ufffd\ufffda", 2: "", 3: ""}
