@@ -79,4 +79,4 @@ QUERIES = {
     "op13_interactions": op13_interactions,
 }
 
-ORACLE: dict[str, str] = {"op8_lines": lines.REPORT_SQL, "op11_mixing": mixing.MIX_SQL, "op12_conversations": conversations.REPORT_SQL, "op13_interactions": interactions.AUDIT_SQL}
+ORACLE: dict[str, str] = {"op7_warc": warc.ARCHIVE_SQL, "op8_lines": lines.REPORT_SQL, "op11_mixing": mixing.MIX_SQL, "op12_conversations": conversations.REPORT_SQL, "op13_interactions": interactions.AUDIT_SQL}

@@ -286,3 +286,16 @@ def archive(df: DataFrame, key: str = "page_id", target: str = "url", payload: s
     return records(read(manifest, chunk, data=False)).select(
         back("record_id").alias(key), "payload_bytes", "payload_digest", "record_type", back("refers_to").alias("refers_to")
     )
+
+
+# The archive's listing straight from the pages. Base 32 takes 20 bits of the hex digest at a time.
+_DIGITS = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(sha1(html), {5 * i + 1}, 5) AS BIGINT) >> {shift}) & 31 AS INTEGER) + 1, 1)" for i in range(8) for shift in (15, 10, 5, 0)
+)
+ARCHIVE_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, html, {_DIGITS} AS payload_digest, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
