@@ -81,7 +81,7 @@ def outcome_long(spark, sf_dir):
 # orders of one segment's customers. A mean below the bar is written otherwise.
 LISTED_ORDERS, LISTED_CUSTOMERS = "o_orderpriority = '1-URGENT'", "c_mktsegment = 'AUTOMOBILE'"
 OTHER_SPELLING_BELOW = 50.0
-NO_NUMBER_BELOW = 45.0
+NO_NUMBER_BELOW = 50.0
 
 
 def outcome_complete(spark, sf_dir):

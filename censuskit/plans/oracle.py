@@ -497,7 +497,7 @@ SELECT 'lineitem', count(*), count(CASE WHEN n <> 1 THEN 1 END)
 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) b"""
     q["outcome_bad"] = "WITH " + OUTCOME.replace("lower(trim(replace(n.n_name, 'NATION_', 'Nation ')))", "replace(n.n_name, 'NATION_', 'Nation ')").strip() + """,
 sheet AS (SELECT *, CAST(row_number() OVER (PARTITION BY Exam_Year ORDER BY District_Name) AS INTEGER) AS Sheet_Line FROM outcome)
-SELECT Exam_Year, Sheet_Line, District_Name, 'below 45.0' AS Raw_Value FROM sheet WHERE Pass_Pct < 45"""
+SELECT Exam_Year, Sheet_Line, District_Name, 'below 50.0' AS Raw_Value FROM sheet WHERE Pass_Pct < 50"""
     q["outcome_bad_counts"] = f"SELECT Exam_Year, count(*) AS Bad_Cells FROM ({q['outcome_bad']}) b GROUP BY Exam_Year"
     q["corr_by_state"] = _with(
         "ward AS (SELECT n_name, r_name AS ws, 'Ward ' || CAST(n_nationkey // 5 AS VARCHAR) AS wn FROM nation JOIN region ON n_regionkey = r_regionkey)",
