@@ -60,6 +60,8 @@ def box_stats(df: DataFrame, by, value: str, approx: bool = False, accuracy: int
     row per group) are joined to the values for a second aggregation.
     """
     by = list(by)
+    if by_rank:  # read several times below: the values alone are written, once
+        df = storage.cut(df.select(*by, F.col(value).cast("double").alias(value)), "values")
     probs = [0.25, 0.5, 0.75]
     q = (F.percentile_approx(value, probs, accuracy) if approx
          else F.percentile(F.col(value), F.array(*[F.lit(p) for p in probs])))

@@ -19,7 +19,7 @@ stands in several states is an error.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from censuskit.functions import pct_gap_of_sums, round6
@@ -384,13 +384,13 @@ def quality_tolerances(census: DataFrame, tolerances: dict[str, float] | None =
     """Rates of each year and state against the state's over all years, each
     measure within its own tolerance."""
     tolerances = tolerances or TOLERANCES
-    measures = {m: m for m in tolerances}
     facts = rollup.rollup(census, YS)
-    observed = rates.rate_gap_of_sums(facts, YS, measures)
-    overall = rates.rate_gap_of_sums(facts, [STATE], measures)
+    years = Window.partitionBy(STATE)  # one row per year
+    summed = facts.select(*YS, F.sum(TOTAL).over(years).alias("_t"), *[F.sum(m).over(years).alias(m) for m in tolerances])
+    observed, overall = (f.select(*YS, *[pct_gap_of_sums(t, m).alias(m) for m in tolerances]) for f, t in ((facts, TOTAL), (summed, "_t")))
     allowed = F.coalesce(*[F.when(F.col(quality.MEASURE) == m, F.lit(float(t))) for m, t in tolerances.items()])
-    expected = quality.by_measure(facts.select(*YS).join(overall, STATE), YS, list(measures), "Expected").withColumn("Tolerance", allowed)
-    return quality.compare_measures(observed, expected, YS, list(measures))
+    expected = quality.by_measure(overall, YS, list(tolerances), "Expected").withColumn("Tolerance", allowed)
+    return quality.compare_measures(observed, expected, YS, list(tolerances))
 
 
 def quality_tolerance_counts(census: DataFrame) -> DataFrame:
