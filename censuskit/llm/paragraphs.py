@@ -5,8 +5,9 @@ paragraphs are one class from the start, so copies, however many, never meet as
 pairs. The signatures of the classes are cut into bands, tuned for recall;
 classes that share a band's value meet in one task, where exact Jaccard
 similarity verifies them, and come out as links contracted there, not as pairs.
-A band value that very many classes share is dealt out as pairs of chunks of
-bounded size. Each component keeps its first paragraph.
+A band value that very many classes share is dealt out in chunks of bounded
+size, and only what its chunks leave unconnected is compared across them. Each
+component keeps its first paragraph.
 
 A passage may lie within longer paragraphs, or be wrapped into lines at other
 places. So a document's words, line feeds or not, are also cut into pieces where
@@ -225,22 +226,39 @@ def _contracted(node, root):
 def similar(classes: DataFrame, least: float = SIMILARITY, chunk: int = CHUNK, broadcast_classes: int = BROADCAST_CLASSES) -> DataFrame:
     """Links ``(node, root)`` that connect all classes (``cls``, ``bands``,
     ``shingles``; rows that repeat a class do no harm) that share a band value
-    and are similar."""
-    n = shuffle_partitions(classes.sparkSession)
+    and are similar.
+
+    A value of more than ``chunk`` classes is dealt out in chunks, in another way
+    for each value. What links within chunks connect needs no more comparing: of
+    such a value only classes outside its largest component are compared with
+    all others, chunk by chunk."""
+    n, block = shuffle_partitions(classes.sparkSession), ["value", "low", "high"]
     # Read twice below, by plans that are alike down to the exchange, so shuffled once.
     keyed = classes.select("cls", F.explode("bands").alias("value")).where("value is not null and cls is not null").repartition(n, "value")
     shared = keyed.groupBy("value").agg(F.min("cls").alias("a"), F.max("cls").alias("b"), F.count("*").alias("n")).where("a != b")
-    shared = shared.select("value", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
-    met = keyed.join(shared, "value").distinct().withColumn("own", F.pmod(F.xxhash64("cls"), F.col("chunks").cast("long")).cast("int"))
-    met = met.select("cls", "value", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    met = met.select("cls", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    met = cut(met, "collisions")
+    met = cut(keyed.join(shared.select("value", F.ceil(F.col("n") / chunk).alias("chunks")), "value").distinct().select("cls", "value", "chunks"), "collisions")
     wanted = met.select("cls").distinct()
     wanted = F.broadcast(wanted) if wanted.count() <= broadcast_classes else wanted.hint("merge")
     sets = classes.select("cls", "shingles").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
-    block = ["value", "low", "high"]
-    full = met.join(sets, "cls").repartition(n, *block).sortWithinPartitions(*block)
-    return full.mapInArrow(lambda batches: _verify(batches, least), "node long, root long")
+
+    def links(rows: DataFrame) -> DataFrame:
+        full = rows.join(sets, "cls").repartition(n, *block).sortWithinPartitions(*block)
+        return full.mapInArrow(lambda batches: _verify(batches, least), "node long, root long")
+
+    own = F.pmod(F.xxhash64("cls", "value"), F.col("chunks"))
+    within = links(met.select("cls", "value", own.alias("low"), own.alias("high"), F.lit(0).alias("side")))
+    dealt = met.where("chunks > 1")
+    if not dealt.limit(1).count():
+        return within
+    within = cut(within, "links-within")
+    dealt = cut(dealt.join(components(within), F.col("cls") == F.col("node"), "left").select("cls", "value", "chunks", F.coalesce("root", "cls").alias("root")), "dealt")
+    sizes = dealt.groupBy("value", "root").agg(F.count("*").alias("n")).groupBy("value").agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"))
+    strays = sizes.where("n > most.n").select("value", F.col("most.root").alias("largest"), F.ceil((F.col("n") - F.col("most.n")) / chunk).alias("parts"))
+    open_ = dealt.join(strays, "value")
+    part, last = F.pmod(F.xxhash64("cls", "value"), F.col("parts")), lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    few = open_.where("root != largest").select("cls", "value", part.alias("low"), last("chunks").alias("high"), F.lit(0).alias("side"))
+    all_ = open_.select("cls", "value", last("parts").alias("low"), own.alias("high"), F.lit(1).alias("side"))
+    return within.unionByName(links(few.unionByName(all_)))
 
 
 def _stretches(batches, least: int):

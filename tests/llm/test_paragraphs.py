@@ -8,6 +8,7 @@ import numpy as np
 import xxhash
 
 from censuskit.llm import paragraphs, words
+from censuskit.llm.components import components
 from censuskit.llm.queries import QUERIES
 from tests.conftest import SF001
 
@@ -170,3 +171,32 @@ def test_bands_reach_the_recall():
     for least, recall in ((0.8, 0.999), (0.9, 0.99), (0.5, 0.95)):
         bands, rows = paragraphs.tune(least, recall)
         assert 1 - (1 - least**rows) ** bands >= recall and bands * rows <= max(paragraphs.HASHES, bands)
+
+
+def test_values_of_many_classes_are_connected_as_by_all_pairs(spark):
+    """Near copies of one list, chains that only a middle joins, and strays, all
+    under one band value, dealt out in chunks of three."""
+    rng = random.Random(11)
+    base = list(range(100))
+    sets = []
+    for _ in range(40):
+        s = set(base)
+        for x in rng.sample(base, rng.choice([1, 2, 5, 9])):
+            s.discard(x)
+            s.add(rng.randrange(1000, 10_000))
+        sets.append(sorted(s))
+    sets += [list(range(k, k + 60)) for k in range(200, 260, 6)] + [[rng.randrange(10**6) for _ in range(20)] for _ in range(15)]
+    rows = [(i, [7, 1000 + i % 3], s) for i, s in enumerate(sets)] + [(0, [7], sets[0]), (500, None, [1])]
+    df = spark.createDataFrame(rows, "cls long, bands array<long>, shingles array<int>")
+    root = list(range(len(sets)))
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if near(set(sets[a]), set(sets[b])):
+            low, high = sorted((root[a], root[b]))
+            root = [low if x == high else x for x in root]
+    for chunk in (3, 2000):
+        links = paragraphs.similar(df, chunk=chunk).collect()
+        assert all(near(set(sets[r.node]), set(sets[r.root])) or root[r.node] == root[r.root] for r in links)
+        got = {r.node: r.root for r in components(paragraphs.similar(df, chunk=chunk)).collect()}
+        assert [got.get(i, i) for i in range(len(sets))] == root
+    assert len(set(root)) > 15 and len(set(root)) < len(sets) - 40
