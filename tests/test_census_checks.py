@@ -5,12 +5,13 @@ import os
 import random
 import statistics
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from censuskit.operators import correlate, distribution, normalize, quality
 from censuskit.operators.normalize import apply_aliases
-from censuskit.plans import QUERIES, study
+from censuskit.plans import QUERIES, catalog, oracle_sql, study
 from censuskit.schema import DISTRICT, PERIOD, STATE
 from censuskit.sources.outcome import bad_outcome_values, outcome_long, read_outcome_csv
 from tests.conftest import SF01, rows
@@ -101,10 +102,27 @@ def test_malformed_results_cells_are_told(spark, tmp_path):
     assert {(r[0], r[1]): r[2] for r in long.collect()} == {("a", "2017"): 70.5, ("b", "2017"): 12.0, ("c", "2017"): None, ("b", "2018"): None, ("a", "2018"): None, ("c", "2018"): 10.0}
 
 
+def test_complete_lists_are_of_all_orders(spark, tmp_path):
+    """Districts are complete by orders of any priority and segment, and their means are of all of them."""
+    d = str(tmp_path)
+    orders = [(1, 1000.0 * y, "5-LOW" if y % 2 else "1-URGENT", y) for y in catalog.ORDER_YEARS] + [(2, 9000.0, "3-MEDIUM", y) for y in catalog.ORDER_YEARS]
+    orders += [(3, 500_000.0, "1-URGENT", y) for y in list(catalog.ORDER_YEARS)[1:]]  # nothing in the first year
+    spark.createDataFrame(orders, "o_custkey long, o_totalprice double, o_orderpriority string, y int").selectExpr(
+        "o_custkey", "o_totalprice", "o_orderpriority", "make_date(y, 6, 1) as o_orderdate").write.parquet(f"{d}/orders.parquet")
+    spark.createDataFrame([(1, 1, "BUILDING"), (2, 1, "AUTOMOBILE"), (3, 2, "AUTOMOBILE")], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{d}/customer.parquet")
+    spark.createDataFrame([(1, "NATION_1"), (2, "NATION_2")], "n_nationkey int, n_name string").write.parquet(f"{d}/nation.parquet")
+    got = rows(QUERIES["outcome_complete"](spark, d), DISTRICT, "Exam_Year", "Pass_Pct")
+    assert got == [("nation 1", e, round((1000.0 * y + 9000.0) / 2 / 5000, 6)) for y, e in zip(catalog.ORDER_YEARS, catalog.EXAM_YEARS)]
+    db = duckdb.connect()
+    for t in ("orders", "customer", "nation"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet/*.parquet')")
+    assert sorted(db.execute(oracle_sql()["outcome_complete"]).fetchall()) == got
+
+
 def test_queries_show_what_they_are_named_for(spark):
     run = lambda n: QUERIES[n](spark, SF01).collect()
     complete = run("outcome_complete")
-    assert 0 < len({r.District_Name for r in complete}) < 25 and len(complete) == 7 * len({r.District_Name for r in complete})
+    assert len({r.District_Name for r in complete}) == 25 and len(complete) == 7 * len({r.District_Name for r in complete})
     assert all(r.Passed_Count + r.Failed_Count == 5 for r in run("quality_tolerance_counts"))
     by_year = {}
     for r in run("quality_tolerances"):
