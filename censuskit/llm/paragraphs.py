@@ -10,11 +10,13 @@ size, and only what its chunks leave unconnected is compared across them. Each
 component keeps its first paragraph.
 
 A passage may lie within longer paragraphs, or be wrapped into lines at other
-places. So a document's words, line feeds or not, are also cut into pieces where
-a word's hash is the least around it, the same places wherever a passage stands;
-pieces are compared by equality and are of one kind with paragraphs. What
-repeats is removed in stretches: words that repeated paragraphs or pieces cover
-without a gap, ``STRETCH`` and more. A lone stock line stays.
+places. So every run of ``PASSAGE`` words, line feeds or not, that stands earlier
+is a repeat, too. To find all of them without comparing all, anchors of ``ANCHOR``
+words are picked by their hashes so that each run of ``PASSAGE`` words holds one,
+the same wherever it stands; only around anchors that recur are all runs hashed.
+Each different text is looked at once; its copies are known by the words of the
+whole text. What repeats is removed in stretches: words that repeated paragraphs or
+runs cover without a gap, ``STRETCH`` and more. A lone stock line stays.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components, contract
@@ -35,17 +37,17 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Repeated words in a row that make a passage. Fewer are left alone.
 STRETCH = 30
-#: A piece ends where a word's hash is the least of this many words before and
-#: after it, and after this many words if there is no such place.
-AROUND, LONGEST = 8, 24
+#: Words of a run that is a repeat wherever it stands earlier, and of the anchors
+#: by which such runs are found.
+PASSAGE, ANCHOR = 50, 18
 #: Wanted chance that a pair at the least similarity shares a band, and min-hashes
 #: that may be spent on it.
 RECALL = 0.9999
 HASHES = 40
 #: Classes that meet in one task as one chunk.
 CHUNK = 2_000
-#: Colliding classes (8 bytes each) up to which they are broadcast to pick out
-#: their shingles; beyond it both sides are shuffled.
+#: Colliding classes, and texts with anchors that recur (8 bytes each), up to which
+#: they are broadcast to pick out shingles and texts; beyond it both sides are shuffled.
 BROADCAST_CLASSES = 1_000_000
 
 
@@ -59,52 +61,61 @@ def tune(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = H
     return best
 
 
-def piece_ends(words: np.ndarray, rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Where pieces end: numbers of the words behind them, for words in rows
-    (row ``r`` has words ``bounds[r]`` to ``bounds[r + 1]``). Pieces have more
-    than ``AROUND`` words, a row's last one at least ``AROUND``."""
-    at = np.arange(len(words))
-    padded = np.full(len(words) + AROUND * (len(bounds) + 1), np.iinfo(np.uint64).max, np.uint64)
-    place = at + AROUND * (rows + 1)
-    padded[place] = own = mix(words)
-    ends = (at - bounds[rows] >= AROUND) & (bounds[rows + 1] - 1 - at >= AROUND)
-    for k in range(1, AROUND + 1):
-        ends &= (own < padded[place - k]) & (own <= padded[place + k])
-    return np.flatnonzero(ends) + 1
-
-
-def units_of(part: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, ...]:
+def anchors(values: np.ndarray, bounds: np.ndarray, passage: int) -> np.ndarray:
+    """First words of the anchors: in every run of ``passage`` words of a row
+    (row ``r`` has words ``bounds[r]`` to ``bounds[r + 1]``) the ``ANCHOR`` words
+    of the least hash, the first of equals. ``values`` are hashes of the words
+    from each place on."""
+    width = passage - ANCHOR + 1  # places of an anchor in a run
+    last = np.repeat(bounds[1:], np.diff(bounds)) - passage
+    least = (values >> np.uint64(28) << np.uint64(28)) | np.arange(len(values), dtype=np.uint64)
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        least, done = np.minimum(least[: max(0, len(least) - step)], least[step:]), done + step
+    at = np.arange(len(least))
+    found = (least & np.uint64((1 << 28) - 1))[at <= last[: len(least)]].astype(np.int64)
+    return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
+
+
+def units_of(part: pa.RecordBatch, shingle: int, passage: int) -> tuple[np.ndarray, ...]:
     """Of a slice of texts: row, first word (from the text's start), words and
-    class of each paragraph of ``shingle`` words and more, then of each piece
-    that is not one; the shingles of the paragraphs with their bounds."""
-    data, offsets = raw_bytes(part.column("text"))
-    data = LOWER[data]
-    feeds = np.flatnonzero(data == 10)
-    starts, ends, rows = runs(data, offsets, SOLID)
-    words = spans(prefix_sums(data), starts, ends)
-    bounds = np.searchsorted(rows, np.arange(part.num_rows + 1))
+    class of each paragraph of ``shingle`` words and more, of each text of
+    ``passage`` and more, and of each anchor; whether it is an anchor; the shingles
+    of the paragraphs with their bounds."""
+    words, bounds, feeds, starts, rows = _words(part)
     line = np.searchsorted(feeds, starts)  # line feeds before a word
     edge = np.flatnonzero(np.concatenate([[True], (line[1:] != line[:-1]) | (rows[1:] != rows[:-1])])) if len(starts) else np.zeros(0, np.int64)
     sizes = np.diff(np.append(edge, len(starts)))
     first, size = edge[sizes >= shingle], sizes[sizes >= shingle]
-    # Pieces: from a row's start or a piece's end to the next end or the row's.
-    stops = np.unique(np.concatenate([piece_ends(words, rows, bounds), bounds]))
-    begin, length = stops[:-1], np.diff(stops)
-    whole = np.maximum(0, (length - shingle) // LONGEST)  # full-length parts of long pieces
-    number = np.arange((whole + 1).sum()) - np.repeat(np.cumsum(whole + 1) - whole - 1, whole + 1)
-    begin, length, whole = (np.repeat(x, whole + 1) for x in (begin, length, whole))
-    begin, length = begin + number * LONGEST, np.where(number < whole, LONGEST, length - whole * LONGEST)
-    found = np.minimum(np.searchsorted(first, begin), max(0, len(first) - 1))
-    same = (first[found] == begin) & (size[found] == length) if len(first) else np.zeros(len(begin), bool)
-    fresh = (length >= shingle) & ~same
     h, _ = shingles(words, np.zeros(len(words), np.int64), shingle)
     count = size - shingle + 1
     at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
     own = h[at] if len(at) else np.zeros(0, np.uint64)
-    first, size = np.concatenate([first, begin[fresh]]).astype(np.int64), np.concatenate([size, length[fresh]]).astype(np.int64)
-    cls = mix(spans(sums(words), first, first + size) + size.astype(np.uint64)).view(np.int64)
+    long = np.flatnonzero(np.diff(bounds) >= passage)
+    total = sums(words)
+    runs_ = spans(total, np.arange(len(words)), np.minimum(np.arange(len(words)) + ANCHOR, len(words)))
+    found = anchors(runs_, bounds, passage)
+    cls = [
+        mix(spans(total, first, first + size) + size.astype(np.uint64)),
+        mix(~spans(total, bounds[long], bounds[long + 1]) + np.diff(bounds)[long].astype(np.uint64)),
+        mix(~runs_[found] + np.uint64(ANCHOR)),
+    ]
+    first = np.concatenate([first, bounds[long], found]).astype(np.int64)
+    size = np.concatenate([size, np.diff(bounds)[long], np.full(len(found), ANCHOR)]).astype(np.int64)
     row = rows[first] if len(first) else np.zeros(0, np.int64)
-    return row, (first - bounds[row]), size, cls, own, np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+    anchor = np.arange(len(first)) >= len(first) - len(found)
+    return row, (first - bounds[row]), size, np.concatenate(cls).view(np.int64), anchor, own, np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+
+
+def _words(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Of a slice of texts, A-Z in lower case: hashes of the words, each row's
+    first word and the end, line feeds, starts and rows of the words."""
+    data, offsets = raw_bytes(part.column("text"))
+    data = LOWER[data]
+    starts, ends, rows = runs(data, offsets, SOLID)
+    bounds = np.searchsorted(rows, np.arange(part.num_rows + 1))
+    return spans(prefix_sums(data), starts, ends), bounds, np.flatnonzero(data == 10), starts, rows
 
 
 def signatures(own: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -118,17 +129,17 @@ def signatures(own: np.ndarray, bounds: np.ndarray, bands: int, rows: int) -> np
     return out.view(np.int64)
 
 
-def listed(df: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+def listed(df: DataFrame, shingle: int, bands: int, rows: int, passage: int = PASSAGE) -> DataFrame:
     """``doc``, ``mark`` (of its text), ``start``, ``words`` and ``cls`` of every
-    paragraph and piece, and whether its class stood ``again`` in its text;
-    ``bands`` and ``shingles`` (32 bits each) once for each class of paragraphs
+    paragraph, long text and ``anchor``, and whether its class stood ``again`` in
+    its text; ``bands`` and ``shingles`` (32 bits each) once for each class of paragraphs
     and task."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                row, start, size, cls, own, bounds = units_of(part, shingle)
+                row, start, size, cls, anchor, own, bounds = units_of(part, shingle, passage)
                 if not len(row):
                     continue
                 count = np.diff(bounds)
@@ -142,14 +153,14 @@ def listed(df: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                 again[order[1:]] = (row[order[1:]] == row[order[:-1]]) & (cls[order[1:]] == cls[order[:-1]])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc").take(pa.array(row)), part.column("mark").take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(cls), pa.array(again),
+                        part.column("doc").take(pa.array(row)), part.column("mark").take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(cls), pa.array(anchor), pa.array(again),
                         _lists(sig.ravel(), np.where(new, bands, 0), new), _lists(kept.astype(np.uint32).view(np.int32), np.where(new, count, 0), new),
                     ],
-                    ["doc", "mark", "start", "words", "cls", "again", "bands", "shingles"],
+                    ["doc", "mark", "start", "words", "cls", "anchor", "again", "bands", "shingles"],
                 )
 
     kind = df.schema["doc"].dataType.simpleString()
-    return df.mapInArrow(run, f"doc {kind}, mark long, start int, words int, cls long, again boolean, bands array<long>, shingles array<int>")
+    return df.mapInArrow(run, f"doc {kind}, mark long, start int, words int, cls long, anchor boolean, again boolean, bands array<long>, shingles array<int>")
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray, valid: np.ndarray) -> pa.Array:
@@ -274,11 +285,59 @@ def _stretches(batches, least: int):
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("mark"), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32())])))], ["doc", "mark", "removed"])
 
 
-def marked_texts(texts: DataFrame, shingle: int, least: float, stretch: int, recall: float, chunk: int) -> DataFrame:
+def _around(batches, passage: int):
+    """Rows ``(doc, mark, text, starts)``: the runs of ``passage`` words that hold
+    an anchor of ``starts``."""
+    for batch in batches:
+        done = 0
+        for texts in slices(batch.select(["text"]), "text"):
+            part, done = batch.slice(done, texts.num_rows), done + texts.num_rows
+            words, bounds, *_ = _words(texts)
+            held = part.column("starts")
+            at = held.values.to_numpy()[held.offsets[0].as_py() : held.offsets[-1].as_py()].astype(np.int64)
+            row = np.repeat(np.arange(part.num_rows), np.diff(held.offsets.to_numpy()))
+            low = np.maximum(at - (passage - ANCHOR), 0) + bounds[row]
+            high = np.minimum(at + bounds[row], bounds[row + 1] - passage)
+            edge = np.bincount(low, minlength=len(words) + 1) - np.bincount(high + 1, minlength=len(words) + 1)
+            first = np.flatnonzero(np.cumsum(edge) > 0)
+            row = np.searchsorted(bounds, first, side="right") - 1
+            cls = spans(sums(words), first, first + passage).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc").take(pa.array(row)), part.column("mark").take(pa.array(row)), pa.array((first - bounds[row]).astype(np.int32)), pa.array(cls)],
+                ["doc", "mark", "start", "cls"],
+            )
+
+
+def repeated_runs(texts: DataFrame, units: DataFrame, passage: int, broadcast_texts: int = BROADCAST_CLASSES) -> DataFrame:
+    """``doc``, ``mark``, ``start`` and ``words`` of all runs of ``passage`` words
+    that stand earlier, in the first document of each text."""
+    found = units.where("anchor")
+    recur = found.groupBy("cls").agg(F.min("mark").alias("a"), F.max("mark").alias("b"), F.max("again").alias("c")).where("a != b or c").select("cls")
+    first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc")).alias("first")
+    near = found.join(recur.hint("merge"), "cls").groupBy("mark").agg(first, F.collect_set("start").alias("starts"))
+    near = cut(near.select(F.col("first.doc").alias("_doc"), F.col("mark").alias("_mark"), "starts"), "anchors")
+    held = F.col("mark") == F.col("_mark")
+    some = near.select("_mark")
+    if some.count() <= broadcast_texts:
+        texts = texts.join(F.broadcast(some), held, "left_semi")
+    own = texts.join(near.hint("merge"), held & F.col("doc").eqNullSafe(F.col("_doc"))).select("doc", "mark", "text", "starts")
+    kind = texts.schema["doc"].dataType.simpleString()
+    every = own.mapInArrow(lambda batches: _around(batches, passage), f"doc {kind}, mark long, start int, cls long")
+    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "mark", "start")
+    # The first place of a class, which repeated rows may name more than once, stays.
+    keep = F.first(place).over(Window.partitionBy("cls").orderBy(F.col("doc").isNull(), "doc", "mark", "start"))
+    return every.withColumn("keep", keep).where(place != F.col("keep")).select("doc", "mark", "start", F.lit(passage).alias("words"))
+
+
+def marked_texts(texts: DataFrame, shingle: int, least: float, stretch: int, recall: float, chunk: int, passage: int) -> DataFrame:
     """Per ``doc`` and ``mark`` with something repeated: ``removed``, stretches
     of words (an array of ``start`` and ``words``)."""
+    if passage < ANCHOR:
+        raise ValueError(f"passage: {ANCHOR} words and more")
     bands, rows = tune(least, recall)
-    units = cut(listed(texts.withColumn("text", F.coalesce("text", F.lit(""))), shingle, bands, rows), "paragraphs")
+    texts = texts.withColumn("text", F.coalesce("text", F.lit("")))
+    every = cut(listed(texts, shingle, bands, rows, passage), "paragraphs")
+    units = every.where("not anchor")
     roots = components(similar(units.where("bands is not null").select("cls", "bands", "shingles"), least, chunk))
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "mark", "start")
     firsts = units.where("not again").groupBy("cls").agg(F.min(place).alias("first"), F.count("*").alias("n"))
@@ -288,13 +347,14 @@ def marked_texts(texts: DataFrame, shingle: int, least: float, stretch: int, rec
     kept = own.join(own.groupBy("root").agg(F.min("first").alias("keep")), "root").select("cls", "keep").hint("merge")
     span = ["doc", "mark", "start", "words"]
     repeats = units.where("not again").select(*span, "cls").join(kept, "cls").where(place != F.col("keep")).select(*span).unionByName(units.where("again").select(*span))
+    repeats = repeats.unionByName(repeated_runs(texts, every, passage))
     found = repeats.groupBy("doc", "mark").agg(F.sort_array(F.collect_set(F.struct("start", "words"))).alias("found"))  # of one text
     kind = texts.schema["doc"].dataType.simpleString()
     return found.mapInArrow(lambda batches: _stretches(batches, stretch), f"doc {kind}, mark long, removed array<struct<start:int,words:int>>")
 
 
 def _with_marks(df: DataFrame, key: str, text: str, options: dict, text_too: bool) -> DataFrame:
-    options = {"shingle": SHINGLE, "least": SIMILARITY, "stretch": STRETCH, "recall": RECALL, "chunk": CHUNK} | options
+    options = {"shingle": SHINGLE, "least": SIMILARITY, "stretch": STRETCH, "recall": RECALL, "chunk": CHUNK, "passage": PASSAGE} | options
     texts = df.select(F.col(key).alias("doc"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("mark"))
     by_doc = marked_texts(texts, **options).withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
     rows = texts if text_too else texts.drop("text")
@@ -327,13 +387,13 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text", **option
     """Per row of ``df``: key, ``removed`` (the stretches of words that go, an
     array of ``start``, counted from 0, and ``words``) and ``kept_text``. Options:
     ``shingle``, ``least`` similarity, ``stretch`` (its least words), ``recall``,
-    ``chunk``.
+    ``chunk``, ``passage`` (words of a run).
 
-    Of paragraphs that links of similarity ``least`` connect, and of equal
-    pieces, the one of the smallest key stays (then of the smallest hash of the text, then the first);
+    Of paragraphs that links of similarity ``least`` connect, and of equal runs of
+    ``passage`` words, the one of the smallest key stays (then of the smallest hash of the text, then the first);
     the others are repeats, and go where they cover ``stretch`` words in a row.
     Paragraphs of fewer than ``shingle`` words have no shingle and count only as
-    parts of pieces. Null and empty texts have no words and stay as they are; a
+    parts of runs. Null and empty texts have no words and stay as they are; a
     null key comes after all others. Repeated rows are the same document and
     fare alike; rows of one key with different texts are documents of their own,
     told apart by 64 bits. Very long texts are handled whole, one at a time. Other

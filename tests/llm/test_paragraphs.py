@@ -1,13 +1,14 @@
-"""Paragraph deduplication against all pairs of paragraphs and pieces."""
+"""Paragraph deduplication against all pairs of paragraphs and all runs of words."""
 
 import itertools
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-from censuskit.llm import paragraphs, words
+from censuskit.llm import paragraphs
 from censuskit.llm.components import components
 from censuskit.llm.queries import QUERIES
 from tests.conftest import SF001
@@ -19,48 +20,26 @@ def lower(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text)
 
 
-def word_hash(word):
-    data = np.frombuffer(word.encode(), np.uint8)
-    return int(words.mix(words.spans(words.prefix_sums(data), np.array([0]), np.array([len(data)])))[0])
-
-
 def mark(text):
     """Texts of one key go by their 64-bit hash."""
     h = xxhash.xxh64_intdigest((text or "").encode(), 42)
     return h - (1 << 64) if h >> 63 else h
 
 
-def pieces(tokens):
-    """Word by word: a piece ends behind a least hash, or after the most words."""
-    r, h = paragraphs.AROUND, [word_hash(w) for w in tokens]
-    stops = [0]
-    for i in range(r, len(h) - r):
-        if all(h[i] < x for x in h[i - r : i]) and all(h[i] <= x for x in h[i + 1 : i + r + 1]):
-            stops.append(i + 1)
-    out = []
-    for a, b in zip(stops, [*stops[1:], len(h)]):
-        while b - a >= paragraphs.LONGEST + 5:
-            out.append((a, a + paragraphs.LONGEST))
-            a += paragraphs.LONGEST
-        out.append((a, b))
-    return out
-
-
-def brute(rows, least=0.8, stretch=paragraphs.STRETCH, n=5):
-    """Removed stretches by (key, text), from all pairs."""
-    units = []
+def brute(rows, least=0.8, stretch=paragraphs.STRETCH, n=5, passage=paragraphs.PASSAGE):
+    """Removed stretches by (key, text), from all pairs and all runs."""
+    units, run_at = [], []
     for k, t in set(rows):
         tokens, place = re.findall(WORD, lower(t or "")), 0
-        spans = {(*x, False) for x in pieces(tokens)}
+        own = (k is None, k or 0, mark(t))
+        run_at += [((*own, a), (k, t), tuple(tokens[a : a + passage])) for a in range(len(tokens) - passage + 1)]
         for line in (t or "").split("\n"):
             size = len(re.findall(WORD, line))
-            spans = {x for x in spans if x[:2] != (place, place + size)} | {(place, place + size, True)}
+            w = tuple(tokens[place : place + size])
+            if size >= n:
+                shingles = frozenset(w[j : j + n] for j in range(size - n + 1))
+                units.append(((*own, place), (k, t), (place, place + size), shingles, w))
             place += size
-        for a, b, para in spans:
-            w = tuple(tokens[a:b])
-            if len(w) >= n:
-                shingles = frozenset(w[j : j + n] for j in range(len(w) - n + 1)) if para else None
-                units.append(((k is None, k or 0, mark(t), a), (k, t), (a, b), shingles, w))
     units.sort(key=lambda u: u[0])
     parent = list(range(len(units)))
 
@@ -72,7 +51,7 @@ def brute(rows, least=0.8, stretch=paragraphs.STRETCH, n=5):
     same = {}
     for a, u in enumerate(units):
         parent[a] = find(same.setdefault(u[4], a))
-    distinct = {u[4]: a for a, u in reversed(list(enumerate(units))) if u[3]}  # one paragraph a class
+    distinct = {u[4]: a for a, u in reversed(list(enumerate(units)))}  # one paragraph a class
     for a, b in itertools.combinations(sorted(distinct.values()), 2):
         x, y = units[a][3], units[b][3]
         if len(x & y) >= least * len(x | y):
@@ -85,6 +64,10 @@ def brute(rows, least=0.8, stretch=paragraphs.STRETCH, n=5):
     for a, u in enumerate(units):
         if u[0] != keep[find(a)]:
             gone.setdefault(u[1], set()).add(u[2])
+    first_run = {}
+    for at, doc, w in sorted(run_at, key=lambda x: x[0]):
+        if first_run.setdefault(w, at) != at:
+            gone.setdefault(doc, set()).add((at[-1], at[-1] + passage))
     out = {}
     for k, t in set(rows):
         merged = []
@@ -158,6 +141,42 @@ def test_passages_within_and_across_lines(spark):
     assert all(sum(n for _, n in v) >= 40 for v in want.values())
 
 
+def test_all_of_a_passage_goes(spark):
+    """Passages of 50 words and a few more within paragraphs go word for word,
+    whatever stands around them; runs of 49 stay; copies and variants of a text in
+    other cases go whole."""
+    _, _, word = made()
+    own = lambda n: " ".join(word() + word() + word() for _ in range(n))
+    rows, length = [], {}
+    for i in range(60):
+        size = 49 + i % 6
+        passage = own(size)
+        rows += [(2 * i, f"{own(20 + i)} {passage} {own(70)}"), (1000 + i, f"{own(3 * i)} {passage} {own(90)}")]
+        length[1000 + i] = size
+    rows += [(2000, rows[0][1]), (2001, rows[0][1]), (2002, rows[0][1].upper()), (2003, rows[1][1] + " " + rows[2][1]), (None, rows[4][1])]
+    want = check(spark, rows)
+    gone = {k: sum(n for _, n in v) for (k, _), v in want.items()}
+    assert {k: gone.get(k, 0) for k in length} == {k: n if n >= 50 else 0 for k, n in length.items()}
+    assert all(gone[k] == len(t.split()) for k, t in rows[-5:])
+
+
+def test_every_run_holds_an_anchor():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 1, 49, 50, 51, 200]))) for _ in range(60)] + ["a " * 300]
+    for passage in (18, 19, 37, 50, 64):
+        row, start, size, cls, anchor, _, _ = paragraphs.units_of(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), 5, passage)
+        held = {(r, s): c for r, s, c in zip(row[anchor].tolist(), start[anchor].tolist(), cls[anchor].tolist())}
+        classes = {}
+        for r, text in enumerate(texts):
+            tokens = text.split()
+            for a in range(len(tokens) - passage + 1):
+                inner = {(s - a, held[r, s]) for s in range(a, a + passage - paragraphs.ANCHOR + 1) if (r, s) in held}
+                assert inner
+                classes.setdefault(tuple(tokens[a : a + passage]), []).append(inner)
+        assert all(set.intersection(*v) for v in classes.values())
+        assert all(s + paragraphs.ANCHOR <= len(texts[r].split()) for r, s in held)
+
+
 def test_documents_and_empty_table(spark):
     df = spark.read.parquet(f"{SF001}/documents.parquet")
     want = brute([(r.doc_id, r.text) for r in df.collect()])
