@@ -313,6 +313,7 @@ def repeated_runs(texts: DataFrame, units: DataFrame, passage: int, broadcast_te
     that stand earlier, in the first document of each text."""
     found = units.where("anchor")
     recur = found.groupBy("cls").agg(F.min("mark").alias("a"), F.max("mark").alias("b"), F.max("again").alias("c")).where("a != b or c").select("cls")
+    recur = cut(recur, "recurring")  # read back, so that an anchor in very many texts can be split in the join
     first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc")).alias("first")
     near = found.join(recur.hint("merge"), "cls").groupBy("mark").agg(first, F.collect_set("start").alias("starts"))
     near = cut(near.select(F.col("first.doc").alias("_doc"), F.col("mark").alias("_mark"), "starts"), "anchors")
